@@ -1,0 +1,281 @@
+"""Registered queries over the test tables, and their DuckDB oracles.
+
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame. Each oracle is SQL written
+independently of the rule compiler (the WHERE clauses are hand-written from the rule
+files), over the views ``events``, ``lineitem``, ... that the checker registers.
+"""
+
+from __future__ import annotations
+
+import os
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from watchfire.operators.burst import burst_alerts
+from watchfire.operators.evaluate import evaluate, match_rules, alert_projection
+from watchfire.operators import store as S
+from watchfire.plans.rules import Rule, load_rules, split_rules
+from watchfire.sources.testdata import events_view, lineitem_view, events_logs
+
+RULES_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules")
+PLAIN_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "host", "event_id"]
+
+
+@lru_cache(maxsize=None)
+def rule_pack(name: str) -> tuple[Rule, ...]:
+    return tuple(load_rules(os.path.join(RULES_ROOT, name)))
+
+
+def events_rule(rule_id: str) -> Rule:
+    return next(r for r in rule_pack("events") if r.id == rule_id)
+
+
+# --- Spark side --------------------------------------------------------------------------
+
+def _plain(rule_id: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        view = events_view(spark, sf_dir)
+        return alert_projection(view, match_rules(view, [events_rule(rule_id)])).select(*PLAIN_COLUMNS)
+    q.__name__ = f"plain_{rule_id}"
+    return q
+
+
+def rule_set_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every plain rule of the events pack in one pass."""
+    plain, _ = split_rules(list(rule_pack("events")))
+    view = events_view(spark, sf_dir)
+    return alert_projection(view, match_rules(view, plain)).select(*PLAIN_COLUMNS)
+
+
+def burst_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bursts = split_rules(list(rule_pack("events")))
+    return burst_alerts(events_view(spark, sf_dir), bursts).select(*PLAIN_COLUMNS, "window_count")
+
+
+def burst_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bursts = split_rules(list(rule_pack("lineitem")))
+    return burst_alerts(lineitem_view(spark, sf_dir), bursts).select(
+        "alert_id", "rule_id", "host", "l_orderkey", "l_linenumber", "window_count")
+
+
+def lineitem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + E4 on the larger table: plain and burst rules routed and unioned."""
+    return evaluate(lineitem_view(spark, sf_dir), list(rule_pack("lineitem"))).select(
+        "alert_id", "rule_id", "severity", "host", "l_orderkey", "l_linenumber")
+
+
+def published_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything the events pack publishes: plain and burst alerts."""
+    view = events_view(spark, sf_dir)
+    return evaluate(view, list(rule_pack("events")))
+
+
+def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + A11: one stored document per alert id; the latest log wins."""
+    pub = published_alerts(spark, sf_dir)
+    return S.latest_per_id(pub.select("alert_id", "rule_id", "severity", "host", "event_id"),
+                           [F.col("event_id")])
+
+
+def alert_count(spark, sf_dir):
+    return S.count_alerts(stored_alerts(spark, sf_dir))
+
+
+def alerts_by_term(spark, sf_dir):
+    return S.alerts_by_terms(stored_alerts(spark, sf_dir), severity="high").select("alert_id", "rule_id", "host")
+
+
+def alerts_by_two_terms(spark, sf_dir):
+    return S.alerts_by_terms(stored_alerts(spark, sf_dir), severity="low", host="8").select(
+        "alert_id", "rule_id", "event_id")
+
+
+def alert_buckets(spark, sf_dir):
+    return S.bucket_counts(stored_alerts(spark, sf_dir), ["rule_id", "severity"])
+
+
+def top_hosts(spark, sf_dir):
+    return S.bucket_counts(stored_alerts(spark, sf_dir), ["host"], top=10)
+
+
+def duplicate_ids(spark, sf_dir):
+    return S.duplicate_ids(published_alerts(spark, sf_dir).select("alert_id"))
+
+
+def quiet_hosts(spark, sf_dir):
+    high = S.alerts_by_terms(stored_alerts(spark, sf_dir), severity="high")
+    return S.quiet_hosts(events_logs(spark, sf_dir), high)
+
+
+def embedded_fields(spark, sf_dir):
+    """Q7: fields of the embedded raw log of stored burst alerts."""
+    _, bursts = split_rules(list(rule_pack("events")))
+    pub = burst_alerts(events_view(spark, sf_dir), bursts)
+    return pub.select("alert_id", S.embedded_field(pub, "props", "props"),
+                      S.embedded_field(pub, "log_type", "log_type"), "event_id")
+
+
+QUERIES = {
+    "field_equality": _plain("ev-purchase-001"),
+    "contains": _plain("ev-props-contains-001"),
+    "startswith": _plain("ev-props-prefix-001"),
+    "endswith": _plain("ev-props-suffix-001"),
+    "value_list": _plain("ev-click-or-view-001"),
+    "unknown_modifier": _plain("ev-unknown-modifier-001"),
+    "field_presence": _plain("ev-error-no-user-001"),
+    "text_coercion": _plain("ev-host-eight-001"),
+    "bool_and": _plain("ev-error-value-one-001"),
+    "bool_or": _plain("ev-signup-or-k-zero-001"),
+    "bool_not": _plain("ev-view-without-5-001"),
+    "bool_nested": _plain("ev-click-or-purchase-not-2-001"),
+    "rule_set_alerts": rule_set_alerts,
+    "burst_alerts": burst_events,
+    "burst_ties": burst_ties,
+    "lineitem_alerts": lineitem_alerts,
+    "stored_alerts": stored_alerts,
+    "alert_count": alert_count,
+    "alerts_by_term": alerts_by_term,
+    "alerts_by_two_terms": alerts_by_two_terms,
+    "alert_buckets": alert_buckets,
+    "top_hosts": top_hosts,
+    "duplicate_ids": duplicate_ids,
+    "quiet_hosts": quiet_hosts,
+    "embedded_fields": embedded_fields,
+}
+
+
+# --- DuckDB oracles ----------------------------------------------------------------------
+
+NS = "6ba7b8129dad11d180b400c04fd430c8"
+
+
+def sql_uuid5(name: str) -> str:
+    h = f"sha1(unhex('{NS}') || encode({name}))"
+    return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || "
+            f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr({h}, 18, 3) "
+            f"|| '-' || substr({h}, 21, 12))")
+
+
+EVENTS_LOGS = """logs AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS host, event_type AS log_type, props,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS "timestamp", value, epoch_us(ts) AS t_us
+  FROM events)"""
+
+CANON = ("'{\"event_id\": ' || CAST(event_id AS VARCHAR) || ', \"host\": ' || to_json(host) || "
+         "', \"log_type\": ' || to_json(log_type) || ', \"props\": ' || to_json(props) || "
+         "', \"timestamp\": ' || to_json(\"timestamp\") || ', \"value\": ' || CAST(value AS VARCHAR) || '}'")
+
+# rule id -> (title, level, WHERE clause over the events log view)
+PLAIN_SQL = {
+    "ev-purchase-001": ("Purchase event", "low", "log_type = 'purchase'"),
+    "ev-props-contains-001": ("Property k in the forties", "medium", "contains(props, '\"k\": 4')"),
+    "ev-props-prefix-001": ("Property k starts with 1", "low", "starts_with(props, '{\"k\": 1')"),
+    "ev-props-suffix-001": ("Property k ends with 7", "low", "ends_with(props, '7}')"),
+    "ev-click-or-view-001": ("Click or view", "low", "log_type IN ('click', 'view')"),
+    "ev-unknown-modifier-001": ("Regex modifier is not supported and never matches", "medium",
+                                "(false OR log_type = 'signup')"),
+    "ev-error-no-user-001": ("Error without a user name field", "medium", "(log_type = 'error' AND NOT false)"),
+    "ev-host-eight-001": ("Host 8 given as an integer in the rule", "high",
+                          "(host = '8' AND ends_with(CAST(event_id AS VARCHAR), '1'))"),
+    "ev-error-value-one-001": ("Error with a value starting with 1", "high",
+                               "(log_type = 'error' AND starts_with(CAST(value AS VARCHAR), '1'))"),
+    "ev-signup-or-k-zero-001": ("Signup, or k ending with 0", "low", "(log_type = 'signup' OR ends_with(props, '0}'))"),
+    "ev-view-without-5-001": ("View whose properties have no 5", "low", "(log_type = 'view' AND NOT contains(props, '5'))"),
+    "ev-click-or-purchase-not-2-001": ("Click or purchase whose value does not start with 2", "medium",
+                                       "((log_type = 'click' OR log_type = 'purchase') "
+                                       "AND NOT starts_with(CAST(value AS VARCHAR), '2'))"),
+}
+
+
+def _plain_select(rule_id: str) -> str:
+    title, level, where = PLAIN_SQL[rule_id]
+    return (f"SELECT {sql_uuid5(repr(rule_id + ':') + ' || ' + CANON)} AS alert_id, '{rule_id}' AS rule_id, "
+            f"'{title}' AS rule_title, '{level}' AS severity, host, event_id FROM logs WHERE {where}")
+
+
+def _plain_sql(rule_id: str) -> str:
+    return f"WITH {EVENTS_LOGS} {_plain_select(rule_id)}"
+
+
+def _burst_select(extra: str = "") -> str:
+    return f"""counted AS (
+  SELECT *, count(*) OVER (PARTITION BY host ORDER BY t_us RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW)
+            - (count(*) OVER (PARTITION BY host, t_us)
+               - row_number() OVER (PARTITION BY host, t_us ORDER BY event_id)) AS window_count
+  FROM logs WHERE log_type = 'error'),
+burst AS (
+  SELECT {sql_uuid5("'ev-error-burst-001:' || host || ':' || CAST(t_us // 86400000000 AS VARCHAR)")} AS alert_id,
+         'ev-error-burst-001' AS rule_id, 'Error burst per user' AS rule_title, 'high' AS severity,
+         host, event_id, window_count {extra}
+  FROM counted WHERE window_count > 2)"""
+
+
+def _published() -> str:
+    plain = " UNION ALL ".join(_plain_select(r) for r in PLAIN_SQL)
+    return (f"WITH {EVENTS_LOGS}, {_burst_select()}, published AS ("
+            f"SELECT alert_id, rule_id, severity, host, event_id FROM burst UNION ALL "
+            f"SELECT alert_id, rule_id, severity, host, event_id FROM ({plain}) p), "
+            f"stored AS (SELECT alert_id, arg_max(rule_id, event_id) AS rule_id, arg_max(severity, event_id) AS severity, "
+            f"arg_max(host, event_id) AS host, max(event_id) AS event_id FROM published GROUP BY alert_id) ")
+
+
+LINEITEM_LOGS = """li AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS host, l_returnflag, l_linestatus,
+         l_quantity, l_discount, epoch_us(l_shipdate) AS t_us
+  FROM lineitem)"""
+
+LI_BURST = f"""li_counted AS (
+  SELECT *, count(*) OVER (PARTITION BY host ORDER BY t_us RANGE BETWEEN {720 * 3600 * 1000000 - 1} PRECEDING AND CURRENT ROW)
+            - (count(*) OVER (PARTITION BY host, t_us)
+               - row_number() OVER (PARTITION BY host, t_us ORDER BY l_orderkey, l_linenumber)) AS window_count
+  FROM li WHERE l_returnflag = 'R'),
+li_burst AS (
+  SELECT {sql_uuid5("'li-returns-burst-001:' || host || ':' || CAST(t_us // 2592000000000 AS VARCHAR)")} AS alert_id,
+         'li-returns-burst-001' AS rule_id, 'medium' AS severity, host, l_orderkey, l_linenumber, window_count
+  FROM li_counted WHERE window_count > 3)"""
+
+LI_CANON = ("'{\"host\": ' || to_json(host) || ', \"l_discount\": ' || CAST(l_discount AS VARCHAR) || "
+            "', \"l_linenumber\": ' || CAST(l_linenumber AS VARCHAR) || ', \"l_linestatus\": ' || to_json(l_linestatus) || "
+            "', \"l_orderkey\": ' || CAST(l_orderkey AS VARCHAR) || ', \"l_quantity\": ' || CAST(l_quantity AS VARCHAR) || "
+            "', \"l_returnflag\": ' || to_json(l_returnflag) || ', \"timestamp\": ' || "
+            "to_json(strftime(epoch_us_to_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00')) || '}'")
+
+
+def _oracles() -> dict[str, str]:
+    o = {}
+    for key, q in QUERIES.items():
+        rid = getattr(q, "__name__", "")
+        if rid.startswith("plain_"):
+            o[key] = _plain_sql(rid[len("plain_"):])
+    plain_all = " UNION ALL ".join(_plain_select(r) for r in PLAIN_SQL)
+    o["rule_set_alerts"] = f"WITH {EVENTS_LOGS} {plain_all}"
+    o["burst_alerts"] = (f"WITH {EVENTS_LOGS}, {_burst_select()} "
+                         "SELECT alert_id, rule_id, rule_title, severity, host, event_id, window_count FROM burst")
+    o["burst_ties"] = (f"WITH {LINEITEM_LOGS}, {LI_BURST} "
+                       "SELECT alert_id, rule_id, host, l_orderkey, l_linenumber, window_count FROM li_burst")
+    li_canon = LI_CANON.replace("epoch_us_to_ts", "make_timestamp(t_us)")
+    li_plain = (f"SELECT {sql_uuid5(repr('li-discounted-bulk-001:') + ' || ' + li_canon)} AS alert_id, "
+                "'li-discounted-bulk-001' AS rule_id, 'low' AS severity, host, l_orderkey, l_linenumber FROM li "
+                "WHERE l_linestatus = 'O' AND (starts_with(CAST(l_quantity AS VARCHAR), '4') "
+                "OR starts_with(CAST(l_quantity AS VARCHAR), '5')) AND CAST(l_discount AS VARCHAR) IN ('0.09', '0.1')")
+    o["lineitem_alerts"] = (f"WITH {LINEITEM_LOGS}, {LI_BURST} SELECT alert_id, rule_id, severity, host, l_orderkey, "
+                            f"l_linenumber FROM li_burst UNION ALL {li_plain}")
+    pub = _published()
+    o["stored_alerts"] = pub + "SELECT alert_id, rule_id, severity, host, event_id FROM stored"
+    o["alert_count"] = pub + "SELECT count(*) AS alert_count FROM stored"
+    o["alerts_by_term"] = pub + "SELECT alert_id, rule_id, host FROM stored WHERE severity = 'high'"
+    o["alerts_by_two_terms"] = pub + "SELECT alert_id, rule_id, event_id FROM stored WHERE severity = 'low' AND host = '8'"
+    o["alert_buckets"] = pub + "SELECT rule_id, severity, count(*) AS doc_count FROM stored GROUP BY rule_id, severity"
+    o["top_hosts"] = pub + ("SELECT host, count(*) AS doc_count FROM stored GROUP BY host "
+                            "ORDER BY doc_count DESC, host LIMIT 10")
+    o["duplicate_ids"] = pub + "SELECT alert_id, count(*) AS copies FROM published GROUP BY alert_id HAVING count(*) > 1"
+    o["quiet_hosts"] = pub + ("SELECT DISTINCT host FROM logs WHERE host NOT IN "
+                              "(SELECT host FROM stored WHERE severity = 'high')")
+    o["embedded_fields"] = (f"WITH {EVENTS_LOGS}, {_burst_select(', props, log_type')} "
+                            "SELECT alert_id, props, log_type, event_id FROM burst")
+    return o
+
+
+ORACLES = _oracles()

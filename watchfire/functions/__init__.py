@@ -1,0 +1 @@
+"""Column-level building blocks: field access, text coercion, ids, time."""

@@ -1,0 +1,120 @@
+"""Field access over log rows.
+
+Logs come in two shapes:
+
+* columnar tables (Parquet, a view over a table): each field is a top-level column.
+  NULL means "no value", so it is treated as an absent field. Fields not in the schema
+  fold to ``false`` at compile time, which lets Catalyst drop whole rules.
+* decoded JSON (``map<string,string>``): a key may be present with a JSON ``null``;
+  such a value is present and compares as the text ``None``.
+
+Both sides of a comparison are text (an integer 4625 equals the rule text ``'4625'``).
+"""
+
+from __future__ import annotations
+
+import re
+from typing import Protocol
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_CANONICAL_INT = re.compile(r"^-?(0|[1-9][0-9]*)$")
+
+
+def quote(name: str) -> str:
+    """Back-quote a column name so dots and spaces are taken literally."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+class Fields(Protocol):
+    def present(self, name: str) -> Column: ...
+
+    def text(self, name: str) -> Column: ...
+
+    def equals_any(self, name: str, values: list[str]) -> Column: ...
+
+
+class ColumnFields:
+    """Fields are the top-level columns of a DataFrame with the given schema."""
+
+    def __init__(self, schema: T.StructType):
+        self._types = {f.name: f.dataType for f in schema.fields}
+
+    def has(self, name: str) -> bool:
+        return name in self._types
+
+    def present(self, name: str) -> Column:
+        if name not in self._types:
+            return F.lit(False)
+        return F.col(quote(name)).isNotNull()
+
+    def text(self, name: str) -> Column:
+        if name not in self._types:
+            return F.lit(None).cast("string")
+        c = F.col(quote(name))
+        if isinstance(self._types[name], T.StringType):
+            return c
+        return c.cast("string")
+
+    def equals_any(self, name: str, values: list[str]) -> Column:
+        """Text equality, kept in the column's own type where that is exact.
+
+        ``cast(bigint as string) = '4625'`` holds exactly when the column equals 4625, and
+        never for texts such as ``'04625'``; comparing in the integral type lets the
+        predicate reach the Parquet scan.
+        """
+        if name not in self._types:
+            return F.lit(False)
+        dtype = self._types[name]
+        c = F.col(quote(name))
+        if isinstance(dtype, _INTEGRAL):
+            nums = []
+            for v in values:
+                if _CANONICAL_INT.match(v):
+                    n = int(v)
+                    if -(2 ** 63) <= n < 2 ** 63:
+                        nums.append(n)
+            if not nums:
+                return F.lit(False)
+            return c.isin(nums) if len(nums) > 1 else (c == F.lit(nums[0]).cast(dtype))
+        txt = self.text(name)
+        return txt.isin(values) if len(values) > 1 else (txt == F.lit(values[0]))
+
+
+class MapFields:
+    """Fields are the keys of a ``map<string,string>`` column (decoded JSON objects)."""
+
+    def __init__(self, column: str = "fields"):
+        self._col = column
+
+    def has(self, name: str) -> bool:
+        return True
+
+    def present(self, name: str) -> Column:
+        return F.map_contains_key(F.col(self._col), F.lit(name))
+
+    def text(self, name: str) -> Column:
+        return F.coalesce(F.col(self._col).getItem(name), F.lit("None"))
+
+    def equals_any(self, name: str, values: list[str]) -> Column:
+        txt = self.text(name)
+        return txt.isin(values) if len(values) > 1 else (txt == F.lit(values[0]))
+
+
+def rule_text(value) -> str:
+    """Text form of a rule-side scalar (YAML or JSON).
+
+    Booleans are lowered to ``true``/``false`` so they meet Spark's text form of a
+    boolean column or a JSON boolean (deviation D5).
+    """
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return str(value)
+
+
+def field_value_text(fields: Fields, name: str, default: str = "") -> Column:
+    """``str(log.get(name, default))``: the text of a field, or ``default`` if absent."""
+    return F.when(fields.present(name), fields.text(name)).otherwise(F.lit(default))

@@ -1,0 +1,95 @@
+"""Deterministic alert ids as native Spark expressions (no Python in the hot path).
+
+An alert id is a name-based UUID (RFC 4122, version 5, SHA-1) in the OID namespace:
+
+* plain rules: name = ``rule_id + ":" + canonical JSON of the raw log``, so the same
+  rule and the same log content always give the same id;
+* burst rules: name = ``rule_id + ":" + host + ":" + bucket`` with
+  ``bucket = floor(epoch seconds of the log's timestamp / window seconds)``, 0 when the
+  timestamp is missing or unparsable.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from watchfire.functions.fields import quote
+from watchfire.functions.timeutil import MICROS, floor_div
+
+# Fixed value: the RFC 4122 OID namespace UUID, as hex.
+NAMESPACE_OID_HEX = "6ba7b8129dad11d180b400c04fd430c8"
+
+
+def uuid5(name: Column) -> Column:
+    """UUIDv5(OID, name) as the canonical 36-character lowercase text."""
+    h = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE_OID_HEX)), F.encode(name, "UTF-8")))
+    # version nibble -> 5; variant: top two bits of byte 8 -> 10
+    nib = F.conv(F.substring(h, 17, 1), 16, 10).cast("int")
+    variant = F.element_at(F.split(F.lit("8,9,a,b,8,9,a,b,8,9,a,b,8,9,a,b"), ","), nib + F.lit(1))
+    return F.concat(
+        F.substring(h, 1, 8), F.lit("-"),
+        F.substring(h, 9, 4), F.lit("-"),
+        F.lit("5"), F.substring(h, 14, 3), F.lit("-"),
+        variant, F.substring(h, 18, 3), F.lit("-"),
+        F.substring(h, 21, 12),
+    )
+
+
+def json_string(c: Column) -> Column:
+    """JSON string literal (quoted, escaped) of a text column."""
+    j = F.to_json(F.array(c))  # ["..."]
+    return F.when(c.isNotNull(), F.regexp_extract(j, r"^\[(.*)\]$", 1))
+
+
+def json_value(name: str, dtype: T.DataType) -> Column:
+    """Text of one value as Python's ``json.dumps(..., default=str)`` writes it.
+
+    Nested values are written as compact JSON (deviation D6); NULL stays NULL so that the
+    caller can drop absent fields.
+    """
+    c = F.col(quote(name))
+    if isinstance(dtype, T.StringType):
+        return json_string(c)
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, F.lit("true")).when(~c, F.lit("false"))
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                          T.DoubleType, T.DecimalType)):
+        return c.cast("string")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return json_string(c.cast("string"))
+    if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
+        return F.when(c.isNotNull(), F.to_json(c))
+    return json_string(c.cast("string"))
+
+
+def canonical_json(schema: T.StructType, names: list[str] | None = None) -> Column:
+    """Key-sorted JSON of the given columns in Python's default layout (``", "`` / ``": "``).
+
+    NULL columns are absent from the object (columnar logs have no JSON null).
+    """
+    fields = {f.name: f.dataType for f in schema.fields}
+    keys = sorted(names if names is not None else fields)
+    pairs = [F.concat(F.lit(json_string_literal(k) + ": "), json_value(k, fields[k])) for k in keys]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+
+
+def json_string_literal(s: str) -> str:
+    import json
+    return json.dumps(s)
+
+
+def content_alert_id(rule_id: Column, canonical: Column) -> Column:
+    """Id of a plain-rule alert."""
+    return uuid5(F.concat(rule_id, F.lit(":"), canonical))
+
+
+def time_bucket(epoch_us: Column, window_seconds: int) -> Column:
+    """``floor(epoch / window)``; 0 when the time is unknown."""
+    return F.coalesce(floor_div(epoch_us, window_seconds * MICROS), F.lit(0).cast("long"))
+
+
+def bucket_alert_id(rule_id: Column, host: Column, bucket: Column) -> Column:
+    """Id of a burst alert, one per (rule, host, bucket)."""
+    return uuid5(F.concat_ws(":", rule_id, host, bucket.cast("string")))

@@ -1,0 +1 @@
+"""Relational operators of the detection engine, written as DataFrame plans."""

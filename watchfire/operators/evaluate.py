@@ -1,0 +1,101 @@
+"""Rule-set evaluation (E1, E3-E5) and the alert projection.
+
+All plain rules run in one pass over the logs: each rule is a boolean column, a
+disjunction of them is the pre-filter (so columnar sources can skip data), and the
+matching rules of a row are exploded into one alert row each.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from watchfire.functions.fields import quote
+from watchfire.functions.ids import content_alert_id
+from watchfire.plans.compile import with_rule_flags
+from watchfire.plans.rules import Rule, split_rules
+from watchfire.sources.logs import LogView
+
+ALERT_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
+MATCH_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+
+
+def matched_at() -> Column:
+    """The time of matching, UTC; not part of any comparison."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), MATCH_ISO)
+
+
+def rule_struct(ordinal: int, rule: Rule) -> Column:
+    return F.struct(F.lit(ordinal).alias("rule_ord"), F.lit(rule.id).alias("rule_id"),
+                    F.lit(rule.title).alias("rule_title"), F.lit(rule.level).alias("severity"))
+
+
+def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None = None,
+                copies: list[int] | None = None) -> DataFrame:
+    """One row per (log, matching rule), in one scan of the logs.
+
+    ``gates`` (optional, one per rule) are extra predicates ANDed to each rule, e.g. the
+    validity interval of a rule version; ``copies`` repeats a rule's match (a rule present
+    several times in the active list gives several alerts).
+    """
+    if not rules:
+        return view.df.where(F.lit(False)).select("*", F.lit(None).cast(
+            "struct<rule_ord:int,rule_id:string,rule_title:string,severity:string>").alias("_wf_rule"))
+    flagged, names = with_rule_flags(view.df, rules, view.fields)
+    if gates is not None:
+        flagged = flagged.select(*[F.col(quote(c)) for c in view.df.columns],
+                                 *[(F.col(n) & F.coalesce(g, F.lit(False))).alias(n) for n, g in zip(names, gates)])
+    any_rule = None
+    items = []
+    for i, (rule, n) in enumerate(zip(rules, names)):
+        f = F.col(n)
+        any_rule = f if any_rule is None else (any_rule | f)
+        for _ in range(1 if copies is None else copies[i]):
+            items.append(F.when(f, rule_struct(i, rule)))
+    hits = F.filter(F.array(*items), lambda x: x.isNotNull())
+    return (flagged.where(any_rule)
+            .select(*[F.col(quote(c)) for c in view.df.columns], F.explode(hits).alias("_wf_rule")))
+
+
+def alert_projection(view: LogView, matched: DataFrame, alert_id: Column | None = None,
+                     extra: list[Column] | None = None) -> DataFrame:
+    """The alert row; the rule is in the ``_wf_rule`` struct column."""
+    rid = F.col("_wf_rule.rule_id")
+    aid = content_alert_id(rid, view.canonical) if alert_id is None else alert_id
+    return matched.select(
+        aid.alias("alert_id"), rid.alias("rule_id"),
+        F.col("_wf_rule.rule_title").alias("rule_title"),
+        F.col("_wf_rule.severity").alias("severity"),
+        matched_at().alias("matched_at"),
+        view.host.alias("host"),
+        view.raw_json.alias("raw_log"),
+        *[F.col(quote(k)) for k in view.keep],
+        *(extra or []),
+    )
+
+
+def plain_alerts(view: LogView, rules: list[Rule]) -> DataFrame:
+    """E1 + J1: alerts of plain (non-burst) rules."""
+    return alert_projection(view, match_rules(view, rules))
+
+
+def evaluate(view: LogView, rules: list[Rule], **burst_options) -> DataFrame:
+    """E3 + E4: route rules to the plain or the burst path and union the alerts.
+
+    An empty rule set gives an empty frame with the alert columns (E5).
+    """
+    from watchfire.operators.burst import burst_alerts
+
+    plain, bursts = split_rules(rules)
+    out = plain_alerts(view, plain)
+    if bursts:
+        b = burst_alerts(view, bursts, **burst_options).drop("window_count")
+        out = b.unionByName(out)
+    return out
+
+
+def alerts_json(alerts: DataFrame) -> DataFrame:
+    """One JSON document per alert; ``raw_log`` is embedded as an object."""
+    doc = F.struct(*[F.col(c) for c in ALERT_COLUMNS if c != "raw_log"],
+                   F.parse_json(F.col("raw_log")).alias("raw_log"))
+    return alerts.select(F.col("alert_id").alias("key"), F.to_json(doc).alias("value"))

@@ -1,0 +1,98 @@
+"""Alert store (K2, K5, A11) and store queries (Q1-Q7).
+
+The store is a Parquet folder written one micro-batch at a time: batch ``b`` goes to
+``<store>/batch_id=b`` with overwrite, so replaying a batch rewrites the same files
+(idempotent). Reading resolves each alert id to its last write (highest batch, then the
+latest row inside it), which is the "document id = alert id, last write wins" rule. Writes
+cost the batch, not the store; ``compact`` folds old batches into one when wanted.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from watchfire.functions.fields import quote
+
+# K5: the stored document layout.
+STORE_SCHEMA = T.StructType([
+    T.StructField("alert_id", T.StringType(), False),
+    T.StructField("rule_id", T.StringType(), True),
+    T.StructField("rule_title", T.StringType(), True),
+    T.StructField("severity", T.StringType(), True),
+    T.StructField("matched_at", T.StringType(), True),
+    T.StructField("host", T.StringType(), True),
+    T.StructField("raw_log", T.StringType(), True),
+])
+
+
+def latest_per_id(alerts: DataFrame, order: list[Column], id_col: str = "alert_id") -> DataFrame:
+    """One row per alert id, the one that is last in ``order``.
+
+    A ``max_by`` aggregate: partial aggregation runs before the shuffle, so a hot id (all
+    alerts of a burst share one) is reduced on the map side instead of piling into a task.
+    """
+    others = [c for c in alerts.columns if c != id_col]
+    key = F.struct(*order)
+    agg = alerts.groupBy(F.col(quote(id_col))).agg(
+        F.max_by(F.struct(*[F.col(quote(c)) for c in others]), key).alias("_wf_doc"))
+    return agg.select(F.col(quote(id_col)), *[F.col(f"_wf_doc.{quote(c)}").alias(c) for c in others])
+
+
+def write_batch(alerts: DataFrame, store_path: str, batch_id: int,
+                order: list[Column] | None = None) -> None:
+    """K2 write side: dedup the batch (last wins) and write it as its own partition."""
+    doc_cols = [f.name for f in STORE_SCHEMA.fields]
+    ordered = alerts.withColumn("_wf_pos", F.struct(*(order or [F.lit(0)])))
+    batch = latest_per_id(ordered.select(*doc_cols, "_wf_pos"), [F.col("_wf_pos")])
+    (batch.withColumn("_wf_pos", F.to_json(F.col("_wf_pos")))
+     .write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
+
+
+def read_store(spark: SparkSession, store_path: str) -> DataFrame:
+    """K2 read side: the current document per alert id."""
+    raw = spark.read.option("basePath", store_path).parquet(store_path)
+    cur = latest_per_id(raw.select(*[f.name for f in STORE_SCHEMA.fields], "batch_id", "_wf_pos"),
+                        [F.col("batch_id"), F.col("_wf_pos")])
+    return cur.drop("batch_id", "_wf_pos")
+
+
+# --- Q1-Q7 -----------------------------------------------------------------------------
+
+def count_alerts(store: DataFrame) -> DataFrame:
+    """Q1."""
+    return store.agg(F.count(F.lit(1)).alias("alert_count"))
+
+
+def alerts_by_terms(store: DataFrame, **terms: str) -> DataFrame:
+    """Q2 / Q3: exact-term filter on keyword fields, ANDed."""
+    cond = F.lit(True)
+    for k, v in terms.items():
+        cond = cond & (F.col(quote(k)) == F.lit(v))
+    return store.where(cond)
+
+
+def bucket_counts(store: DataFrame, keys: list[str], top: int | None = None) -> DataFrame:
+    """Q4: document count per keyword bucket; ``top`` keeps the k largest buckets."""
+    out = store.groupBy(*[F.col(quote(k)) for k in keys]).agg(F.count(F.lit(1)).alias("doc_count"))
+    if top is not None:
+        out = out.orderBy(F.col("doc_count").desc(), *[F.col(quote(k)) for k in keys]).limit(top)
+    return out
+
+
+def duplicate_ids(alerts: DataFrame) -> DataFrame:
+    """Q5: alert ids seen more than once (expected for bursts on the topic, T10)."""
+    return (alerts.groupBy("alert_id").agg(F.count(F.lit(1)).alias("copies"))
+            .where(F.col("copies") > 1))
+
+
+def quiet_hosts(hosts: DataFrame, store: DataFrame, host_col: str = "host") -> DataFrame:
+    """Q6: hosts without any stored alert (anti join on host)."""
+    return hosts.select(F.col(quote(host_col)).alias("host")).distinct().join(
+        store.select("host"), on="host", how="left_anti")
+
+
+def embedded_field(store: DataFrame, field: str, alias: str | None = None) -> Column:
+    """Q7: a top-level field of the embedded raw log, as text."""
+    return F.get_json_object(F.col("raw_log"), "$['" + field + "']").alias(alias or field)

@@ -1,0 +1 @@
+"""Driver-side planning: rules, their validation and compilation to Catalyst expressions."""

@@ -1,0 +1,56 @@
+"""Session helpers: settings the library relies on and the shared checkpoint folder."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import SparkSession
+
+
+def build_session(master: str | None = None, app: str = "watchfire", shuffle_partitions: int | None = None,
+                  extra: dict | None = None) -> SparkSession:
+    """Local/test session. On a cluster, pass your own builder settings instead."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": "8g",
+    }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra or {})
+    for k, v in conf.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only when the session has none (local runs, tests) a fresh scratch folder is made.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        current = spark.sparkContext.getCheckpointDir()
+    if not current:
+        current = tempfile.mkdtemp(prefix="watchfire-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    spark.sparkContext.setCheckpointDir(current)
+    return current
+
+
+def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A path below the shared checkpoint folder, for staged tables and stream checkpoints."""
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(base, *parts) if "://" not in base else "/".join([base.rstrip("/"), *parts])

@@ -1,0 +1 @@
+"""Log, rule, changelog and alert sources."""

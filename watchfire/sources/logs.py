@@ -1,0 +1,104 @@
+"""Log views (S2, S7, J5, J9): how rules see a table or a stream of JSON text.
+
+A :class:`LogView` bundles a DataFrame with the expressions the operators need: field
+access, the host, the raw-log text, the canonical text used in alert ids, event time and
+a tie-breaking order. Internal columns start with ``_wf_`` and are never rule fields.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field, replace
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from watchfire.functions.fields import ColumnFields, Fields, MapFields, field_value_text, quote
+from watchfire.functions.ids import canonical_json
+from watchfire.functions.timeutil import epoch_micros, iso_text_micros
+
+INTERNAL = "_wf_"
+FIELDS_MAP = "_wf_fields"
+
+
+@dataclass
+class LogView:
+    df: DataFrame
+    fields: Fields
+    field_names: list[str] | None          # None: open schema (JSON maps)
+    host: Column                           # J5: str(log.get("host", ""))
+    raw_json: Column                       # J9: the raw log as JSON text
+    canonical: Column                      # J2: key-sorted JSON used in content ids
+    event_us: Column                       # A8: event time (epoch micros) that drives bursts
+    id_time_us: Column                     # J4: epoch micros of the "timestamp" field
+    order: list[Column] = field(default_factory=list)   # A2: arrival order among equal times
+    keep: list[str] = field(default_factory=list)       # columns carried into alert rows
+
+    def with_df(self, df: DataFrame) -> "LogView":
+        return replace(self, df=df)
+
+
+def table_view(df: DataFrame, *, time_col: str, order_cols: list[str], fields: list[str] | None = None,
+               id_time_col: str | None = None, keep: list[str] | None = None) -> LogView:
+    """A columnar log view: each non-internal column is a field.
+
+    ``time_col`` drives bursts (event time, D1); ``id_time_col`` (default: ``timestamp``
+    when present, else ``time_col``) feeds the burst-id bucket.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    names = [c for c in (fields or df.columns) if not c.startswith(INTERNAL)]
+    schema = T.StructType([f for f in df.schema.fields if f.name in names])
+    cf = ColumnFields(schema)
+    id_col = id_time_col or ("timestamp" if "timestamp" in types else time_col)
+    canonical = canonical_json(schema)
+    return LogView(
+        df=df, fields=cf, field_names=names,
+        host=field_value_text(cf, "host"),
+        raw_json=canonical,
+        canonical=canonical,
+        event_us=epoch_micros(time_col, types[time_col]),
+        id_time_us=epoch_micros(id_col, types[id_col]),
+        order=[F.col(quote(c)) for c in order_cols],
+        keep=list(keep or []),
+    )
+
+
+def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split raw JSON text into (decoded rows, quarantined rows).
+
+    Decoded rows get a ``map<string,string>`` of the top-level keys; objects only. Nested
+    values keep their compact JSON text. Text that is not a JSON object is quarantined.
+    """
+    parsed = df.withColumn(FIELDS_MAP, F.from_json(F.col(quote(value_col)), "map<string,string>"))
+    is_object = F.col(FIELDS_MAP).isNotNull() & F.trim(F.col(quote(value_col))).startswith("{")
+    parsed = parsed.withColumn("_wf_ok", is_object)
+    good = parsed.where(F.col("_wf_ok")).drop("_wf_ok")
+    bad = parsed.where(~F.col("_wf_ok")).drop("_wf_ok", FIELDS_MAP)
+    return good, bad
+
+
+def json_view(decoded: DataFrame, value_col: str = "value", order_cols: list[str] | None = None,
+              keep: list[str] | None = None) -> LogView:
+    """A view over decoded JSON logs (see :func:`decode_json_logs`).
+
+    Event time is the ``timestamp`` field (ISO-8601); naive text is read as UTC.
+    """
+    mf = MapFields(FIELDS_MAP)
+    raw = F.col(quote(value_col))
+    ts_text = F.when(mf.present("timestamp"), mf.text("timestamp"))
+    us = iso_text_micros(ts_text)
+    return LogView(
+        df=decoded, fields=mf, field_names=None,
+        host=field_value_text(mf, "host"),
+        raw_json=raw,
+        canonical=F.to_json(F.try_parse_json(raw)),
+        event_us=us,
+        id_time_us=us,
+        order=[F.col(quote(c)) for c in (order_cols or [])],
+        keep=list(keep or []),
+    )
+
+
+def partition_by_host(df: DataFrame, partitions: int, host_col: str = "host") -> DataFrame:
+    """Co-locate a host's rows (the topic's key partitioning) for a later keyed step."""
+    return df.repartition(partitions, F.col(quote(host_col)))

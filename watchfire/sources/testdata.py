@@ -1,0 +1,55 @@
+"""Log views over the driver's test tables.
+
+``events`` becomes a log stream: ``host`` = user id, ``log_type`` = event type, and the
+event time as ISO-8601 text in the ``timestamp`` field. ``lineitem`` becomes a second,
+larger stream with day-grain times (many ties): ``host`` = supplier key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from watchfire.sources.logs import LogView, table_view
+
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def events_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("event_id"),
+        F.col("user_id").cast("string").alias("host"),
+        F.col("event_type").alias("log_type"),
+        F.col("props"),
+        F.date_format("ts", ISO_FORMAT).alias("timestamp"),
+        F.col("value"),
+        F.col("ts").alias("_wf_ts"),
+    )
+
+
+def events_view(spark: SparkSession, sf_dir: str, df: DataFrame | None = None) -> LogView:
+    logs = events_logs(spark, sf_dir) if df is None else df
+    return table_view(logs, time_col="_wf_ts", id_time_col="_wf_ts", order_cols=["event_id"],
+                      keep=["event_id"])
+
+
+def lineitem_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey"), F.col("l_linenumber"),
+        F.col("l_suppkey").cast("string").alias("host"),
+        F.col("l_returnflag"), F.col("l_linestatus"),
+        F.col("l_quantity"), F.col("l_discount"),
+        F.date_format("l_shipdate", ISO_FORMAT).alias("timestamp"),
+        F.col("l_shipdate").alias("_wf_ts"),
+    )
+
+
+def lineitem_view(spark: SparkSession, sf_dir: str) -> LogView:
+    return table_view(lineitem_logs(spark, sf_dir), time_col="_wf_ts", id_time_col="_wf_ts",
+                      order_cols=["l_orderkey", "l_linenumber"], keep=["l_orderkey", "l_linenumber"])
