@@ -279,3 +279,96 @@ def _oracles() -> dict[str, str]:
 
 
 ORACLES = _oracles()
+
+
+# --- lifecycle (L1-L8) over the events stream ----------------------------------------------
+
+def _day_us(day: int) -> int:
+    import datetime as _dt
+    return int(_dt.datetime(2024, 1, day, tzinfo=_dt.timezone.utc).timestamp()) * 1_000_000
+
+
+_SIGNUP = {"id": "ev-signup-001", "title": "Signup", "level": "low",
+           "detection": {"sel": {"log_type": "signup"}, "condition": "sel"}}
+_PURCHASE_V2 = {"id": "ev-purchase-001", "title": "Large purchase", "level": "high",
+                "detection": {"sel": {"log_type": "purchase", "value|startswith": ["1", "2"]}, "condition": "sel"}}
+_BURST_V2 = {"id": "ev-error-burst-001", "title": "Error burst per user (strict)", "level": "critical",
+             "detection": {"errors": {"log_type": "error"}, "condition": "errors | count() by host > 1",
+                           "timeframe": "24h"}}
+_BURST_V1 = {"id": "ev-error-burst-001", "title": "Error burst per user", "level": "high",
+             "detection": {"errors": {"log_type": "error"}, "condition": "errors | count() by host > 2",
+                           "timeframe": "24h"}}
+_CLICK = {"id": "ev-click-001", "title": "Click", "level": "low",
+          "detection": {"sel": {"log_type": "click"}, "condition": "sel"}}
+
+# (day of January 2024, envelope) in sequence order
+CHANGELOG = [
+    (5, {"op": "add", "rule": _SIGNUP}),
+    (10, {"op": "update", "rule_id": "ev-purchase-001", "rule": _PURCHASE_V2}),
+    (12, {"op": "update", "rule_id": "ev-error-burst-001", "rule": _BURST_V2}),
+    (15, {"op": "delete", "rule_id": "ev-signup-001"}),
+    (18, {"op": "delete", "rule_id": "ev-error-burst-001"}),
+    (19, {"op": "add", "rule": _BURST_V1}),
+    (20, {"op": "add", "rule": _SIGNUP}),
+    (22, {"op": "add", "rule_id": "ignored-for-add", "rule": _SIGNUP}),
+    (25, {"op": "update", "rule_id": "ev-purchase-001", "rule": dict(_CLICK)}),
+    (26, {"rule_id": "ev-purchase-001"}),
+    (27, {"op": "update", "rule_id": "ev-click-001", "rule": _CLICK}),
+    (28, {"op": "delete", "rule_id": "no-such-rule"}),
+    (29, {"op": "rename", "rule_id": "ev-click-001"}),
+]
+
+
+def events_changelog(spark: SparkSession) -> DataFrame:
+    import json as _json
+    from watchfire.operators.lifecycle import decode_envelopes, directory_changelog
+
+    directory = [events_rule("ev-purchase-001"), events_rule("ev-error-burst-001")]
+    raw = spark.createDataFrame([(i + 1, _day_us(d), _json.dumps(e)) for i, (d, e) in enumerate(CHANGELOG)],
+                                "seq long, at_us long, value string")
+    return directory_changelog(spark, directory).unionByName(
+        decode_envelopes(raw, at_col="at_us").drop("_wf_pre_error"))
+
+
+def asof_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from watchfire.operators.lifecycle import asof_alerts as _asof
+    view = events_view(spark, sf_dir)
+    return _asof(view, events_changelog(spark)).select(*PLAIN_COLUMNS)
+
+
+QUERIES["asof_alerts"] = asof_alerts
+
+
+def _asof_oracle() -> str:
+    d = _day_us
+    canon_id = lambda rid: sql_uuid5(repr(rid + ":") + " || " + CANON)
+    plain = [
+        ("ev-purchase-001", "Purchase event", "low", f"log_type = 'purchase' AND t_us < {d(10)}"),
+        ("ev-purchase-001", "Large purchase", "high",
+         f"log_type = 'purchase' AND (starts_with(CAST(value AS VARCHAR), '1') OR starts_with(CAST(value AS VARCHAR), '2')) "
+         f"AND t_us >= {d(10)}"),
+        ("ev-signup-001", "Signup", "low", f"log_type = 'signup' AND t_us >= {d(5)} AND t_us < {d(15)}"),
+        ("ev-signup-001", "Signup", "low", f"log_type = 'signup' AND t_us >= {d(20)}"),
+        ("ev-signup-001", "Signup", "low", f"log_type = 'signup' AND t_us >= {d(22)}"),
+        ("ev-click-001", "Click", "low", f"log_type = 'click' AND t_us >= {d(27)}"),
+    ]
+    sel = " UNION ALL ".join(
+        f"SELECT {canon_id(rid)} AS alert_id, '{rid}' AS rule_id, '{title}' AS rule_title, '{lvl}' AS severity, "
+        f"host, event_id FROM logs WHERE {w}" for rid, title, lvl, w in plain)
+    bid = sql_uuid5("'ev-error-burst-001:' || host || ':' || CAST(t_us // 86400000000 AS VARCHAR)")
+    burst = f"""e AS (
+  SELECT *, CASE WHEN t_us < {d(18)} THEN 0 ELSE 1 END AS epoch FROM logs
+  WHERE log_type = 'error' AND (t_us < {d(18)} OR t_us >= {d(19)})),
+ec AS (
+  SELECT *, count(*) OVER (PARTITION BY epoch, host ORDER BY t_us RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW)
+          - (count(*) OVER (PARTITION BY epoch, host, t_us)
+             - row_number() OVER (PARTITION BY epoch, host, t_us ORDER BY event_id)) AS n,
+         CASE WHEN t_us >= {d(12)} AND t_us < {d(18)} THEN 1 ELSE 2 END AS threshold,
+         CASE WHEN t_us >= {d(12)} AND t_us < {d(18)} THEN 'Error burst per user (strict)' ELSE 'Error burst per user' END AS rule_title,
+         CASE WHEN t_us >= {d(12)} AND t_us < {d(18)} THEN 'critical' ELSE 'high' END AS severity
+  FROM e)"""
+    return (f"WITH {EVENTS_LOGS}, {burst} {sel} UNION ALL SELECT {bid} AS alert_id, 'ev-error-burst-001' AS rule_id, "
+            f"rule_title, severity, host, event_id FROM ec WHERE n > threshold")
+
+
+ORACLES["asof_alerts"] = _asof_oracle()

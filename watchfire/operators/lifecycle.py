@@ -1,0 +1,218 @@
+"""Rule lifecycle as a changelog (L1-L8): add, update and delete envelopes over time.
+
+An envelope is ``{op, rule_id?, rule?}`` with a sequence number ``seq`` and, optionally,
+the event time ``at_us`` from which it applies. Folding the changelog gives *entries*:
+one per ``add`` and one per ``update``, each with a number of copies and a validity
+interval ``[from, to)``. All of it is window functions over the changelog, partitioned
+by rule id; no row-by-row replay.
+
+* ``add`` appends the payload (its own id, duplicates allowed; the envelope id is not checked);
+* ``update`` replaces every entry of the id (all copies become the new payload), or inserts
+  one if there is none; the envelope id must equal the payload id;
+* ``delete`` removes every entry of the id; unknown ids are a no-op; it also starts a new
+  *epoch* of the id, so burst windows restart (L7).
+
+An entry ends at the next ``update`` or ``delete`` of its id. Copies of an update =
+adds since the epoch began before it, plus one if the epoch began with an update.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from watchfire.errors import RuleError
+from watchfire.functions.fields import field_value_text, quote
+from watchfire.functions.ids import bucket_alert_id, time_bucket
+from watchfire.functions.timeutil import MICROS
+from watchfire.operators.burst import DEFAULT_CHUNK_FACTOR, sliding_counts
+from watchfire.operators.evaluate import alert_projection, match_rules, matched_at
+from watchfire.plans.compile import group_predicate
+from watchfire.plans.rules import Rule, build_rule, burst_spec
+from watchfire.sources.logs import LogView
+
+CHANGELOG_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType(), False),
+    T.StructField("at_us", T.LongType(), True),
+    T.StructField("op", T.StringType(), True),
+    T.StructField("rule_id", T.StringType(), True),
+    T.StructField("rule", T.StringType(), True),   # JSON text of the rule object
+])
+REQUIRED_KEYS = ("id", "title", "level", "detection")
+MAX_ENTRIES = 10_000
+
+
+def decode_envelopes(raw: DataFrame, value_col: str = "value", seq_col: str = "seq",
+                     at_col: str | None = None) -> DataFrame:
+    """JSON envelopes to changelog rows; text that is not an object gets an error."""
+    env = F.from_json(F.col(quote(value_col)), "struct<op:string,rule_id:string,rule:string>")
+    is_obj = F.json_object_keys(F.col(quote(value_col))).isNotNull()
+    return raw.select(
+        F.col(quote(seq_col)).cast("long").alias("seq"),
+        (F.col(quote(at_col)).cast("long") if at_col else F.lit(None).cast("long")).alias("at_us"),
+        F.when(is_obj, env.op).alias("op"),
+        F.when(is_obj, env.rule_id).alias("rule_id"),
+        F.when(is_obj, env.rule).alias("rule"),
+        F.when(~F.coalesce(is_obj, F.lit(False)), F.lit("envelope is not a JSON object")).alias("_wf_pre_error"),
+    )
+
+
+def with_errors(changelog: DataFrame) -> DataFrame:
+    """L4: add an ``error`` column (NULL when the envelope is valid)."""
+    rule = F.col("rule")
+    keys = F.json_object_keys(rule)
+    payload_id = F.get_json_object(rule, "$.id")
+    missing = None
+    for k in REQUIRED_KEYS:
+        m = F.when(~F.array_contains(keys, k), F.lit(f"missing required field '{k}' in rule payload"))
+        missing = m if missing is None else F.coalesce(missing, m)
+    op = F.col("op")
+    err = (F.when(op.isNull(), F.lit("envelope missing required field 'op'"))
+           .when(~op.isin("add", "update", "delete"), F.concat(F.lit("unrecognised op "), op))
+           .when((op != "add") & F.col("rule_id").isNull(), F.lit("envelope missing required field 'rule_id'"))
+           .when((op != "delete") & rule.isNull(), F.concat(F.lit("envelope missing 'rule' for op="), op))
+           .when((op != "delete") & keys.isNull(), F.lit("rule payload must be a JSON object"))
+           .when((op == "update") & ~F.coalesce(payload_id == F.col("rule_id"), F.lit(False)),
+                 F.lit("envelope rule_id does not match rule payload id"))
+           .when(op != "delete", missing))
+    pre = F.col("_wf_pre_error") if "_wf_pre_error" in changelog.columns else F.lit(None).cast("string")
+    return changelog.withColumn("error", F.coalesce(pre, err)).drop("_wf_pre_error")
+
+
+def entries(changelog: DataFrame) -> DataFrame:
+    """L1-L3 + L7: fold valid envelopes to rule entries.
+
+    Columns: ``rule_id, epoch, seq, copies, from_us, to_us, to_seq, rule`` (``to_*`` NULL
+    while the entry is still active).
+    """
+    valid = with_errors(changelog).where(F.col("error").isNull())
+    rid = F.when(F.col("op") == "add", F.get_json_object("rule", "$.id")).otherwise(F.col("rule_id"))
+    c = valid.select("seq", "at_us", "op", rid.alias("rid"), "rule")
+    by_id = Window.partitionBy("rid").orderBy("seq")
+    c = c.withColumn("epoch", F.sum((F.col("op") == "delete").cast("long")).over(
+        by_id.rowsBetween(Window.unboundedPreceding, 0)))
+    ender = F.when(F.col("op").isin("update", "delete"), F.struct("seq", "at_us"))
+    c = c.withColumn("_wf_end", F.first(ender, ignorenulls=True).over(
+        by_id.rowsBetween(1, Window.unboundedFollowing)))
+    in_epoch = Window.partitionBy("rid", "epoch").orderBy("seq")
+    c = c.withColumn("_wf_first", F.first(F.when(F.col("op") != "delete", F.col("op")), ignorenulls=True).over(
+        in_epoch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    c = c.withColumn("_wf_adds_before", F.coalesce(F.sum((F.col("op") == "add").cast("long")).over(
+        in_epoch.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    copies = (F.when(F.col("op") == "add", F.lit(1))
+              .otherwise(F.col("_wf_adds_before") + F.when(F.col("_wf_first") == "update", 1).otherwise(0)))
+    return c.where(F.col("op") != "delete").select(
+        F.col("rid").alias("rule_id"), "epoch", "seq", copies.cast("long").alias("copies"),
+        F.col("at_us").alias("from_us"), F.col("_wf_end.at_us").alias("to_us"),
+        F.col("_wf_end.seq").alias("to_seq"), "rule")
+
+
+def active_rules(changelog: DataFrame) -> DataFrame:
+    """The rule set after the whole changelog, one row per entry with its copies."""
+    return entries(changelog).where(F.col("to_seq").isNull()).select(
+        "rule_id", "copies", F.get_json_object("rule", "$.title").alias("rule_title"),
+        F.get_json_object("rule", "$.level").alias("severity"), "rule")
+
+
+def rule_count(changelog: DataFrame) -> DataFrame:
+    """Number of rules in the active list (copies counted)."""
+    return active_rules(changelog).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rule_count"))
+
+
+def directory_changelog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """Directory rules are ``add``s before everything else (negative sequence numbers)."""
+    rows = [(i - len(rules), None, "add", r.id, r.to_json()) for i, r in enumerate(rules)]
+    return spark.createDataFrame(rows, CHANGELOG_SCHEMA)
+
+
+def collect_entries(changelog: DataFrame, limit: int = MAX_ENTRIES) -> list[dict]:
+    """Bring the folded entries to the driver to compile them; refuses unbounded input.
+
+    Entries are control-plane data (one per rule change); the check keeps it that way.
+    """
+    rows = entries(changelog).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise RuleError(f"more than {limit} rule versions; evaluate with the rules-as-data path instead")
+    return [r.asDict() for r in rows]
+
+
+def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT_CHUNK_FACTOR) -> DataFrame:
+    """Every log is evaluated against the rule versions valid at its event time.
+
+    A version valid in ``[from, to)`` is the compiled rule ANDed with that interval, so
+    the whole changelog runs in one scan of the logs without a join. Burst windows are
+    keyed by (rule id, epoch, key): an update keeps the window, a delete restarts it.
+    """
+    ents = collect_entries(changelog)
+    plain, bursts = [], []
+    for e in ents:
+        rule = build_rule(json.loads(e["rule"]), source=f"changelog seq {e['seq']}")
+        (bursts if rule.is_burst else plain).append((rule, e))
+    t = view.event_us
+
+    def gate(e):
+        g = F.lit(True)
+        if e["from_us"] is not None:
+            g = g & (t >= F.lit(e["from_us"]))
+        if e["to_us"] is not None:
+            g = g & (t < F.lit(e["to_us"]))
+        elif e["to_seq"] is not None:   # ended by an op without a time: ended before any log
+            g = F.lit(False)
+        return g
+
+    cols = ["alert_id", "rule_id", "rule_title", "severity", "host", "raw_log", *view.keep]
+    out = alert_projection(view, match_rules(view, [r for r, _ in plain], gates=[gate(e) for _, e in plain],
+                                             copies=[int(e["copies"]) for _, e in plain])).select(*cols)
+    if bursts:
+        out = out.unionByName(_asof_bursts(view, bursts, gate, chunk_factor).select(*cols))
+    return out
+
+
+def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
+    groups: dict[tuple, list] = {}
+    for rule, e in bursts:
+        groups.setdefault((rule.id, e["epoch"]), []).append((rule, burst_spec(rule), e))
+    parts = []
+    for (rid, epoch), versions in groups.items():
+        spans = {s.window_seconds for _, s, _ in versions}
+        by = {s.by_field for _, s, _ in versions}
+        if len(spans) != 1 or len(by) != 1:
+            raise RuleError(f"rule {rid!r}: versions within one epoch must share timeframe and 'by' field")
+        window_s = spans.pop()
+        live = [group_predicate(view.fields, r.groups[s.selection], r.id, s.selection) & gate(e)
+                for r, s, e in versions]
+        # the first live version that matched decides threshold, title, level and copies
+        def pick(values):
+            expr = None
+            for m, v in zip(live, values):
+                expr = F.when(m, v) if expr is None else expr.when(m, v)
+            return expr
+        any_live = live[0]
+        for m in live[1:]:
+            any_live = any_live | m
+        order_names = [f"_wf_o{i}" for i in range(len(view.order))]
+        rows = view.df.where(any_live).select(
+            F.lit(rid).alias("_wf_rid"), field_value_text(view.fields, by.pop()).alias("_wf_key"),
+            view.event_us.alias("_wf_t"), *[o.alias(n) for o, n in zip(view.order, order_names)],
+            view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_wf_idt"),
+            pick([F.lit(s.threshold) for _, s, _ in versions]).alias("_wf_n"),
+            pick([F.lit(r.title) for r, _, _ in versions]).alias("rule_title"),
+            pick([F.lit(r.level) for r, _, _ in versions]).alias("severity"),
+            pick([F.lit(int(e["copies"])) for _, _, e in versions]).alias("_wf_copies"),
+            *[F.col(quote(k)) for k in view.keep],
+        ).where(F.col("_wf_t").isNotNull())
+        counted = sliding_counts(rows, key_cols=["_wf_rid", "_wf_key"], time_col="_wf_t", order_cols=order_names,
+                                 window_us=window_s * MICROS, chunk_us=window_s * MICROS * max(1, chunk_factor))
+        fired = counted.where(F.col("window_count") > F.col("_wf_n"))
+        fired = fired.withColumn("_wf_copy", F.explode(F.sequence(F.lit(1), F.col("_wf_copies").cast("int"))))
+        parts.append(fired.select(
+            bucket_alert_id(F.lit(rid), F.col("host"), time_bucket(F.col("_wf_idt"), window_s)).alias("alert_id"),
+            F.lit(rid).alias("rule_id"), "rule_title", "severity", matched_at().alias("matched_at"),
+            "host", "raw_log", *[F.col(quote(k)) for k in view.keep], F.lit(epoch).alias("epoch")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
