@@ -17,7 +17,8 @@ from watchfire.operators.burst import burst_alerts
 from watchfire.operators.evaluate import evaluate, match_rules, alert_projection
 from watchfire.operators import store as S
 from watchfire.plans.rules import Rule, load_rules, split_rules
-from watchfire.sources.testdata import events_view, lineitem_view, events_logs
+from watchfire.sources.testdata import events_view, lineitem_view, events_logs, read_table
+from watchfire.functions.timeutil import ntz_micros
 
 RULES_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules")
 PLAIN_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "host", "event_id"]
@@ -372,3 +373,119 @@ ec AS (
 
 
 ORACLES["asof_alerts"] = _asof_oracle()
+
+
+# --- stream health (M1-M4) and stages (R1, R2) ----------------------------------------------
+
+def _events_timed(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "user_id", "value", "props",
+                     ntz_micros(F.col("ts")).alias("t_us"),
+                     (F.col("user_id") % 8).alias("partition"), ((F.col("user_id") % 8) % 4).alias("worker"))
+
+
+def throughput(spark, sf_dir):
+    from watchfire.operators.metrics import throughput as _tp
+    ev = _events_timed(spark, sf_dir).withColumn("window_start", (F.col("t_us") - F.pmod("t_us", F.lit(60_000_000))) / 1_000_000)
+    return _tp(ev.withColumn("window_start", F.col("window_start").cast("long")), "window_start", "worker", unit=None)
+
+
+def latency_quantile(spark, sf_dir):
+    from watchfire.operators.metrics import latency_summary
+    ev = _events_timed(spark, sf_dir).withColumn("day", ((F.col("t_us") - F.pmod("t_us", F.lit(86_400_000_000)))
+                                                         / 86_400_000_000).cast("long"))
+    return latency_summary(ev, "value", ["day"])
+
+
+def consumer_lag(spark, sf_dir):
+    from watchfire.operators.metrics import consumer_lag as _lag
+    ev = _events_timed(spark, sf_dir)
+    cut = _day_us(20)
+    offsets = ev.groupBy("worker", "partition").agg(F.count(F.lit(1)).alias("end_offset"),
+                                                    F.count_if(F.col("t_us") < F.lit(cut)).alias("position"))
+    return _lag(offsets)
+
+
+def processed_skipped(spark, sf_dir):
+    from watchfire.operators.metrics import decode_counts
+    raw = read_table(spark, sf_dir, "events").select(F.col("props").alias("value")).unionByName(
+        read_table(spark, sf_dir, "documents").select(F.col("text").alias("value")))
+    return decode_counts(raw)
+
+
+# Stages for the events stream (first match wins, else idle).
+EVENTS_STAGES = [
+    ("brute_forcing", {"log_type": "error"}),
+    ("compromised", {"log_type": "signup"}),
+    ("lateral_movement", {"log_type": "purchase", "value|startswith": ["1", "2", "3"]}),
+]
+
+
+def stage_labels(spark, sf_dir):
+    from watchfire.operators.stages import stage_labels as _labels
+    return _labels(events_view(spark, sf_dir), EVENTS_STAGES).select("event_id", "host", "stage")
+
+
+def stage_transitions(spark, sf_dir):
+    from watchfire.operators.stages import stage_labels as _labels, stage_transitions as _tr
+    return _tr(_labels(events_view(spark, sf_dir), EVENTS_STAGES))
+
+
+QUERIES.update({
+    "throughput": throughput,
+    "latency_quantile": latency_quantile,
+    "consumer_lag": consumer_lag,
+    "processed_skipped": processed_skipped,
+    "stage_labels": stage_labels,
+    "stage_transitions": stage_transitions,
+})
+
+_TIMED = """timed AS (SELECT event_id, user_id, value, epoch_us(ts) AS t_us, user_id % 8 AS "partition",
+                            (user_id % 8) % 4 AS worker FROM events)"""
+_BOUNDS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0]
+
+
+def _latency_oracle() -> str:
+    cums = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS b{i}" for i, b in enumerate(_BOUNDS))
+    unp = " UNION ALL ".join(f"SELECT day, CAST({b} AS DOUBLE) AS le, b{i} AS cum FROM c" for i, b in enumerate(_BOUNDS))
+    unp += " UNION ALL SELECT day, CAST('inf' AS DOUBLE) AS le, total AS cum FROM c"
+    parts = []
+    for q in (0.5, 0.99):
+        parts.append(f"""SELECT day, CAST({q} AS DOUBLE) AS quantile,
+  CASE WHEN arg_min(le, le) = 'inf'::DOUBLE THEN arg_min(prev_le, le)
+       WHEN arg_min(cum - prev_cum, le) = 0 THEN arg_min(le, le)
+       ELSE arg_min(prev_le + (le - prev_le) * ({q} * total - prev_cum) / (cum - prev_cum), le) END AS value
+FROM b WHERE cum >= {q} * total AND total > 0 GROUP BY day""")
+    return f"""WITH {_TIMED},
+c AS (SELECT t_us // 86400000000 AS day, {cums}, count(value) AS total FROM timed GROUP BY 1),
+u AS ({unp}),
+b AS (SELECT day, le, cum, coalesce(lag(le) OVER (PARTITION BY day ORDER BY le), 0.0) AS prev_le,
+             coalesce(lag(cum) OVER (PARTITION BY day ORDER BY le), 0) AS prev_cum,
+             max(cum) OVER (PARTITION BY day) AS total FROM u)
+{" UNION ALL ".join(parts)}"""
+
+
+ORACLES.update({
+    "throughput": f"""WITH {_TIMED} SELECT t_us // 60000000 * 60 AS window_start, worker, count(*) AS events,
+        count(*) / 60.0 AS events_per_second FROM timed GROUP BY ROLLUP (window_start, worker)
+        HAVING window_start IS NOT NULL""",
+    "latency_quantile": _latency_oracle(),
+    "consumer_lag": f"""WITH {_TIMED}, o AS (SELECT worker, "partition", count(*) AS end_offset,
+        count(*) FILTER (WHERE t_us < {_day_us(20)}) AS position FROM timed GROUP BY worker, "partition")
+        SELECT worker, CAST(sum(greatest(0, end_offset - position)) AS BIGINT) AS lag, count(*) AS partitions
+        FROM o GROUP BY ROLLUP (worker)""",
+    "processed_skipped": """WITH raw AS (SELECT props AS v FROM events UNION ALL SELECT text AS v FROM documents)
+        SELECT count(*) FILTER (WHERE json_valid(v) AND starts_with(ltrim(v), '{')) AS processed,
+               count(*) FILTER (WHERE NOT (json_valid(v) AND starts_with(ltrim(v), '{'))) AS skipped FROM raw""",
+    "stage_labels": f"""WITH {EVENTS_LOGS} SELECT event_id, host, CASE WHEN log_type = 'error' THEN 'brute_forcing'
+        WHEN log_type = 'signup' THEN 'compromised'
+        WHEN log_type = 'purchase' AND (starts_with(CAST(value AS VARCHAR), '1') OR starts_with(CAST(value AS VARCHAR), '2')
+             OR starts_with(CAST(value AS VARCHAR), '3')) THEN 'lateral_movement' ELSE 'idle' END AS stage FROM logs""",
+})
+ORACLES["stage_transitions"] = ("WITH " + EVENTS_LOGS + ", s AS (SELECT host, t_us, event_id, CASE WHEN log_type = 'error' "
+    "THEN 'brute_forcing' WHEN log_type = 'signup' THEN 'compromised' WHEN log_type = 'purchase' AND "
+    "(starts_with(CAST(value AS VARCHAR), '1') OR starts_with(CAST(value AS VARCHAR), '2') OR "
+    "starts_with(CAST(value AS VARCHAR), '3')) THEN 'lateral_movement' ELSE 'idle' END AS stage FROM logs), "
+    "t AS (SELECT lag(stage) OVER (PARTITION BY host ORDER BY t_us, event_id) AS from_stage, stage AS to_stage FROM s), "
+    "c AS (SELECT from_stage, to_stage, count(*) AS transitions FROM t WHERE from_stage IS NOT NULL GROUP BY 1, 2) "
+    "SELECT from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY from_stage) AS share FROM c")

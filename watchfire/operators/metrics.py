@@ -1,0 +1,100 @@
+"""Stream-health queries (M1-M4) over metric tables or raw rows.
+
+* throughput: events per second per time window, per worker and in total (``rollup``);
+* latency quantiles from cumulative histogram buckets (the histogram form keeps a fixed
+  number of counters per window however many events there are), linear inside a bucket;
+* consumer lag: ``sum(max(0, end - position))`` per worker and in total;
+* processed / skipped counts of a JSON decode.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from watchfire.functions.fields import quote
+
+# Default latency bucket bounds (upper edges, "+Inf" implied last).
+DEFAULT_BOUNDS = (5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0)
+
+
+def throughput(df: DataFrame, time_col: str, worker_col: str, unit: str | None = "minute",
+               seconds: int = 60) -> DataFrame:
+    """M1: events and events/second per window and worker; worker NULL = all workers.
+
+    With ``unit`` the time column is truncated (``date_trunc``); with ``unit=None`` it
+    already holds the window start and ``seconds`` is the window length.
+    """
+    if unit is not None:
+        seconds = {"second": 1, "minute": 60, "hour": 3600}[unit]
+        w = F.date_trunc(unit, F.col(quote(time_col))).alias("window_start")
+    else:
+        w = F.col(quote(time_col)).alias("window_start")
+    out = (df.select(w, F.col(quote(worker_col)).alias("worker"))
+           .rollup("window_start", "worker").agg(F.count(F.lit(1)).alias("events"))
+           .where(F.col("window_start").isNotNull()))
+    return out.withColumn("events_per_second", F.col("events") / F.lit(float(seconds)))
+
+
+def histogram(df: DataFrame, value_col: str, group_cols: list[str], bounds=DEFAULT_BOUNDS) -> DataFrame:
+    """Cumulative bucket counts ``(group..., le, cumulative_count)``; ``le`` = +Inf for the total.
+
+    One aggregation with one conditional count per bound, then an unpivot: every bucket
+    appears, also empty ones, without joining against a bucket table.
+    """
+    v = F.col(quote(value_col))
+    aggs = [F.count_if(v <= F.lit(b)).alias(f"b{i}") for i, b in enumerate(bounds)]
+    aggs.append(F.count(v).alias(f"b{len(bounds)}"))
+    counts = df.groupBy(*[F.col(quote(g)) for g in group_cols]).agg(*aggs)
+    les = [float(b) for b in bounds] + [float("inf")]
+    pairs = F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"b{i}").alias("cumulative_count"))
+                      for i, le in enumerate(les)])
+    return counts.select(*[F.col(quote(g)) for g in group_cols], F.inline(pairs))
+
+
+def histogram_quantile(buckets: DataFrame, q: float, group_cols: list[str]) -> DataFrame:
+    """M2: the q-quantile from cumulative buckets, linear within the bucket it falls in.
+
+    The first bucket starts at 0; a rank in the +Inf bucket returns the last finite bound.
+    """
+    g = [F.col(quote(c)) for c in group_cols]
+    w = Window.partitionBy(*g).orderBy("le")
+    b = (buckets.withColumn("_wf_prev_le", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
+         .withColumn("_wf_prev_cum", F.coalesce(F.lag("cumulative_count").over(w), F.lit(0)))
+         .withColumn("_wf_total", F.max("cumulative_count").over(Window.partitionBy(*g))))
+    rank = F.lit(q) * F.col("_wf_total")
+    hit = b.where((F.col("cumulative_count") >= rank) & (F.col("_wf_total") > 0))
+    first = hit.groupBy(*g).agg(F.min_by(F.struct("le", "_wf_prev_le", "_wf_prev_cum", "cumulative_count",
+                                                  "_wf_total"), F.col("le")).alias("_wf_b"))
+    x = F.col("_wf_b")
+    inside = x.cumulative_count - x._wf_prev_cum
+    val = (F.when(x.le == F.lit(float("inf")), x._wf_prev_le)
+           .when(inside == 0, x.le)
+           .otherwise(x._wf_prev_le + (x.le - x._wf_prev_le) * (F.lit(q) * x._wf_total - x._wf_prev_cum) / inside))
+    return first.select(*g, F.lit(q).alias("quantile"), val.alias("value"))
+
+
+def consumer_lag(offsets: DataFrame) -> DataFrame:
+    """M3: lag per worker and in total (worker NULL) from ``worker, partition, end_offset, position``."""
+    lag = F.greatest(F.lit(0), F.col("end_offset") - F.col("position"))
+    return (offsets.rollup("worker").agg(F.sum(lag).cast("long").alias("lag"),
+                                         F.count(F.lit(1)).alias("partitions")))
+
+
+def decode_counts(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """M4: how many texts decode to a JSON object (processed) and how many are skipped."""
+    from watchfire.sources.logs import FIELDS_MAP
+    parsed = F.from_json(F.col(quote(value_col)), "map<string,string>")
+    ok = parsed.isNotNull() & F.ltrim(F.col(quote(value_col))).startswith("{")
+    return raw.agg(F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
+
+
+def latency_summary(df: DataFrame, value_col: str, group_cols: list[str], quantiles=(0.5, 0.99),
+                    bounds=DEFAULT_BOUNDS) -> DataFrame:
+    """M2 end to end: buckets, then one row per (group, quantile)."""
+    h = histogram(df, value_col, group_cols, bounds)
+    out = None
+    for q in quantiles:
+        part = histogram_quantile(h, q, group_cols)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -1,0 +1,62 @@
+"""Attack-stage analysis (R1, R2): a label per log and the observed transition matrix.
+
+Stages are ordered (stage name, selection group) pairs: the first group a log satisfies
+names its stage, else the default. Transitions follow each host's logs in (time, order).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from watchfire.functions.fields import field_value_text
+from watchfire.functions.timeutil import MICROS, floor_div
+from watchfire.plans.compile import group_predicate
+from watchfire.sources.logs import LogView
+
+# Stages of the Windows attack sequence (first match wins).
+WINDOWS_STAGES = [
+    ("brute_forcing", {"event_id": "4625"}),
+    ("compromised", {"event_id": ["4624", "4672"]}),
+    ("lateral_movement", {"event_id": "4688", "process_name|contains": ["powershell", "cmd", "psexec", "wmic"]}),
+]
+DEFAULT_STAGE = "idle"
+
+
+def stage_labels(view: LogView, stages, default: str = DEFAULT_STAGE) -> DataFrame:
+    """``host, t_us, order..., stage`` plus the view's kept columns."""
+    expr = None
+    for name, group in stages:
+        p = group_predicate(view.fields, group, "stages", name)
+        expr = F.when(p, F.lit(name)) if expr is None else expr.when(p, F.lit(name))
+    expr = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+    return view.df.select(
+        view.host.alias("host"), view.event_us.alias("t_us"),
+        *[o.alias(f"_wf_o{i}") for i, o in enumerate(view.order)],
+        *[F.col(k) for k in view.keep], expr.alias("stage"))
+
+
+def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400) -> DataFrame:
+    """R2: ``from_stage, to_stage, transitions, share`` over consecutive logs of a host.
+
+    Each host is cut into time chunks. Inside a chunk ``lag`` gives the transitions; the
+    transition into a chunk pairs the previous chunk's last stage with this chunk's first,
+    taken from a per-chunk summary. A very busy host is spread over many chunks.
+    """
+    order = [c for c in labels.columns if c.startswith("_wf_o")]
+    pos = F.struct("t_us", *order)
+    rows = labels.where(F.col("t_us").isNotNull()).withColumn(
+        "_wf_chunk", floor_div(F.col("t_us"), chunk_seconds * MICROS))
+    inner_w = Window.partitionBy("host", "_wf_chunk").orderBy("t_us", *order)
+    inner = (rows.withColumn("from_stage", F.lag("stage").over(inner_w))
+             .where(F.col("from_stage").isNotNull())
+             .select("from_stage", F.col("stage").alias("to_stage")))
+    summary = rows.groupBy("host", "_wf_chunk").agg(F.min_by("stage", pos).alias("_wf_first"),
+                                                     F.max_by("stage", pos).alias("_wf_last"))
+    edge_w = Window.partitionBy("host").orderBy("_wf_chunk")
+    edges = (summary.withColumn("from_stage", F.lag("_wf_last").over(edge_w))
+             .where(F.col("from_stage").isNotNull())
+             .select("from_stage", F.col("_wf_first").alias("to_stage")))
+    counts = inner.unionByName(edges).groupBy("from_stage", "to_stage").agg(F.count(F.lit(1)).alias("transitions"))
+    share = F.col("transitions") / F.sum("transitions").over(Window.partitionBy("from_stage"))
+    return counts.withColumn("share", share)
