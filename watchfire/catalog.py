@@ -489,3 +489,43 @@ ORACLES["stage_transitions"] = ("WITH " + EVENTS_LOGS + ", s AS (SELECT host, t_
     "t AS (SELECT lag(stage) OVER (PARTITION BY host ORDER BY t_us, event_id) AS from_stage, stage AS to_stage FROM s), "
     "c AS (SELECT from_stage, to_stage, count(*) AS transitions FROM t WHERE from_stage IS NOT NULL GROUP BY 1, 2) "
     "SELECT from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY from_stage) AS share FROM c")
+
+
+# --- streaming twins (S1, A9, K1-K6): run by availableNow, read back as a table ------------
+
+def _run_stream(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+    import uuid as _uuid
+    from watchfire.session import scratch_path
+    base = scratch_path(spark, "stream-queries", f"{tag}-{_uuid.uuid4().hex}")
+    q = (df.writeStream.format("parquet").option("path", base + "/out")
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out")
+
+
+def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events burst rule on a stream of the events table, same answer as the batch."""
+    from watchfire.streaming.pipeline import stream_burst_alerts
+    from watchfire.streaming.sources import table_stream
+    from watchfire.sources.testdata import events_logs_from
+    _, bursts = split_rules(list(rule_pack("events")))
+    stream = events_logs_from(table_stream(spark, sf_dir, "events"))
+    out = stream_burst_alerts(events_view(spark, sf_dir, df=stream), bursts, watermark="30 days")
+    return _run_stream(spark, out.drop("matched_at"), "bursts").select(*PLAIN_COLUMNS, "window_count")
+
+
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3/E4 on a stream: the plain rules of the events pack, stateless."""
+    from watchfire.streaming.pipeline import detection_stream
+    from watchfire.streaming.sources import table_stream
+    from watchfire.sources.testdata import events_logs_from
+    plain, _ = split_rules(list(rule_pack("events")))
+    stream = events_logs_from(table_stream(spark, sf_dir, "events"))
+    out = detection_stream(events_view(spark, sf_dir, df=stream), plain)
+    return _run_stream(spark, out.drop("matched_at"), "plain").select(*PLAIN_COLUMNS)
+
+
+QUERIES["stream_bursts"] = stream_bursts
+QUERIES["stream_alerts"] = stream_alerts
+ORACLES["stream_bursts"] = ORACLES["burst_alerts"]
+ORACLES["stream_alerts"] = ORACLES["rule_set_alerts"]

@@ -20,7 +20,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    return events_logs_from(read_table(spark, sf_dir, "events"))
+
+
+def events_logs_from(ev: DataFrame) -> DataFrame:
+    """The log view of an events frame (batch or stream)."""
     return ev.select(
         F.col("event_id"),
         F.col("user_id").cast("string").alias("host"),

@@ -1,0 +1 @@
+"""Structured Streaming: sources, stateful bursts and idempotent alert sinks."""

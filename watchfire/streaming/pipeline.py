@@ -1,0 +1,108 @@
+"""The streaming detection job: logs in, alerts out.
+
+``detection_stream`` builds the alert stream from a log view over a streaming frame:
+plain rules are stateless; burst rules go through the keyed state of
+:mod:`watchfire.streaming.bursts`, one shuffle on (rule, key) for all of them.
+
+``start_sink`` runs it with a checkpoint (offsets are committed only after the sink
+wrote, K6) and a ``foreachBatch`` that publishes the batch (K1) and upserts it into the
+store idempotently by batch id (K2), so a replayed batch rewrites the same files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from watchfire.functions.fields import field_value_text, quote
+from watchfire.functions.ids import bucket_alert_id, time_bucket
+from watchfire.functions.timeutil import MICROS
+from watchfire.operators.evaluate import alert_projection, match_rules, matched_at
+from watchfire.operators.burst import _case
+from watchfire.operators.store import write_batch
+from watchfire.plans.compile import with_rule_flags
+from watchfire.plans.rules import Rule, burst_spec, split_rules
+from watchfire.sources.logs import LogView
+from watchfire.streaming.bursts import stateful_counts
+
+ALERT_OUT = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
+
+
+def burst_rows(view: LogView, rules: list[Rule]) -> DataFrame:
+    """Matching rows of burst rules, one per (log, rule), with key, time, order and payload."""
+    specs = [burst_spec(r) for r in rules]
+    flagged, names = with_rule_flags(view.df, rules, view.fields, prefix="__s",
+                                     conditions=[s.selection for s in specs])
+    hits = F.filter(F.array(*[F.when(F.col(n), F.lit(k)) for k, n in enumerate(names)]), lambda x: x.isNotNull())
+    any_sel = None
+    for n in names:
+        any_sel = F.col(n) if any_sel is None else (any_sel | F.col(n))
+    if len(view.order) != 1:
+        raise ValueError("a streaming view needs exactly one order column (e.g. the offset)")
+    sel = flagged.where(any_sel).select("*", F.explode(hits).alias("_wf_k"))
+    return sel.select(
+        F.col("_wf_k"), _case(F.col("_wf_k"), [field_value_text(view.fields, s.by_field) for s in specs]).alias("_wf_key"),
+        view.event_us.alias("_wf_t"), view.order[0].cast("long").alias("_wf_o0"),
+        view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_wf_idt"),
+        *[F.col(quote(k)) for k in view.keep],
+    ).where(F.col("_wf_t").isNotNull())
+
+
+def stream_burst_alerts(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
+    """A9 + J3 on a stream."""
+    specs = [burst_spec(r) for r in rules]
+    counted = stateful_counts(burst_rows(view, rules),
+                              windows_us={k: s.window_seconds * MICROS for k, s in enumerate(specs)},
+                              thresholds={k: s.threshold for k, s in enumerate(specs)}, watermark=watermark)
+    k = F.col("_wf_k")
+    rid = _case(k, [F.lit(r.id) for r in rules])
+    bucket = _case(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
+    return counted.select(
+        bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
+        _case(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
+        _case(k, [F.lit(r.level) for r in rules]).alias("severity"),
+        matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count")
+
+
+def detection_stream(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
+    """E3 + E4 on a stream: plain alerts and burst alerts in one alert stream."""
+    plain, bursts = split_rules(rules)
+    out = alert_projection(view, match_rules(view, plain)).select(*ALERT_OUT, *view.keep)
+    if bursts:
+        out = out.unionByName(stream_burst_alerts(view, bursts, watermark).select(*ALERT_OUT, *view.keep))
+    return out
+
+
+def dedup_stream(alerts: DataFrame, time_col: str, watermark: str = "1 hour") -> DataFrame:
+    """K3: drop repeated alert ids within the watermark (first wins)."""
+    return alerts.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["alert_id"])
+
+
+def start_sink(alerts: DataFrame, *, checkpoint: str, store_path: str | None = None,
+               publish_path: str | None = None, trigger: dict | None = None,
+               order_col: str | None = None) -> StreamingQuery:
+    """K1 + K2 + K4 + K6: publish and upsert each micro-batch, committed by the checkpoint.
+
+    ``trigger`` defaults to a 5-second processing-time trigger (K4); pass
+    ``{"availableNow": True}`` to drain what is there and stop.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if publish_path:
+            (batch.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"))
+             .write.mode("overwrite").json(f"{publish_path.rstrip('/')}/batch_id={batch_id}"))
+        if store_path:
+            order = [F.col(order_col)] if order_col else None
+            write_batch(batch, store_path, batch_id, order)
+
+    w = alerts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
+    return w.start()
+
+
+def observed_decode(raw: DataFrame, value_col: str = "value", name: str = "decode") -> DataFrame:
+    """M4 on a stream: processed / skipped counts reported in each progress event."""
+    from pyspark.sql import Observation  # noqa: F401  (batch alternative)
+    parsed = F.from_json(F.col(quote(value_col)), "map<string,string>")
+    ok = parsed.isNotNull() & F.ltrim(F.col(quote(value_col))).startswith("{")
+    return raw.observe(name, F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
