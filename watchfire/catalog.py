@@ -529,3 +529,14 @@ QUERIES["stream_bursts"] = stream_bursts
 QUERIES["stream_alerts"] = stream_alerts
 ORACLES["stream_bursts"] = ORACLES["burst_alerts"]
 ORACLES["stream_alerts"] = ORACLES["rule_set_alerts"]
+
+
+def rule_table_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain rules of the events pack joined as data (compiled path for the rest)."""
+    from watchfire.operators.ruletable import table_alerts
+    plain, _ = split_rules(list(rule_pack("events")))
+    return table_alerts(spark, events_view(spark, sf_dir), plain, key_cols=["event_id"]).select(*PLAIN_COLUMNS)
+
+
+QUERIES["rule_table_alerts"] = rule_table_alerts
+ORACLES["rule_table_alerts"] = ORACLES["rule_set_alerts"]

@@ -1,0 +1,200 @@
+"""Rules as data, for large or often-changing rule sets.
+
+Rules become a *conditions table*: one row per (rule, clause, term, value). A condition
+made only of ``and`` / ``or`` over group names (no ``not``, no parentheses) is a union of
+clauses; each clause is the AND of every term of its groups. Logs become ``(log key,
+field, value)`` pairs for the fields the table mentions, and the two meet in joins:
+
+* equality terms: an equi-join on ``(field, value)``;
+* ``contains`` / ``startswith`` / ``endswith``: an equi-join on ``field`` with the
+  modifier as the residual predicate.
+
+A clause holds for a log when all of its terms met a value; the rule then matches. The
+conditions side is broadcast when its row count is under a checked bound, otherwise both
+sides shuffle and AQE splits skewed (field, value) keys. Rules outside that shape (``not``,
+parentheses, empty groups) go through the compiled one-pass path (E1).
+"""
+
+from __future__ import annotations
+
+import json
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from watchfire.errors import RuleError
+from watchfire.functions.fields import quote, rule_text
+from watchfire.operators.evaluate import alert_projection, match_rules
+from watchfire.plans.compile import MODIFIERS, _flatten, check_condition
+from watchfire.plans.rules import Rule, build_rule
+from watchfire.sources.logs import LogView
+
+CONDITIONS_SCHEMA = T.StructType([
+    T.StructField("rule_ord", T.IntegerType()), T.StructField("rule_id", T.StringType()),
+    T.StructField("clause", T.IntegerType()), T.StructField("term", T.StringType()),
+    T.StructField("field", T.StringType()), T.StructField("modifier", T.StringType()),
+    T.StructField("value", T.StringType()), T.StructField("clause_terms", T.IntegerType()),
+])
+BROADCAST_MAX_ROWS = 200_000
+
+
+def clauses(rule: Rule) -> list[list[str]] | None:
+    """The condition as OR of ANDs of group names, or None if it has another shape."""
+    tokens = rule.condition.split()
+    check_condition(tokens, rule.groups)
+    if any(t in ("not", "(", ")") for t in tokens):
+        return None
+    out, cur = [], []
+    for t in tokens:
+        if t == "or":
+            out.append(cur)
+            cur = []
+        elif t != "and":
+            cur.append(t)
+    out.append(cur)
+    return out
+
+
+def condition_rows(ordinal: int, rule: Rule) -> list[tuple] | None:
+    """Flatten one rule; None when it needs the compiled path."""
+    cl = clauses(rule)
+    if cl is None:
+        return None
+    rows = []
+    for ci, groups in enumerate(cl):
+        terms = []
+        for g in dict.fromkeys(groups):
+            group = rule.groups[g]
+            if not isinstance(group, dict) or not group:
+                return None
+            for key, expected in group.items():
+                name, mod = (str(key).split("|", 1) + [None])[:2] if "|" in str(key) else (str(key), None)
+                values = _flatten(expected) if isinstance(expected, list) else [expected]
+                terms.append((f"{g}/{key}", name, mod, [rule_text(v) for v in values]))
+        for term, name, mod, values in terms:
+            if mod is not None and mod not in MODIFIERS:
+                values = []          # unknown modifier: a term that no value meets
+            for v in values:
+                rows.append((ordinal, rule.id, ci, term, name, mod, v, len(terms)))
+            if not values:           # keep the clause size honest: the term can never be met
+                rows.append((ordinal, rule.id, ci, term, name, "never", None, len(terms)))
+    return rows
+
+
+def split_for_table(rules: list[Rule]) -> tuple[list[tuple], list[int]]:
+    """(condition rows, ordinals of rules that need the compiled path)."""
+    rows, rest = [], []
+    for i, r in enumerate(rules):
+        got = condition_rows(i, r)
+        if got is None:
+            rest.append(i)
+        else:
+            rows.extend(got)
+    return rows, rest
+
+
+def field_pairs(view: LogView, fields: list[str], key_cols: list[str]) -> DataFrame:
+    """Logs as ``(key..., field, value)`` rows for the given fields; absent fields give no row."""
+    items = [F.when(view.fields.present(f), F.struct(F.lit(f).alias("field"), view.fields.text(f).alias("value")))
+             for f in fields if getattr(view.fields, "has", lambda _: True)(f)]
+    if not items:
+        return view.df.select(*[F.col(quote(k)) for k in key_cols], F.lit(None).cast("string").alias("field"),
+                              F.lit(None).cast("string").alias("value")).where(F.lit(False))
+    pairs = F.filter(F.array(*items), lambda x: x.isNotNull())
+    return view.df.select(*[F.col(quote(k)) for k in key_cols], F.inline(pairs))
+
+
+def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fields: list[str],
+                  broadcast_ok: bool) -> DataFrame:
+    """``(key..., rule_ord)`` for every log and table rule that matches."""
+    pairs = field_pairs(view, fields, key_cols)
+    cond = F.broadcast(conditions) if broadcast_ok else conditions
+    eq = cond.where(F.col("modifier").isNull())
+    mod = cond.where(F.col("modifier").isin(*MODIFIERS))
+    c = [F.col(quote(k)) for k in key_cols]
+    hit_eq = pairs.join(eq, on=["field", "value"], how="inner")
+    residual = (F.when(mod.modifier == "contains", pairs.value.contains(mod.value))
+                .when(mod.modifier == "startswith", pairs.value.startswith(mod.value))
+                .otherwise(pairs.value.endswith(mod.value)))
+    hit_mod = pairs.join(mod, (pairs.field == mod.field) & residual, "inner").select(
+        *[pairs[k] for k in key_cols], mod.rule_ord, mod.clause, mod.term, mod.clause_terms)
+    met = (hit_eq.select(*c, "rule_ord", "clause", "term", "clause_terms")
+           .unionByName(hit_mod).distinct())
+    done = (met.groupBy(*c, "rule_ord", "clause", "clause_terms").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") == F.col("clause_terms")))
+    return done.select(*c, "rule_ord").distinct()
+
+
+def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols: list[str],
+                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """E2 with E1 fallback: alerts of plain rules, rules joined as data where their shape allows.
+
+    ``key_cols`` must identify a log (e.g. the offset); matches are joined back on them.
+    """
+    rows, rest = split_for_table(rules)
+    parts = []
+    if rest:
+        parts.append(alert_projection(view, match_rules(view, [rules[i] for i in rest])))
+    if rows:
+        conditions = spark.createDataFrame(rows, CONDITIONS_SCHEMA)
+        n = len(rows)
+        fields = sorted({r[4] for r in rows})
+        matches = table_matches(view, conditions, key_cols, fields, broadcast_ok=n <= broadcast_max_rows)
+        meta = spark.createDataFrame([(i, r.id, r.title, r.level) for i, r in enumerate(rules)],
+                                     "rule_ord int, rule_id string, rule_title string, severity string")
+        tagged = matches.join(F.broadcast(meta) if len(rules) <= broadcast_max_rows else meta, "rule_ord")
+        tagged = tagged.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_wf_rule"))
+        joined = view.df.join(tagged, on=key_cols, how="inner")
+        parts.append(alert_projection(view, joined))
+    if not parts:
+        return alert_projection(view, match_rules(view, []))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- S3 on Spark: the rule folder as a table ------------------------------------------------
+
+RULES_FRAME_SCHEMA = "path string, id string, title string, level string, detection string, error string"
+
+
+def rules_frame(spark: SparkSession, rules_dir: str) -> DataFrame:
+    """S3 + S4 on Spark: every ``*.yml`` file as one row; invalid files carry an ``error``."""
+    texts = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.yml").text(rules_dir)
+             .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
+
+    def parse(batches):
+        import yaml
+        for pdf in batches:
+            out = []
+            for path, text in zip(pdf["path"], pdf["text"]):
+                name = path.rsplit("/", 1)[-1]
+                try:
+                    r = build_rule(yaml.safe_load(text), source=f"rule file '{name}'")
+                    out.append((path, r.id, r.title, r.level, json.dumps(r.detection, default=str), None))
+                except (RuleError, yaml.YAMLError) as exc:
+                    out.append((path, None, None, None, None, str(exc)))
+            yield pd.DataFrame(out, columns=["path", "id", "title", "level", "detection", "error"])
+
+    return texts.mapInPandas(parse, RULES_FRAME_SCHEMA)
+
+
+def conditions_frame(rules: DataFrame) -> DataFrame:
+    """E2 conditions table from a rules table (distributed flattening, one rule per row)."""
+    def flatten(batches):
+        for pdf in batches:
+            out, ordinal = [], 0
+            for ordinal_col, rid, title, level, det in zip(pdf["rule_ord"], pdf["id"], pdf["title"], pdf["level"],
+                                                           pdf["detection"]):
+                rule = Rule(id=rid, title=title, level=level, detection=json.loads(det))
+                try:
+                    got = condition_rows(int(ordinal_col), rule)
+                except RuleError:
+                    got = None
+                out.extend(got or [])
+            yield pd.DataFrame(out, columns=[f.name for f in CONDITIONS_SCHEMA.fields])
+
+    return rules.mapInPandas(flatten, CONDITIONS_SCHEMA)
