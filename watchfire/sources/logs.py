@@ -38,13 +38,27 @@ class LogView:
         return replace(self, df=df)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A source with fewer splits than cores (a small file with a single row group) would
+    run every rule on one core; a round-robin repartition of the raw rows fixes that.
+    Large inputs already have more splits than cores, so nothing changes for them.
+    """
+    if df.isStreaming:
+        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def table_view(df: DataFrame, *, time_col: str, order_cols: list[str], fields: list[str] | None = None,
-               id_time_col: str | None = None, keep: list[str] | None = None) -> LogView:
+               id_time_col: str | None = None, keep: list[str] | None = None, min_partitions: int | None = None) -> LogView:
     """A columnar log view: each non-internal column is a field.
 
     ``time_col`` drives bursts (event time, D1); ``id_time_col`` (default: ``timestamp``
     when present, else ``time_col``) feeds the burst-id bucket.
     """
+    df = spread(df, min_partitions)
     types = {f.name: f.dataType for f in df.schema.fields}
     names = [c for c in (fields or df.columns) if not c.startswith(INTERNAL)]
     schema = T.StructType([f for f in df.schema.fields if f.name in names])
