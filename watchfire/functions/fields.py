@@ -1,4 +1,4 @@
-"""Field access over log rows.
+"""Field access over log rows, as Spark SQL text.
 
 Logs come in two shapes:
 
@@ -9,6 +9,8 @@ Logs come in two shapes:
   such a value is present and compares as the text ``None``.
 
 Both sides of a comparison are text (an integer 4625 equals the rule text ``'4625'``).
+Accessors return SQL fragments so that a whole rule becomes one expression for Catalyst
+to parse (one call into the JVM per rule, instead of one per operator).
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _CANONICAL_INT = re.compile(r"^-?(0|[1-9][0-9]*)$")
+_PLAIN_TEXT = re.compile(r"^[^'\\\x00-\x1f]*$")
 
 
 def quote(name: str) -> str:
@@ -29,15 +32,45 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal for any text.
+
+    Plain text is written as ``'...'``; text with quotes, backslashes or control
+    characters goes through ``decode(unhex(...))``, which Catalyst folds to a literal, so the
+    result never depends on the parser's escape settings.
+    """
+    if _PLAIN_TEXT.match(value):
+        return "'" + value + "'"
+    return f"decode(unhex('{value.encode('utf-8').hex()}'), 'UTF-8')"
+
+
 class Fields(Protocol):
-    def present(self, name: str) -> Column: ...
+    def has(self, name: str) -> bool: ...
+
+    def present_sql(self, name: str) -> str: ...
+
+    def text_sql(self, name: str) -> str: ...
+
+    def equals_any_sql(self, name: str, values: list[str]) -> str: ...
+
+
+class _ColumnApi:
+    """Column-returning wrappers around the SQL accessors."""
+
+    def present(self, name: str) -> Column:
+        return F.expr(self.present_sql(name))
+
+    def text(self, name: str) -> Column:
+        return F.expr(self.text_sql(name))
 
-    def text(self, name: str) -> Column: ...
 
-    def equals_any(self, name: str, values: list[str]) -> Column: ...
+def _in_list(expr: str, values: list[str]) -> str:
+    if len(values) == 1:
+        return f"{expr} = {values[0]}"
+    return f"{expr} IN ({', '.join(values)})"
 
 
-class ColumnFields:
+class ColumnFields(_ColumnApi):
     """Fields are the top-level columns of a DataFrame with the given schema."""
 
     def __init__(self, schema: T.StructType):
@@ -46,20 +79,17 @@ class ColumnFields:
     def has(self, name: str) -> bool:
         return name in self._types
 
-    def present(self, name: str) -> Column:
-        if name not in self._types:
-            return F.lit(False)
-        return F.col(quote(name)).isNotNull()
+    def present_sql(self, name: str) -> str:
+        return f"{quote(name)} IS NOT NULL" if name in self._types else "false"
 
-    def text(self, name: str) -> Column:
+    def text_sql(self, name: str) -> str:
         if name not in self._types:
-            return F.lit(None).cast("string")
-        c = F.col(quote(name))
+            return "CAST(NULL AS STRING)"
         if isinstance(self._types[name], T.StringType):
-            return c
-        return c.cast("string")
+            return quote(name)
+        return f"CAST({quote(name)} AS STRING)"
 
-    def equals_any(self, name: str, values: list[str]) -> Column:
+    def equals_any_sql(self, name: str, values: list[str]) -> str:
         """Text equality, kept in the column's own type where that is exact.
 
         ``cast(bigint as string) = '4625'`` holds exactly when the column equals 4625, and
@@ -67,24 +97,14 @@ class ColumnFields:
         predicate reach the Parquet scan.
         """
         if name not in self._types:
-            return F.lit(False)
-        dtype = self._types[name]
-        c = F.col(quote(name))
-        if isinstance(dtype, _INTEGRAL):
-            nums = []
-            for v in values:
-                if _CANONICAL_INT.match(v):
-                    n = int(v)
-                    if -(2 ** 63) <= n < 2 ** 63:
-                        nums.append(n)
-            if not nums:
-                return F.lit(False)
-            return c.isin(nums) if len(nums) > 1 else (c == F.lit(nums[0]).cast(dtype))
-        txt = self.text(name)
-        return txt.isin(values) if len(values) > 1 else (txt == F.lit(values[0]))
-
-
-class MapFields:
+            return "false"
+        if isinstance(self._types[name], _INTEGRAL):
+            nums = sorted({int(v) for v in values if _CANONICAL_INT.match(v) and -(2 ** 63) <= int(v) < 2 ** 63})
+            return _in_list(quote(name), [f"{n}L" for n in nums]) if nums else "false"
+        return _in_list(self.text_sql(name), [sql_text(v) for v in dict.fromkeys(values)])
+
+
+class MapFields(_ColumnApi):
     """Fields are the keys of a ``map<string,string>`` column (decoded JSON objects)."""
 
     def __init__(self, column: str = "fields"):
@@ -93,15 +113,14 @@ class MapFields:
     def has(self, name: str) -> bool:
         return True
 
-    def present(self, name: str) -> Column:
-        return F.map_contains_key(F.col(self._col), F.lit(name))
+    def present_sql(self, name: str) -> str:
+        return f"map_contains_key({quote(self._col)}, {sql_text(name)})"
 
-    def text(self, name: str) -> Column:
-        return F.coalesce(F.col(self._col).getItem(name), F.lit("None"))
+    def text_sql(self, name: str) -> str:
+        return f"coalesce({quote(self._col)}[{sql_text(name)}], 'None')"
 
-    def equals_any(self, name: str, values: list[str]) -> Column:
-        txt = self.text(name)
-        return txt.isin(values) if len(values) > 1 else (txt == F.lit(values[0]))
+    def equals_any_sql(self, name: str, values: list[str]) -> str:
+        return _in_list(self.text_sql(name), [sql_text(v) for v in dict.fromkeys(values)])
 
 
 def rule_text(value) -> str:
@@ -115,6 +134,10 @@ def rule_text(value) -> str:
     return str(value)
 
 
+def field_value_sql(fields: Fields, name: str, default: str = "") -> str:
+    return f"CASE WHEN {fields.present_sql(name)} THEN {fields.text_sql(name)} ELSE {sql_text(default)} END"
+
+
 def field_value_text(fields: Fields, name: str, default: str = "") -> Column:
     """``str(log.get(name, default))``: the text of a field, or ``default`` if absent."""
-    return F.when(fields.present(name), fields.text(name)).otherwise(F.lit(default))
+    return F.expr(field_value_sql(fields, name, default))

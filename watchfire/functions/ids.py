@@ -11,57 +11,65 @@ An alert id is a name-based UUID (RFC 4122, version 5, SHA-1) in the OID namespa
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.functions.fields import quote
+from watchfire.functions.fields import quote, sql_text
 from watchfire.functions.timeutil import MICROS, floor_div
 
 # Fixed value: the RFC 4122 OID namespace UUID, as hex.
 NAMESPACE_OID_HEX = "6ba7b8129dad11d180b400c04fd430c8"
 
 
+def uuid5_sql(name_sql: str) -> str:
+    """UUIDv5(OID, name) as SQL: SHA-1 of namespace bytes + UTF-8 name, then the version
+    nibble set to 5 and the variant bits to ``10``."""
+    h = f"sha1(concat(unhex('{NAMESPACE_OID_HEX}'), encode({name_sql}, 'UTF-8')))"
+    return (f"concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', "
+            f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab'), substr({h}, 18, 3), '-', "
+            f"substr({h}, 21, 12))")
+
+
 def uuid5(name: Column) -> Column:
-    """UUIDv5(OID, name) as the canonical 36-character lowercase text."""
+    """UUIDv5(OID, name) for a Column (the SHA-1 is computed once per row by codegen CSE)."""
     h = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE_OID_HEX)), F.encode(name, "UTF-8")))
-    # version nibble -> 5; variant: top two bits of byte 8 -> 10
-    nib = F.conv(F.substring(h, 17, 1), 16, 10).cast("int")
-    variant = F.element_at(F.split(F.lit("8,9,a,b,8,9,a,b,8,9,a,b,8,9,a,b"), ","), nib + F.lit(1))
-    return F.concat(
-        F.substring(h, 1, 8), F.lit("-"),
-        F.substring(h, 9, 4), F.lit("-"),
-        F.lit("5"), F.substring(h, 14, 3), F.lit("-"),
-        variant, F.substring(h, 18, 3), F.lit("-"),
-        F.substring(h, 21, 12),
-    )
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3),
+                    F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
-def json_string(c: Column) -> Column:
-    """JSON string literal (quoted, escaped) of a text column."""
-    j = F.to_json(F.array(c))  # ["..."]
-    return F.when(c.isNotNull(), F.regexp_extract(j, r"^\[(.*)\]$", 1))
+def json_string_sql(expr: str) -> str:
+    """JSON string literal (quoted, escaped) of a text expression; NULL stays NULL."""
+    return f"CASE WHEN {expr} IS NOT NULL THEN regexp_extract(to_json(array({expr})), '^.(.*).$', 1) END"
 
 
-def json_value(name: str, dtype: T.DataType) -> Column:
+def json_value_sql(name: str, dtype: T.DataType) -> str:
     """Text of one value as Python's ``json.dumps(..., default=str)`` writes it.
 
     Nested values are written as compact JSON (deviation D6); NULL stays NULL so that the
     caller can drop absent fields.
     """
-    c = F.col(quote(name))
+    c = quote(name)
     if isinstance(dtype, T.StringType):
-        return json_string(c)
+        return json_string_sql(c)
     if isinstance(dtype, T.BooleanType):
-        return F.when(c, F.lit("true")).when(~c, F.lit("false"))
+        return f"CASE WHEN {c} THEN 'true' WHEN NOT {c} THEN 'false' END"
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                           T.DoubleType, T.DecimalType)):
-        return c.cast("string")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return json_string(c.cast("string"))
+        return f"CAST({c} AS STRING)"
     if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
-        return F.when(c.isNotNull(), F.to_json(c))
-    return json_string(c.cast("string"))
+        return f"CASE WHEN {c} IS NOT NULL THEN to_json({c}) END"
+    return json_string_sql(f"CAST({c} AS STRING)")
+
+
+def canonical_json_sql(schema: T.StructType, names: list[str] | None = None) -> str:
+    fields = {f.name: f.dataType for f in schema.fields}
+    keys = sorted(names if names is not None else fields)
+    pairs = [f"concat({sql_text(json.dumps(k) + ': ')}, {json_value_sql(k, fields[k])})" for k in keys]
+    return f"concat('{{', concat_ws(', ', {', '.join(pairs)}), '}}')" if pairs else "'{}'"
 
 
 def canonical_json(schema: T.StructType, names: list[str] | None = None) -> Column:
@@ -69,15 +77,7 @@ def canonical_json(schema: T.StructType, names: list[str] | None = None) -> Colu
 
     NULL columns are absent from the object (columnar logs have no JSON null).
     """
-    fields = {f.name: f.dataType for f in schema.fields}
-    keys = sorted(names if names is not None else fields)
-    pairs = [F.concat(F.lit(json_string_literal(k) + ": "), json_value(k, fields[k])) for k in keys]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
-
-
-def json_string_literal(s: str) -> str:
-    import json
-    return json.dumps(s)
+    return F.expr(canonical_json_sql(schema, names))
 
 
 def content_alert_id(rule_id: Column, canonical: Column) -> Column:

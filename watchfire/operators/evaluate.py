@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchfire.functions.fields import quote
-from watchfire.functions.ids import content_alert_id
+from watchfire.functions.ids import uuid5_sql
 from watchfire.plans.compile import with_rule_flags
 from watchfire.plans.rules import Rule, split_rules
 from watchfire.sources.logs import LogView
@@ -59,16 +59,22 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
 
 def alert_projection(view: LogView, matched: DataFrame, alert_id: Column | None = None,
                      extra: list[Column] | None = None) -> DataFrame:
-    """The alert row; the rule is in the ``_wf_rule`` struct column."""
-    rid = F.col("_wf_rule.rule_id")
-    aid = content_alert_id(rid, view.canonical) if alert_id is None else alert_id
-    return matched.select(
-        aid.alias("alert_id"), rid.alias("rule_id"),
+    """The alert row; the rule is in the ``_wf_rule`` struct column.
+
+    The canonical text is computed once and feeds both the id (J2) and, for columnar
+    logs, the embedded raw log.
+    """
+    same = view.raw_json is view.canonical
+    staged = matched.select("*", view.canonical.alias("_wf_canon"),
+                            *([] if same else [view.raw_json.alias("_wf_raw")]))
+    aid = F.expr(uuid5_sql("concat(`_wf_rule`.`rule_id`, ':', `_wf_canon`)")) if alert_id is None else alert_id
+    return staged.select(
+        aid.alias("alert_id"), F.col("_wf_rule.rule_id").alias("rule_id"),
         F.col("_wf_rule.rule_title").alias("rule_title"),
         F.col("_wf_rule.severity").alias("severity"),
         matched_at().alias("matched_at"),
         view.host.alias("host"),
-        view.raw_json.alias("raw_log"),
+        F.col("_wf_canon" if same else "_wf_raw").alias("raw_log"),
         *[F.col(quote(k)) for k in view.keep],
         *(extra or []),
     )

@@ -1,20 +1,20 @@
 """Compile selection groups and conditions to Catalyst expressions.
 
 The condition grammar (``and`` below ``not``, ``or`` lowest, parentheses as separate
-tokens) is a subset of Spark SQL boolean expressions with the same precedence, so the
-token list is checked here and handed to ``F.expr``; Catalyst does the parsing.
+tokens) is a subset of Spark SQL boolean expressions with the same precedence. The token
+list is checked here, every group name is replaced by its predicate in parentheses and the
+result is handed to ``F.expr``: Catalyst does the parsing, one expression per rule.
 """
 
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchfire.errors import RuleError
-from watchfire.functions.fields import Fields, quote, rule_text
+from watchfire.functions.fields import Fields, quote, rule_text, sql_text
 from watchfire.plans.rules import Rule
 
 log = logging.getLogger(__name__)
@@ -34,44 +34,49 @@ def _flatten(values) -> list:
     return out
 
 
-def term_predicate(fields: Fields, key: str, expected) -> Column:
+def split_key(key: str) -> tuple[str, str | None]:
+    """``field|modifier`` at the first pipe (``a|contains|all`` has modifier ``contains|all``)."""
+    if "|" in key:
+        name, mod = key.split("|", 1)
+        return name, mod
+    return key, None
+
+
+def term_sql(fields: Fields, key: str, expected) -> str:
     """One ``field[|modifier]: value-or-list`` entry of a selection group.
 
     P1-P7, P14: absent field is false; a list is OR over its items (empty list is false);
     an unknown modifier is false.
     """
-    name, modifier = (key.split("|", 1) + [None])[:2] if "|" in key else (key, None)
+    name, modifier = split_key(key)
     if modifier is not None and modifier not in MODIFIERS:
         log.warning("unknown modifier %r in %r: the term never matches", modifier, key)
-        return F.lit(False)
+        return "false"
     values = [rule_text(v) for v in (_flatten(expected) if isinstance(expected, list) else [expected])]
-    if not values:
-        return F.lit(False)
-    if hasattr(fields, "has") and not fields.has(name):
-        return F.lit(False)
+    if not values or not fields.has(name):
+        return "false"
     if modifier is None:
-        return fields.present(name) & fields.equals_any(name, values)
-    txt = fields.text(name)
-    method = {"contains": txt.contains, "startswith": txt.startswith, "endswith": txt.endswith}[modifier]
-    match = None
-    for v in values:
-        m = method(F.lit(v))
-        match = m if match is None else (match | m)
-    return fields.present(name) & match
+        match = fields.equals_any_sql(name, values)
+    else:
+        txt = fields.text_sql(name)
+        match = " OR ".join(f"{modifier}({txt}, {sql_text(v)})" for v in dict.fromkeys(values))
+    return f"({fields.present_sql(name)} AND ({match}))"
 
 
-def group_predicate(fields: Fields, group, rule_id: str = "", group_name: str = "") -> Column:
-    """AND over the entries of a selection group; an empty group is true."""
+def group_sql(fields: Fields, group, rule_id: str = "", group_name: str = "") -> str:
+    """AND over the entries of a selection group; an empty group is true.
+
+    Never NULL: presence gates every comparison, so ``not`` stays two-valued (T4) and no
+    ``coalesce`` is needed (it would block filter pushdown).
+    """
     if not isinstance(group, dict):
         raise RuleError(f"rule {rule_id!r}: selection group {group_name!r} must be a mapping")
-    pred = None
-    for key, expected in group.items():
-        term = term_predicate(fields, str(key), expected)
-        pred = term if pred is None else (pred & term)
-    if pred is None:
-        return F.lit(True)
-    # never NULL: presence gates every comparison, so no coalesce (it would block pushdown)
-    return pred
+    terms = [term_sql(fields, str(k), v) for k, v in group.items()]
+    return "(" + " AND ".join(terms) + ")" if terms else "true"
+
+
+def group_predicate(fields: Fields, group, rule_id: str = "", group_name: str = "") -> Column:
+    return F.expr(group_sql(fields, group, rule_id, group_name))
 
 
 def check_condition(tokens: list[str], groups: dict) -> None:
@@ -105,53 +110,35 @@ def check_condition(tokens: list[str], groups: dict) -> None:
         raise RuleError("incomplete condition")
 
 
-@dataclass
-class CompiledCondition:
-    """Group predicates by placeholder column name, and the condition over those names."""
-    group_columns: dict[str, Column]
-    condition_sql: str
-
-    def column(self) -> Column:
-        return F.expr(self.condition_sql)
-
-
-def compile_condition(rule: Rule, fields: Fields, prefix: str, condition: str | None = None) -> CompiledCondition:
-    """Validate a plain rule's condition and build its group predicates.
-
-    Group predicates are bound to the names ``{prefix}{i}``; the returned SQL refers to them.
-    """
+def rule_sql(rule: Rule, fields: Fields, condition: str | None = None) -> str:
+    """The whole rule (or ``condition`` over its groups) as one SQL boolean expression."""
     groups = rule.groups
     tokens = (rule.condition if condition is None else condition).split()
     try:
         check_condition(tokens, groups)
     except RuleError as exc:
         raise RuleError(f"rule {rule.id!r}: {exc}") from None
-    names: dict[str, str] = {}
-    cols: dict[str, Column] = {}
+    cache: dict[str, str] = {}
+    out = []
     for tok in tokens:
-        if tok in KEYWORDS or tok in names:
-            continue
-        names[tok] = f"{prefix}{len(names)}"
-        cols[names[tok]] = group_predicate(fields, groups[tok], rule.id, tok)
-    sql = " ".join(quote(names[t]) if t in names else t for t in tokens)
-    return CompiledCondition(cols, sql)
+        if tok in KEYWORDS:
+            out.append(tok.upper() if tok.isalpha() else tok)
+        else:
+            if tok not in cache:
+                cache[tok] = group_sql(fields, groups[tok], rule.id, tok)
+            out.append(cache[tok])
+    return " ".join(out)
+
+
+def compile_rule(rule: Rule, fields: Fields, condition: str | None = None) -> Column:
+    """A rule as one boolean Column."""
+    return F.expr(rule_sql(rule, fields, condition))
 
 
 def with_rule_flags(df: DataFrame, rules: list[Rule], fields: Fields, prefix: str = "__r",
                     conditions: list[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """Add one boolean column per rule; returns the frame and the flag column names.
-
-    Group predicates become helper columns, then each condition is handed to ``F.expr``
-    over them. Both projections collapse into one in the optimised plan.
-    """
-    helpers: list[Column] = []
-    flags: list[Column] = []
-    names: list[str] = []
-    for i, rule in enumerate(rules):
-        cc = compile_condition(rule, fields, f"{prefix}{i}_g", None if conditions is None else conditions[i])
-        helpers.extend(c.alias(n) for n, c in cc.group_columns.items())
-        names.append(f"{prefix}{i}")
-        flags.append(cc.column().alias(names[-1]))
-    base = df.columns
-    staged = df.select("*", *helpers)
-    return staged.select(*[F.col(quote(c)) for c in base], *flags), names
+    """Add one boolean column per rule; returns the frame and the flag column names."""
+    names = [f"{prefix}{i}" for i in range(len(rules))]
+    flags = [compile_rule(r, fields, None if conditions is None else conditions[i]).alias(n)
+             for i, (r, n) in enumerate(zip(rules, names))]
+    return df.select("*", *flags), names
