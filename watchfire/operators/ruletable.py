@@ -108,21 +108,29 @@ def field_pairs(view: LogView, fields: list[str], key_cols: list[str]) -> DataFr
 
 def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fields: list[str],
                   broadcast_ok: bool) -> DataFrame:
-    """``(key..., rule_ord)`` for every log and table rule that matches."""
+    """``(key..., rule_ord)`` for every log and table rule that matches.
+
+    One scan of the logs: each (field, value) pair is offered twice, once keyed by its value
+    (meets equality terms) and once keyed by its field alone (meets modifier terms, checked
+    by the residual predicate). One join, then one shuffle by the log key serves every
+    later grouping (they all group by supersets of it).
+    """
     pairs = field_pairs(view, fields, key_cols)
-    cond = F.broadcast(conditions) if broadcast_ok else conditions
-    eq = cond.where(F.col("modifier").isNull())
-    mod = cond.where(F.col("modifier").isin(*MODIFIERS))
+    offers = pairs.select(*[F.col(quote(k)) for k in key_cols], "field", F.col("value").alias("log_value"),
+                          F.inline(F.array(F.struct(F.lit("eq").alias("kind"), F.col("value").alias("jv")),
+                                           F.struct(F.lit("mod").alias("kind"), F.lit("").alias("jv")))))
+    cond = conditions.where(F.col("modifier").isNull() | F.col("modifier").isin(*MODIFIERS)).select(
+        "rule_ord", "clause", "term", "clause_terms", "field", "modifier", "value",
+        F.when(F.col("modifier").isNull(), F.lit("eq")).otherwise(F.lit("mod")).alias("kind"),
+        F.when(F.col("modifier").isNull(), F.col("value")).otherwise(F.lit("")).alias("jv"))
+    cond = F.broadcast(cond) if broadcast_ok else cond
+    lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
+    residual = (m.isNull() | ((m == "contains") & lv.contains(cv)) | ((m == "startswith") & lv.startswith(cv))
+                | ((m == "endswith") & lv.endswith(cv)))
+    met = offers.join(cond, on=["field", "kind", "jv"], how="inner").where(residual)
     c = [F.col(quote(k)) for k in key_cols]
-    hit_eq = pairs.join(eq, on=["field", "value"], how="inner")
-    residual = (F.when(mod.modifier == "contains", pairs.value.contains(mod.value))
-                .when(mod.modifier == "startswith", pairs.value.startswith(mod.value))
-                .otherwise(pairs.value.endswith(mod.value)))
-    hit_mod = pairs.join(mod, (pairs.field == mod.field) & residual, "inner").select(
-        *[pairs[k] for k in key_cols], mod.rule_ord, mod.clause, mod.term, mod.clause_terms)
-    met = (hit_eq.select(*c, "rule_ord", "clause", "term", "clause_terms")
-           .unionByName(hit_mod).distinct())
-    done = (met.groupBy(*c, "rule_ord", "clause", "clause_terms").agg(F.count(F.lit(1)).alias("n"))
+    met = met.select(*c, "rule_ord", "clause", "term", "clause_terms").repartition(*c)
+    done = (met.distinct().groupBy(*c, "rule_ord", "clause", "clause_terms").agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") == F.col("clause_terms")))
     return done.select(*c, "rule_ord").distinct()
 
