@@ -540,3 +540,73 @@ def rule_table_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["rule_table_alerts"] = rule_table_alerts
 ORACLES["rule_table_alerts"] = ORACLES["rule_set_alerts"]
+
+
+# --- JSON-text logs (S2), coarse bursts (A10), stream dedup (K3), empty rule set (E5) ----------
+
+def events_json_view(spark: SparkSession, sf_dir: str):
+    """The events as raw JSON text, decoded back with the quarantine split."""
+    from watchfire.sources.logs import decode_json_logs, json_view
+    logs = events_logs(spark, sf_dir).drop("_wf_ts")
+    raw = logs.select(F.to_json(F.struct(*logs.columns)).alias("value"))
+    good, _ = decode_json_logs(raw)
+    good = good.withColumn("event_id", F.col("_wf_fields")["event_id"].cast("long"))
+    return json_view(good, order_cols=["event_id"], keep=["event_id"])
+
+
+def json_log_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + E1: the plain rules over decoded JSON text (map fields, open schema)."""
+    plain, _ = split_rules(list(rule_pack("events")))
+    view = events_json_view(spark, sf_dir)
+    return alert_projection(view, match_rules(view, plain)).select("rule_id", "rule_title", "severity", "host",
+                                                                    "event_id")
+
+
+def coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: error logs per host in sliding 24-hour windows every 6 hours, above 2."""
+    from watchfire.streaming.bursts import coarse_bursts as _coarse
+    from watchfire.streaming.pipeline import burst_rows
+    _, bursts = split_rules(list(rule_pack("events")))
+    rows = burst_rows(events_view(spark, sf_dir), bursts)
+    out = _coarse(rows, window="24 hours", slide="6 hours", threshold=2)
+    return out.select((F.unix_micros(F.col("window.start")) / 1_000_000).cast("long").alias("window_start"),
+                      F.col("_wf_key").alias("host"), "window_count")
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K3: the detection stream publishes plain and burst alerts; a second stream (the
+    store side) reads the published alerts and drops repeated ids within the watermark."""
+    from watchfire.streaming.pipeline import dedup_stream, stream_burst_alerts
+    from watchfire.streaming.sources import table_stream
+    from watchfire.sources.testdata import events_logs_from
+    plain, bursts = split_rules(list(rule_pack("events")))
+    view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events")))
+    t = F.timestamp_micros(view.event_us).alias("event_time")
+    cols = ["alert_id", "rule_id", "host", "event_time"]
+    p = alert_projection(view, match_rules(view, plain), extra=[t]).select(*cols)
+    b = stream_burst_alerts(view, bursts, watermark="30 days").select(*cols)
+    published = _run_stream(spark, p.unionByName(b), "published")
+    topic = published.inputFiles()[0].rsplit("/", 1)[0]
+    alerts = spark.readStream.schema(published.schema).parquet(topic)
+    out = dedup_stream(alerts, "event_time", watermark="30 days").select("alert_id", "rule_id", "host")
+    return _run_stream(spark, out, "dedup")
+
+
+def empty_rule_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: no rules, no alerts, same columns."""
+    return evaluate(events_view(spark, sf_dir), []).select(*PLAIN_COLUMNS)
+
+
+QUERIES.update({"json_log_alerts": json_log_alerts, "coarse_bursts": coarse_bursts,
+                "stream_dedup": stream_dedup, "empty_rule_set": empty_rule_set})
+ORACLES["json_log_alerts"] = f"WITH {EVENTS_LOGS} " + " UNION ALL ".join(
+    f"SELECT '{rid}' AS rule_id, '{t}' AS rule_title, '{lvl}' AS severity, host, event_id FROM logs WHERE {w}"
+    for rid, (t, lvl, w) in PLAIN_SQL.items())
+ORACLES["coarse_bursts"] = f"""WITH {EVENTS_LOGS},
+w AS (SELECT host, (t_us // 21600000000 - k) * 21600 AS window_start
+      FROM logs, unnest(generate_series(0, 3)) AS g(k) WHERE log_type = 'error')
+SELECT window_start, host, count(*) AS window_count FROM w GROUP BY window_start, host HAVING count(*) > 2"""
+ORACLES["stream_dedup"] = _published() + "SELECT DISTINCT alert_id, rule_id, host FROM published"
+ORACLES["empty_rule_set"] = (f"WITH {EVENTS_LOGS} SELECT CAST(NULL AS VARCHAR) AS alert_id, CAST(NULL AS VARCHAR) AS rule_id, "
+                             "CAST(NULL AS VARCHAR) AS rule_title, CAST(NULL AS VARCHAR) AS severity, host, event_id "
+                             "FROM logs WHERE false")

@@ -62,7 +62,8 @@ def stream_burst_alerts(view: LogView, rules: list[Rule], watermark: str = "1 ho
         bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
         _case(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
         _case(k, [F.lit(r.level) for r in rules]).alias("severity"),
-        matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count")
+        matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count",
+        F.timestamp_micros("_wf_t").alias("event_time"))
 
 
 def detection_stream(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
