@@ -18,7 +18,7 @@ from watchfire.operators.evaluate import evaluate, match_rules, alert_projection
 from watchfire.operators import store as S
 from watchfire.plans.rules import Rule, load_rules, split_rules
 from watchfire.sources.testdata import events_view, lineitem_view, events_logs, read_table
-from watchfire.functions.timeutil import ntz_micros
+from watchfire.functions.timeutil import iso_text_micros, ntz_micros
 
 RULES_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules")
 PLAIN_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "host", "event_id"]
@@ -610,3 +610,46 @@ ORACLES["stream_dedup"] = _published() + "SELECT DISTINCT alert_id, rule_id, hos
 ORACLES["empty_rule_set"] = (f"WITH {EVENTS_LOGS} SELECT CAST(NULL AS VARCHAR) AS alert_id, CAST(NULL AS VARCHAR) AS rule_id, "
                              "CAST(NULL AS VARCHAR) AS rule_title, CAST(NULL AS VARCHAR) AS severity, host, event_id "
                              "FROM logs WHERE false")
+
+
+# --- ids and JSON fields (J2-J4, J9, S2, Q7) ---------------------------------------------------
+
+def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + J9: content ids and the embedded raw-log text of one plain rule's alerts."""
+    view = events_view(spark, sf_dir)
+    return alert_projection(view, match_rules(view, [events_rule("ev-props-contains-001")])).select(
+        "alert_id", "rule_id", "event_id", "raw_log")
+
+
+def bucket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + J4: burst ids and their time buckets; one id per (rule, host, bucket)."""
+    from watchfire.functions.ids import time_bucket
+    _, bursts = split_rules(list(rule_pack("events")))
+    view = events_view(spark, sf_dir)
+    b = burst_alerts(view, bursts)
+    day = F.get_json_object("raw_log", "$.timestamp")
+    return b.select("alert_id", "rule_id", "host", "event_id",
+                    time_bucket(iso_text_micros(day), 86400).alias("bucket"))
+
+
+def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + Q7: the ``props`` JSON of each event decoded to fields; a rule on field ``k``."""
+    from watchfire.sources.logs import decode_json_logs, json_view
+    ev = read_table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
+    good, _ = decode_json_logs(ev)
+    view = json_view(good, order_cols=["event_id"], keep=["event_id"])
+    rule = Rule(id="ev-k-round-001", title="k is a round number", level="low",
+                detection={"sel": {"k": [10, 20, 30, 40, 50, 60, 70, 80, 90]}, "condition": "sel"})
+    m = match_rules(view, [rule])
+    return m.select("event_id", F.col("_wf_rule.rule_id").alias("rule_id"),
+                    view.fields.text("k").alias("k"))
+
+
+QUERIES.update({"content_ids": content_ids, "bucket_ids": bucket_ids, "json_fields": json_fields})
+ORACLES["content_ids"] = (f"WITH {EVENTS_LOGS} SELECT {sql_uuid5(repr('ev-props-contains-001:') + ' || ' + CANON)} AS alert_id, "
+                          f"'ev-props-contains-001' AS rule_id, event_id, {CANON} AS raw_log FROM logs "
+                          "WHERE contains(props, '\"k\": 4')")
+ORACLES["bucket_ids"] = (f"WITH {EVENTS_LOGS}, {_burst_select(', t_us // 86400000000 AS bucket')} "
+                         "SELECT alert_id, rule_id, host, event_id, bucket FROM burst")
+ORACLES["json_fields"] = ("SELECT event_id, 'ev-k-round-001' AS rule_id, json_extract_string(props, '$.k') AS k "
+                          "FROM events WHERE json_extract_string(props, '$.k') IN ('10','20','30','40','50','60','70','80','90')")

@@ -171,7 +171,7 @@ RULES_FRAME_SCHEMA = "path string, id string, title string, level string, detect
 
 def rules_frame(spark: SparkSession, rules_dir: str) -> DataFrame:
     """S3 + S4 on Spark: every ``*.yml`` file as one row; invalid files carry an ``error``."""
-    texts = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.yml").text(rules_dir)
+    texts = (spark.read.text(rules_dir, wholetext=True, pathGlobFilter="*.yml", recursiveFileLookup=False)
              .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
     def parse(batches):
