@@ -122,3 +122,24 @@ def test_random_against_deque(logs_of, chunk_factor):
     v = logs_of([ev(t, h) for t, h in events])
     got = fired(v, [brule(n=3, tf="20s")], chunk_factor=chunk_factor)
     assert got == deque_reference(events, 20, 3)
+
+
+@pytest.mark.parametrize("max_rows", [5, 40, 10_000])
+def test_ranked_strategy_against_deque(logs_of, max_rows):
+    """The rank strategy (forced, with chunks narrowed to ~max_rows rows) equals the deque."""
+    rnd = random.Random(11)
+    events, t = [], 0
+    for _ in range(300):
+        t += rnd.choice([0, 0, 1, 3, 7])
+        events.append((t, rnd.choice("ab")))
+    v = logs_of([ev(t, h) for t, h in events])
+    got = fired(v, [brule(n=4, tf="15s")], strategy="ranked", max_group_rows=max_rows)
+    assert got == deque_reference(events, 15, 4)
+
+
+def test_auto_switches_to_ranked_on_a_hot_key(logs_of):
+    events = [(i // 3, "hot") for i in range(120)] + [(i * 50, "cold") for i in range(5)]
+    events.sort()
+    v = logs_of([ev(t, h) for t, h in events])
+    got = fired(v, [brule(n=5, tf="30s")], strategy="auto", max_group_rows=20)
+    assert got == deque_reference(events, 30, 5)

@@ -29,6 +29,8 @@ from watchfire.plans.rules import BurstSpec, Rule, burst_spec
 from watchfire.sources.logs import LogView
 
 DEFAULT_CHUNK_FACTOR = 4
+# A group above this many rows switches "auto" to the rank strategy.
+MAX_GROUP_ROWS = 5_000_000
 
 
 def sliding_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
@@ -68,15 +70,94 @@ def sliding_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order
     return out
 
 
+def sliding_counts_ranked(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
+                          window_us: int, chunk_us: int) -> DataFrame:
+    """A1 + A2 by global ranks, for keys too dense for :func:`sliding_counts`.
+
+    ``window_count = rank(t, order) - #rows at or before t - T`` within the key. Both are
+    global ranks: rows in earlier chunks (a small per-chunk count table with prefix sums)
+    plus a local count inside one chunk. The second rank is looked up by one probe row per
+    log placed at ``t - T``. Chunks can be as fine as wanted and nothing is copied, so a
+    key with a third of all rows inside one window still spreads over many tasks. Two
+    shuffles of the rows instead of one.
+    """
+    t = F.col(time_col)
+    keys = [F.col(quote(c)) for c in key_cols]
+    order = [F.col(quote(c)) for c in order_cols]
+    own = floor_div(t, chunk_us)
+    probe_t = t - F.lit(window_us)
+    probe_c = floor_div(probe_t, chunk_us)
+    payload = [c for c in rows.columns if c not in set(key_cols) | {time_col} | set(order_cols)]
+
+    # rows per chunk, every probe chunk present, and the rows before each chunk
+    marks = rows.select(*keys, F.inline(F.array(F.struct(own.alias("_wf_c"), F.lit(1).alias("_wf_one")),
+                                                F.struct(probe_c.alias("_wf_c"), F.lit(0).alias("_wf_one")))))
+    stats = marks.groupBy(*keys, "_wf_c").agg(F.sum("_wf_one").alias("_wf_n"))
+    prefix = Window.partitionBy(*keys).orderBy("_wf_c").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select(*keys, "_wf_c", F.coalesce(F.sum("_wf_n").over(prefix), F.lit(0)).alias("_wf_before"))
+
+    # stage 1: rank inside the own chunk, plus the rows of earlier chunks
+    local = Window.partitionBy(*keys, "_wf_c").orderBy(t, *order)
+    ranked = rows.withColumn("_wf_c", own).withColumn("_wf_lr", F.row_number().over(local))
+    ranked = ranked.join(stats, on=[*key_cols, "_wf_c"]).withColumn("_wf_rn", F.col("_wf_before") + F.col("_wf_lr"))
+
+    # stage 2: a marker per row at t and a probe per row at t - T, in the chunk of each
+    marker = F.struct(F.col("_wf_c").alias("_wf_pc"), t.alias("_wf_pt"), F.lit(0).alias("_wf_kind"),
+                      F.lit(None).cast("long").alias("_wf_rank"),
+                      F.lit(None).cast(rows.select(F.struct(t, *order, *[F.col(quote(c)) for c in payload]))
+                                       .schema[0].dataType).alias("_wf_row"))
+    probe = F.struct(probe_c.alias("_wf_pc"), probe_t.alias("_wf_pt"), F.lit(1).alias("_wf_kind"),
+                     F.col("_wf_rn").cast("long").alias("_wf_rank"),
+                     F.struct(t, *order, *[F.col(quote(c)) for c in payload]).alias("_wf_row"))
+    both = ranked.select(*keys, F.inline(F.array(marker, probe)))
+    seen = Window.partitionBy(*keys, "_wf_pc").orderBy("_wf_pt", "_wf_kind").rowsBetween(Window.unboundedPreceding, 0)
+    probes = (both.withColumn("_wf_le", F.sum(F.lit(1) - F.col("_wf_kind")).over(seen))
+              .where(F.col("_wf_kind") == 1)
+              .join(stats.withColumnRenamed("_wf_c", "_wf_pc"), on=[*key_cols, "_wf_pc"]))
+    count = F.col("_wf_rank") - F.col("_wf_before") - F.col("_wf_le")
+    return probes.select(*keys, F.col(f"_wf_row.{quote(time_col)}").alias(time_col),
+                         *[F.col(f"_wf_row.{quote(c)}").alias(c) for c in order_cols],
+                         count.alias("window_count"),
+                         *[F.col(f"_wf_row.{quote(c)}").alias(c) for c in payload])
+
+
+def windowed_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
+                    window_us: int, chunk_factor: int = DEFAULT_CHUNK_FACTOR, strategy: str = "auto",
+                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Pick the plan for A1/A2.
+
+    ``chunks`` (one shuffle, context copies into the next chunk) while every (key, chunk of
+    ``chunk_factor`` x T) holds at most ``max_group_rows`` rows; ``ranked`` otherwise, with
+    chunks narrowed so a chunk holds about ``max_group_rows`` rows. ``auto`` decides from a
+    pre-aggregated count per chunk (partial aggregation, key and time columns only).
+    """
+    chunk_us = window_us * max(1, chunk_factor)
+    if strategy == "chunks":
+        return sliding_counts(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
+                              window_us=window_us, chunk_us=chunk_us)
+    busiest = None
+    if strategy == "auto" or strategy == "ranked":
+        c = floor_div(F.col(time_col), chunk_us)
+        busiest = (rows.groupBy(*[F.col(quote(k)) for k in key_cols], c.alias("_wf_c")).count()
+                   .agg(F.max("count")).first()[0]) or 0
+    if strategy == "auto" and busiest <= max_group_rows:
+        return sliding_counts(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
+                              window_us=window_us, chunk_us=chunk_us)
+    fine = chunk_us if busiest <= max_group_rows else max(1000, int(chunk_us * max_group_rows / busiest))
+    return sliding_counts_ranked(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
+                                 window_us=window_us, chunk_us=fine)
+
+
 def burst_alerts(view: LogView, rules: list[Rule], *, chunk_factor: int = DEFAULT_CHUNK_FACTOR,
-                 include_count: bool = True) -> DataFrame:
+                 include_count: bool = True, strategy: str = "auto",
+                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """A1-A8 + J3: alerts of burst rules, with ``window_count`` per alert row."""
     specs = [burst_spec(r) for r in rules]
     by_window: dict[int, list[int]] = defaultdict(list)
     for i, s in enumerate(specs):
         by_window[s.window_seconds].append(i)
     parts = [_burst_group(view, [rules[i] for i in idx], [specs[i] for i in idx], idx,
-                          chunk_factor) for _, idx in sorted(by_window.items())]
+                          chunk_factor, strategy, max_group_rows) for _, idx in sorted(by_window.items())]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -84,10 +165,9 @@ def burst_alerts(view: LogView, rules: list[Rule], *, chunk_factor: int = DEFAUL
 
 
 def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordinals: list[int],
-                 chunk_factor: int) -> DataFrame:
+                 chunk_factor: int, strategy: str, max_group_rows: int) -> DataFrame:
     window_s = specs[0].window_seconds
     window_us = window_s * MICROS
-    chunk_us = window_us * max(1, chunk_factor)
     flagged, names = with_rule_flags(view.df, rules, view.fields, prefix="__b",
                                      conditions=[s.selection for s in specs])
     hits = F.filter(F.array(*[F.when(F.col(n), F.lit(k)) for k, n in enumerate(names)]),
@@ -110,8 +190,9 @@ def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordin
         view.id_time_us.alias("_wf_idt"),
         *[F.col(quote(k)) for k in view.keep],
     ).where(F.col("_wf_t").isNotNull())
-    counted = sliding_counts(rows, key_cols=["_wf_k", "_wf_key"], time_col="_wf_t", order_cols=order_names,
-                             window_us=window_us, chunk_us=chunk_us)
+    counted = windowed_counts(rows, key_cols=["_wf_k", "_wf_key"], time_col="_wf_t", order_cols=order_names,
+                              window_us=window_us, chunk_factor=chunk_factor, strategy=strategy,
+                              max_group_rows=max_group_rows)
     k = F.col("_wf_k")
     threshold = _case(k, [F.lit(s.threshold) for s in specs])
     fired = counted.where(F.col("window_count") > threshold)

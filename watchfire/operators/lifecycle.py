@@ -28,7 +28,7 @@ from watchfire.errors import RuleError
 from watchfire.functions.fields import field_value_text, quote
 from watchfire.functions.ids import bucket_alert_id, time_bucket
 from watchfire.functions.timeutil import MICROS
-from watchfire.operators.burst import DEFAULT_CHUNK_FACTOR, sliding_counts
+from watchfire.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
 from watchfire.operators.evaluate import alert_projection, match_rules, matched_at
 from watchfire.plans.compile import group_predicate
 from watchfire.plans.rules import Rule, build_rule, burst_spec
@@ -204,8 +204,8 @@ def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
             pick([F.lit(int(e["copies"])) for _, _, e in versions]).alias("_wf_copies"),
             *[F.col(quote(k)) for k in view.keep],
         ).where(F.col("_wf_t").isNotNull())
-        counted = sliding_counts(rows, key_cols=["_wf_rid", "_wf_key"], time_col="_wf_t", order_cols=order_names,
-                                 window_us=window_s * MICROS, chunk_us=window_s * MICROS * max(1, chunk_factor))
+        counted = windowed_counts(rows, key_cols=["_wf_rid", "_wf_key"], time_col="_wf_t", order_cols=order_names,
+                                  window_us=window_s * MICROS, chunk_factor=chunk_factor)
         fired = counted.where(F.col("window_count") > F.col("_wf_n"))
         fired = fired.withColumn("_wf_copy", F.explode(F.sequence(F.lit(1), F.col("_wf_copies").cast("int"))))
         parts.append(fired.select(
