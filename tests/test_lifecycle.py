@@ -3,9 +3,7 @@
 import json
 import random
 
-from watchfire.operators.lifecycle import (CHANGELOG_SCHEMA, active_rules, decode_envelopes, entries,
-                                           rule_count, with_errors, asof_alerts)
-from watchfire.plans.rules import Rule
+from watchfire.operators.lifecycle import active_rules, asof_alerts, decode_envelopes, rule_count, with_errors
 
 
 def payload(rid, tag="v"):

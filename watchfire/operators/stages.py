@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchfire.functions.fields import field_value_text
 from watchfire.functions.timeutil import MICROS, floor_div
 from watchfire.plans.compile import group_predicate
 from watchfire.sources.logs import LogView

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchfire.errors import RuleError
-from watchfire.functions.fields import Fields, quote, rule_text, sql_text
+from watchfire.functions.fields import Fields, rule_text, sql_text
 from watchfire.plans.rules import Rule
 
 log = logging.getLogger(__name__)

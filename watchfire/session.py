@@ -42,12 +42,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local runs, tests) a fresh scratch folder is made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+        current = current or sc.getCheckpointDir()
+    except Exception:  # remote session: no SparkContext
+        pass
     if not current:
         current = tempfile.mkdtemp(prefix="watchfire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

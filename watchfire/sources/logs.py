@@ -47,8 +47,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    except Exception:  # no RDD access (e.g. a remote session): keep the scan as it is
+        return df
 
 
 def table_view(df: DataFrame, *, time_col: str, order_cols: list[str], fields: list[str] | None = None,
