@@ -99,3 +99,19 @@ def test_stages_and_transitions_across_chunks(logs_of):
     got = {(r.from_stage, r.to_stage): (r.transitions, r.share) for r in stage_transitions(labels).collect()}
     assert got == {("brute_forcing", "brute_forcing"): (1, 0.5), ("brute_forcing", "compromised"): (1, 0.5),
                    ("compromised", "lateral_movement"): (1, 1.0), ("lateral_movement", "idle"): (1, 1.0)}
+
+
+def test_transitions_do_not_depend_on_chunking(logs_of):
+    import datetime as dt
+    import random
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+    logs, t = [], 0
+    for _ in range(200):
+        t += rnd.choice([0, 1, 30, 4000])
+        logs.append({"timestamp": (base + dt.timedelta(seconds=t)).isoformat(), "host": rnd.choice("ab"),
+                     "event_id": rnd.choice([4625, 4624, 4688, 1]), "process_name": "cmd.exe"})
+    labels = stage_labels(logs_of(logs), WINDOWS_STAGES)
+    whole = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=10 ** 7, max_group_rows=None).collect())
+    fine = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=3600, max_group_rows=7).collect())
+    assert whole == fine

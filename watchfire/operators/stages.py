@@ -35,17 +35,26 @@ def stage_labels(view: LogView, stages, default: str = DEFAULT_STAGE) -> DataFra
         *[F.col(k) for k in view.keep], expr.alias("stage"))
 
 
-def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400) -> DataFrame:
+def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_rows: int | None = 5_000_000
+                      ) -> DataFrame:
     """R2: ``from_stage, to_stage, transitions, share`` over consecutive logs of a host.
 
     Each host is cut into time chunks. Inside a chunk ``lag`` gives the transitions; the
     transition into a chunk pairs the previous chunk's last stage with this chunk's first,
-    taken from a per-chunk summary. A very busy host is spread over many chunks.
+    taken from a per-chunk summary. A very busy host is spread over many chunks; when a
+    pre-aggregated count shows a (host, chunk) above ``max_group_rows`` rows the chunks are
+    narrowed until they hold about that many (the result does not depend on the width).
     """
     order = [c for c in labels.columns if c.startswith("_wf_o")]
     pos = F.struct("t_us", *order)
-    rows = labels.where(F.col("t_us").isNotNull()).withColumn(
-        "_wf_chunk", floor_div(F.col("t_us"), chunk_seconds * MICROS))
+    chunk_us = chunk_seconds * MICROS
+    timed = labels.where(F.col("t_us").isNotNull())
+    if max_group_rows:
+        busiest = (timed.groupBy("host", floor_div(F.col("t_us"), chunk_us).alias("_wf_c")).count()
+                   .agg(F.max("count")).first()[0]) or 0
+        if busiest > max_group_rows:
+            chunk_us = max(1, int(chunk_us * max_group_rows / busiest))
+    rows = timed.withColumn("_wf_chunk", floor_div(F.col("t_us"), chunk_us))
     inner_w = Window.partitionBy("host", "_wf_chunk").orderBy("t_us", *order)
     inner = (rows.withColumn("from_stage", F.lag("stage").over(inner_w))
              .where(F.col("from_stage").isNotNull())
