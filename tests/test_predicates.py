@@ -169,3 +169,19 @@ def test_reference_pack_on_sample_logs(logs_of):
     assert got == [(0, "win-failed-login-001"), (1, "win-successful-login-001"), (2, "win-explicit-creds-001"),
                    (3, "win-privilege-use-001"), (4, "win-suspicious-process-001"), (6, "aws-s3-delete-001"),
                    (7, "aws-iam-create-user-001")]
+
+
+def test_json_decode_edge_cases(spark):
+    from watchfire.sources.logs import decode_json_logs
+    texts = ['{"a": 1, "a": 2}', '{"a": 1} trailing', "[1, 2]", '"text"', "not json", " {\"b\": {\"x\": [1, 2]}} "]
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, value string")
+    good, bad = decode_json_logs(df)
+    got = {r.seq: dict(r._wf_fields) for r in good.collect()}
+    assert got == {0: {"a": "2"}, 5: {"b": '{"x":[1,2]}'}}
+    assert sorted(r.seq for r in bad.collect()) == [1, 2, 3, 4]
+
+
+def test_repeated_key_log_gets_an_id(logs_of):
+    v = logs_of(['{"a": "x", "a": "y", "host": "h"}'])
+    rows = plain_alerts(v, [rule(sel(selection={"a": "y"}))]).collect()
+    assert len(rows) == 1 and rows[0].alert_id is not None

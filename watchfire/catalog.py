@@ -475,8 +475,9 @@ ORACLES.update({
         SELECT worker, CAST(sum(greatest(0, end_offset - position)) AS BIGINT) AS lag, count(*) AS partitions
         FROM o GROUP BY ROLLUP (worker)""",
     "processed_skipped": """WITH raw AS (SELECT props AS v FROM events UNION ALL SELECT text AS v FROM documents)
-        SELECT count(*) FILTER (WHERE json_valid(v) AND starts_with(ltrim(v), '{')) AS processed,
-               count(*) FILTER (WHERE NOT (json_valid(v) AND starts_with(ltrim(v), '{'))) AS skipped FROM raw""",
+        SELECT count(*) FILTER (WHERE json_valid(v) AND starts_with(trim(v), '{') AND ends_with(trim(v), '}')) AS processed,
+               count(*) FILTER (WHERE NOT (json_valid(v) AND starts_with(trim(v), '{') AND ends_with(trim(v), '}')))
+               AS skipped FROM raw""",
     "stage_labels": f"""WITH {EVENTS_LOGS} SELECT event_id, host, CASE WHEN log_type = 'error' THEN 'brute_forcing'
         WHEN log_type = 'signup' THEN 'compromised'
         WHEN log_type = 'purchase' AND (starts_with(CAST(value AS VARCHAR), '1') OR starts_with(CAST(value AS VARCHAR), '2')

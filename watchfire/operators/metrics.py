@@ -84,7 +84,8 @@ def consumer_lag(offsets: DataFrame) -> DataFrame:
 def decode_counts(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """M4: how many texts decode to a JSON object (processed) and how many are skipped."""
     parsed = F.from_json(F.col(quote(value_col)), "map<string,string>")
-    ok = parsed.isNotNull() & F.ltrim(F.col(quote(value_col))).startswith("{")
+    text = F.trim(F.col(quote(value_col)))
+    ok = parsed.isNotNull() & text.startswith("{") & text.endswith("}")
     return raw.agg(F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
 
 

@@ -84,11 +84,22 @@ def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame
     """Split raw JSON text into (decoded rows, quarantined rows).
 
     Decoded rows get a ``map<string,string>`` of the top-level keys; objects only. Nested
-    values keep their compact JSON text. Text that is not a JSON object is quarantined.
+    values keep their compact JSON text. A repeated key keeps its last value, as JSON
+    loaders do. Text that is not one JSON object (arrays, scalars, trailing text, broken
+    JSON) is quarantined. One parse per row.
     """
-    parsed = df.withColumn(FIELDS_MAP, F.from_json(F.col(quote(value_col)), "map<string,string>"))
-    is_object = F.col(FIELDS_MAP).isNotNull() & F.trim(F.col(quote(value_col))).startswith("{")
-    parsed = parsed.withColumn("_wf_ok", is_object)
+    v = F.col(quote(value_col))
+    m = F.from_json(v, "map<string,string>")
+    text = F.trim(v)
+    ok = m.isNotNull() & text.startswith("{") & text.endswith("}")
+    parsed = df.withColumn(FIELDS_MAP, m).withColumn("_wf_ok", F.coalesce(ok, F.lit(False)))
+    fm = F.col(FIELDS_MAP)
+    dup = F.size(F.array_distinct(F.map_keys(fm))) < F.size(fm)
+    entries = F.map_entries(fm)
+    last_wins = F.map_from_entries(F.filter(
+        entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(fm) - i - 1, F.lit(0))),
+                                        lambda x: x["key"] == e["key"])))
+    parsed = parsed.withColumn(FIELDS_MAP, F.when(dup, last_wins).otherwise(fm))
     good = parsed.where(F.col("_wf_ok")).drop("_wf_ok")
     bad = parsed.where(~F.col("_wf_ok")).drop("_wf_ok", FIELDS_MAP)
     return good, bad
@@ -108,7 +119,9 @@ def json_view(decoded: DataFrame, value_col: str = "value", order_cols: list[str
         df=decoded, fields=mf, field_names=None,
         host=field_value_text(mf, "host"),
         raw_json=raw,
-        canonical=F.to_json(F.try_parse_json(raw)),
+        # key-sorted JSON text; logs with repeated keys fall back to their decoded fields
+        canonical=F.coalesce(F.to_json(F.try_parse_json(raw)),
+                             F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.col(FIELDS_MAP)))))),
         event_us=us,
         id_time_us=us,
         order=[F.col(quote(c)) for c in (order_cols or [])],

@@ -106,5 +106,6 @@ def start_sink(alerts: DataFrame, *, checkpoint: str, store_path: str | None = N
 def observed_decode(raw: DataFrame, value_col: str = "value", name: str = "decode") -> DataFrame:
     """M4 on a stream: processed / skipped counts reported in each progress event."""
     parsed = F.from_json(F.col(quote(value_col)), "map<string,string>")
-    ok = parsed.isNotNull() & F.ltrim(F.col(quote(value_col))).startswith("{")
+    text = F.trim(F.col(quote(value_col)))
+    ok = parsed.isNotNull() & text.startswith("{") & text.endswith("}")
     return raw.observe(name, F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
