@@ -143,3 +143,22 @@ def test_auto_switches_to_ranked_on_a_hot_key(logs_of):
     v = logs_of([ev(t, h) for t, h in events])
     got = fired(v, [brule(n=5, tf="30s")], strategy="auto", max_group_rows=20)
     assert got == deque_reference(events, 30, 5)
+
+
+def test_reference_pack_brute_force(logs_of):
+    """The bundled brute-force rule: more than 5 failed logins per host within 60 s."""
+    import os
+    from watchfire.operators.evaluate import evaluate
+    from watchfire.plans.rules import load_rules
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules", "reference_pack")
+    rules = load_rules(root)
+    logs = [ev(i * 5, "ws-01") for i in range(7)] + [ev(100 + i * 20, "ws-02") for i in range(7)]
+    logs.sort(key=lambda x: x["timestamp"])
+    for x in logs:
+        x["log_type"] = "windows_event"
+    alerts = evaluate(logs_of(logs), rules).collect()
+    brute = sorted((a.host, a.rule_id) for a in alerts if a.rule_id == "win-brute-force-001")
+    failed = [a for a in alerts if a.rule_id == "win-failed-login-001"]
+    assert brute == [("ws-01", "win-brute-force-001"), ("ws-01", "win-brute-force-001")]
+    assert len(failed) == 14
+    assert {a.severity for a in alerts if a.rule_id == "win-brute-force-001"} == {"high"}
