@@ -1,5 +1,5 @@
 """Detection analytics on Spark: declarative rules compiled to Catalyst expressions."""
 
-from watchfire.errors import RuleError
+from ruleweave.errors import RuleError
 
 __all__ = ["RuleError"]

@@ -13,12 +13,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfire.operators.burst import burst_alerts
-from watchfire.operators.evaluate import evaluate, match_rules, alert_projection
-from watchfire.operators import store as S
-from watchfire.plans.rules import Rule, load_rules, split_rules
-from watchfire.sources.testdata import events_view, lineitem_view, events_logs, read_table
-from watchfire.functions.timeutil import iso_text_micros, ntz_micros
+from ruleweave.operators.burst import burst_alerts
+from ruleweave.operators.evaluate import evaluate, match_rules, alert_projection
+from ruleweave.operators import store as S
+from ruleweave.plans.rules import Rule, load_rules, split_rules
+from ruleweave.sources.testdata import events_view, lineitem_view, events_logs, read_table
+from ruleweave.functions.timeutil import iso_text_micros, ntz_micros
 
 RULES_ROOT = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules")
 PLAIN_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "host", "event_id"]
@@ -322,7 +322,7 @@ CHANGELOG = [
 
 def events_changelog(spark: SparkSession) -> DataFrame:
     import json as _json
-    from watchfire.operators.lifecycle import decode_envelopes, directory_changelog
+    from ruleweave.operators.lifecycle import decode_envelopes, directory_changelog
 
     directory = [events_rule("ev-purchase-001"), events_rule("ev-error-burst-001")]
     raw = spark.createDataFrame([(i + 1, _day_us(d), _json.dumps(e)) for i, (d, e) in enumerate(CHANGELOG)],
@@ -332,7 +332,7 @@ def events_changelog(spark: SparkSession) -> DataFrame:
 
 
 def asof_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from watchfire.operators.lifecycle import asof_alerts as _asof
+    from ruleweave.operators.lifecycle import asof_alerts as _asof
     view = events_view(spark, sf_dir)
     return _asof(view, events_changelog(spark)).select(*PLAIN_COLUMNS)
 
@@ -385,20 +385,20 @@ def _events_timed(spark, sf_dir):
 
 
 def throughput(spark, sf_dir):
-    from watchfire.operators.metrics import throughput as _tp
+    from ruleweave.operators.metrics import throughput as _tp
     ev = _events_timed(spark, sf_dir).withColumn("window_start", (F.col("t_us") - F.pmod("t_us", F.lit(60_000_000))) / 1_000_000)
     return _tp(ev.withColumn("window_start", F.col("window_start").cast("long")), "window_start", "worker", unit=None)
 
 
 def latency_quantile(spark, sf_dir):
-    from watchfire.operators.metrics import latency_summary
+    from ruleweave.operators.metrics import latency_summary
     ev = _events_timed(spark, sf_dir).withColumn("day", ((F.col("t_us") - F.pmod("t_us", F.lit(86_400_000_000)))
                                                          / 86_400_000_000).cast("long"))
     return latency_summary(ev, "value", ["day"])
 
 
 def consumer_lag(spark, sf_dir):
-    from watchfire.operators.metrics import consumer_lag as _lag
+    from ruleweave.operators.metrics import consumer_lag as _lag
     ev = _events_timed(spark, sf_dir)
     cut = _day_us(20)
     offsets = ev.groupBy("worker", "partition").agg(F.count(F.lit(1)).alias("end_offset"),
@@ -407,7 +407,7 @@ def consumer_lag(spark, sf_dir):
 
 
 def processed_skipped(spark, sf_dir):
-    from watchfire.operators.metrics import decode_counts
+    from ruleweave.operators.metrics import decode_counts
     raw = read_table(spark, sf_dir, "events").select(F.col("props").alias("value")).unionByName(
         read_table(spark, sf_dir, "documents").select(F.col("text").alias("value")))
     return decode_counts(raw)
@@ -422,12 +422,12 @@ EVENTS_STAGES = [
 
 
 def stage_labels(spark, sf_dir):
-    from watchfire.operators.stages import stage_labels as _labels
+    from ruleweave.operators.stages import stage_labels as _labels
     return _labels(events_view(spark, sf_dir), EVENTS_STAGES).select("event_id", "host", "stage")
 
 
 def stage_transitions(spark, sf_dir):
-    from watchfire.operators.stages import stage_labels as _labels, stage_transitions as _tr
+    from ruleweave.operators.stages import stage_labels as _labels, stage_transitions as _tr
     return _tr(_labels(events_view(spark, sf_dir), EVENTS_STAGES))
 
 
@@ -496,7 +496,7 @@ ORACLES["stage_transitions"] = ("WITH " + EVENTS_LOGS + ", s AS (SELECT host, t_
 
 def _run_stream(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     import uuid as _uuid
-    from watchfire.session import scratch_path
+    from ruleweave.session import scratch_path
     base = scratch_path(spark, "stream-queries", f"{tag}-{_uuid.uuid4().hex}")
     q = (df.writeStream.format("parquet").option("path", base + "/out")
          .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
@@ -506,9 +506,9 @@ def _run_stream(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
 
 def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events burst rule on a stream of the events table, same answer as the batch."""
-    from watchfire.streaming.pipeline import stream_burst_alerts
-    from watchfire.streaming.sources import table_stream
-    from watchfire.sources.testdata import events_logs_from
+    from ruleweave.streaming.pipeline import stream_burst_alerts
+    from ruleweave.streaming.sources import table_stream
+    from ruleweave.sources.testdata import events_logs_from
     _, bursts = split_rules(list(rule_pack("events")))
     stream = events_logs_from(table_stream(spark, sf_dir, "events"))
     out = stream_burst_alerts(events_view(spark, sf_dir, df=stream), bursts, watermark="30 days")
@@ -517,9 +517,9 @@ def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E3/E4 on a stream: the plain rules of the events pack, stateless."""
-    from watchfire.streaming.pipeline import detection_stream
-    from watchfire.streaming.sources import table_stream
-    from watchfire.sources.testdata import events_logs_from
+    from ruleweave.streaming.pipeline import detection_stream
+    from ruleweave.streaming.sources import table_stream
+    from ruleweave.sources.testdata import events_logs_from
     plain, _ = split_rules(list(rule_pack("events")))
     stream = events_logs_from(table_stream(spark, sf_dir, "events"))
     out = detection_stream(events_view(spark, sf_dir, df=stream), plain)
@@ -534,7 +534,7 @@ ORACLES["stream_alerts"] = ORACLES["rule_set_alerts"]
 
 def rule_table_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plain rules of the events pack joined as data (compiled path for the rest)."""
-    from watchfire.operators.ruletable import table_alerts
+    from ruleweave.operators.ruletable import table_alerts
     plain, _ = split_rules(list(rule_pack("events")))
     return table_alerts(spark, events_view(spark, sf_dir), plain, key_cols=["event_id"]).select(*PLAIN_COLUMNS)
 
@@ -547,7 +547,7 @@ ORACLES["rule_table_alerts"] = ORACLES["rule_set_alerts"]
 
 def events_json_view(spark: SparkSession, sf_dir: str):
     """The events as raw JSON text, decoded back with the quarantine split."""
-    from watchfire.sources.logs import decode_json_logs, json_view
+    from ruleweave.sources.logs import decode_json_logs, json_view
     logs = events_logs(spark, sf_dir).drop("_wf_ts")
     raw = logs.select(F.to_json(F.struct(*logs.columns)).alias("value"))
     good, _ = decode_json_logs(raw)
@@ -565,8 +565,8 @@ def json_log_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: error logs per host in sliding 24-hour windows every 6 hours, above 2."""
-    from watchfire.streaming.bursts import coarse_bursts as _coarse
-    from watchfire.streaming.pipeline import burst_rows
+    from ruleweave.streaming.bursts import coarse_bursts as _coarse
+    from ruleweave.streaming.pipeline import burst_rows
     _, bursts = split_rules(list(rule_pack("events")))
     rows = burst_rows(events_view(spark, sf_dir), bursts)
     out = _coarse(rows, window="24 hours", slide="6 hours", threshold=2)
@@ -577,9 +577,9 @@ def coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K3: the detection stream publishes plain and burst alerts; a second stream (the
     store side) reads the published alerts and drops repeated ids within the watermark."""
-    from watchfire.streaming.pipeline import dedup_stream, stream_burst_alerts
-    from watchfire.streaming.sources import table_stream
-    from watchfire.sources.testdata import events_logs_from
+    from ruleweave.streaming.pipeline import dedup_stream, stream_burst_alerts
+    from ruleweave.streaming.sources import table_stream
+    from ruleweave.sources.testdata import events_logs_from
     plain, bursts = split_rules(list(rule_pack("events")))
     view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events")))
     t = F.timestamp_micros(view.event_us).alias("event_time")
@@ -624,7 +624,7 @@ def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bucket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + J4: burst ids and their time buckets; one id per (rule, host, bucket)."""
-    from watchfire.functions.ids import time_bucket
+    from ruleweave.functions.ids import time_bucket
     _, bursts = split_rules(list(rule_pack("events")))
     view = events_view(spark, sf_dir)
     b = burst_alerts(view, bursts)
@@ -635,7 +635,7 @@ def bucket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + Q7: the ``props`` JSON of each event decoded to fields; a rule on field ``k``."""
-    from watchfire.sources.logs import decode_json_logs, json_view
+    from ruleweave.sources.logs import decode_json_logs, json_view
     ev = read_table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
     good, _ = decode_json_logs(ev)
     view = json_view(good, order_cols=["event_id"], keep=["event_id"])

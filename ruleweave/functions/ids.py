@@ -17,8 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.functions.fields import quote, sql_text
-from watchfire.functions.timeutil import MICROS, floor_div
+from ruleweave.functions.fields import quote, sql_text
+from ruleweave.functions.timeutil import MICROS, floor_div
 
 # Fixed value: the RFC 4122 OID namespace UUID, as hex.
 NAMESPACE_OID_HEX = "6ba7b8129dad11d180b400c04fd430c8"

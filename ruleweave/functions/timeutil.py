@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.errors import RuleError
-from watchfire.functions.fields import quote
+from ruleweave.errors import RuleError
+from ruleweave.functions.fields import quote
 
 # Timeframe syntax and unit lengths in seconds.
 TIMEFRAME_PATTERN = re.compile(r"^(\d+)([smh])$")

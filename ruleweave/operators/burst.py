@@ -20,13 +20,13 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchfire.functions.fields import field_value_text, quote
-from watchfire.functions.ids import bucket_alert_id, time_bucket
-from watchfire.functions.timeutil import MICROS, floor_div
-from watchfire.operators.evaluate import matched_at
-from watchfire.plans.compile import with_rule_flags
-from watchfire.plans.rules import BurstSpec, Rule, burst_spec
-from watchfire.sources.logs import LogView
+from ruleweave.functions.fields import field_value_text, quote
+from ruleweave.functions.ids import bucket_alert_id, time_bucket
+from ruleweave.functions.timeutil import MICROS, floor_div
+from ruleweave.operators.evaluate import matched_at
+from ruleweave.plans.compile import with_rule_flags
+from ruleweave.plans.rules import BurstSpec, Rule, burst_spec
+from ruleweave.sources.logs import LogView
 
 DEFAULT_CHUNK_FACTOR = 4
 # A group above this many rows switches "auto" to the rank strategy.

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchfire.functions.fields import quote
-from watchfire.functions.ids import uuid5_sql
-from watchfire.plans.compile import with_rule_flags
-from watchfire.plans.rules import Rule, split_rules
-from watchfire.sources.logs import LogView
+from ruleweave.functions.fields import quote
+from ruleweave.functions.ids import uuid5_sql
+from ruleweave.plans.compile import with_rule_flags
+from ruleweave.plans.rules import Rule, split_rules
+from ruleweave.sources.logs import LogView
 
 ALERT_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
 MATCH_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -90,7 +90,7 @@ def evaluate(view: LogView, rules: list[Rule], **burst_options) -> DataFrame:
 
     An empty rule set gives an empty frame with the alert columns (E5).
     """
-    from watchfire.operators.burst import burst_alerts
+    from ruleweave.operators.burst import burst_alerts
 
     plain, bursts = split_rules(rules)
     out = plain_alerts(view, plain)

@@ -24,15 +24,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.errors import RuleError
-from watchfire.functions.fields import field_value_text, quote
-from watchfire.functions.ids import bucket_alert_id, time_bucket
-from watchfire.functions.timeutil import MICROS
-from watchfire.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
-from watchfire.operators.evaluate import alert_projection, match_rules, matched_at
-from watchfire.plans.compile import group_predicate
-from watchfire.plans.rules import Rule, build_rule, burst_spec
-from watchfire.sources.logs import LogView
+from ruleweave.errors import RuleError
+from ruleweave.functions.fields import field_value_text, quote
+from ruleweave.functions.ids import bucket_alert_id, time_bucket
+from ruleweave.functions.timeutil import MICROS
+from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
+from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
+from ruleweave.plans.compile import group_predicate
+from ruleweave.plans.rules import Rule, build_rule, burst_spec
+from ruleweave.sources.logs import LogView
 
 CHANGELOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), False),

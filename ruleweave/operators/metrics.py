@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchfire.functions.fields import quote
+from ruleweave.functions.fields import quote
 
 # Default latency bucket bounds (upper edges, "+Inf" implied last).
 DEFAULT_BOUNDS = (5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0)

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.errors import RuleError
-from watchfire.functions.fields import quote, rule_text
-from watchfire.operators.evaluate import alert_projection, match_rules
-from watchfire.plans.compile import MODIFIERS, _flatten, check_condition
-from watchfire.plans.rules import Rule, build_rule
-from watchfire.sources.logs import LogView
+from ruleweave.errors import RuleError
+from ruleweave.functions.fields import quote, rule_text
+from ruleweave.operators.evaluate import alert_projection, match_rules
+from ruleweave.plans.compile import MODIFIERS, _flatten, check_condition
+from ruleweave.plans.rules import Rule, build_rule
+from ruleweave.sources.logs import LogView
 
 CONDITIONS_SCHEMA = T.StructType([
     T.StructField("rule_ord", T.IntegerType()), T.StructField("rule_id", T.StringType()),

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchfire.functions.timeutil import MICROS, floor_div
-from watchfire.plans.compile import group_predicate
-from watchfire.sources.logs import LogView
+from ruleweave.functions.timeutil import MICROS, floor_div
+from ruleweave.plans.compile import group_predicate
+from ruleweave.sources.logs import LogView
 
 # Stages of the Windows attack sequence (first match wins).
 WINDOWS_STAGES = [

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.functions.fields import quote
+from ruleweave.functions.fields import quote
 
 # K5: the stored document layout.
 STORE_SCHEMA = T.StructType([

@@ -13,9 +13,9 @@ import logging
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from watchfire.errors import RuleError
-from watchfire.functions.fields import Fields, rule_text, sql_text
-from watchfire.plans.rules import Rule
+from ruleweave.errors import RuleError
+from ruleweave.functions.fields import Fields, rule_text, sql_text
+from ruleweave.plans.rules import Rule
 
 log = logging.getLogger(__name__)
 

@@ -14,8 +14,8 @@ from typing import Any
 
 import yaml
 
-from watchfire.errors import RuleError
-from watchfire.functions.timeutil import parse_timeframe
+from ruleweave.errors import RuleError
+from ruleweave.functions.timeutil import parse_timeframe
 
 REQUIRED = ("id", "title", "level", "detection")
 

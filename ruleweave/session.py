@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "watchfire", shuffle_partitions: int | None = None,
+def build_session(master: str | None = None, app: str = "ruleweave", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, pass your own builder settings instead."""
     builder = SparkSession.builder.appName(app)
@@ -49,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # remote session: no SparkContext
         pass
     if not current:
-        current = tempfile.mkdtemp(prefix="watchfire-ckpt-")
+        current = tempfile.mkdtemp(prefix="ruleweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

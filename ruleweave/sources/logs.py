@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from watchfire.functions.fields import ColumnFields, Fields, MapFields, field_value_text, quote
-from watchfire.functions.ids import canonical_json
-from watchfire.functions.timeutil import epoch_micros, iso_text_micros
+from ruleweave.functions.fields import ColumnFields, Fields, MapFields, field_value_text, quote
+from ruleweave.functions.ids import canonical_json
+from ruleweave.functions.timeutil import epoch_micros, iso_text_micros
 
 INTERNAL = "_wf_"
 FIELDS_MAP = "_wf_fields"

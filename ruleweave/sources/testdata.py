@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfire.sources.logs import LogView, table_view
+from ruleweave.sources.logs import LogView, table_view
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 

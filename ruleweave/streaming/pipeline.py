@@ -2,7 +2,7 @@
 
 ``detection_stream`` builds the alert stream from a log view over a streaming frame:
 plain rules are stateless; burst rules go through the keyed state of
-:mod:`watchfire.streaming.bursts`, one shuffle on (rule, key) for all of them.
+:mod:`ruleweave.streaming.bursts`, one shuffle on (rule, key) for all of them.
 
 ``start_sink`` runs it with a checkpoint (offsets are committed only after the sink
 wrote, K6) and a ``foreachBatch`` that publishes the batch (K1) and upserts it into the
@@ -15,16 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from watchfire.functions.fields import field_value_text, quote
-from watchfire.functions.ids import bucket_alert_id, time_bucket
-from watchfire.functions.timeutil import MICROS
-from watchfire.operators.evaluate import alert_projection, match_rules, matched_at
-from watchfire.operators.burst import _case
-from watchfire.operators.store import write_batch
-from watchfire.plans.compile import with_rule_flags
-from watchfire.plans.rules import Rule, burst_spec, split_rules
-from watchfire.sources.logs import LogView
-from watchfire.streaming.bursts import stateful_counts
+from ruleweave.functions.fields import field_value_text, quote
+from ruleweave.functions.ids import bucket_alert_id, time_bucket
+from ruleweave.functions.timeutil import MICROS
+from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
+from ruleweave.operators.burst import _case
+from ruleweave.operators.store import write_batch
+from ruleweave.plans.compile import with_rule_flags
+from ruleweave.plans.rules import Rule, burst_spec, split_rules
+from ruleweave.sources.logs import LogView
+from ruleweave.streaming.bursts import stateful_counts
 
 ALERT_OUT = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
 

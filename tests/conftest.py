@@ -10,8 +10,8 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from watchfire.session import build_session
-    s = build_session("local[4]", app="watchfire-tests", shuffle_partitions=4)
+    from ruleweave.session import build_session
+    s = build_session("local[4]", app="ruleweave-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
@@ -19,7 +19,7 @@ def spark():
 @pytest.fixture
 def logs_of(spark):
     """Build a JSON log view from Python dicts (arrival order = list order)."""
-    from watchfire.sources.logs import decode_json_logs, json_view
+    from ruleweave.sources.logs import decode_json_logs, json_view
 
     def make(items):
         rows = [(i, json.dumps(x) if not isinstance(x, str) else x) for i, x in enumerate(items)]

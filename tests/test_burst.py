@@ -7,9 +7,9 @@ from collections import deque
 
 import pytest
 
-from watchfire.errors import RuleError
-from watchfire.operators.burst import burst_alerts
-from watchfire.plans.rules import Rule, burst_spec
+from ruleweave.errors import RuleError
+from ruleweave.operators.burst import burst_alerts
+from ruleweave.plans.rules import Rule, burst_spec
 
 BASE = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 
@@ -80,7 +80,7 @@ def test_burst_ids_share_bucket(logs_of):
 
 
 def test_missing_timestamp_bucket_zero(spark):
-    from watchfire.functions.ids import time_bucket
+    from ruleweave.functions.ids import time_bucket
     from pyspark.sql import functions as F
     assert spark.range(1).select(time_bucket(F.lit(None).cast("long"), 60).alias("b")).first().b == 0
 
@@ -148,8 +148,8 @@ def test_auto_switches_to_ranked_on_a_hot_key(logs_of):
 def test_reference_pack_brute_force(logs_of):
     """The bundled brute-force rule: more than 5 failed logins per host within 60 s."""
     import os
-    from watchfire.operators.evaluate import evaluate
-    from watchfire.plans.rules import load_rules
+    from ruleweave.operators.evaluate import evaluate
+    from ruleweave.plans.rules import load_rules
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules", "reference_pack")
     rules = load_rules(root)
     logs = [ev(i * 5, "ws-01") for i in range(7)] + [ev(100 + i * 20, "ws-02") for i in range(7)]

@@ -5,9 +5,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from watchfire.operators.evaluate import alerts_json, plain_alerts
-from watchfire.operators.ruletable import conditions_frame, rules_frame, split_for_table, table_alerts
-from watchfire.plans.rules import Rule, load_rules
+from ruleweave.operators.evaluate import alerts_json, plain_alerts
+from ruleweave.operators.ruletable import conditions_frame, rules_frame, split_for_table, table_alerts
+from ruleweave.plans.rules import Rule, load_rules
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -57,8 +57,8 @@ def test_table_path_on_json_logs(spark, logs_of):
 
 def test_coarse_bursts(spark, logs_of):
     import datetime as dt
-    from watchfire.streaming.bursts import coarse_bursts
-    from watchfire.streaming.pipeline import burst_rows
+    from ruleweave.streaming.bursts import coarse_bursts
+    from ruleweave.streaming.pipeline import burst_rows
     base = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
     v = logs_of([{"timestamp": (base + dt.timedelta(seconds=s)).isoformat(), "host": "h", "e": 1}
                  for s in [0, 10, 20, 30, 100]])
@@ -68,8 +68,8 @@ def test_coarse_bursts(spark, logs_of):
 
 
 def test_stream_observe_and_empty_batches(spark, tmp_path):
-    from watchfire.streaming.pipeline import observed_decode, start_sink
-    from watchfire.streaming.sources import text_stream
+    from ruleweave.streaming.pipeline import observed_decode, start_sink
+    from ruleweave.streaming.sources import text_stream
     src = tmp_path / "in"
     src.mkdir()
     (src / "a.json").write_text('{"x": 1}\nnot json\n{"x": 2}\n')
@@ -90,7 +90,7 @@ def test_stream_observe_and_empty_batches(spark, tmp_path):
 
 
 def test_partition_by_host(spark):
-    from watchfire.sources.logs import partition_by_host
+    from ruleweave.sources.logs import partition_by_host
     df = spark.createDataFrame([(str(i % 5), i) for i in range(100)], "host string, v int")
     parts = partition_by_host(df, 4).rdd.glom().map(lambda rows: sorted({r.host for r in rows})).collect()
     seen = [h for p in parts for h in p]

@@ -3,7 +3,7 @@
 import json
 import random
 
-from watchfire.operators.lifecycle import active_rules, asof_alerts, decode_envelopes, rule_count, with_errors
+from ruleweave.operators.lifecycle import active_rules, asof_alerts, decode_envelopes, rule_count, with_errors
 
 
 def payload(rid, tag="v"):

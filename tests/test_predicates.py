@@ -2,9 +2,9 @@
 
 import pytest
 
-from watchfire.errors import RuleError
-from watchfire.operators.evaluate import evaluate, plain_alerts
-from watchfire.plans.rules import Rule, build_rule
+from ruleweave.errors import RuleError
+from ruleweave.operators.evaluate import evaluate, plain_alerts
+from ruleweave.plans.rules import Rule, build_rule
 
 
 def rule(detection, rid="r1", level="medium"):
@@ -140,7 +140,7 @@ def test_host_defaults_to_empty(logs_of):
 
 def test_reference_pack_loads_and_routes():
     import os
-    from watchfire.plans.rules import load_rules, split_rules
+    from ruleweave.plans.rules import load_rules, split_rules
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules", "reference_pack")
     rules = load_rules(root)
     assert len(rules) == 8
@@ -151,7 +151,7 @@ def test_reference_pack_loads_and_routes():
 
 def test_reference_pack_on_sample_logs(logs_of):
     import os
-    from watchfire.plans.rules import load_rules
+    from ruleweave.plans.rules import load_rules
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "rules", "reference_pack")
     rules = [r for r in load_rules(root) if not r.is_burst]
     v = logs_of([
@@ -172,7 +172,7 @@ def test_reference_pack_on_sample_logs(logs_of):
 
 
 def test_json_decode_edge_cases(spark):
-    from watchfire.sources.logs import decode_json_logs
+    from ruleweave.sources.logs import decode_json_logs
     texts = ['{"a": 1, "a": 2}', '{"a": 1} trailing', "[1, 2]", '"text"', "not json", " {\"b\": {\"x\": [1, 2]}} "]
     df = spark.createDataFrame(list(enumerate(texts)), "seq long, value string")
     good, bad = decode_json_logs(df)
@@ -185,3 +185,13 @@ def test_repeated_key_log_gets_an_id(logs_of):
     v = logs_of(['{"a": "x", "a": "y", "host": "h"}'])
     rows = plain_alerts(v, [rule(sel(selection={"a": "y"}))]).collect()
     assert len(rows) == 1 and rows[0].alert_id is not None
+
+
+def test_content_ids_are_deterministic(logs_of):
+    base = {"host": "h1", "log_type": "windows_event", "event_id": 4625}
+    v = logs_of([base, dict(base), dict(base, host="h2")])
+    r = rule(sel(selection={"event_id": 4625}))
+    ids = {a.seq: a.alert_id for a in plain_alerts(v, [r]).collect()}
+    assert ids[0] == ids[1] != ids[2]
+    r2 = rule(sel(selection={"event_id": 4625}), rid="other")
+    assert plain_alerts(v, [r2]).where("seq = 0").first().alert_id != ids[0]

@@ -6,10 +6,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from watchfire.functions import ids
-from watchfire.operators import metrics as M
-from watchfire.operators import store as S
-from watchfire.operators.stages import WINDOWS_STAGES, stage_labels, stage_transitions
+from ruleweave.functions import ids
+from ruleweave.operators import metrics as M
+from ruleweave.operators import store as S
+from ruleweave.operators.stages import WINDOWS_STAGES, stage_labels, stage_transitions
 
 
 def alert(aid, rule="r", sev="high", host="h", raw="{}", at="t"):

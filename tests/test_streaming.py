@@ -6,12 +6,12 @@ import os
 
 from pyspark.sql import functions as F
 
-from watchfire.operators import store as S
-from watchfire.operators.evaluate import evaluate
-from watchfire.plans.rules import Rule
-from watchfire.sources.logs import decode_json_logs, json_view
-from watchfire.streaming.pipeline import detection_stream, start_sink
-from watchfire.streaming.sources import decode_alerts, text_stream
+from ruleweave.operators import store as S
+from ruleweave.operators.evaluate import evaluate
+from ruleweave.plans.rules import Rule
+from ruleweave.sources.logs import decode_json_logs, json_view
+from ruleweave.streaming.pipeline import detection_stream, start_sink
+from ruleweave.streaming.sources import decode_alerts, text_stream
 
 BASE = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
 RULES = [
