@@ -109,3 +109,48 @@ def observed_decode(raw: DataFrame, value_col: str = "value", name: str = "decod
     text = F.trim(F.col(quote(value_col)))
     ok = parsed.isNotNull() & text.startswith("{") & text.endswith("}")
     return raw.observe(name, F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
+
+
+def start_dynamic_detection(logs: DataFrame, load_changelog, *, checkpoint: str, store_path: str | None = None,
+                            publish_path: str | None = None, value_col: str = "value", order_col: str = "offset",
+                            quarantine_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """L5/L6 on a stream (D4): the plain rules active at each micro-batch evaluate that batch.
+
+    ``load_changelog(spark)`` returns the changelog as it is now (for example a batch read of
+    the rule-updates topic or folder). Each micro-batch folds it to the active rules, which
+    are control-plane sized, compiles them and evaluates the batch, so a change applies from
+    the next micro-batch on. Burst rules need keyed state across batches and run in
+    :func:`detection_stream`; a change to them restarts that query.
+    """
+    import json as _json
+
+    from ruleweave.operators.lifecycle import MAX_ENTRIES, active_rules
+    from ruleweave.plans.rules import build_rule
+    from ruleweave.sources.logs import decode_json_logs, json_view
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        active = active_rules(load_changelog(spark)).limit(MAX_ENTRIES + 1).collect()
+        if len(active) > MAX_ENTRIES:
+            raise ValueError(f"more than {MAX_ENTRIES} active rules; use the rules-as-data path")
+        rules, copies = [], []
+        for r in active:
+            rule = build_rule(_json.loads(r.rule), source=f"active rule {r.rule_id}")
+            if not rule.is_burst:
+                rules.append(rule)
+                copies.append(int(r.copies))
+        good, bad = decode_json_logs(batch, value_col)
+        if quarantine_path:
+            bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
+        view = json_view(good, value_col, order_cols=[order_col], keep=[order_col])
+        alerts = alert_projection(view, match_rules(view, rules, copies=copies))
+        if alerts.isEmpty():
+            return
+        if publish_path:
+            (alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"))
+             .write.mode("overwrite").json(f"{publish_path.rstrip('/')}/batch_id={batch_id}"))
+        if store_path:
+            write_batch(alerts, store_path, batch_id, [F.col(order_col)])
+
+    w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

@@ -101,3 +101,44 @@ def test_decode_alerts_strict(spark):
     good, bad = decode_alerts(df)
     assert sorted(r.raw_log for r in good.collect()) == ['{"a":1}', "{}"]
     assert bad.count() == 3
+
+
+def test_rule_changes_apply_from_the_next_micro_batch(spark, tmp_path):
+    from ruleweave.operators.lifecycle import decode_envelopes
+    from ruleweave.streaming.pipeline import start_dynamic_detection
+    src, rules_dir, base = tmp_path / "in", tmp_path / "rules", tmp_path / "run"
+    src.mkdir()
+    rules_dir.mkdir()
+
+    def rule(rid, action):
+        return {"id": rid, "title": rid, "level": "high",
+                "detection": {"s": {"action": action}, "condition": "s"}}
+
+    def envelopes(items, name):
+        (rules_dir / name).write_text("\n".join(json.dumps(e) for e in items) + "\n")
+
+    def load(spark_):
+        raw = spark_.read.text(str(rules_dir)).withColumn("seq", F.get_json_object("value", "$.seq").cast("long"))
+        return decode_envelopes(raw, seq_col="seq")
+
+    def logs(name, offsets, mtime):
+        path = src / name
+        path.write_text("\n".join(json.dumps({"offset": o, "action": "Delete" if o % 2 else "Create"})
+                                  for o in offsets) + "\n")
+        os.utime(path, (mtime, mtime))
+
+    def run():
+        stream = text_stream(spark, str(src)).withColumn("offset", F.get_json_object("value", "$.offset").cast("long"))
+        q = start_dynamic_detection(stream, load, checkpoint=str(base / "ckpt"), store_path=str(base / "store"),
+                                    trigger={"availableNow": True})
+        q.awaitTermination()
+
+    envelopes([{"seq": 1, "op": "add", "rule": rule("del", "Delete")}], "a.json")
+    logs("a.json", range(0, 6), 1_700_000_000)
+    run()
+    envelopes([{"seq": 2, "op": "delete", "rule_id": "del"}, {"seq": 3, "op": "add", "rule": rule("cre", "Create")}],
+              "b.json")
+    logs("b.json", range(6, 12), 1_700_000_100)
+    run()
+    got = sorted((json.loads(r.raw_log)["offset"], r.rule_id) for r in S.read_store(spark, str(base / "store")).collect())
+    assert got == [(1, "del"), (3, "del"), (5, "del"), (6, "cre"), (8, "cre"), (10, "cre")]
