@@ -141,3 +141,15 @@ def field_value_sql(fields: Fields, name: str, default: str = "") -> str:
 def field_value_text(fields: Fields, name: str, default: str = "") -> Column:
     """``str(log.get(name, default))``: the text of a field, or ``default`` if absent."""
     return F.expr(field_value_sql(fields, name, default))
+
+
+def any_of(cols: list[Column]) -> Column:
+    """OR of many predicates as a balanced tree: depth log2(n), still pushable to the scan.
+
+    A left-deep chain of hundreds of ORs overflows the JVM stack during analysis.
+    """
+    if not cols:
+        return F.lit(False)
+    while len(cols) > 1:
+        cols = [cols[i] | cols[i + 1] if i + 1 < len(cols) else cols[i] for i in range(0, len(cols), 2)]
+    return cols[0]

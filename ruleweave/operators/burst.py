@@ -20,7 +20,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ruleweave.functions.fields import field_value_text, quote
+from ruleweave.functions.fields import any_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS, floor_div
 from ruleweave.operators.evaluate import matched_at
@@ -172,9 +172,7 @@ def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordin
                                      conditions=[s.selection for s in specs])
     hits = F.filter(F.array(*[F.when(F.col(n), F.lit(k)) for k, n in enumerate(names)]),
                     lambda x: x.isNotNull())
-    any_sel = None
-    for n in names:
-        any_sel = F.col(n) if any_sel is None else (any_sel | F.col(n))
+    any_sel = any_of([F.col(n) for n in names])
     # group-key expression per rule (D2: the declared ``by`` field)
     by_fields = [s.by_field for s in specs]
     order_names = [f"_wf_o{i}" for i in range(len(view.order))]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.functions.fields import quote
+from ruleweave.functions.fields import any_of, quote
 from ruleweave.functions.ids import uuid5_sql
 from ruleweave.plans.compile import with_rule_flags
 from ruleweave.plans.rules import Rule, split_rules
@@ -45,11 +45,10 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
     if gates is not None:
         flagged = flagged.select(*[F.col(quote(c)) for c in view.df.columns],
                                  *[(F.col(n) & F.coalesce(g, F.lit(False))).alias(n) for n, g in zip(names, gates)])
-    any_rule = None
+    any_rule = any_of([F.col(n) for n in names])
     items = []
     for i, (rule, n) in enumerate(zip(rules, names)):
         f = F.col(n)
-        any_rule = f if any_rule is None else (any_rule | f)
         for _ in range(1 if copies is None else copies[i]):
             items.append(F.when(f, rule_struct(i, rule)))
     hits = F.filter(F.array(*items), lambda x: x.isNotNull())

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.errors import RuleError
-from ruleweave.functions.fields import field_value_text, quote
+from ruleweave.functions.fields import any_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS
 from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
@@ -190,9 +190,7 @@ def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
             for m, v in zip(live, values):
                 expr = F.when(m, v) if expr is None else expr.when(m, v)
             return expr
-        any_live = live[0]
-        for m in live[1:]:
-            any_live = any_live | m
+        any_live = any_of(live)
         order_names = [f"_wf_o{i}" for i in range(len(view.order))]
         rows = view.df.where(any_live).select(
             F.lit(rid).alias("_wf_rid"), field_value_text(view.fields, by.pop()).alias("_wf_key"),

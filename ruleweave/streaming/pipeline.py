@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ruleweave.functions.fields import field_value_text, quote
+from ruleweave.functions.fields import any_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS
 from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
@@ -35,9 +35,7 @@ def burst_rows(view: LogView, rules: list[Rule]) -> DataFrame:
     flagged, names = with_rule_flags(view.df, rules, view.fields, prefix="__s",
                                      conditions=[s.selection for s in specs])
     hits = F.filter(F.array(*[F.when(F.col(n), F.lit(k)) for k, n in enumerate(names)]), lambda x: x.isNotNull())
-    any_sel = None
-    for n in names:
-        any_sel = F.col(n) if any_sel is None else (any_sel | F.col(n))
+    any_sel = any_of([F.col(n) for n in names])
     if len(view.order) != 1:
         raise ValueError("a streaming view needs exactly one order column (e.g. the offset)")
     sel = flagged.where(any_sel).select("*", F.explode(hits).alias("_wf_k"))

@@ -195,3 +195,11 @@ def test_content_ids_are_deterministic(logs_of):
     assert ids[0] == ids[1] != ids[2]
     r2 = rule(sel(selection={"event_id": 4625}), rid="other")
     assert plain_alerts(v, [r2]).where("seq = 0").first().alert_id != ids[0]
+
+
+def test_hundreds_of_rules_in_one_pass(logs_of):
+    v = logs_of([{"k": str(i % 50), "t": "x" if i % 2 else "y"} for i in range(60)])
+    rules = [rule(sel("a and not b", a={"k": str(i % 50)}, b={"t": "x"}), rid=f"g{i}") for i in range(300)]
+    got = plain_alerts(v, rules).groupBy().count().first()[0]
+    want = sum(1 for i in range(300) for j in range(60) if j % 50 == i % 50 and j % 2 == 0)
+    assert got == want
