@@ -88,9 +88,13 @@ def duplicate_ids(alerts: DataFrame) -> DataFrame:
 
 
 def quiet_hosts(hosts: DataFrame, store: DataFrame, host_col: str = "host") -> DataFrame:
-    """Q6: hosts without any stored alert (anti join on host)."""
+    """Q6: hosts without any stored alert (anti join on host).
+
+    Both sides are reduced to distinct hosts first (partial aggregation before the shuffle),
+    so a host that owns a large share of the alerts does not skew the join.
+    """
     return hosts.select(F.col(quote(host_col)).alias("host")).distinct().join(
-        store.select("host"), on="host", how="left_anti")
+        store.select("host").distinct(), on="host", how="left_anti")
 
 
 def embedded_field(store: DataFrame, field: str, alias: str | None = None) -> Column:
