@@ -123,11 +123,22 @@ def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fie
         "rule_ord", "clause", "term", "clause_terms", "field", "modifier", "value",
         F.when(F.col("modifier").isNull(), F.lit("eq")).otherwise(F.lit("mod")).alias("kind"),
         F.when(F.col("modifier").isNull(), F.col("value")).otherwise(F.lit("")).alias("jv"))
-    cond = F.broadcast(cond) if broadcast_ok else cond
+    join_keys = ["field", "kind", "jv"]
+    if broadcast_ok:
+        cond = F.broadcast(cond)
+    else:
+        # Every modifier offer of a field shares one key; salt it so that key spreads over
+        # ``salts`` tasks (offers hashed by log key, modifier conditions copied per salt).
+        salts = 16
+        offers = offers.withColumn("_wf_salt", F.when(F.col("kind") == "mod", F.pmod(
+            F.xxhash64(*[F.col(quote(k)) for k in key_cols]), F.lit(salts))).otherwise(F.lit(0)))
+        cond = cond.withColumn("_wf_salt", F.explode(F.when(F.col("kind") == "mod", F.sequence(
+            F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+        join_keys.append("_wf_salt")
     lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
     residual = (m.isNull() | ((m == "contains") & lv.contains(cv)) | ((m == "startswith") & lv.startswith(cv))
                 | ((m == "endswith") & lv.endswith(cv)))
-    met = offers.join(cond, on=["field", "kind", "jv"], how="inner").where(residual)
+    met = offers.join(cond, on=join_keys, how="inner").where(residual)
     c = [F.col(quote(k)) for k in key_cols]
     met = met.select(*c, "rule_ord", "clause", "term", "clause_terms").repartition(*c)
     done = (met.distinct().groupBy(*c, "rule_ord", "clause", "clause_terms").agg(F.count(F.lit(1)).alias("n"))

@@ -53,6 +53,9 @@ def test_table_path_on_json_logs(spark, logs_of):
     got = sorted((r.seq, r.rule_id) for r in table_alerts(spark, v, rules, key_cols=["seq"]).collect())
     want = sorted((r.seq, r.rule_id) for r in plain_alerts(v, rules).collect())
     assert got == want == [(0, "and"), (1, "not"), (2, "or"), (3, "or")]
+    # the shuffled (salted) join path gives the same answer
+    salted = table_alerts(spark, v, rules, key_cols=["seq"], broadcast_max_rows=0)
+    assert sorted((r.seq, r.rule_id) for r in salted.collect()) == want
 
 
 def test_coarse_bursts(spark, logs_of):
