@@ -654,3 +654,19 @@ ORACLES["bucket_ids"] = (f"WITH {EVENTS_LOGS}, {_burst_select(', t_us // 8640000
                          "SELECT alert_id, rule_id, host, event_id, bucket FROM burst")
 ORACLES["json_fields"] = ("SELECT event_id, 'ev-k-round-001' AS rule_id, json_extract_string(props, '$.k') AS k "
                           "FROM events WHERE json_extract_string(props, '$.k') IN ('10','20','30','40','50','60','70','80','90')")
+
+
+def stage_transitions_by_host(spark, sf_dir):
+    from ruleweave.operators.stages import stage_labels as _labels, stage_transitions as _tr
+    return _tr(_labels(events_view(spark, sf_dir), EVENTS_STAGES), by_host=True)
+
+
+QUERIES["stage_transitions_by_host"] = stage_transitions_by_host
+ORACLES["stage_transitions_by_host"] = (ORACLES["stage_transitions"]
+    .replace("lag(stage) OVER (PARTITION BY host ORDER BY t_us, event_id) AS from_stage, stage AS to_stage FROM s",
+             "host, lag(stage) OVER (PARTITION BY host ORDER BY t_us, event_id) AS from_stage, stage AS to_stage FROM s")
+    .replace("SELECT from_stage, to_stage, count(*) AS transitions FROM t WHERE from_stage IS NOT NULL GROUP BY 1, 2",
+             "SELECT host, from_stage, to_stage, count(*) AS transitions FROM t WHERE from_stage IS NOT NULL GROUP BY 1, 2, 3")
+    .replace("SELECT from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY from_stage) AS share FROM c",
+             "SELECT host, from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY host, from_stage) AS share FROM c"))
+assert ORACLES["stage_transitions_by_host"] != ORACLES["stage_transitions"]

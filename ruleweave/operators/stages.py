@@ -35,9 +35,10 @@ def stage_labels(view: LogView, stages, default: str = DEFAULT_STAGE) -> DataFra
         *[F.col(k) for k in view.keep], expr.alias("stage"))
 
 
-def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_rows: int | None = 5_000_000
-                      ) -> DataFrame:
-    """R2: ``from_stage, to_stage, transitions, share`` over consecutive logs of a host.
+def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_rows: int | None = 5_000_000,
+                      by_host: bool = False) -> DataFrame:
+    """R2: ``from_stage, to_stage, transitions, share`` over consecutive logs of a host
+    (``by_host``: one matrix per host, shares within the host's row of the matrix).
 
     Each host is cut into time chunks. Inside a chunk ``lag`` gives the transitions; the
     transition into a chunk pairs the previous chunk's last stage with this chunk's first,
@@ -58,13 +59,14 @@ def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_r
     inner_w = Window.partitionBy("host", "_wf_chunk").orderBy("t_us", *order)
     inner = (rows.withColumn("from_stage", F.lag("stage").over(inner_w))
              .where(F.col("from_stage").isNotNull())
-             .select("from_stage", F.col("stage").alias("to_stage")))
+             .select("host", "from_stage", F.col("stage").alias("to_stage")))
     summary = rows.groupBy("host", "_wf_chunk").agg(F.min_by("stage", pos).alias("_wf_first"),
                                                      F.max_by("stage", pos).alias("_wf_last"))
     edge_w = Window.partitionBy("host").orderBy("_wf_chunk")
     edges = (summary.withColumn("from_stage", F.lag("_wf_last").over(edge_w))
              .where(F.col("from_stage").isNotNull())
-             .select("from_stage", F.col("_wf_first").alias("to_stage")))
-    counts = inner.unionByName(edges).groupBy("from_stage", "to_stage").agg(F.count(F.lit(1)).alias("transitions"))
-    share = F.col("transitions") / F.sum("transitions").over(Window.partitionBy("from_stage"))
+             .select("host", "from_stage", F.col("_wf_first").alias("to_stage")))
+    keys = (["host"] if by_host else []) + ["from_stage", "to_stage"]
+    counts = inner.unionByName(edges).groupBy(*keys).agg(F.count(F.lit(1)).alias("transitions"))
+    share = F.col("transitions") / F.sum("transitions").over(Window.partitionBy(*keys[:-1]))
     return counts.withColumn("share", share)
