@@ -494,6 +494,13 @@ ORACLES["stage_transitions"] = ("WITH " + EVENTS_LOGS + ", s AS (SELECT host, t_
 
 # --- streaming twins (S1, A9, K1-K6): run by availableNow, read back as a table ------------
 
+def _cores(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return None
+
+
 def _run_stream(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     import uuid as _uuid
     from ruleweave.session import scratch_path
@@ -510,7 +517,7 @@ def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ruleweave.streaming.sources import table_stream
     from ruleweave.sources.testdata import events_logs_from
     _, bursts = split_rules(list(rule_pack("events")))
-    stream = events_logs_from(table_stream(spark, sf_dir, "events"))
+    stream = events_logs_from(table_stream(spark, sf_dir, "events", min_partitions=_cores(spark)))
     out = stream_burst_alerts(events_view(spark, sf_dir, df=stream), bursts, watermark="30 days")
     return _run_stream(spark, out.drop("matched_at"), "bursts").select(*PLAIN_COLUMNS, "window_count")
 
@@ -521,7 +528,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ruleweave.streaming.sources import table_stream
     from ruleweave.sources.testdata import events_logs_from
     plain, _ = split_rules(list(rule_pack("events")))
-    stream = events_logs_from(table_stream(spark, sf_dir, "events"))
+    stream = events_logs_from(table_stream(spark, sf_dir, "events", min_partitions=_cores(spark)))
     out = detection_stream(events_view(spark, sf_dir, df=stream), plain)
     return _run_stream(spark, out.drop("matched_at"), "plain").select(*PLAIN_COLUMNS)
 
@@ -581,7 +588,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ruleweave.streaming.sources import table_stream
     from ruleweave.sources.testdata import events_logs_from
     plain, bursts = split_rules(list(rule_pack("events")))
-    view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events")))
+    view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events", min_partitions=_cores(spark))))
     t = F.timestamp_micros(view.event_us).alias("event_time")
     cols = ["alert_id", "rule_id", "host", "event_time"]
     p = alert_projection(view, match_rules(view, plain), extra=[t]).select(*cols)
@@ -670,3 +677,24 @@ ORACLES["stage_transitions_by_host"] = (ORACLES["stage_transitions"]
     .replace("SELECT from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY from_stage) AS share FROM c",
              "SELECT host, from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY host, from_stage) AS share FROM c"))
 assert ORACLES["stage_transitions_by_host"] != ORACLES["stage_transitions"]
+
+
+def stream_bursts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 without Python state: each micro-batch runs the batch plan on its rows plus a tail table."""
+    import uuid as _uuid
+    from ruleweave.session import scratch_path
+    from ruleweave.streaming.pipeline import start_table_bursts
+    from ruleweave.streaming.sources import table_stream
+    from ruleweave.sources.testdata import events_logs_from
+    _, bursts = split_rules(list(rule_pack("events")))
+    base = scratch_path(spark, "stream-queries", f"tail-bursts-{_uuid.uuid4().hex}")
+    stream = table_stream(spark, sf_dir, "events")
+    q = start_table_bursts(stream, lambda df: events_view(spark, sf_dir, df=events_logs_from(df)), bursts,
+                           checkpoint=base + "/checkpoint", state_path=base + "/tail", publish_path=base + "/out",
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(base + "/out").select(*PLAIN_COLUMNS, "window_count")
+
+
+QUERIES["stream_bursts_tables"] = stream_bursts_tables
+ORACLES["stream_bursts_tables"] = ORACLES["burst_alerts"]

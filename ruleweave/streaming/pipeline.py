@@ -152,3 +152,69 @@ def start_dynamic_detection(logs: DataFrame, load_changelog, *, checkpoint: str,
 
     w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def start_table_bursts(logs: DataFrame, make_view, rules: list[Rule], *, checkpoint: str, state_path: str,
+                       publish_path: str | None = None, store_path: str | None = None,
+                       lateness_seconds: int = 0, strategy: str = "auto",
+                       trigger: dict | None = None) -> StreamingQuery:
+    """A9 without Python: burst rules on a stream through ``foreachBatch`` and a tail table.
+
+    Each micro-batch runs the batch plan (:func:`windowed_counts`, skew-safe) over its own
+    matching rows plus the *tail*: the (rule, key, time, order) of earlier matches that can
+    still be counted, i.e. newer than ``max time - T - lateness``. The tail of batch ``b``
+    is written to ``state_path/batch_id=b`` and read by batch ``b + 1``, so a replayed
+    batch reads and writes the same tables (idempotent). Exact when logs arrive in time
+    order (per key), and for late logs within ``lateness_seconds``.
+    """
+    from ruleweave.operators.burst import windowed_counts
+
+    specs = [burst_spec(r) for r in rules]
+    window_us = {k: s.window_seconds * MICROS for k, s in enumerate(specs)}
+    tail_schema = "_wf_k int, _wf_key string, _wf_t long, _wf_o0 long"
+    keep_span = max(window_us.values()) + lateness_seconds * MICROS
+    state = state_path.rstrip("/")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        view = make_view(batch)
+        new = burst_rows(view, rules).withColumn("_wf_new", F.lit(True))
+        if batch_id > 0:
+            old = spark.read.schema(tail_schema).parquet(f"{state}/batch_id={batch_id - 1}")
+        else:
+            old = spark.createDataFrame([], tail_schema)
+        rows = new.unionByName(old.withColumn("_wf_new", F.lit(False)), allowMissingColumns=True)
+        parts = []
+        for span in sorted(set(window_us.values())):
+            ks = [k for k, w in window_us.items() if w == span]
+            sub = rows.where(F.col("_wf_k").isin(ks))
+            counted = windowed_counts(sub, key_cols=["_wf_k", "_wf_key"], time_col="_wf_t", order_cols=["_wf_o0"],
+                                      window_us=span, strategy=strategy)
+            parts.append(counted)
+        counted = parts[0]
+        for p in parts[1:]:
+            counted = counted.unionByName(p)
+        k = F.col("_wf_k")
+        fired = counted.where(F.col("_wf_new") & (F.col("window_count") > _case(k, [F.lit(s.threshold) for s in specs])))
+        rid = _case(k, [F.lit(r.id) for r in rules])
+        bucket = _case(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
+        alerts = fired.select(
+            bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
+            _case(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
+            _case(k, [F.lit(r.level) for r in rules]).alias("severity"),
+            matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep],
+            "window_count", "_wf_t")
+        if publish_path:
+            alerts.drop("_wf_t").write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
+        if store_path:
+            write_batch(alerts, store_path, batch_id, [F.col("_wf_t")])
+        # the next tail: everything that can still be counted, key columns only
+        newest = rows.agg(F.max("_wf_t")).first()[0]
+        cutoff = (newest - keep_span) if newest is not None else None
+        tail = rows.select("_wf_k", "_wf_key", "_wf_t", "_wf_o0")
+        if cutoff is not None:
+            tail = tail.where(F.col("_wf_t") > F.lit(cutoff))
+        tail.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+
+    w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

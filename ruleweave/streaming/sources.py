@@ -42,14 +42,20 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A Parquet table of ``folder`` read as a stream (``<name>.parquet`` files only)."""
+                 max_files_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
+    """A Parquet table of ``folder`` read as a stream (``<name>.parquet`` files only).
+
+    ``min_partitions`` spreads each micro-batch over that many tasks (round robin) when the
+    files cannot be split (few files of one row group each); Kafka sources have their own
+    ``minPartitions`` option instead.
+    """
     if schema is None:
         schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(folder)
+    df = r.parquet(folder)
+    return df.repartition(min_partitions) if min_partitions else df
 
 
 # The alert message layout; ``raw_log`` may be missing, any other key is required.
