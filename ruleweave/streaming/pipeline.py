@@ -80,7 +80,8 @@ def dedup_stream(alerts: DataFrame, time_col: str, watermark: str = "1 hour") ->
 
 def start_sink(alerts: DataFrame, *, checkpoint: str, store_path: str | None = None,
                publish_path: str | None = None, trigger: dict | None = None,
-               order_col: str | None = None) -> StreamingQuery:
+               order_col: str | None = None, kafka_servers: str | None = None,
+               kafka_topic: str = "alerts") -> StreamingQuery:
     """K1 + K2 + K4 + K6: publish and upsert each micro-batch, committed by the checkpoint.
 
     ``trigger`` defaults to a 5-second processing-time trigger (K4); pass
@@ -89,9 +90,12 @@ def start_sink(alerts: DataFrame, *, checkpoint: str, store_path: str | None = N
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():      # K4: an empty flush is a no-op
             return
+        docs = batch.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"))
         if publish_path:
-            (batch.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"))
-             .write.mode("overwrite").json(f"{publish_path.rstrip('/')}/batch_id={batch_id}"))
+            docs.write.mode("overwrite").json(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
+        if kafka_servers:   # K1 on the alerts topic (needs the Kafka connector on the classpath)
+            (docs.write.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+             .option("topic", kafka_topic).save())
         if store_path:
             order = [F.col(order_col)] if order_col else None
             write_batch(batch, store_path, batch_id, order)
@@ -218,3 +222,28 @@ def start_table_bursts(logs: DataFrame, make_view, rules: list[Rule], *, checkpo
 
     w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def lag_from_progress(progress: dict) -> dict:
+    """M3 live: lag per source partition from a query's progress (``query.lastProgress``).
+
+    For offset-based sources the progress holds, per topic and partition, the offsets the
+    batch ended at and the latest offsets available; lag is ``max(0, latest - end)``.
+    Returns ``{"total": n, "partitions": {(topic, partition): n}}``.
+    """
+    import json as _json
+
+    out: dict = {}
+    for src in progress.get("sources", []):
+        end, latest = src.get("endOffset"), src.get("latestOffset")
+        if isinstance(end, str):
+            end = _json.loads(end)
+        if isinstance(latest, str):
+            latest = _json.loads(latest)
+        if not isinstance(end, dict) or not isinstance(latest, dict):
+            continue
+        for topic, parts in latest.items():
+            for part, last in parts.items():
+                done = end.get(topic, {}).get(part, 0)
+                out[(topic, int(part))] = max(0, int(last) - int(done))
+    return {"total": sum(out.values()), "partitions": out}

@@ -76,3 +76,17 @@ def decode_alerts(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
     good = parsed.where("_wf_ok").select(*fields, raw_log)
     bad = parsed.where(~F.col("_wf_ok")).drop("_wf_ok")
     return good, bad
+
+
+def read_changelog_kafka(spark: SparkSession, servers: str, topic: str = "rule-updates") -> DataFrame:
+    """S5 batch side: the whole rule-updates topic from the earliest offset, as changelog rows.
+
+    The record timestamp is the time from which a change applies; partition and offset
+    give the order (a single-partition topic keeps the global order).
+    """
+    from ruleweave.operators.lifecycle import decode_envelopes
+    raw = (spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+           .option("startingOffsets", "earliest").option("endingOffsets", "latest").load())
+    raw = raw.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"),
+                     F.unix_micros(F.col("timestamp")).alias("at_us"))
+    return decode_envelopes(raw, seq_col="seq", at_col="at_us")

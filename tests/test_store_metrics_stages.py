@@ -115,3 +115,13 @@ def test_transitions_do_not_depend_on_chunking(logs_of):
     whole = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=10 ** 7, max_group_rows=None).collect())
     fine = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=3600, max_group_rows=7).collect())
     assert whole == fine
+
+
+def test_lag_from_progress():
+    from ruleweave.streaming.pipeline import lag_from_progress
+    progress = {"sources": [{"description": "KafkaV2[Subscribe[raw-logs]]",
+                             "endOffset": json.dumps({"raw-logs": {"0": 90, "1": 60}}),
+                             "latestOffset": json.dumps({"raw-logs": {"0": 100, "1": 50}})},
+                            {"description": "FileStreamSource", "endOffset": {"logOffset": 3}}]}
+    got = lag_from_progress(progress)
+    assert got == {"total": 10, "partitions": {("raw-logs", 0): 10, ("raw-logs", 1): 0}}
