@@ -203,3 +203,59 @@ def test_hundreds_of_rules_in_one_pass(logs_of):
     got = plain_alerts(v, rules).groupBy().count().first()[0]
     want = sum(1 for i in range(300) for j in range(60) if j % 50 == i % 50 and j % 2 == 0)
     assert got == want
+
+
+def test_random_conditions_against_python(logs_of):
+    """Random and/or/not/parenthesis trees over four groups vs. Python evaluation of the same tree."""
+    import itertools
+    import random
+    rnd = random.Random(23)
+    groups = {"g1": {"a": "1"}, "g2": {"b|startswith": "x"}, "g3": {"c": ["p", "q"]}, "g4": {"a": "1", "d|endswith": "z"}}
+
+    def tree(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            return rnd.choice(list(groups))
+        op = rnd.choice(["and", "or", "not", "paren"])
+        if op == "not":
+            return ("not", tree(depth - 1))
+        if op == "paren":
+            return ("paren", tree(depth - 1))
+        return (op, tree(depth - 1), tree(depth - 1))
+
+    def tokens(t):
+        if isinstance(t, str):
+            return [t]
+        if t[0] == "not":
+            return ["not"] + tokens(t[1])
+        if t[0] == "paren":
+            return ["("] + tokens(t[1]) + [")"]
+        return tokens(t[1]) + [t[0]] + tokens(t[2])
+
+    def group_true(log, g):
+        for key, want in groups[g].items():
+            name, mod = (key.split("|") + [None])[:2]
+            if name not in log:
+                return False
+            vals = want if isinstance(want, list) else [want]
+            v = str(log[name])
+            ok = any(v == w if mod is None else v.startswith(w) if mod == "startswith" else v.endswith(w) for w in vals)
+            if not ok:
+                return False
+        return True
+
+    def py_eval(tok, log):
+        # Python's own precedence (not > and > or) on the same token list
+        expr = " ".join(f"G['{t}']" if t in groups else t for t in tok)
+        return eval(expr, {"G": {g: group_true(log, g) for g in groups}})
+
+    conds = [" ".join(tokens(tree(4))) for _ in range(150)]
+    values = {"a": ["1", "2", None], "b": ["xa", "y", None], "c": ["p", "q", "r", None], "d": ["z", "az", None]}
+    logs = []
+    for combo in itertools.product(*values.values()):
+        logs.append({k: v for k, v in zip(values, combo) if v is not None})
+    logs = logs[::2][:64]
+    v = logs_of(logs)
+    rules = [rule(dict(groups, condition=c), rid=f"c{i}") for i, c in enumerate(conds)]
+    got = {(r.seq, r.rule_id) for r in plain_alerts(v, rules).select("seq", "rule_id").collect()}
+    want = {(j, f"c{i}") for i, c in enumerate(conds) for j, log in enumerate(logs) if py_eval(c.split(), log)}
+    assert got == want
