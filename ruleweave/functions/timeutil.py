@@ -55,17 +55,22 @@ def ntz_micros(c: Column) -> Column:
 
 
 def iso_text_micros(text: Column) -> Column:
-    """Parse ISO-8601 text (``T`` or space, optional fraction, ``Z`` or offset) to epoch micros.
+    """Parse ISO-8601 text to epoch micros, as ``datetime.fromisoformat`` reads it.
 
-    Text without an offset is read as UTC. Unparsable text gives NULL.
+    Accepts ``T`` or a space, a date alone (midnight), ``HH:MM`` without seconds, any
+    number of fraction digits (cut to microseconds), and ``Z`` / ``+hh:mm`` / ``+hhmm``
+    offsets. Text without an offset is read as UTC. Unparsable text gives NULL.
     """
-    t = F.regexp_replace(F.trim(text), "Z$", "+00:00")
-    has_zone = t.rlike(r"[+-][0-9]{2}:?[0-9]{2}$")
-    aware = F.unix_micros(F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX")))
-    aware = F.coalesce(aware, F.unix_micros(F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"))))
-    naive = ntz_micros(F.try_to_timestamp(F.regexp_replace(t, "T", " "), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]"))
-                       .cast("timestamp_ntz"))
-    return F.when(has_zone, aware).otherwise(naive)
+    t = F.regexp_replace(F.trim(text), "T", " ")
+    t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})$", "$1 00:00:00")
+    t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2})(?=$|[+-]|Z)", "$1:00")
+    t = F.regexp_replace(t, r"(\.\d{6})\d+", "$1")
+    t = F.regexp_replace(t, "Z$", "+00:00")
+    t = F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    has_zone = t.rlike(r"[+-]\d{2}:\d{2}$")
+    aware = F.unix_micros(F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX")))
+    ntz = F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz")
+    return F.when(has_zone, aware).otherwise(ntz_micros(ntz))
 
 
 def floor_div(a: Column, b: int) -> Column:

@@ -162,3 +162,22 @@ def test_reference_pack_brute_force(logs_of):
     assert brute == [("ws-01", "win-brute-force-001"), ("ws-01", "win-brute-force-001")]
     assert len(failed) == 14
     assert {a.severity for a in alerts if a.rule_id == "win-brute-force-001"} == {"high"}
+
+
+def test_iso_parsing_like_fromisoformat(spark):
+    from pyspark.sql import functions as F
+    from ruleweave.functions.timeutil import iso_text_micros
+    xs = ["2024-01-01T00:00:07.5Z", "2024-01-01T00:00:07.123+00:00", "2024-01-01T05:30:07+05:30", "2024-01-01",
+          "2024-01-01T00:00:07.179575+00:00", "2024-01-01 00:00:07", "2024-01-01T00:00", "bad", "",
+          "2024-01-01T00:00:07.1234567+00:00", "2024-01-01T01:00:00+0100"]
+    got = [r.us for r in spark.createDataFrame([(x,) for x in xs], "t string")
+           .select(iso_text_micros(F.col("t")).alias("us")).collect()]
+    want = []
+    for x in xs:
+        try:
+            d = dt.datetime.fromisoformat(x)
+            d = d if d.tzinfo else d.replace(tzinfo=dt.timezone.utc)
+            want.append(int(d.timestamp()) * 1_000_000 + d.microsecond)
+        except ValueError:
+            want.append(None)
+    assert got == want
