@@ -47,7 +47,6 @@ def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_r
     narrowed until they hold about that many (the result does not depend on the width).
     """
     order = [c for c in labels.columns if c.startswith("_wf_o")]
-    pos = F.struct("t_us", *order)
     chunk_us = chunk_seconds * MICROS
     timed = labels.where(F.col("t_us").isNotNull())
     if max_group_rows:
@@ -56,12 +55,17 @@ def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_r
         if busiest > max_group_rows:
             chunk_us = max(1, int(chunk_us * max_group_rows / busiest))
     rows = timed.withColumn("_wf_chunk", floor_div(F.col("t_us"), chunk_us))
+    # one window pass per (host, chunk): the step inside the chunk, and the chunk's first
+    # and last stage for the step into the next chunk
     inner_w = Window.partitionBy("host", "_wf_chunk").orderBy("t_us", *order)
-    inner = (rows.withColumn("from_stage", F.lag("stage").over(inner_w))
-             .where(F.col("from_stage").isNotNull())
+    whole = inner_w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stepped = (rows.withColumn("from_stage", F.lag("stage").over(inner_w))
+               .withColumn("_wf_rn", F.row_number().over(inner_w))
+               .withColumn("_wf_last", F.last("stage").over(whole)))
+    inner = (stepped.where(F.col("from_stage").isNotNull())
              .select("host", "from_stage", F.col("stage").alias("to_stage")))
-    summary = rows.groupBy("host", "_wf_chunk").agg(F.min_by("stage", pos).alias("_wf_first"),
-                                                     F.max_by("stage", pos).alias("_wf_last"))
+    summary = stepped.where(F.col("_wf_rn") == 1).select("host", "_wf_chunk", F.col("stage").alias("_wf_first"),
+                                                         "_wf_last")
     edge_w = Window.partitionBy("host").orderBy("_wf_chunk")
     edges = (summary.withColumn("from_stage", F.lag("_wf_last").over(edge_w))
              .where(F.col("from_stage").isNotNull())
