@@ -30,7 +30,7 @@ from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS
 from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
 from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
-from ruleweave.plans.compile import group_predicate
+from ruleweave.plans.compile import group_predicate, usable_rules
 from ruleweave.plans.rules import Rule, build_rule, burst_spec
 from ruleweave.sources.logs import LogView
 
@@ -149,7 +149,12 @@ def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT
     ents = collect_entries(changelog)
     plain, bursts = [], []
     for e in ents:
-        rule = build_rule(json.loads(e["rule"]), source=f"changelog seq {e['seq']}")
+        try:
+            rule = build_rule(json.loads(e["rule"]), source=f"changelog seq {e['seq']}")
+        except RuleError:
+            continue
+        if not usable_rules([rule], view.fields)[0]:
+            continue                      # reported by usable_rules; the other rules still run
         (bursts if rule.is_burst else plain).append((rule, e))
     t = view.event_us
 

@@ -142,3 +142,26 @@ def with_rule_flags(df: DataFrame, rules: list[Rule], fields: Fields, prefix: st
     flags = [compile_rule(r, fields, None if conditions is None else conditions[i]).alias(n)
              for i, (r, n) in enumerate(zip(rules, names))]
     return df.select("*", *flags), names
+
+
+def usable_rules(rules: list[Rule], fields: Fields) -> tuple[list[Rule], list[tuple[Rule, str]]]:
+    """Split rules into (compilable, [(rule, reason)]) for rule sets fed at run time.
+
+    A changelog may carry a rule whose condition or timeframe cannot work; it is reported
+    and left out instead of stopping evaluation of every other rule (T15).
+    """
+    from ruleweave.plans.rules import burst_spec
+
+    good, bad = [], []
+    for r in rules:
+        try:
+            if r.is_burst:
+                spec = burst_spec(r)
+                group_sql(fields, r.groups[spec.selection], r.id, spec.selection)
+            else:
+                rule_sql(r, fields)
+            good.append(r)
+        except RuleError as exc:
+            log.warning("rule %r left out: %s", r.id, exc)
+            bad.append((r, str(exc)))
+    return good, bad

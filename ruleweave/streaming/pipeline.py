@@ -21,7 +21,7 @@ from ruleweave.functions.timeutil import MICROS
 from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
 from ruleweave.operators.burst import _case
 from ruleweave.operators.store import write_batch
-from ruleweave.plans.compile import with_rule_flags
+from ruleweave.plans.compile import usable_rules, with_rule_flags
 from ruleweave.plans.rules import Rule, burst_spec, split_rules
 from ruleweave.sources.logs import LogView
 from ruleweave.streaming.bursts import stateful_counts
@@ -142,6 +142,9 @@ def start_dynamic_detection(logs: DataFrame, load_changelog, *, checkpoint: str,
                 rules.append(rule)
                 copies.append(int(r.copies))
         good, bad = decode_json_logs(batch, value_col)
+        keep = {id(r) for r in usable_rules(rules, json_view(good, value_col).fields)[0]}
+        copies = [c for r, c in zip(rules, copies) if id(r) in keep]
+        rules = [r for r in rules if id(r) in keep]
         if quarantine_path:
             bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
         view = json_view(good, value_col, order_cols=[order_col], keep=[order_col])

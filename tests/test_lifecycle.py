@@ -134,3 +134,13 @@ def test_asof_plain_versions(spark, logs_of):
             for s, t in [(5, "x"), (5, "y"), (15, "x"), (15, "y"), (25, "y")]]
     got = sorted((r.seq, r.rule_title) for r in asof_alerts(logs_of(logs), cl).collect())
     assert got == [(0, "a-x"), (3, "a-y")]
+
+
+def test_bad_rule_in_changelog_is_left_out(spark, logs_of):
+    good = payload("a", "x")
+    bad = {"id": "b", "title": "b", "level": "low", "detection": {"s": {"log_type": "x"}, "condition": "s and"}}
+    bad_burst = {"id": "c", "title": "c", "level": "low",
+                 "detection": {"s": {"log_type": "x"}, "condition": "s | count() by host > 1", "timeframe": "5d"}}
+    cl = changelog(spark, [{"op": "add", "rule": good}, {"op": "add", "rule": bad}, {"op": "add", "rule": bad_burst}])
+    got = [r.rule_id for r in asof_alerts(logs_of([{"log_type": "x", "timestamp": "2024-01-01T00:00:00Z"}]), cl).collect()]
+    assert got == ["a"]
