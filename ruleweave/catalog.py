@@ -698,3 +698,26 @@ def stream_bursts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["stream_bursts_tables"] = stream_bursts_tables
 ORACLES["stream_bursts_tables"] = ORACLES["burst_alerts"]
+
+
+# Conversation roles as stages.
+ROLE_STAGES = [("system", {"role": "system"}), ("user", {"role": "user"}), ("assistant", {"role": "assistant"})]
+
+
+def role_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + R2 on conversations: who speaks after whom, per conversation in turn order."""
+    from ruleweave.operators.stages import stage_labels as _labels, stage_transitions as _tr
+    from ruleweave.sources.logs import table_view
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("host"), "turn", "role")
+    view = table_view(conv, time_col="turn", order_cols=["turn"])
+    return _tr(_labels(view, ROLE_STAGES, default="other"), chunk_seconds=10 ** 9)
+
+
+QUERIES["role_transitions"] = role_transitions
+ORACLES["role_transitions"] = """WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS host, turn,
+    CASE WHEN role = 'system' THEN 'system' WHEN role = 'user' THEN 'user' WHEN role = 'assistant' THEN 'assistant'
+         ELSE 'other' END AS stage FROM conversations),
+t AS (SELECT lag(stage) OVER (PARTITION BY host ORDER BY turn) AS from_stage, stage AS to_stage FROM s),
+c AS (SELECT from_stage, to_stage, count(*) AS transitions FROM t WHERE from_stage IS NOT NULL GROUP BY 1, 2)
+SELECT from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY from_stage) AS share FROM c"""
