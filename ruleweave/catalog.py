@@ -721,3 +721,35 @@ ORACLES["role_transitions"] = """WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS h
 t AS (SELECT lag(stage) OVER (PARTITION BY host ORDER BY turn) AS from_stage, stage AS to_stage FROM s),
 c AS (SELECT from_stage, to_stage, count(*) AS transitions FROM t WHERE from_stage IS NOT NULL GROUP BY 1, 2)
 SELECT from_stage, to_stage, transitions, transitions / sum(transitions) OVER (PARTITION BY from_stage) AS share FROM c"""
+
+
+# --- long-text predicates over documents (P2-P5 on whole texts) ------------------------------
+
+DOCUMENT_RULES = [
+    Rule(id="doc-license-001", title="License text", level="low",
+         detection={"sel": {"text|contains": ["License", "licen"]}, "condition": "sel"}),
+    Rule(id="doc-contact-001", title="Contact or token in English text", level="medium",
+         detection={"txt": {"text|contains": ["@", "token"]}, "en": {"lang": "en"}, "condition": "txt and en"}),
+    Rule(id="doc-non-english-license-001", title="License text outside English", level="medium",
+         detection={"lic": {"text|contains": "License"}, "en": {"lang": "en"}, "condition": "lic and not en"}),
+]
+
+
+def document_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over whole documents (long texts, four languages): host = source, lang as a field."""
+    from ruleweave.sources.logs import table_view
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("host"), "lang", "text")
+    view = table_view(docs, time_col="doc_id", order_cols=["doc_id"], keep=["doc_id"])
+    return alert_projection(view, match_rules(view, DOCUMENT_RULES)).select("rule_id", "severity", "host", "doc_id")
+
+
+QUERIES["document_alerts"] = document_alerts
+ORACLES["document_alerts"] = """
+SELECT 'doc-license-001' AS rule_id, 'low' AS severity, source AS host, doc_id FROM documents
+ WHERE contains(text, 'License') OR contains(text, 'licen')
+UNION ALL
+SELECT 'doc-contact-001', 'medium', source, doc_id FROM documents
+ WHERE (contains(text, '@') OR contains(text, 'token')) AND lang = 'en'
+UNION ALL
+SELECT 'doc-non-english-license-001', 'medium', source, doc_id FROM documents
+ WHERE contains(text, 'License') AND NOT (lang IS NOT NULL AND lang = 'en')"""
