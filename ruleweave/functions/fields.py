@@ -153,3 +153,13 @@ def any_of(cols: list[Column]) -> Column:
     while len(cols) > 1:
         cols = [cols[i] | cols[i + 1] if i + 1 < len(cols) else cols[i] for i in range(0, len(cols), 2)]
     return cols[0]
+
+
+def case_of(k: Column, values: list[Column]) -> Column:
+    """``values[k]`` for a small integer column ``k`` (one flat CASE, no nesting)."""
+    if len(values) == 1:
+        return values[0]
+    expr = F.when(k == 0, values[0])
+    for i, v in enumerate(values[1:], start=1):
+        expr = expr.when(k == i, v)
+    return expr

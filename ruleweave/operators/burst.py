@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ruleweave.functions.fields import any_of, field_value_text, quote
+from ruleweave.functions.fields import any_of, case_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS, floor_div
 from ruleweave.operators.evaluate import matched_at
@@ -164,54 +164,48 @@ def burst_alerts(view: LogView, rules: list[Rule], *, chunk_factor: int = DEFAUL
     return out if include_count else out.drop("window_count")
 
 
-def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordinals: list[int],
-                 chunk_factor: int, strategy: str, max_group_rows: int) -> DataFrame:
-    window_s = specs[0].window_seconds
-    window_us = window_s * MICROS
+def burst_rows(view: LogView, rules: list[Rule], single_order: bool = False) -> DataFrame:
+    """Matching rows of burst rules, one per (log, rule): ``_wf_k`` (rule ordinal), ``_wf_key``
+    (the declared ``by`` field, D2), ``_wf_t`` (event time), ``_wf_o0..`` (order) and the
+    alert payload. The selection filter runs first (A4) and reaches the scan."""
+    specs = [burst_spec(r) for r in rules]
     flagged, names = with_rule_flags(view.df, rules, view.fields, prefix="__b",
                                      conditions=[s.selection for s in specs])
     hits = F.filter(F.array(*[F.when(F.col(n), F.lit(k)) for k, n in enumerate(names)]),
                     lambda x: x.isNotNull())
-    any_sel = any_of([F.col(n) for n in names])
-    # group-key expression per rule (D2: the declared ``by`` field)
-    by_fields = [s.by_field for s in specs]
-    order_names = [f"_wf_o{i}" for i in range(len(view.order))]
-    selected = flagged.where(any_sel).select(
-        "*", F.explode(hits).alias("_wf_k"),
-    )
-    key_expr = _case(F.col("_wf_k"), [field_value_text(view.fields, f) for f in by_fields])
-    rows = selected.select(
-        F.col("_wf_k"), key_expr.alias("_wf_key"),
+    if single_order and len(view.order) != 1:
+        raise ValueError("a streaming view needs exactly one order column (e.g. the offset)")
+    order = [o.cast("long") for o in view.order] if single_order else view.order
+    selected = flagged.where(any_of([F.col(n) for n in names])).select("*", F.explode(hits).alias("_wf_k"))
+    return selected.select(
+        F.col("_wf_k"),
+        case_of(F.col("_wf_k"), [field_value_text(view.fields, s.by_field) for s in specs]).alias("_wf_key"),
         view.event_us.alias("_wf_t"),
-        *[o.alias(n) for o, n in zip(view.order, order_names)],
+        *[o.alias(f"_wf_o{i}") for i, o in enumerate(order)],
         view.host.alias("host"), view.raw_json.alias("raw_log"),
         view.id_time_us.alias("_wf_idt"),
         *[F.col(quote(k)) for k in view.keep],
     ).where(F.col("_wf_t").isNotNull())
+
+
+def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordinals: list[int],
+                 chunk_factor: int, strategy: str, max_group_rows: int) -> DataFrame:
+    window_s = specs[0].window_seconds
+    rows = burst_rows(view, rules)
+    order_names = [f"_wf_o{i}" for i in range(len(view.order))]
     counted = windowed_counts(rows, key_cols=["_wf_k", "_wf_key"], time_col="_wf_t", order_cols=order_names,
-                              window_us=window_us, chunk_factor=chunk_factor, strategy=strategy,
+                              window_us=window_s * MICROS, chunk_factor=chunk_factor, strategy=strategy,
                               max_group_rows=max_group_rows)
     k = F.col("_wf_k")
-    threshold = _case(k, [F.lit(s.threshold) for s in specs])
-    fired = counted.where(F.col("window_count") > threshold)
-    rid = _case(k, [F.lit(r.id) for r in rules])
-    bucket = time_bucket(F.col("_wf_idt"), window_s)
+    fired = counted.where(F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs]))
+    rid = case_of(k, [F.lit(r.id) for r in rules])
     return fired.select(
-        bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"),
+        bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_wf_idt"), window_s)).alias("alert_id"),
         rid.alias("rule_id"),
-        _case(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
-        _case(k, [F.lit(r.level) for r in rules]).alias("severity"),
+        case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
+        case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
         matched_at().alias("matched_at"),
         F.col("host"), F.col("raw_log"),
         *[F.col(quote(c)) for c in view.keep],
         F.col("window_count"),
     )
-
-
-def _case(k: Column, values: list[Column]) -> Column:
-    if len(values) == 1:
-        return values[0]
-    expr = F.when(k == 0, values[0])
-    for i, v in enumerate(values[1:], start=1):
-        expr = expr.when(k == i, v)
-    return expr

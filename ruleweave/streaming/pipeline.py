@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ruleweave.functions.fields import any_of, field_value_text, quote
+from ruleweave.functions.fields import case_of, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS
 from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
-from ruleweave.operators.burst import _case
+from ruleweave.operators.burst import burst_rows as _burst_rows
 from ruleweave.operators.store import write_batch
-from ruleweave.plans.compile import usable_rules, with_rule_flags
+from ruleweave.plans.compile import usable_rules
 from ruleweave.plans.rules import Rule, burst_spec, split_rules
 from ruleweave.sources.logs import LogView
 from ruleweave.streaming.bursts import stateful_counts
@@ -30,21 +30,8 @@ ALERT_OUT = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "hos
 
 
 def burst_rows(view: LogView, rules: list[Rule]) -> DataFrame:
-    """Matching rows of burst rules, one per (log, rule), with key, time, order and payload."""
-    specs = [burst_spec(r) for r in rules]
-    flagged, names = with_rule_flags(view.df, rules, view.fields, prefix="__s",
-                                     conditions=[s.selection for s in specs])
-    hits = F.filter(F.array(*[F.when(F.col(n), F.lit(k)) for k, n in enumerate(names)]), lambda x: x.isNotNull())
-    any_sel = any_of([F.col(n) for n in names])
-    if len(view.order) != 1:
-        raise ValueError("a streaming view needs exactly one order column (e.g. the offset)")
-    sel = flagged.where(any_sel).select("*", F.explode(hits).alias("_wf_k"))
-    return sel.select(
-        F.col("_wf_k"), _case(F.col("_wf_k"), [field_value_text(view.fields, s.by_field) for s in specs]).alias("_wf_key"),
-        view.event_us.alias("_wf_t"), view.order[0].cast("long").alias("_wf_o0"),
-        view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_wf_idt"),
-        *[F.col(quote(k)) for k in view.keep],
-    ).where(F.col("_wf_t").isNotNull())
+    """Matching rows of burst rules for a stream: one order column (the offset)."""
+    return _burst_rows(view, rules, single_order=True)
 
 
 def stream_burst_alerts(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
@@ -54,12 +41,12 @@ def stream_burst_alerts(view: LogView, rules: list[Rule], watermark: str = "1 ho
                               windows_us={k: s.window_seconds * MICROS for k, s in enumerate(specs)},
                               thresholds={k: s.threshold for k, s in enumerate(specs)}, watermark=watermark)
     k = F.col("_wf_k")
-    rid = _case(k, [F.lit(r.id) for r in rules])
-    bucket = _case(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
+    rid = case_of(k, [F.lit(r.id) for r in rules])
+    bucket = case_of(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
     return counted.select(
         bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
-        _case(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
-        _case(k, [F.lit(r.level) for r in rules]).alias("severity"),
+        case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
+        case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
         matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count",
         F.timestamp_micros("_wf_t").alias("event_time"))
 
@@ -202,13 +189,13 @@ def start_table_bursts(logs: DataFrame, make_view, rules: list[Rule], *, checkpo
         for p in parts[1:]:
             counted = counted.unionByName(p)
         k = F.col("_wf_k")
-        fired = counted.where(F.col("_wf_new") & (F.col("window_count") > _case(k, [F.lit(s.threshold) for s in specs])))
-        rid = _case(k, [F.lit(r.id) for r in rules])
-        bucket = _case(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
+        fired = counted.where(F.col("_wf_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
+        rid = case_of(k, [F.lit(r.id) for r in rules])
+        bucket = case_of(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
         alerts = fired.select(
             bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
-            _case(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
-            _case(k, [F.lit(r.level) for r in rules]).alias("severity"),
+            case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
+            case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
             matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep],
             "window_count", "_wf_t")
         if publish_path:
