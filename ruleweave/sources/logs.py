@@ -88,6 +88,7 @@ def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame
     loaders do. Text that is not one JSON object (arrays, scalars, trailing text, broken
     JSON) is quarantined. One parse per row.
     """
+    df = spread(df)
     v = F.col(quote(value_col))
     m = F.from_json(v, "map<string,string>")
     text = F.trim(v)
