@@ -328,7 +328,7 @@ def events_changelog(spark: SparkSession) -> DataFrame:
     raw = spark.createDataFrame([(i + 1, _day_us(d), _json.dumps(e)) for i, (d, e) in enumerate(CHANGELOG)],
                                 "seq long, at_us long, value string")
     return directory_changelog(spark, directory).unionByName(
-        decode_envelopes(raw, at_col="at_us").drop("_wf_pre_error"))
+        decode_envelopes(raw, at_col="at_us").drop("_rw_pre_error"))
 
 
 def asof_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -555,10 +555,10 @@ ORACLES["rule_table_alerts"] = ORACLES["rule_set_alerts"]
 def events_json_view(spark: SparkSession, sf_dir: str):
     """The events as raw JSON text, decoded back with the quarantine split."""
     from ruleweave.sources.logs import decode_json_logs, json_view
-    logs = events_logs(spark, sf_dir).drop("_wf_ts")
+    logs = events_logs(spark, sf_dir).drop("_rw_ts")
     raw = logs.select(F.to_json(F.struct(*logs.columns)).alias("value"))
     good, _ = decode_json_logs(raw)
-    good = good.withColumn("event_id", F.col("_wf_fields")["event_id"].cast("long"))
+    good = good.withColumn("event_id", F.col("_rw_fields")["event_id"].cast("long"))
     return json_view(good, order_cols=["event_id"], keep=["event_id"])
 
 
@@ -578,7 +578,7 @@ def coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = burst_rows(events_view(spark, sf_dir), bursts)
     out = _coarse(rows, window="24 hours", slide="6 hours", threshold=2)
     return out.select((F.unix_micros(F.col("window.start")) / 1_000_000).cast("long").alias("window_start"),
-                      F.col("_wf_key").alias("host"), "window_count")
+                      F.col("_rw_key").alias("host"), "window_count")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -649,7 +649,7 @@ def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = Rule(id="ev-k-round-001", title="k is a round number", level="low",
                 detection={"sel": {"k": [10, 20, 30, 40, 50, 60, 70, 80, 90]}, "condition": "sel"})
     m = match_rules(view, [rule])
-    return m.select("event_id", F.col("_wf_rule.rule_id").alias("rule_id"),
+    return m.select("event_id", F.col("_rw_rule.rule_id").alias("rule_id"),
                     view.fields.text("k").alias("k"))
 
 

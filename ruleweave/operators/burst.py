@@ -47,25 +47,25 @@ def sliding_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order
     payload = [c for c in rows.columns if c not in set(key_cols) | {time_col} | set(order_cols)]
     spread = rows.select(
         *[F.col(quote(c)) for c in key_cols], t, *[F.col(quote(c)) for c in order_cols],
-        F.struct(*[F.col(quote(c)) for c in payload]).alias("_wf_payload"),
-        own.alias("_wf_own"),
-        F.explode(F.sequence(own, last)).alias("_wf_chunk"),
+        F.struct(*[F.col(quote(c)) for c in payload]).alias("_rw_payload"),
+        own.alias("_rw_own"),
+        F.explode(F.sequence(own, last)).alias("_rw_chunk"),
     )
     # context copies carry no payload
     spread = spread.select(
         *[F.col(quote(c)) for c in key_cols], t, *[F.col(quote(c)) for c in order_cols],
-        F.col("_wf_chunk"), (F.col("_wf_chunk") == F.col("_wf_own")).alias("_wf_is_own"),
-        F.when(F.col("_wf_chunk") == F.col("_wf_own"), F.col("_wf_payload")).alias("_wf_payload"),
+        F.col("_rw_chunk"), (F.col("_rw_chunk") == F.col("_rw_own")).alias("_rw_is_own"),
+        F.when(F.col("_rw_chunk") == F.col("_rw_own"), F.col("_rw_payload")).alias("_rw_payload"),
     )
-    part = [F.col(quote(c)) for c in key_cols] + [F.col("_wf_chunk")]
+    part = [F.col(quote(c)) for c in key_cols] + [F.col("_rw_chunk")]
     by_arrival = Window.partitionBy(*part).orderBy(t, *[F.col(quote(c)) for c in order_cols])
     by_time = Window.partitionBy(*part).orderBy(t).rangeBetween(Window.unboundedPreceding, -window_us)
-    ranked = spread.withColumn("_wf_rn", F.row_number().over(by_arrival))
-    counted = ranked.withColumn("_wf_gone", F.count(F.lit(1)).over(by_time))
-    out = counted.where(F.col("_wf_is_own")).select(
+    ranked = spread.withColumn("_rw_rn", F.row_number().over(by_arrival))
+    counted = ranked.withColumn("_rw_gone", F.count(F.lit(1)).over(by_time))
+    out = counted.where(F.col("_rw_is_own")).select(
         *[F.col(quote(c)) for c in key_cols], t, *[F.col(quote(c)) for c in order_cols],
-        (F.col("_wf_rn") - F.col("_wf_gone")).alias("window_count"),
-        *[F.col(f"_wf_payload.{quote(c)}").alias(c) for c in payload],
+        (F.col("_rw_rn") - F.col("_rw_gone")).alias("window_count"),
+        *[F.col(f"_rw_payload.{quote(c)}").alias(c) for c in payload],
     )
     return out
 
@@ -90,35 +90,35 @@ def sliding_counts_ranked(rows: DataFrame, *, key_cols: list[str], time_col: str
     payload = [c for c in rows.columns if c not in set(key_cols) | {time_col} | set(order_cols)]
 
     # rows per chunk, every probe chunk present, and the rows before each chunk
-    marks = rows.select(*keys, F.inline(F.array(F.struct(own.alias("_wf_c"), F.lit(1).alias("_wf_one")),
-                                                F.struct(probe_c.alias("_wf_c"), F.lit(0).alias("_wf_one")))))
-    stats = marks.groupBy(*keys, "_wf_c").agg(F.sum("_wf_one").alias("_wf_n"))
-    prefix = Window.partitionBy(*keys).orderBy("_wf_c").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(*keys, "_wf_c", F.coalesce(F.sum("_wf_n").over(prefix), F.lit(0)).alias("_wf_before"))
+    marks = rows.select(*keys, F.inline(F.array(F.struct(own.alias("_rw_c"), F.lit(1).alias("_rw_one")),
+                                                F.struct(probe_c.alias("_rw_c"), F.lit(0).alias("_rw_one")))))
+    stats = marks.groupBy(*keys, "_rw_c").agg(F.sum("_rw_one").alias("_rw_n"))
+    prefix = Window.partitionBy(*keys).orderBy("_rw_c").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select(*keys, "_rw_c", F.coalesce(F.sum("_rw_n").over(prefix), F.lit(0)).alias("_rw_before"))
 
     # stage 1: rank inside the own chunk, plus the rows of earlier chunks
-    local = Window.partitionBy(*keys, "_wf_c").orderBy(t, *order)
-    ranked = rows.withColumn("_wf_c", own).withColumn("_wf_lr", F.row_number().over(local))
-    ranked = ranked.join(stats, on=[*key_cols, "_wf_c"]).withColumn("_wf_rn", F.col("_wf_before") + F.col("_wf_lr"))
+    local = Window.partitionBy(*keys, "_rw_c").orderBy(t, *order)
+    ranked = rows.withColumn("_rw_c", own).withColumn("_rw_lr", F.row_number().over(local))
+    ranked = ranked.join(stats, on=[*key_cols, "_rw_c"]).withColumn("_rw_rn", F.col("_rw_before") + F.col("_rw_lr"))
 
     # stage 2: a marker per row at t and a probe per row at t - T, in the chunk of each
-    marker = F.struct(F.col("_wf_c").alias("_wf_pc"), t.alias("_wf_pt"), F.lit(0).alias("_wf_kind"),
-                      F.lit(None).cast("long").alias("_wf_rank"),
+    marker = F.struct(F.col("_rw_c").alias("_rw_pc"), t.alias("_rw_pt"), F.lit(0).alias("_rw_kind"),
+                      F.lit(None).cast("long").alias("_rw_rank"),
                       F.lit(None).cast(rows.select(F.struct(t, *order, *[F.col(quote(c)) for c in payload]))
-                                       .schema[0].dataType).alias("_wf_row"))
-    probe = F.struct(probe_c.alias("_wf_pc"), probe_t.alias("_wf_pt"), F.lit(1).alias("_wf_kind"),
-                     F.col("_wf_rn").cast("long").alias("_wf_rank"),
-                     F.struct(t, *order, *[F.col(quote(c)) for c in payload]).alias("_wf_row"))
+                                       .schema[0].dataType).alias("_rw_row"))
+    probe = F.struct(probe_c.alias("_rw_pc"), probe_t.alias("_rw_pt"), F.lit(1).alias("_rw_kind"),
+                     F.col("_rw_rn").cast("long").alias("_rw_rank"),
+                     F.struct(t, *order, *[F.col(quote(c)) for c in payload]).alias("_rw_row"))
     both = ranked.select(*keys, F.inline(F.array(marker, probe)))
-    seen = Window.partitionBy(*keys, "_wf_pc").orderBy("_wf_pt", "_wf_kind").rowsBetween(Window.unboundedPreceding, 0)
-    probes = (both.withColumn("_wf_le", F.sum(F.lit(1) - F.col("_wf_kind")).over(seen))
-              .where(F.col("_wf_kind") == 1)
-              .join(stats.withColumnRenamed("_wf_c", "_wf_pc"), on=[*key_cols, "_wf_pc"]))
-    count = F.col("_wf_rank") - F.col("_wf_before") - F.col("_wf_le")
-    return probes.select(*keys, F.col(f"_wf_row.{quote(time_col)}").alias(time_col),
-                         *[F.col(f"_wf_row.{quote(c)}").alias(c) for c in order_cols],
+    seen = Window.partitionBy(*keys, "_rw_pc").orderBy("_rw_pt", "_rw_kind").rowsBetween(Window.unboundedPreceding, 0)
+    probes = (both.withColumn("_rw_le", F.sum(F.lit(1) - F.col("_rw_kind")).over(seen))
+              .where(F.col("_rw_kind") == 1)
+              .join(stats.withColumnRenamed("_rw_c", "_rw_pc"), on=[*key_cols, "_rw_pc"]))
+    count = F.col("_rw_rank") - F.col("_rw_before") - F.col("_rw_le")
+    return probes.select(*keys, F.col(f"_rw_row.{quote(time_col)}").alias(time_col),
+                         *[F.col(f"_rw_row.{quote(c)}").alias(c) for c in order_cols],
                          count.alias("window_count"),
-                         *[F.col(f"_wf_row.{quote(c)}").alias(c) for c in payload])
+                         *[F.col(f"_rw_row.{quote(c)}").alias(c) for c in payload])
 
 
 def windowed_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
@@ -138,7 +138,7 @@ def windowed_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, orde
     busiest = None
     if strategy == "auto" or strategy == "ranked":
         c = floor_div(F.col(time_col), chunk_us)
-        busiest = (rows.groupBy(*[F.col(quote(k)) for k in key_cols], c.alias("_wf_c")).count()
+        busiest = (rows.groupBy(*[F.col(quote(k)) for k in key_cols], c.alias("_rw_c")).count()
                    .agg(F.max("count")).first()[0]) or 0
     if strategy == "auto" and busiest <= max_group_rows:
         return sliding_counts(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
@@ -165,8 +165,8 @@ def burst_alerts(view: LogView, rules: list[Rule], *, chunk_factor: int = DEFAUL
 
 
 def burst_rows(view: LogView, rules: list[Rule], single_order: bool = False) -> DataFrame:
-    """Matching rows of burst rules, one per (log, rule): ``_wf_k`` (rule ordinal), ``_wf_key``
-    (the declared ``by`` field, D2), ``_wf_t`` (event time), ``_wf_o0..`` (order) and the
+    """Matching rows of burst rules, one per (log, rule): ``_rw_k`` (rule ordinal), ``_rw_key``
+    (the declared ``by`` field, D2), ``_rw_t`` (event time), ``_rw_o0..`` (order) and the
     alert payload. The selection filter runs first (A4) and reaches the scan."""
     specs = [burst_spec(r) for r in rules]
     flagged, names = with_rule_flags(view.df, rules, view.fields, prefix="__b",
@@ -176,31 +176,31 @@ def burst_rows(view: LogView, rules: list[Rule], single_order: bool = False) ->
     if single_order and len(view.order) != 1:
         raise ValueError("a streaming view needs exactly one order column (e.g. the offset)")
     order = [o.cast("long") for o in view.order] if single_order else view.order
-    selected = flagged.where(any_of([F.col(n) for n in names])).select("*", F.explode(hits).alias("_wf_k"))
+    selected = flagged.where(any_of([F.col(n) for n in names])).select("*", F.explode(hits).alias("_rw_k"))
     return selected.select(
-        F.col("_wf_k"),
-        case_of(F.col("_wf_k"), [field_value_text(view.fields, s.by_field) for s in specs]).alias("_wf_key"),
-        view.event_us.alias("_wf_t"),
-        *[o.alias(f"_wf_o{i}") for i, o in enumerate(order)],
+        F.col("_rw_k"),
+        case_of(F.col("_rw_k"), [field_value_text(view.fields, s.by_field) for s in specs]).alias("_rw_key"),
+        view.event_us.alias("_rw_t"),
+        *[o.alias(f"_rw_o{i}") for i, o in enumerate(order)],
         view.host.alias("host"), view.raw_json.alias("raw_log"),
-        view.id_time_us.alias("_wf_idt"),
+        view.id_time_us.alias("_rw_idt"),
         *[F.col(quote(k)) for k in view.keep],
-    ).where(F.col("_wf_t").isNotNull())
+    ).where(F.col("_rw_t").isNotNull())
 
 
 def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordinals: list[int],
                  chunk_factor: int, strategy: str, max_group_rows: int) -> DataFrame:
     window_s = specs[0].window_seconds
     rows = burst_rows(view, rules)
-    order_names = [f"_wf_o{i}" for i in range(len(view.order))]
-    counted = windowed_counts(rows, key_cols=["_wf_k", "_wf_key"], time_col="_wf_t", order_cols=order_names,
+    order_names = [f"_rw_o{i}" for i in range(len(view.order))]
+    counted = windowed_counts(rows, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=order_names,
                               window_us=window_s * MICROS, chunk_factor=chunk_factor, strategy=strategy,
                               max_group_rows=max_group_rows)
-    k = F.col("_wf_k")
+    k = F.col("_rw_k")
     fired = counted.where(F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs]))
     rid = case_of(k, [F.lit(r.id) for r in rules])
     return fired.select(
-        bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_wf_idt"), window_s)).alias("alert_id"),
+        bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_rw_idt"), window_s)).alias("alert_id"),
         rid.alias("rule_id"),
         case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
         case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),

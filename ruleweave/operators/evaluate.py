@@ -40,7 +40,7 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
     """
     if not rules:
         return view.df.where(F.lit(False)).select("*", F.lit(None).cast(
-            "struct<rule_ord:int,rule_id:string,rule_title:string,severity:string>").alias("_wf_rule"))
+            "struct<rule_ord:int,rule_id:string,rule_title:string,severity:string>").alias("_rw_rule"))
     flagged, names = with_rule_flags(view.df, rules, view.fields)
     if gates is not None:
         flagged = flagged.select(*[F.col(quote(c)) for c in view.df.columns],
@@ -53,27 +53,27 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
             items.append(F.when(f, rule_struct(i, rule)))
     hits = F.filter(F.array(*items), lambda x: x.isNotNull())
     return (flagged.where(any_rule)
-            .select(*[F.col(quote(c)) for c in view.df.columns], F.explode(hits).alias("_wf_rule")))
+            .select(*[F.col(quote(c)) for c in view.df.columns], F.explode(hits).alias("_rw_rule")))
 
 
 def alert_projection(view: LogView, matched: DataFrame, alert_id: Column | None = None,
                      extra: list[Column] | None = None) -> DataFrame:
-    """The alert row; the rule is in the ``_wf_rule`` struct column.
+    """The alert row; the rule is in the ``_rw_rule`` struct column.
 
     The canonical text is computed once and feeds both the id (J2) and, for columnar
     logs, the embedded raw log.
     """
     same = view.raw_json is view.canonical
-    staged = matched.select("*", view.canonical.alias("_wf_canon"),
-                            *([] if same else [view.raw_json.alias("_wf_raw")]))
-    aid = F.expr(uuid5_sql("concat(`_wf_rule`.`rule_id`, ':', `_wf_canon`)")) if alert_id is None else alert_id
+    staged = matched.select("*", view.canonical.alias("_rw_canon"),
+                            *([] if same else [view.raw_json.alias("_rw_raw")]))
+    aid = F.expr(uuid5_sql("concat(`_rw_rule`.`rule_id`, ':', `_rw_canon`)")) if alert_id is None else alert_id
     return staged.select(
-        aid.alias("alert_id"), F.col("_wf_rule.rule_id").alias("rule_id"),
-        F.col("_wf_rule.rule_title").alias("rule_title"),
-        F.col("_wf_rule.severity").alias("severity"),
+        aid.alias("alert_id"), F.col("_rw_rule.rule_id").alias("rule_id"),
+        F.col("_rw_rule.rule_title").alias("rule_title"),
+        F.col("_rw_rule.severity").alias("severity"),
         matched_at().alias("matched_at"),
         view.host.alias("host"),
-        F.col("_wf_canon" if same else "_wf_raw").alias("raw_log"),
+        F.col("_rw_canon" if same else "_rw_raw").alias("raw_log"),
         *[F.col(quote(k)) for k in view.keep],
         *(extra or []),
     )
@@ -102,5 +102,5 @@ def evaluate(view: LogView, rules: list[Rule], **burst_options) -> DataFrame:
 def alerts_json(alerts: DataFrame) -> DataFrame:
     """One JSON document per alert; ``raw_log`` is embedded as an object."""
     doc = F.struct(*[F.col(c) for c in ALERT_COLUMNS if c != "raw_log"],
-                   F.parse_json(F.col("raw_log")).alias("raw_log"))
+                   F.try_parse_json(F.col("raw_log")).alias("raw_log"))
     return alerts.select(F.col("alert_id").alias("key"), F.to_json(doc).alias("value"))

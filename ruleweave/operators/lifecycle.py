@@ -56,7 +56,7 @@ def decode_envelopes(raw: DataFrame, value_col: str = "value", seq_col: str = "s
         F.when(is_obj, env.op).alias("op"),
         F.when(is_obj, env.rule_id).alias("rule_id"),
         F.when(is_obj, env.rule).alias("rule"),
-        F.when(~F.coalesce(is_obj, F.lit(False)), F.lit("envelope is not a JSON object")).alias("_wf_pre_error"),
+        F.when(~F.coalesce(is_obj, F.lit(False)), F.lit("envelope is not a JSON object")).alias("_rw_pre_error"),
     )
 
 
@@ -78,8 +78,8 @@ def with_errors(changelog: DataFrame) -> DataFrame:
            .when((op == "update") & ~F.coalesce(payload_id == F.col("rule_id"), F.lit(False)),
                  F.lit("envelope rule_id does not match rule payload id"))
            .when(op != "delete", missing))
-    pre = F.col("_wf_pre_error") if "_wf_pre_error" in changelog.columns else F.lit(None).cast("string")
-    return changelog.withColumn("error", F.coalesce(pre, err)).drop("_wf_pre_error")
+    pre = F.col("_rw_pre_error") if "_rw_pre_error" in changelog.columns else F.lit(None).cast("string")
+    return changelog.withColumn("error", F.coalesce(pre, err)).drop("_rw_pre_error")
 
 
 def entries(changelog: DataFrame) -> DataFrame:
@@ -95,19 +95,19 @@ def entries(changelog: DataFrame) -> DataFrame:
     c = c.withColumn("epoch", F.sum((F.col("op") == "delete").cast("long")).over(
         by_id.rowsBetween(Window.unboundedPreceding, 0)))
     ender = F.when(F.col("op").isin("update", "delete"), F.struct("seq", "at_us"))
-    c = c.withColumn("_wf_end", F.first(ender, ignorenulls=True).over(
+    c = c.withColumn("_rw_end", F.first(ender, ignorenulls=True).over(
         by_id.rowsBetween(1, Window.unboundedFollowing)))
     in_epoch = Window.partitionBy("rid", "epoch").orderBy("seq")
-    c = c.withColumn("_wf_first", F.first(F.when(F.col("op") != "delete", F.col("op")), ignorenulls=True).over(
+    c = c.withColumn("_rw_first", F.first(F.when(F.col("op") != "delete", F.col("op")), ignorenulls=True).over(
         in_epoch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    c = c.withColumn("_wf_adds_before", F.coalesce(F.sum((F.col("op") == "add").cast("long")).over(
+    c = c.withColumn("_rw_adds_before", F.coalesce(F.sum((F.col("op") == "add").cast("long")).over(
         in_epoch.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     copies = (F.when(F.col("op") == "add", F.lit(1))
-              .otherwise(F.col("_wf_adds_before") + F.when(F.col("_wf_first") == "update", 1).otherwise(0)))
+              .otherwise(F.col("_rw_adds_before") + F.when(F.col("_rw_first") == "update", 1).otherwise(0)))
     return c.where(F.col("op") != "delete").select(
         F.col("rid").alias("rule_id"), "epoch", "seq", copies.cast("long").alias("copies"),
-        F.col("at_us").alias("from_us"), F.col("_wf_end.at_us").alias("to_us"),
-        F.col("_wf_end.seq").alias("to_seq"), "rule")
+        F.col("at_us").alias("from_us"), F.col("_rw_end.at_us").alias("to_us"),
+        F.col("_rw_end.seq").alias("to_seq"), "rule")
 
 
 def active_rules(changelog: DataFrame) -> DataFrame:
@@ -196,23 +196,23 @@ def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
                 expr = F.when(m, v) if expr is None else expr.when(m, v)
             return expr
         any_live = any_of(live)
-        order_names = [f"_wf_o{i}" for i in range(len(view.order))]
+        order_names = [f"_rw_o{i}" for i in range(len(view.order))]
         rows = view.df.where(any_live).select(
-            F.lit(rid).alias("_wf_rid"), field_value_text(view.fields, by.pop()).alias("_wf_key"),
-            view.event_us.alias("_wf_t"), *[o.alias(n) for o, n in zip(view.order, order_names)],
-            view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_wf_idt"),
-            pick([F.lit(s.threshold) for _, s, _ in versions]).alias("_wf_n"),
+            F.lit(rid).alias("_rw_rid"), field_value_text(view.fields, by.pop()).alias("_rw_key"),
+            view.event_us.alias("_rw_t"), *[o.alias(n) for o, n in zip(view.order, order_names)],
+            view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_rw_idt"),
+            pick([F.lit(s.threshold) for _, s, _ in versions]).alias("_rw_n"),
             pick([F.lit(r.title) for r, _, _ in versions]).alias("rule_title"),
             pick([F.lit(r.level) for r, _, _ in versions]).alias("severity"),
-            pick([F.lit(int(e["copies"])) for _, _, e in versions]).alias("_wf_copies"),
+            pick([F.lit(int(e["copies"])) for _, _, e in versions]).alias("_rw_copies"),
             *[F.col(quote(k)) for k in view.keep],
-        ).where(F.col("_wf_t").isNotNull())
-        counted = windowed_counts(rows, key_cols=["_wf_rid", "_wf_key"], time_col="_wf_t", order_cols=order_names,
+        ).where(F.col("_rw_t").isNotNull())
+        counted = windowed_counts(rows, key_cols=["_rw_rid", "_rw_key"], time_col="_rw_t", order_cols=order_names,
                                   window_us=window_s * MICROS, chunk_factor=chunk_factor)
-        fired = counted.where(F.col("window_count") > F.col("_wf_n"))
-        fired = fired.withColumn("_wf_copy", F.explode(F.sequence(F.lit(1), F.col("_wf_copies").cast("int"))))
+        fired = counted.where(F.col("window_count") > F.col("_rw_n"))
+        fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), F.col("_rw_copies").cast("int"))))
         parts.append(fired.select(
-            bucket_alert_id(F.lit(rid), F.col("host"), time_bucket(F.col("_wf_idt"), window_s)).alias("alert_id"),
+            bucket_alert_id(F.lit(rid), F.col("host"), time_bucket(F.col("_rw_idt"), window_s)).alias("alert_id"),
             F.lit(rid).alias("rule_id"), "rule_title", "severity", matched_at().alias("matched_at"),
             "host", "raw_log", *[F.col(quote(k)) for k in view.keep], F.lit(epoch).alias("epoch")))
     out = parts[0]

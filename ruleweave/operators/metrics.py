@@ -59,18 +59,18 @@ def histogram_quantile(buckets: DataFrame, q: float, group_cols: list[str]) -> D
     """
     g = [F.col(quote(c)) for c in group_cols]
     w = Window.partitionBy(*g).orderBy("le")
-    b = (buckets.withColumn("_wf_prev_le", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
-         .withColumn("_wf_prev_cum", F.coalesce(F.lag("cumulative_count").over(w), F.lit(0)))
-         .withColumn("_wf_total", F.max("cumulative_count").over(Window.partitionBy(*g))))
-    rank = F.lit(q) * F.col("_wf_total")
-    hit = b.where((F.col("cumulative_count") >= rank) & (F.col("_wf_total") > 0))
-    first = hit.groupBy(*g).agg(F.min_by(F.struct("le", "_wf_prev_le", "_wf_prev_cum", "cumulative_count",
-                                                  "_wf_total"), F.col("le")).alias("_wf_b"))
-    x = F.col("_wf_b")
-    inside = x.cumulative_count - x._wf_prev_cum
-    val = (F.when(x.le == F.lit(float("inf")), x._wf_prev_le)
+    b = (buckets.withColumn("_rw_prev_le", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
+         .withColumn("_rw_prev_cum", F.coalesce(F.lag("cumulative_count").over(w), F.lit(0)))
+         .withColumn("_rw_total", F.max("cumulative_count").over(Window.partitionBy(*g))))
+    rank = F.lit(q) * F.col("_rw_total")
+    hit = b.where((F.col("cumulative_count") >= rank) & (F.col("_rw_total") > 0))
+    first = hit.groupBy(*g).agg(F.min_by(F.struct("le", "_rw_prev_le", "_rw_prev_cum", "cumulative_count",
+                                                  "_rw_total"), F.col("le")).alias("_rw_b"))
+    x = F.col("_rw_b")
+    inside = x.cumulative_count - x._rw_prev_cum
+    val = (F.when(x.le == F.lit(float("inf")), x._rw_prev_le)
            .when(inside == 0, x.le)
-           .otherwise(x._wf_prev_le + (x.le - x._wf_prev_le) * (F.lit(q) * x._wf_total - x._wf_prev_cum) / inside))
+           .otherwise(x._rw_prev_le + (x.le - x._rw_prev_le) * (F.lit(q) * x._rw_total - x._rw_prev_cum) / inside))
     return first.select(*g, F.lit(q).alias("quantile"), val.alias("value"))
 
 

@@ -130,11 +130,11 @@ def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fie
         # Every modifier offer of a field shares one key; salt it so that key spreads over
         # ``salts`` tasks (offers hashed by log key, modifier conditions copied per salt).
         salts = 16
-        offers = offers.withColumn("_wf_salt", F.when(F.col("kind") == "mod", F.pmod(
+        offers = offers.withColumn("_rw_salt", F.when(F.col("kind") == "mod", F.pmod(
             F.xxhash64(*[F.col(quote(k)) for k in key_cols]), F.lit(salts))).otherwise(F.lit(0)))
-        cond = cond.withColumn("_wf_salt", F.explode(F.when(F.col("kind") == "mod", F.sequence(
+        cond = cond.withColumn("_rw_salt", F.explode(F.when(F.col("kind") == "mod", F.sequence(
             F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        join_keys.append("_wf_salt")
+        join_keys.append("_rw_salt")
     lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
     residual = (m.isNull() | ((m == "contains") & lv.contains(cv)) | ((m == "startswith") & lv.startswith(cv))
                 | ((m == "endswith") & lv.endswith(cv)))
@@ -164,7 +164,7 @@ def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols
         meta = spark.createDataFrame([(i, r.id, r.title, r.level) for i, r in enumerate(rules)],
                                      "rule_ord int, rule_id string, rule_title string, severity string")
         tagged = matches.join(F.broadcast(meta) if len(rules) <= broadcast_max_rows else meta, "rule_ord")
-        tagged = tagged.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_wf_rule"))
+        tagged = tagged.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_rw_rule"))
         joined = view.df.join(tagged, on=key_cols, how="inner")
         parts.append(alert_projection(view, joined))
     if not parts:

@@ -31,7 +31,7 @@ def stage_labels(view: LogView, stages, default: str = DEFAULT_STAGE) -> DataFra
     expr = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
     return view.df.select(
         view.host.alias("host"), view.event_us.alias("t_us"),
-        *[o.alias(f"_wf_o{i}") for i, o in enumerate(view.order)],
+        *[o.alias(f"_rw_o{i}") for i, o in enumerate(view.order)],
         *[F.col(k) for k in view.keep], expr.alias("stage"))
 
 
@@ -46,30 +46,30 @@ def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_r
     pre-aggregated count shows a (host, chunk) above ``max_group_rows`` rows the chunks are
     narrowed until they hold about that many (the result does not depend on the width).
     """
-    order = [c for c in labels.columns if c.startswith("_wf_o")]
+    order = [c for c in labels.columns if c.startswith("_rw_o")]
     chunk_us = chunk_seconds * MICROS
     timed = labels.where(F.col("t_us").isNotNull())
     if max_group_rows:
-        busiest = (timed.groupBy("host", floor_div(F.col("t_us"), chunk_us).alias("_wf_c")).count()
+        busiest = (timed.groupBy("host", floor_div(F.col("t_us"), chunk_us).alias("_rw_c")).count()
                    .agg(F.max("count")).first()[0]) or 0
         if busiest > max_group_rows:
             chunk_us = max(1, int(chunk_us * max_group_rows / busiest))
-    rows = timed.withColumn("_wf_chunk", floor_div(F.col("t_us"), chunk_us))
+    rows = timed.withColumn("_rw_chunk", floor_div(F.col("t_us"), chunk_us))
     # one window pass per (host, chunk): the step inside the chunk, and the chunk's first
     # and last stage for the step into the next chunk
-    inner_w = Window.partitionBy("host", "_wf_chunk").orderBy("t_us", *order)
+    inner_w = Window.partitionBy("host", "_rw_chunk").orderBy("t_us", *order)
     whole = inner_w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stepped = (rows.withColumn("from_stage", F.lag("stage").over(inner_w))
-               .withColumn("_wf_rn", F.row_number().over(inner_w))
-               .withColumn("_wf_last", F.last("stage").over(whole)))
+               .withColumn("_rw_rn", F.row_number().over(inner_w))
+               .withColumn("_rw_last", F.last("stage").over(whole)))
     inner = (stepped.where(F.col("from_stage").isNotNull())
              .select("host", "from_stage", F.col("stage").alias("to_stage")))
-    summary = stepped.where(F.col("_wf_rn") == 1).select("host", "_wf_chunk", F.col("stage").alias("_wf_first"),
-                                                         "_wf_last")
-    edge_w = Window.partitionBy("host").orderBy("_wf_chunk")
-    edges = (summary.withColumn("from_stage", F.lag("_wf_last").over(edge_w))
+    summary = stepped.where(F.col("_rw_rn") == 1).select("host", "_rw_chunk", F.col("stage").alias("_rw_first"),
+                                                         "_rw_last")
+    edge_w = Window.partitionBy("host").orderBy("_rw_chunk")
+    edges = (summary.withColumn("from_stage", F.lag("_rw_last").over(edge_w))
              .where(F.col("from_stage").isNotNull())
-             .select("host", "from_stage", F.col("_wf_first").alias("to_stage")))
+             .select("host", "from_stage", F.col("_rw_first").alias("to_stage")))
     keys = (["host"] if by_host else []) + ["from_stage", "to_stage"]
     counts = inner.unionByName(edges).groupBy(*keys).agg(F.count(F.lit(1)).alias("transitions"))
     share = F.col("transitions") / F.sum("transitions").over(Window.partitionBy(*keys[:-1]))

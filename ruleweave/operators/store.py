@@ -36,26 +36,26 @@ def latest_per_id(alerts: DataFrame, order: list[Column], id_col: str = "alert_i
     others = [c for c in alerts.columns if c != id_col]
     key = F.struct(*order)
     agg = alerts.groupBy(F.col(quote(id_col))).agg(
-        F.max_by(F.struct(*[F.col(quote(c)) for c in others]), key).alias("_wf_doc"))
-    return agg.select(F.col(quote(id_col)), *[F.col(f"_wf_doc.{quote(c)}").alias(c) for c in others])
+        F.max_by(F.struct(*[F.col(quote(c)) for c in others]), key).alias("_rw_doc"))
+    return agg.select(F.col(quote(id_col)), *[F.col(f"_rw_doc.{quote(c)}").alias(c) for c in others])
 
 
 def write_batch(alerts: DataFrame, store_path: str, batch_id: int,
                 order: list[Column] | None = None) -> None:
     """K2 write side: dedup the batch (last wins) and write it as its own partition."""
     doc_cols = [f.name for f in STORE_SCHEMA.fields]
-    ordered = alerts.withColumn("_wf_pos", F.struct(*(order or [F.lit(0)])))
-    batch = latest_per_id(ordered.select(*doc_cols, "_wf_pos"), [F.col("_wf_pos")])
-    (batch.withColumn("_wf_pos", F.to_json(F.col("_wf_pos")))
+    ordered = alerts.withColumn("_rw_pos", F.struct(*(order or [F.lit(0)])))
+    batch = latest_per_id(ordered.select(*doc_cols, "_rw_pos"), [F.col("_rw_pos")])
+    (batch.withColumn("_rw_pos", F.to_json(F.col("_rw_pos")))
      .write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
 
 
 def read_store(spark: SparkSession, store_path: str) -> DataFrame:
     """K2 read side: the current document per alert id."""
     raw = spark.read.option("basePath", store_path).parquet(store_path)
-    cur = latest_per_id(raw.select(*[f.name for f in STORE_SCHEMA.fields], "batch_id", "_wf_pos"),
-                        [F.col("batch_id"), F.col("_wf_pos")])
-    return cur.drop("batch_id", "_wf_pos")
+    cur = latest_per_id(raw.select(*[f.name for f in STORE_SCHEMA.fields], "batch_id", "_rw_pos"),
+                        [F.col("batch_id"), F.col("_rw_pos")])
+    return cur.drop("batch_id", "_rw_pos")
 
 
 # --- Q1-Q7 -----------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 A :class:`LogView` bundles a DataFrame with the expressions the operators need: field
 access, the host, the raw-log text, the canonical text used in alert ids, event time and
-a tie-breaking order. Internal columns start with ``_wf_`` and are never rule fields.
+a tie-breaking order. Internal columns start with ``_rw_`` and are never rule fields.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from ruleweave.functions.fields import ColumnFields, Fields, MapFields, field_va
 from ruleweave.functions.ids import canonical_json
 from ruleweave.functions.timeutil import epoch_micros, iso_text_micros
 
-INTERNAL = "_wf_"
-FIELDS_MAP = "_wf_fields"
+INTERNAL = "_rw_"
+FIELDS_MAP = "_rw_fields"
 
 
 @dataclass
@@ -93,7 +93,7 @@ def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame
     m = F.from_json(v, "map<string,string>")
     text = F.trim(v)
     ok = m.isNotNull() & text.startswith("{") & text.endswith("}")
-    parsed = df.withColumn(FIELDS_MAP, m).withColumn("_wf_ok", F.coalesce(ok, F.lit(False)))
+    parsed = df.withColumn(FIELDS_MAP, m).withColumn("_rw_ok", F.coalesce(ok, F.lit(False)))
     fm = F.col(FIELDS_MAP)
     dup = F.size(F.array_distinct(F.map_keys(fm))) < F.size(fm)
     entries = F.map_entries(fm)
@@ -101,8 +101,8 @@ def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame
         entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(fm) - i - 1, F.lit(0))),
                                         lambda x: x["key"] == e["key"])))
     parsed = parsed.withColumn(FIELDS_MAP, F.when(dup, last_wins).otherwise(fm))
-    good = parsed.where(F.col("_wf_ok")).drop("_wf_ok")
-    bad = parsed.where(~F.col("_wf_ok")).drop("_wf_ok", FIELDS_MAP)
+    good = parsed.where(F.col("_rw_ok")).drop("_rw_ok")
+    bad = parsed.where(~F.col("_rw_ok")).drop("_rw_ok", FIELDS_MAP)
     return good, bad
 
 

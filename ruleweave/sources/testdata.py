@@ -32,13 +32,13 @@ def events_logs_from(ev: DataFrame) -> DataFrame:
         F.col("props"),
         F.date_format("ts", ISO_FORMAT).alias("timestamp"),
         F.col("value"),
-        F.col("ts").alias("_wf_ts"),
+        F.col("ts").alias("_rw_ts"),
     )
 
 
 def events_view(spark: SparkSession, sf_dir: str, df: DataFrame | None = None) -> LogView:
     logs = events_logs(spark, sf_dir) if df is None else df
-    return table_view(logs, time_col="_wf_ts", id_time_col="_wf_ts", order_cols=["event_id"],
+    return table_view(logs, time_col="_rw_ts", id_time_col="_rw_ts", order_cols=["event_id"],
                       keep=["event_id"])
 
 
@@ -50,10 +50,10 @@ def lineitem_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag"), F.col("l_linestatus"),
         F.col("l_quantity"), F.col("l_discount"),
         F.date_format("l_shipdate", ISO_FORMAT).alias("timestamp"),
-        F.col("l_shipdate").alias("_wf_ts"),
+        F.col("l_shipdate").alias("_rw_ts"),
     )
 
 
 def lineitem_view(spark: SparkSession, sf_dir: str) -> LogView:
-    return table_view(lineitem_logs(spark, sf_dir), time_col="_wf_ts", id_time_col="_wf_ts",
+    return table_view(lineitem_logs(spark, sf_dir), time_col="_rw_ts", id_time_col="_rw_ts",
                       order_cols=["l_orderkey", "l_linenumber"], keep=["l_orderkey", "l_linenumber"])

@@ -22,10 +22,10 @@ STATE_SCHEMA = T.StructType([T.StructField("t", T.ArrayType(T.LongType())),
 
 def stateful_counts(rows: DataFrame, *, windows_us: dict[int, int], thresholds: dict[int, int],
                     watermark: str = "1 hour") -> DataFrame:
-    """Rows ``_wf_k`` (rule ordinal), ``_wf_key``, ``_wf_t`` (epoch micros), ``_wf_o0`` (order)
+    """Rows ``_rw_k`` (rule ordinal), ``_rw_key``, ``_rw_t`` (epoch micros), ``_rw_o0`` (order)
     and payload columns in; rows above the rule's threshold out, with ``window_count``."""
-    timed = rows.withColumn("_wf_ts", F.timestamp_micros("_wf_t")).withWatermark("_wf_ts", watermark)
-    payload = [f for f in timed.schema.fields if f.name not in ("_wf_ts",)]
+    timed = rows.withColumn("_rw_ts", F.timestamp_micros("_rw_t")).withWatermark("_rw_ts", watermark)
+    payload = [f for f in timed.schema.fields if f.name not in ("_rw_ts",)]
     out_schema = T.StructType(payload + [T.StructField("window_count", T.LongType())])
     names = [f.name for f in out_schema.fields]
 
@@ -38,9 +38,9 @@ def stateful_counts(rows: DataFrame, *, windows_us: dict[int, int], thresholds:
         new = pd.concat(list(batches), ignore_index=True)
         old_t, old_o = (np.asarray(state.get[0] or [], dtype=np.int64), np.asarray(state.get[1] or [], dtype=np.int64)) \
             if state.exists else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        new = new.sort_values(["_wf_t", "_wf_o0"], kind="stable").reset_index(drop=True)
-        nt = new["_wf_t"].to_numpy(np.int64)
-        no = new["_wf_o0"].to_numpy(np.int64)
+        new = new.sort_values(["_rw_t", "_rw_o0"], kind="stable").reset_index(drop=True)
+        nt = new["_rw_t"].to_numpy(np.int64)
+        no = new["_rw_o0"].to_numpy(np.int64)
         all_t = np.concatenate([old_t, nt])
         all_o = np.concatenate([old_o, no])
         order = np.lexsort((all_o, all_t))
@@ -62,7 +62,7 @@ def stateful_counts(rows: DataFrame, *, windows_us: dict[int, int], thresholds:
         if len(fired):
             yield fired[names]
 
-    return timed.groupBy("_wf_k", "_wf_key").applyInPandasWithState(
+    return timed.groupBy("_rw_k", "_rw_key").applyInPandasWithState(
         step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -73,7 +73,7 @@ def coarse_bursts(rows: DataFrame, *, window: str, slide: str, threshold: int,
     Cheaper than A9 (built-in windowed aggregation, no per-row state) but it alerts per
     window, not per event.
     """
-    timed = rows.withColumn("_wf_ts", F.timestamp_micros("_wf_t")).withWatermark("_wf_ts", watermark)
-    return (timed.groupBy(F.window("_wf_ts", window, slide), "_wf_k", "_wf_key")
+    timed = rows.withColumn("_rw_ts", F.timestamp_micros("_rw_t")).withWatermark("_rw_ts", watermark)
+    return (timed.groupBy(F.window("_rw_ts", window, slide), "_rw_k", "_rw_key")
             .agg(F.count(F.lit(1)).alias("window_count"))
             .where(F.col("window_count") > F.lit(threshold)))

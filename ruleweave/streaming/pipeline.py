@@ -40,15 +40,15 @@ def stream_burst_alerts(view: LogView, rules: list[Rule], watermark: str = "1 ho
     counted = stateful_counts(burst_rows(view, rules),
                               windows_us={k: s.window_seconds * MICROS for k, s in enumerate(specs)},
                               thresholds={k: s.threshold for k, s in enumerate(specs)}, watermark=watermark)
-    k = F.col("_wf_k")
+    k = F.col("_rw_k")
     rid = case_of(k, [F.lit(r.id) for r in rules])
-    bucket = case_of(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
+    bucket = case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds) for s in specs])
     return counted.select(
         bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
         case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
         case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
         matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count",
-        F.timestamp_micros("_wf_t").alias("event_time"))
+        F.timestamp_micros("_rw_t").alias("event_time"))
 
 
 def detection_stream(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
@@ -165,49 +165,49 @@ def start_table_bursts(logs: DataFrame, make_view, rules: list[Rule], *, checkpo
 
     specs = [burst_spec(r) for r in rules]
     window_us = {k: s.window_seconds * MICROS for k, s in enumerate(specs)}
-    tail_schema = "_wf_k int, _wf_key string, _wf_t long, _wf_o0 long"
+    tail_schema = "_rw_k int, _rw_key string, _rw_t long, _rw_o0 long"
     keep_span = max(window_us.values()) + lateness_seconds * MICROS
     state = state_path.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         view = make_view(batch)
-        new = burst_rows(view, rules).withColumn("_wf_new", F.lit(True))
+        new = burst_rows(view, rules).withColumn("_rw_new", F.lit(True))
         if batch_id > 0:
             old = spark.read.schema(tail_schema).parquet(f"{state}/batch_id={batch_id - 1}")
         else:
             old = spark.createDataFrame([], tail_schema)
-        rows = new.unionByName(old.withColumn("_wf_new", F.lit(False)), allowMissingColumns=True)
+        rows = new.unionByName(old.withColumn("_rw_new", F.lit(False)), allowMissingColumns=True)
         parts = []
         for span in sorted(set(window_us.values())):
             ks = [k for k, w in window_us.items() if w == span]
-            sub = rows.where(F.col("_wf_k").isin(ks))
-            counted = windowed_counts(sub, key_cols=["_wf_k", "_wf_key"], time_col="_wf_t", order_cols=["_wf_o0"],
+            sub = rows.where(F.col("_rw_k").isin(ks))
+            counted = windowed_counts(sub, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"],
                                       window_us=span, strategy=strategy)
             parts.append(counted)
         counted = parts[0]
         for p in parts[1:]:
             counted = counted.unionByName(p)
-        k = F.col("_wf_k")
-        fired = counted.where(F.col("_wf_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
+        k = F.col("_rw_k")
+        fired = counted.where(F.col("_rw_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
         rid = case_of(k, [F.lit(r.id) for r in rules])
-        bucket = case_of(k, [time_bucket(F.col("_wf_idt"), s.window_seconds) for s in specs])
+        bucket = case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds) for s in specs])
         alerts = fired.select(
             bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
             case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
             case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
             matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep],
-            "window_count", "_wf_t")
+            "window_count", "_rw_t")
         if publish_path:
-            alerts.drop("_wf_t").write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
+            alerts.drop("_rw_t").write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
         if store_path:
-            write_batch(alerts, store_path, batch_id, [F.col("_wf_t")])
+            write_batch(alerts, store_path, batch_id, [F.col("_rw_t")])
         # the next tail: everything that can still be counted, key columns only
-        newest = rows.agg(F.max("_wf_t")).first()[0]
+        newest = rows.agg(F.max("_rw_t")).first()[0]
         cutoff = (newest - keep_span) if newest is not None else None
-        tail = rows.select("_wf_k", "_wf_key", "_wf_t", "_wf_o0")
+        tail = rows.select("_rw_k", "_rw_key", "_rw_t", "_rw_o0")
         if cutoff is not None:
-            tail = tail.where(F.col("_wf_t") > F.lit(cutoff))
+            tail = tail.where(F.col("_rw_t") > F.lit(cutoff))
         tail.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
 
     w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -70,11 +70,11 @@ def decode_alerts(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
     allowed = F.array(*[F.lit(k) for k in ALERT_KEYS])
     ok = (keys.isNotNull() & (F.size(F.array_except(required, keys)) == 0)
           & (F.size(F.array_except(keys, allowed)) == 0))
-    parsed = raw.withColumn("_wf_ok", F.coalesce(ok, F.lit(False)))
+    parsed = raw.withColumn("_rw_ok", F.coalesce(ok, F.lit(False)))
     fields = [F.get_json_object(v, f"$.{k}").alias(k) for k in ALERT_KEYS if k != "raw_log"]
     raw_log = F.coalesce(F.get_json_object(v, "$.raw_log"), F.lit("{}")).alias("raw_log")
-    good = parsed.where("_wf_ok").select(*fields, raw_log)
-    bad = parsed.where(~F.col("_wf_ok")).drop("_wf_ok")
+    good = parsed.where("_rw_ok").select(*fields, raw_log)
+    bad = parsed.where(~F.col("_rw_ok")).drop("_rw_ok")
     return good, bad
 
 

@@ -67,7 +67,7 @@ def test_coarse_bursts(spark, logs_of):
                  for s in [0, 10, 20, 30, 100]])
     r = Rule("b", "t", "l", {"s": {"e": 1}, "condition": "s | count() by host > 3", "timeframe": "60s"})
     got = coarse_bursts(burst_rows(v, [r]), window="60 seconds", slide="30 seconds", threshold=3).collect()
-    assert [(r.window_count, r._wf_key) for r in got] == [(4, "h")]
+    assert [(r.window_count, r._rw_key) for r in got] == [(4, "h")]
 
 
 def test_stream_observe_and_empty_batches(spark, tmp_path):

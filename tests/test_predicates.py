@@ -176,7 +176,7 @@ def test_json_decode_edge_cases(spark):
     texts = ['{"a": 1, "a": 2}', '{"a": 1} trailing', "[1, 2]", '"text"', "not json", " {\"b\": {\"x\": [1, 2]}} "]
     df = spark.createDataFrame(list(enumerate(texts)), "seq long, value string")
     good, bad = decode_json_logs(df)
-    got = {r.seq: dict(r._wf_fields) for r in good.collect()}
+    got = {r.seq: dict(r._rw_fields) for r in good.collect()}
     assert got == {0: {"a": "2"}, 5: {"b": '{"x":[1,2]}'}}
     assert sorted(r.seq for r in bad.collect()) == [1, 2, 3, 4]
 

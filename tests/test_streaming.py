@@ -48,7 +48,7 @@ def write_files(folder, logs, parts, start=0):
 
 def view_of(df):
     good, _ = decode_json_logs(df)
-    good = good.withColumn("seq", F.col("_wf_fields")["seq"].cast("long"))
+    good = good.withColumn("seq", F.col("_rw_fields")["seq"].cast("long"))
     return json_view(good, order_cols=["seq"], keep=["seq"])
 
 
