@@ -58,6 +58,17 @@ def read_store(spark: SparkSession, store_path: str) -> DataFrame:
     return cur.drop("batch_id", "_rw_pos")
 
 
+def compact(spark: SparkSession, store_path: str, out_path: str, batch_id: int = 0) -> None:
+    """Write the current document per alert id as a single batch of a new store.
+
+    Readers switch to ``out_path`` once it is written; new batches continue there with ids
+    above ``batch_id``. The old store is left untouched (nothing is deleted here).
+    """
+    cur = read_store(spark, store_path)
+    cur.withColumn("_rw_pos", F.lit("{}")).write.mode("overwrite").parquet(
+        f"{out_path.rstrip('/')}/batch_id={int(batch_id)}")
+
+
 # --- Q1-Q7 -----------------------------------------------------------------------------
 
 def count_alerts(store: DataFrame) -> DataFrame:

@@ -27,6 +27,9 @@ def test_store_upsert_idempotent_last_write_wins(spark, tmp_path):
     assert sorted(cur) == ["a", "b", "c"]
     assert cur["b"].severity == "low"
     assert S.count_alerts(S.read_store(spark, store)).first().alert_count == 3
+    S.compact(spark, store, str(tmp_path / "compacted"))
+    again = {r.alert_id: r for r in S.read_store(spark, str(tmp_path / "compacted")).collect()}
+    assert again == cur
 
 
 def test_store_queries(spark):
