@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ruleweave.errors import RuleError
 from ruleweave.functions.fields import case_of, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS
@@ -237,3 +238,98 @@ def lag_from_progress(progress: dict) -> dict:
                 done = end.get(topic, {}).get(part, 0)
                 out[(topic, int(part))] = max(0, int(last) - int(done))
     return {"total": sum(out.values()), "partitions": out}
+
+
+def start_changelog_detection(logs: DataFrame, make_view, load_changelog, *, checkpoint: str, state_path: str,
+                              store_path: str | None = None, publish_path: str | None = None,
+                              order_col: str = "offset", lateness_seconds: int = 0, strategy: str = "auto",
+                              trigger: dict | None = None) -> StreamingQuery:
+    """L5-L7 on a stream for plain *and* burst rules, without Python state.
+
+    Each micro-batch folds the changelog as it is now. Plain rules evaluate the batch.
+    Burst rules run the batch plan over the batch's matches plus a tail table of earlier
+    matches keyed by (rule id, epoch): an update keeps the window (same epoch), a delete
+    and re-add starts a new one, and a removed rule's tail is dropped. Several live entries
+    of one (rule id, epoch) share one window; the newest entry sets selection, threshold
+    and timeframe, and each copy gives an alert.
+    """
+    import json as _json
+
+    from ruleweave.operators.burst import windowed_counts
+    from ruleweave.operators.lifecycle import MAX_ENTRIES, entries
+    from ruleweave.plans.rules import build_rule
+
+    state = state_path.rstrip("/")
+    tail_schema = "_rw_rid string, _rw_epoch long, _rw_key string, _rw_t long, _rw_o0 long"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        live = (entries(load_changelog(spark)).where(F.col("to_seq").isNull())
+                .limit(MAX_ENTRIES + 1).collect())
+        if len(live) > MAX_ENTRIES:
+            raise ValueError(f"more than {MAX_ENTRIES} active rule entries")
+        view = make_view(batch)
+        plain, plain_copies, groups = [], [], {}
+        for e in sorted(live, key=lambda r: r.seq):
+            try:
+                rule = build_rule(_json.loads(e.rule), source=f"changelog seq {e.seq}")
+            except RuleError:
+                continue
+            if not usable_rules([rule], view.fields)[0]:
+                continue
+            if rule.is_burst:
+                g = groups.setdefault((rule.id, int(e.epoch)), {"copies": 0})
+                g["rule"], g["copies"] = rule, g["copies"] + int(e.copies)
+            else:
+                plain.append(rule)
+                plain_copies.append(int(e.copies))
+        parts = [alert_projection(view, match_rules(view, plain, copies=plain_copies)).select(*ALERT_OUT, order_col)]
+        keys = sorted(groups)
+        bursts = [groups[k]["rule"] for k in keys]
+        new_tail = spark.createDataFrame([], tail_schema)
+        if bursts:
+            specs = [burst_spec(r) for r in bursts]
+            k = F.col("_rw_k")
+            rows = burst_rows(view, bursts).withColumn("_rw_new", F.lit(True))
+            rows = rows.withColumn("_rw_rid", case_of(k, [F.lit(rid) for rid, _ in keys])) \
+                       .withColumn("_rw_epoch", case_of(k, [F.lit(ep).cast("long") for _, ep in keys]))
+            ordinals = spark.createDataFrame([(rid, ep, i) for i, (rid, ep) in enumerate(keys)],
+                                             "_rw_rid string, _rw_epoch long, _rw_k int")
+            if batch_id > 0:
+                old = spark.read.schema(tail_schema).parquet(f"{state}/batch_id={batch_id - 1}")
+                # bounded by the number of active burst rules (checked above)
+                old = old.join(F.broadcast(ordinals), ["_rw_rid", "_rw_epoch"]).withColumn("_rw_new", F.lit(False))
+                rows = rows.unionByName(old, allowMissingColumns=True)
+            spans = {i: s.window_seconds * MICROS for i, s in enumerate(specs)}
+            counted = None
+            for span in sorted(set(spans.values())):
+                sub = rows.where(k.isin([i for i, w in spans.items() if w == span]))
+                c = windowed_counts(sub, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"],
+                                    window_us=span, strategy=strategy)
+                counted = c if counted is None else counted.unionByName(c)
+            fired = counted.where(F.col("_rw_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
+            fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), case_of(
+                k, [F.lit(groups[key]["copies"]) for key in keys]))))
+            rid = case_of(k, [F.lit(r.id) for r in bursts])
+            parts.append(fired.select(
+                bucket_alert_id(rid, F.col("host"), case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds)
+                                                               for s in specs])).alias("alert_id"),
+                rid.alias("rule_id"), case_of(k, [F.lit(r.title) for r in bursts]).alias("rule_title"),
+                case_of(k, [F.lit(r.level) for r in bursts]).alias("severity"), matched_at().alias("matched_at"),
+                "host", "raw_log", F.col(quote(order_col))))
+            newest = rows.agg(F.max("_rw_t")).first()[0]
+            keep_span = max(spans.values()) + lateness_seconds * MICROS
+            new_tail = rows.select("_rw_rid", "_rw_epoch", "_rw_key", "_rw_t", "_rw_o0")
+            if newest is not None:
+                new_tail = new_tail.where(F.col("_rw_t") > F.lit(newest - keep_span))
+        alerts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if publish_path:
+            (alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"),
+                           F.col(quote(order_col)))
+             .write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}"))
+        if store_path:
+            write_batch(alerts, store_path, batch_id, [F.col(quote(order_col))])
+        new_tail.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+
+    w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

@@ -166,3 +166,63 @@ def test_table_bursts_equal_batch_and_resume(spark, tmp_path):
     want = sorted((r.seq, r.alert_id, r.window_count)
                   for r in burst_alerts(view_of(spark.read.text(src)), bursts).collect())
     assert want and got == want
+
+
+def test_changelog_detection_bursts_follow_rule_changes(spark, tmp_path):
+    """Burst windows: a delete and re-add restarts the window, an update keeps it."""
+    from ruleweave.operators.lifecycle import decode_envelopes
+    from ruleweave.streaming.pipeline import start_changelog_detection
+    src, rules_dir, base = tmp_path / "in", tmp_path / "rules", tmp_path / "run"
+    src.mkdir()
+    rules_dir.mkdir()
+
+    def burst(n):
+        return {"id": "B", "title": "burst", "level": "high",
+                "detection": {"s": {"action": "Delete"}, "condition": f"s | count() by host > {n}", "timeframe": "60s"}}
+
+    plain = {"id": "P", "title": "create", "level": "low", "detection": {"s": {"action": "Create"}, "condition": "s"}}
+
+    def envelopes(items, name):
+        (rules_dir / name).write_text("\n".join(json.dumps(e) for e in items) + "\n")
+
+    def load(spark_):
+        raw = spark_.read.text(str(rules_dir)).withColumn("seq", F.get_json_object("value", "$.seq").cast("long"))
+        return decode_envelopes(raw, seq_col="seq")
+
+    def logs(name, offsets, mtime):
+        path = src / name
+        path.write_text("\n".join(json.dumps({"offset": o, "host": "h", "action": "Delete" if o % 2 else "Create",
+                                              "timestamp": (BASE + dt.timedelta(seconds=o)).isoformat()})
+                                  for o in offsets) + "\n")
+        os.utime(path, (mtime, mtime))
+
+    def make_view(df):
+        good, _ = decode_json_logs(df.withColumn("offset", F.get_json_object("value", "$.offset").cast("long")))
+        return json_view(good, order_cols=["offset"], keep=["offset"])
+
+    def run():
+        q = start_changelog_detection(text_stream(spark, str(src)), make_view, load, checkpoint=str(base / "ckpt"),
+                                      state_path=str(base / "tail"), store_path=str(base / "store"),
+                                      publish_path=str(base / "pub"), trigger={"availableNow": True})
+        q.awaitTermination()
+
+    envelopes([{"seq": 1, "op": "add", "rule": burst(2)}, {"seq": 2, "op": "add", "rule": plain}], "a.json")
+    logs("a.json", range(0, 6), 1_700_000_000)
+    run()
+    envelopes([{"seq": 3, "op": "delete", "rule_id": "B"}, {"seq": 4, "op": "add", "rule": burst(2)}], "b.json")
+    logs("b.json", range(6, 12), 1_700_000_100)
+    run()
+    envelopes([{"seq": 5, "op": "update", "rule_id": "B", "rule": burst(0)}], "c.json")
+    logs("c.json", range(12, 14), 1_700_000_200)
+    run()
+    st = S.read_store(spark, str(base / "store")).collect()
+    bursts = sorted(json.loads(r.raw_log)["offset"] for r in st if r.rule_id == "B")
+    plains = sorted(json.loads(r.raw_log)["offset"] for r in st if r.rule_id == "P")
+    assert plains == [0, 2, 4, 6, 8, 10, 12]
+    # one stored alert per (rule, host, 60 s bucket): the latest firing log of each
+    assert bursts == [13]
+    # every firing is published: 5 (first window), 11 (window restarted by delete + re-add;
+    # without the restart 7 and 9 would fire too), 13 (update keeps the window: 7, 9, 11, 13 > 0)
+    pub = spark.read.parquet(str(base / "pub")).select(F.get_json_object("value", "$.rule_id").alias("rule_id"),
+                                                      "offset").collect()
+    assert sorted(r.offset for r in pub if r.rule_id == "B") == [5, 11, 13]
