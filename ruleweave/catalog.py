@@ -753,3 +753,47 @@ SELECT 'doc-contact-001', 'medium', source, doc_id FROM documents
 UNION ALL
 SELECT 'doc-non-english-license-001', 'medium', source, doc_id FROM documents
  WHERE contains(text, 'License') AND NOT (lang IS NOT NULL AND lang = 'en')"""
+
+
+def stream_changelog_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events stream under the events changelog, one snapshot per micro-batch.
+
+    With ``availableNow`` the whole table is one micro-batch, so every log meets the rule set
+    that the full changelog leaves active (plain and burst rules, copies included).
+    """
+    import uuid as _uuid
+    from ruleweave.session import scratch_path
+    from ruleweave.streaming.pipeline import start_changelog_detection
+    from ruleweave.streaming.sources import table_stream
+    from ruleweave.sources.testdata import events_logs_from
+    base = scratch_path(spark, "stream-queries", f"changelog-{_uuid.uuid4().hex}")
+    stream = table_stream(spark, sf_dir, "events", min_partitions=_cores(spark))
+    q = start_changelog_detection(stream, lambda df: events_view(spark, sf_dir, df=events_logs_from(df)),
+                                  events_changelog, checkpoint=base + "/checkpoint", state_path=base + "/tail",
+                                  publish_path=base + "/out", order_col="event_id", trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.parquet(base + "/out")
+    return out.select(F.col("key").alias("alert_id"), F.get_json_object("value", "$.rule_id").alias("rule_id"),
+                      F.get_json_object("value", "$.severity").alias("severity"),
+                      F.get_json_object("value", "$.host").alias("host"), "event_id")
+
+
+QUERIES["stream_changelog_alerts"] = stream_changelog_alerts
+
+
+def _stream_changelog_oracle() -> str:
+    canon_id = lambda rid: sql_uuid5(repr(rid + ":") + " || " + CANON)
+    plain = [
+        ("ev-purchase-001", "high", "log_type = 'purchase' AND (starts_with(CAST(value AS VARCHAR), '1') "
+                                    "OR starts_with(CAST(value AS VARCHAR), '2'))"),
+        ("ev-signup-001", "low", "log_type = 'signup'"),
+        ("ev-signup-001", "low", "log_type = 'signup'"),
+        ("ev-click-001", "low", "log_type = 'click'"),
+    ]
+    sel = " UNION ALL ".join(f"SELECT {canon_id(rid)} AS alert_id, '{rid}' AS rule_id, '{lvl}' AS severity, "
+                             f"host, event_id FROM logs WHERE {w}" for rid, lvl, w in plain)
+    return (f"WITH {EVENTS_LOGS}, {_burst_select()} {sel} UNION ALL "
+            "SELECT alert_id, rule_id, severity, host, event_id FROM burst")
+
+
+ORACLES["stream_changelog_alerts"] = _stream_changelog_oracle()
