@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.errors import RuleError
-from ruleweave.functions.fields import any_of, field_value_text, quote
+from ruleweave.functions.fields import any_of, case_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.timeutil import MICROS
 from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
@@ -177,44 +177,61 @@ def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT
 
 
 def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
+    """Burst versions grouped by (rule id, epoch): one window per group, one scan and one
+    shuffle per distinct timeframe. Inside a group, the version live at a log's time
+    decides whether it is counted and sets threshold, title, level and copies."""
     groups: dict[tuple, list] = {}
     for rule, e in bursts:
         groups.setdefault((rule.id, e["epoch"]), []).append((rule, burst_spec(rule), e))
-    parts = []
+    by_span: dict[int, list] = {}
     for (rid, epoch), versions in groups.items():
         spans = {s.window_seconds for _, s, _ in versions}
         by = {s.by_field for _, s, _ in versions}
         if len(spans) != 1 or len(by) != 1:
             raise RuleError(f"rule {rid!r}: versions within one epoch must share timeframe and 'by' field")
-        window_s = spans.pop()
-        live = [group_predicate(view.fields, r.groups[s.selection], r.id, s.selection) & gate(e)
-                for r, s, e in versions]
-        # the first live version that matched decides threshold, title, level and copies
-        def pick(values):
-            expr = None
-            for m, v in zip(live, values):
-                expr = F.when(m, v) if expr is None else expr.when(m, v)
-            return expr
-        any_live = any_of(live)
-        order_names = [f"_rw_o{i}" for i in range(len(view.order))]
-        rows = view.df.where(any_live).select(
-            F.lit(rid).alias("_rw_rid"), field_value_text(view.fields, by.pop()).alias("_rw_key"),
+        by_span.setdefault(spans.pop(), []).append((rid, epoch, by.pop(), versions))
+    order_names = [f"_rw_o{i}" for i in range(len(view.order))]
+    parts = []
+    for window_s, members in sorted(by_span.items()):
+        k = F.col("_rw_k")
+        live = []      # per group: [(predicate, rule, spec, entry)] of its versions
+        for rid, epoch, by_field, versions in members:
+            live.append([(group_predicate(view.fields, r.groups[s.selection], r.id, s.selection) & gate(e), r, s, e)
+                         for r, s, e in versions])
+
+        def pick(value):
+            # per group: the first live version that matched gives the value
+            per_group = []
+            for vs in live:
+                expr = None
+                for m, r, s, e in vs:
+                    expr = F.when(m, value(r, s, e)) if expr is None else expr.when(m, value(r, s, e))
+                per_group.append(expr)
+            return case_of(k, per_group)
+
+        matched = [any_of([m for m, *_ in vs]) for vs in live]
+        hits = F.filter(F.array(*[F.when(m, F.lit(g)) for g, m in enumerate(matched)]), lambda x: x.isNotNull())
+        selected = view.df.where(any_of(matched)).select("*", F.explode(hits).alias("_rw_k"))
+        rows = selected.select(
+            "_rw_k", case_of(k, [field_value_text(view.fields, b) for _, _, b, _ in members]).alias("_rw_key"),
             view.event_us.alias("_rw_t"), *[o.alias(n) for o, n in zip(view.order, order_names)],
             view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_rw_idt"),
-            pick([F.lit(s.threshold) for _, s, _ in versions]).alias("_rw_n"),
-            pick([F.lit(r.title) for r, _, _ in versions]).alias("rule_title"),
-            pick([F.lit(r.level) for r, _, _ in versions]).alias("severity"),
-            pick([F.lit(int(e["copies"])) for _, _, e in versions]).alias("_rw_copies"),
-            *[F.col(quote(k)) for k in view.keep],
+            pick(lambda r, s, e: F.lit(s.threshold)).alias("_rw_n"),
+            pick(lambda r, s, e: F.lit(r.title)).alias("rule_title"),
+            pick(lambda r, s, e: F.lit(r.level)).alias("severity"),
+            pick(lambda r, s, e: F.lit(int(e["copies"]))).alias("_rw_copies"),
+            *[F.col(quote(c)) for c in view.keep],
         ).where(F.col("_rw_t").isNotNull())
-        counted = windowed_counts(rows, key_cols=["_rw_rid", "_rw_key"], time_col="_rw_t", order_cols=order_names,
+        counted = windowed_counts(rows, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=order_names,
                                   window_us=window_s * MICROS, chunk_factor=chunk_factor)
         fired = counted.where(F.col("window_count") > F.col("_rw_n"))
         fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), F.col("_rw_copies").cast("int"))))
+        rid = case_of(k, [F.lit(m[0]) for m in members])
         parts.append(fired.select(
-            bucket_alert_id(F.lit(rid), F.col("host"), time_bucket(F.col("_rw_idt"), window_s)).alias("alert_id"),
-            F.lit(rid).alias("rule_id"), "rule_title", "severity", matched_at().alias("matched_at"),
-            "host", "raw_log", *[F.col(quote(k)) for k in view.keep], F.lit(epoch).alias("epoch")))
+            bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_rw_idt"), window_s)).alias("alert_id"),
+            rid.alias("rule_id"), "rule_title", "severity", matched_at().alias("matched_at"),
+            "host", "raw_log", *[F.col(quote(c)) for c in view.keep],
+            case_of(k, [F.lit(m[1]).cast("long") for m in members]).alias("epoch")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
