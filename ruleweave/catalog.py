@@ -501,14 +501,17 @@ def _cores(spark: SparkSession) -> int | None:
         return None
 
 
-def _run_stream(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+def _run_stream(spark: SparkSession, df: DataFrame, tag: str, with_path: bool = False):
+    """Run a stream to the end of its input into Parquet; read it back with its own schema
+    (so an empty result is an empty frame, not a schema error)."""
     import uuid as _uuid
     from ruleweave.session import scratch_path
     base = scratch_path(spark, "stream-queries", f"{tag}-{_uuid.uuid4().hex}")
     q = (df.writeStream.format("parquet").option("path", base + "/out")
          .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(base + "/out")
+    out = spark.read.schema(df.schema).parquet(base + "/out")
+    return (out, base + "/out") if with_path else out
 
 
 def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -593,8 +596,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["alert_id", "rule_id", "host", "event_time"]
     p = alert_projection(view, match_rules(view, plain), extra=[t]).select(*cols)
     b = stream_burst_alerts(view, bursts, watermark="30 days").select(*cols)
-    published = _run_stream(spark, p.unionByName(b), "published")
-    topic = published.inputFiles()[0].rsplit("/", 1)[0]
+    published, topic = _run_stream(spark, p.unionByName(b), "published", with_path=True)
     alerts = spark.readStream.schema(published.schema).parquet(topic)
     out = dedup_stream(alerts, "event_time", watermark="30 days").select("alert_id", "rule_id", "host")
     return _run_stream(spark, out, "dedup")
@@ -693,7 +695,9 @@ def stream_bursts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                            checkpoint=base + "/checkpoint", state_path=base + "/tail", publish_path=base + "/out",
                            trigger={"availableNow": True})
     q.awaitTermination()
-    return spark.read.parquet(base + "/out").select(*PLAIN_COLUMNS, "window_count")
+    schema = ("alert_id string, rule_id string, rule_title string, severity string, matched_at string, "
+              "host string, raw_log string, event_id long, window_count long")
+    return spark.read.schema(schema).parquet(base + "/out").select(*PLAIN_COLUMNS, "window_count")
 
 
 QUERIES["stream_bursts_tables"] = stream_bursts_tables
@@ -772,7 +776,7 @@ def stream_changelog_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   events_changelog, checkpoint=base + "/checkpoint", state_path=base + "/tail",
                                   publish_path=base + "/out", order_col="event_id", trigger={"availableNow": True})
     q.awaitTermination()
-    out = spark.read.parquet(base + "/out")
+    out = spark.read.schema("key string, value string, event_id long").parquet(base + "/out")
     return out.select(F.col("key").alias("alert_id"), F.get_json_object("value", "$.rule_id").alias("rule_id"),
                       F.get_json_object("value", "$.severity").alias("severity"),
                       F.get_json_object("value", "$.host").alias("host"), "event_id")
@@ -797,3 +801,35 @@ def _stream_changelog_oracle() -> str:
 
 
 ORACLES["stream_changelog_alerts"] = _stream_changelog_oracle()
+
+
+def stream_coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 on a stream: windowed counts in update mode, kept per (window, key) with the
+    largest count (counts only grow), so trailing windows are not lost at the end of input."""
+    import uuid as _uuid
+    from ruleweave.session import scratch_path
+    from ruleweave.streaming.bursts import coarse_bursts as _coarse
+    from ruleweave.streaming.pipeline import burst_rows
+    from ruleweave.streaming.sources import table_stream
+    from ruleweave.sources.testdata import events_logs_from
+    _, bursts = split_rules(list(rule_pack("events")))
+    base = scratch_path(spark, "stream-queries", f"coarse-{_uuid.uuid4().hex}")
+    view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events",
+                                                                       min_partitions=_cores(spark))))
+    counts = _coarse(burst_rows(view, bursts), window="24 hours", slide="6 hours", threshold=2,
+                     watermark="30 days").select(
+        (F.unix_micros(F.col("window.start")) / 1_000_000).cast("long").alias("window_start"),
+        F.col("_rw_key").alias("host"), "window_count")
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    q = (counts.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.schema("window_start long, host string, window_count long").parquet(base + "/out")
+    return out.groupBy("window_start", "host").agg(F.max("window_count").alias("window_count"))
+
+
+QUERIES["stream_coarse_bursts"] = stream_coarse_bursts
+ORACLES["stream_coarse_bursts"] = ORACLES["coarse_bursts"]
