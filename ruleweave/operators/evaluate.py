@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ruleweave.functions.fields import any_of, quote
 from ruleweave.functions.ids import uuid5_sql
-from ruleweave.plans.compile import with_rule_flags
+from ruleweave.plans.compile import scan_prefilter, with_rule_flags
 from ruleweave.plans.rules import Rule, split_rules
 from ruleweave.sources.logs import LogView
 
@@ -41,7 +41,11 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
     if not rules:
         return view.df.where(F.lit(False)).select("*", F.lit(None).cast(
             "struct<rule_ord:int,rule_id:string,rule_title:string,severity:string>").alias("_rw_rule"))
-    flagged, names = with_rule_flags(view.df, rules, view.fields)
+    base = view.df
+    pre = scan_prefilter(rules, view.fields)
+    if pre is not None:         # a pushable superset of the matches: lets the scan skip data
+        base = base.where(pre)
+    flagged, names = with_rule_flags(base, rules, view.fields)
     if gates is not None:
         flagged = flagged.select(*[F.col(quote(c)) for c in view.df.columns],
                                  *[(F.col(n) & F.coalesce(g, F.lit(False))).alias(n) for n, g in zip(names, gates)])

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ruleweave.errors import RuleError
 from ruleweave.functions.fields import quote, rule_text
 from ruleweave.operators.evaluate import alert_projection, match_rules
-from ruleweave.plans.compile import MODIFIERS, _flatten, check_condition
+from ruleweave.plans.compile import MODIFIERS, _flatten, clauses
 from ruleweave.plans.rules import Rule, build_rule
 from ruleweave.sources.logs import LogView
 
@@ -40,23 +40,6 @@ CONDITIONS_SCHEMA = T.StructType([
 BROADCAST_MAX_ROWS = 200_000
 
 
-def clauses(rule: Rule) -> list[list[str]] | None:
-    """The condition as OR of ANDs of group names, or None if it has another shape."""
-    tokens = rule.condition.split()
-    check_condition(tokens, rule.groups)
-    if any(t in ("not", "(", ")") for t in tokens):
-        return None
-    out, cur = [], []
-    for t in tokens:
-        if t == "or":
-            out.append(cur)
-            cur = []
-        elif t != "and":
-            cur.append(t)
-    out.append(cur)
-    return out
-
-
 def condition_rows(ordinal: int, rule: Rule) -> list[tuple] | None:
     """Flatten one rule; None when it needs the compiled path."""
     cl = clauses(rule)

@@ -165,3 +165,91 @@ def usable_rules(rules: list[Rule], fields: Fields) -> tuple[list[Rule], list[tu
             log.warning("rule %r left out: %s", r.id, exc)
             bad.append((r, str(exc)))
     return good, bad
+
+
+def clauses(rule: Rule) -> list[list[str]] | None:
+    """The condition as OR of ANDs of group names, or None if it has another shape
+    (``not`` or parentheses)."""
+    tokens = rule.condition.split()
+    check_condition(tokens, rule.groups)
+    if any(t in ("not", "(", ")") for t in tokens):
+        return None
+    out, cur = [], []
+    for t in tokens:
+        if t == "or":
+            out.append(cur)
+            cur = []
+        elif t != "and":
+            cur.append(t)
+    out.append(cur)
+    return out
+
+
+def _pushable_term_sql(fields: Fields, key: str, expected) -> str | None:
+    """A term a Parquet scan can evaluate itself, or None (no restriction)."""
+    from pyspark.sql import types as T
+
+    types = getattr(fields, "_types", None)
+    if types is None:
+        return None
+    name, modifier = split_key(key)
+    values = [rule_text(v) for v in (_flatten(expected) if isinstance(expected, list) else [expected])]
+    if name not in types or (modifier is not None and modifier not in MODIFIERS) or not values:
+        return "false"          # the term can never hold (absent field, unknown modifier, empty list)
+    dtype = types[name]
+    if isinstance(dtype, T.StringType):
+        return term_sql(fields, key, expected)
+    if modifier is None and isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return term_sql(fields, key, expected)
+    return None
+
+
+def necessary_sql(rule: Rule, fields: Fields) -> str | None:
+    """A predicate every log matching ``rule`` satisfies, made only of pushable terms.
+
+    The checked token list is read as a boolean expression tree (Python's ``ast`` has the
+    same precedence: ``not`` > ``and`` > ``or``). A group gives the AND of its pushable
+    terms, AND keeps what its parts give, OR needs every branch to give something, and
+    ``not`` gives no restriction. None means nothing can be skipped for this rule.
+    """
+    import ast
+
+    tokens = rule.condition.split()
+    try:
+        check_condition(tokens, rule.groups)
+    except RuleError:
+        return None
+    names: dict[str, str] = {}
+    text = " ".join(t if t in KEYWORDS else names.setdefault(t, f"g{len(names)}") for t in tokens)
+    groups = {v: k for k, v in names.items()}
+
+    def walk(node) -> str | None:
+        if isinstance(node, ast.Name):
+            group = rule.groups[groups[node.id]]
+            if not isinstance(group, dict):
+                return None
+            terms = [t for t in (_pushable_term_sql(fields, str(k), v) for k, v in group.items()) if t]
+            return "(" + " AND ".join(terms) + ")" if terms else None
+        if isinstance(node, ast.BoolOp):
+            parts = [walk(v) for v in node.values]
+            if isinstance(node.op, ast.And):
+                kept = [p for p in parts if p]
+                return "(" + " AND ".join(kept) + ")" if kept else None
+            return "(" + " OR ".join(parts) + ")" if all(parts) else None
+        return None   # not, or anything else: no restriction
+
+    return walk(ast.parse(text, mode="eval").body)
+
+
+def scan_prefilter(rules: list[Rule], fields: Fields) -> Column | None:
+    """OR of the rules' necessary predicates, for the scan to skip data; None if any rule
+    has none. Always a superset of the matches: the exact rule check still runs after it."""
+    parts = []
+    for r in rules:
+        n = necessary_sql(r, fields)
+        if n is None:
+            return None
+        parts.append(n)
+    if not parts:
+        return None
+    return F.expr(" OR ".join(f"({p})" for p in parts))

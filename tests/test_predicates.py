@@ -259,3 +259,34 @@ def test_random_conditions_against_python(logs_of):
     got = {(r.seq, r.rule_id) for r in plain_alerts(v, rules).select("seq", "rule_id").collect()}
     want = {(j, f"c{i}") for i, c in enumerate(conds) for j, log in enumerate(logs) if py_eval(c.split(), log)}
     assert got == want
+
+
+def test_rule_set_prefilter_reaches_the_scan(spark, tmp_path):
+    """A mixed rule set (not, parentheses, unknown modifier) still lets Parquet skip data:
+    the OR of each rule's pushable necessary terms is pushed; results stay exact."""
+    import contextlib
+    import io
+    from ruleweave.sources.logs import table_view
+    rows = [(i, f"h{i % 3}", ["windows_event", "cloudtrail", "syslog"][i % 3], ["4625", "4624", "x"][i % 2],
+             ["DeleteBucket", "GetObject"][i % 2]) for i in range(30)]
+    spark.createDataFrame(rows, "seq long, host string, log_type string, event_id string, action string") \
+        .write.parquet(str(tmp_path / "logs"))
+    df = spark.read.parquet(str(tmp_path / "logs"))
+    view = table_view(df, time_col="seq", order_cols=["seq"], keep=["seq"])
+    rules = [
+        rule(sel("a and not b", a={"log_type": "windows_event"}, b={"event_id": "4624"}), rid="r1"),
+        rule(sel("( a or b ) and c", a={"action|startswith": "Delete"}, b={"action": "Put"},
+                 c={"log_type": "cloudtrail"}), rid="r2"),
+        rule(sel("w or s", w={"log_type|re": ".*"}, s={"log_type": "syslog"}), rid="r3"),
+    ]
+    alerts = plain_alerts(view, rules)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        alerts.explain("formatted")
+    pushed = [l for l in buf.getvalue().splitlines() if l.startswith("PushedFilters:")]
+    assert pushed and "Or(" in pushed[0] and "EqualTo(log_type,syslog)" in pushed[0]
+    got = sorted((r.seq, r.rule_id) for r in alerts.collect())
+    want = sorted([(i, "r1") for i in range(30) if i % 3 == 0 and i % 2 == 0]
+                  + [(i, "r2") for i in range(30) if i % 3 == 1 and i % 2 == 0]
+                  + [(i, "r3") for i in range(30) if i % 3 == 2])
+    assert got == want
