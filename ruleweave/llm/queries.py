@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import simhash_dedup
+from ruleweave.llm import simhash_dedup, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are left once passages of 50 words seen in earlier documents go."""
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-duplicates of every document."""
     groups = simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -19,6 +25,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
