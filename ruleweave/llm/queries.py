@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import simhash_dedup, substring_dedup
+from ruleweave.llm import quality_rules, simhash_dedup, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and risk-controlled verdict of every document."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "rejected_by")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that are left once passages of 50 words seen in earlier documents go."""
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=50)
@@ -25,6 +31,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
