@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import decontamination, quality_rules, simhash_dedup, substring_dedup
+from ruleweave.llm import decontamination, pii, quality_rules, simhash_dedup, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,16 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds, all spans."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
+              for kind in pii.BASE_KINDS]
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+                        pii.spans_text(F.col("spans")).alias("spans"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -37,6 +47,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_pii": op2_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
