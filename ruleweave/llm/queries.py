@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import decontamination, pii, quality_rules, simhash_dedup, substring_dedup
+from ruleweave.llm import decontamination, licenses, pii, quality_rules, simhash_dedup, substring_dedup, warc
+from ruleweave.llm.stage import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,28 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    places = F.filter("hits", lambda h: h["kind"] == "phrase")
+    starts = F.transform(places, lambda h: h["start"])
+
+    def labels(hits):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["label"]))), ",")
+
+    return found.select("doc_id", "n_words", F.size(places).cast("bigint").alias("n_base"),
+                        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        labels(places).alias("base_labels"), labels(F.col("hits")).alias("labels"), "score")
+
+
+def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to a content-addressed archive and read back from it."""
+    path = scratch(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return warc.read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                 "refers_to", "verified")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near-duplicates of every document."""
     groups = simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -50,6 +73,20 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_license_scan": op7_license_scan,
+    "op8_warc_archive": op8_warc_archive,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc_archive": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h,
+                     min(page_id) OVER (PARTITION BY html) AS low FROM p)
+        SELECT page_id, payload_bytes,
+               array_to_string([translate(to_base(CAST('0x' || substr(h, 5 * i + 1, 5) AS BIGINT), 32, 4),
+                   '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') FOR i IN range(8)], '')
+                   AS payload_digest,
+               CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> low THEN low END AS refers_to, TRUE AS verified
+        FROM d""",
+}
