@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import decontamination, licenses, pii, quality_rules, simhash_dedup, substring_dedup, warc
+from ruleweave.llm import decontamination, language_id, licenses, pii, quality_rules, simhash_dedup, substring_dedup, warc
 from ruleweave.llm.stage import scratch
 
 
@@ -68,6 +68,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
@@ -76,6 +81,7 @@ QUERIES = {
     "op7_license_scan": op7_license_scan,
     "op8_warc_archive": op8_warc_archive,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
     "op8_warc_archive": """

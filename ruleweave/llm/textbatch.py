@@ -35,15 +35,15 @@ ALNUM_WORDS = lut_from_pattern(bytes(b for b in range(128) if not (chr(b).isalnu
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with at most `limit` bytes of text each (or one row)."""
+def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most `limit` bytes of text (or one row) and `rows` rows each."""
     if batch.num_rows == 0:
         return
     _, offsets = text_buffer(batch.column(batch.schema.get_field_index(column)))
     at = 0
     while at < batch.num_rows:
         end = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
-        end = min(max(end, at + 1), batch.num_rows)
+        end = min(max(end, at + 1), at + rows, batch.num_rows)
         yield batch.slice(at, end - at)
         at = end
 
