@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import decontamination, language_id, licenses, pii, quality_rules, simhash_dedup, substring_dedup, warc
+from ruleweave.llm import (decontamination, language_id, licenses, mixing, packing, pii, quality_rules, simhash_dedup,
+                           substring_dedup, warc)
 from ruleweave.llm.stage import scratch
 
 
@@ -28,6 +29,17 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.spans_text(F.col("spans")).alias("spans"))
 
 
+def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document tokenized and packed into rows of 2,048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed to weights by the root of their size, in one global order; as many documents as there are."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), alpha=0.5, epochs=1.0, seed=42)
+    return mixed.select("doc_id", "copy", "source", "rate", "lang", "text")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -76,6 +88,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
+    "op3_token_packing": op3_token_packing,
+    "op4_source_mixing": op4_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_license_scan": op7_license_scan,
@@ -84,6 +98,18 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
+    "op4_source_mixing": """
+        WITH n AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
+        r AS (SELECT s, sqrt(n) / (SELECT sum(sqrt(n)) FROM n) * (SELECT sum(n) FROM n) / n AS rate FROM n),
+        t AS (SELECT s, rate, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p
+              FROM r, unnest(range(CAST(ceil(rate + 12 * sqrt(rate) + 31) AS BIGINT))) AS u(k)),
+        c AS (SELECT s, rate, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM t),
+        d AS (SELECT *, coalesce(source, '') AS s,
+                     CAST('0x' || substr(md5('42|draw|' || coalesce(source, '') || '|' || coalesce(CAST(doc_id AS VARCHAR), '')),
+                                         1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+        m AS (SELECT d.doc_id, d.source, d.lang, d.text, any_value(c.rate) AS rate, count(*) AS n
+              FROM d JOIN c ON c.s = d.s AND c.c <= d.u GROUP BY ALL)
+        SELECT doc_id, CAST(copy AS INTEGER) AS copy, source, rate, lang, text FROM m, unnest(range(1, n + 1)) AS u(copy)""",
     "op8_warc_archive": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h,
