@@ -152,7 +152,7 @@ def _scan(index, threshold: float):
         for batch in batches:
             out = []
             for part in pieces(batch, "text"):
-                words, rows = _words(*text_buffer(part.column(1)))
+                words, rows = _words(*text_buffer(part.column(2)))
                 hits: dict[int, dict[int, np.ndarray]] = defaultdict(dict)
                 for k, known in own.shingles.items():
                     h = window_hashes(words, k)
@@ -166,12 +166,12 @@ def _scan(index, threshold: float):
                     for r in np.unique(row).tolist():
                         hits[r][k] = start[row == r] - rows[r]
                 for r in sorted(hits):
-                    doc_id = part.column(0)[r].as_py()
-                    out += [(doc_id, *x) for x in own.search(words[rows[r]:rows[r + 1]], hits[r], threshold)]
+                    row = (part.column(0)[r].as_py(), part.column(1)[r].as_py())
+                    out += [(*row, *x) for x in own.search(words[rows[r]:rows[r + 1]], hits[r], threshold)]
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
-                    ["row_id", "item_id", "start_word", "n_words", "similarity"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 5 + [pa.float64()])],
+                    ["row_id", "text_hash", "item_id", "start_word", "n_words", "similarity"])
     return run
 
 
@@ -184,18 +184,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     match nothing; a repeated document row gives repeated results; items may share texts. Of equally
     similar windows the first counts. A null id is carried as null. Empty tables: no rows.
     """
+    return _found(docs, benchmark, id_col, text_col, item_col, item_text_col, shingle, threshold, radius).select(
+        F.col("row_id").alias("doc_id"), "item_id", "start_word", "n_words", "similarity")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE,
+           threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     spark = docs.sparkSession
-    source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("row_id"),
-                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    schema = "row_id bigint, item_id bigint, start_word bigint, n_words bigint, similarity double"
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("row_id"), F.xxhash64(text).alias("text_hash"),
+                         text.alias("text"))
+    schema = ("row_id bigint, text_hash bigint, item_id bigint, start_word bigint, n_words bigint, similarity double")
     found = None
     for items in _blocks(benchmark, item_col, item_text_col):
         index = spark.sparkContext.broadcast(ItemIndex(items, shingle, radius))
         part = source.mapInArrow(_scan(index, threshold), schema)
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], schema)
-    return found.withColumnRenamed("row_id", "doc_id")
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
@@ -220,8 +226,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "do
     Rows are told apart by id and text hash, so rows that share an id are judged on their own texts.
     """
     names = docs.columns
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    keyed = docs.withColumn("_rw_key", F.xxhash64(F.col(f"`{id_col}`"), text))
-    found = staged(find_contamination(keyed, benchmark, "_rw_key", text_col, **options).select(
-        F.col("doc_id").alias("_rw_key")).distinct(), "contaminated")
-    return keyed.join(found, "_rw_key", "left_anti").select(*[F.col(f"`{c}`") for c in names])
+    found = staged(_found(docs, benchmark, id_col, text_col, **options).select(
+        F.col("row_id").alias("_rw_id"), F.col("text_hash").alias("_rw_hash")).distinct(), "contaminated")
+    keyed = docs.withColumn("_rw_key", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    same = (F.col("_rw_key") == F.col("_rw_hash")) & F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_rw_id"))
+    return keyed.join(found, same, "left_anti").select(*[F.col(f"`{c}`") for c in names])

@@ -47,20 +47,22 @@ def _repeats() -> str:
             f"ELSE {covered('pair_pos')} END")
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """(doc_id, stratum, counts...) of every row, without a shuffle."""
+def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+           key_col: str | None = None) -> DataFrame:
+    """(doc_id, stratum, counts...) of every row, without a shuffle; key_col, if given, is carried along."""
     low = (1 << _POS_BITS) - 1
-    first = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+    keys = [key_col] if key_col else []
+    first = docs.select(*keys, F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                         F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")).alias("stratum"),
                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     split = first.select(
-        "doc_id", "stratum",
+        *keys, "doc_id", "stratum",
         F.expr(f"filter(split(text, '[{_SPACES}]+'), w -> w <> '')").alias("words"),
         F.expr(f"filter(split(text, '\\n'), l -> l rlike '[^{_SPACES}]')").alias("lines"),
         F.expr("CAST(regexp_count(text, '[#*$%&|<>]') AS bigint)").alias("n_symbols"),
         F.expr("CAST(regexp_count(text, '[A-Z!]') AS bigint)").alias("n_shouts"))
     hashed = split.select(
-        "doc_id", "stratum", "n_symbols", "n_shouts",
+        *keys, "doc_id", "stratum", "n_symbols", "n_shouts",
         F.expr("CAST(size(words) AS bigint)").alias("n_words"),
         F.expr("aggregate(words, 0L, (a, w) -> a + char_length(w))").alias("word_chars"),
         F.expr("CAST(size(lines) AS bigint)").alias("n_lines"),
@@ -76,7 +78,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stra
     pairs = "sort_array(transform(h, (x, i) -> struct(x AS h, CAST(i AS bigint) AS i)))"
     pair_pos = (f"sort_array(transform(filter({pairs}, (x, j) -> (j > 0 AND {pairs}[j - 1].h = x.h) OR "
                 f"(j < size(h) - 1 AND {pairs}[j + 1].h = x.h)), x -> x.i))")
-    return sorted_.select("doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_shouts", "n_lines",
+    return sorted_.select(*keys, "doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_shouts", "n_lines",
                           "n_dup_lines", F.expr(_repeats().replace("pair_pos", pair_pos)).alias("n_repeat_words"))
 
 
@@ -113,14 +115,14 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float, delta: float, la
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          stratum_col: str = "lang", risk: float = 0.005, delta: float = 0.05) -> DataFrame:
+          stratum_col: str = "lang", risk: float = 0.005, delta: float = 0.05, key_col: str | None = None) -> DataFrame:
     """One row per document row: counts, base_failed, kept and rejected_by (names of the rules, comma-joined).
 
     Null or empty text: no words, so the base rules reject it. A null stratum is a stratum of its own ('').
     A null doc_id is judged, but never learned from. Repeated rows get equal results and are learned from
     once. Without labels no rule but the base rules rejects. Empty table: no rows.
     """
-    counted = staged(counts(docs, id_col, text_col, stratum_col), "counts")
+    counted = staged(counts(docs, id_col, text_col, stratum_col, key_col), "counts")
     chosen = staged(cutoffs(counted, labels, risk, delta).groupBy("stratum").pivot("rule", list(RULES)).agg(
         F.first("cutoff")), "cutoffs")
     failing = ", ".join(f"CASE WHEN ({value}) * {GRID} > `{name}` THEN '{name}' END" for name, value in RULES.items())
@@ -128,4 +130,21 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .withColumn("rejected_by", F.expr(f"concat_ws(',', {failing})"))
             .withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words"))
             .withColumn("kept", F.expr("NOT base_failed AND rejected_by = ''"))
-            .select("doc_id", *COUNTS, "base_failed", "kept", "rejected_by", "stratum"))
+            .select(*([key_col] if key_col else []), "doc_id", *COUNTS, "base_failed", "kept", "rejected_by", "stratum"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+         **options) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all columns as they came.
+
+    Verdicts are joined by id, stratum and text hash, so rows that share an id are judged on their own texts.
+    """
+    names = docs.columns
+    keyed = docs.withColumn("_rw_key", F.xxhash64(F.col(f"`{text_col}`")))
+    verdict = judge(keyed, labels, id_col, text_col, stratum_col, key_col="_rw_key", **options)
+    rejected = staged(verdict.where("NOT kept").select(
+        F.col("_rw_key").alias("_rw_key2"), F.col("doc_id").alias("_rw_id"), F.col("stratum").alias("_rw_stratum")).distinct(),
+        "rejected")
+    same = ((F.col("_rw_key") == F.col("_rw_key2")) & F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_rw_id"))
+            & (F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")) == F.col("_rw_stratum")))
+    return keyed.join(rejected, same, "left_anti").select(*[F.col(f"`{c}`") for c in names])

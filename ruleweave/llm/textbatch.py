@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once (a longer text is handled alone).
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _M = np.uint64
 # Odd multipliers of the rolling hashes and of the 64-bit finalizer (MurmurHash3, public domain).
