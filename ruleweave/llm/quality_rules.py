@@ -39,8 +39,8 @@ def _repeats() -> str:
     """
     def covered(pos: str) -> str:
         # each repeated window adds the words not yet covered by the repeated window before it
-        return (f"aggregate(transform({pos}, (p, j) -> CASE WHEN j = 0 THEN 3L ELSE least(3L, p - {pos}[j - 1]) END), "
-                "0L, (a, x) -> a + x)")
+        return (f"transform(array({pos}), at -> aggregate(transform(at, (p, j) -> CASE WHEN j = 0 THEN 3L "
+                "ELSE least(3L, p - at[j - 1]) END), 0L, (a, x) -> a + x))[0]")
     return (f"CASE WHEN size(h) = 0 OR size(array_distinct(h)) = size(h) THEN 0L "
             f"WHEN size(h) < {1 << _POS_BITS} AND size(array_distinct(h)) = "
             f"size(array_distinct(transform(h, x -> shiftright(x, {_POS_BITS})))) THEN {covered('packed_pos')} "
@@ -75,9 +75,9 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stra
             f"sort_array(transform(filter(packed, (x, j) -> (j > 0 AND shiftright(packed[j - 1], {_POS_BITS}) = "
             f"shiftright(x, {_POS_BITS})) OR (j < size(packed) - 1 AND shiftright(packed[j + 1], {_POS_BITS}) = "
             f"shiftright(x, {_POS_BITS}))), x -> x & {low}L))"))
-    pairs = "sort_array(transform(h, (x, i) -> struct(x AS h, CAST(i AS bigint) AS i)))"
-    pair_pos = (f"sort_array(transform(filter({pairs}, (x, j) -> (j > 0 AND {pairs}[j - 1].h = x.h) OR "
-                f"(j < size(h) - 1 AND {pairs}[j + 1].h = x.h)), x -> x.i))")
+    pair_pos = ("transform(array(sort_array(transform(h, (x, i) -> struct(x AS h, CAST(i AS bigint) AS i)))), s -> "
+                "sort_array(transform(filter(s, (x, j) -> (j > 0 AND s[j - 1].h = x.h) OR "
+                "(j < size(s) - 1 AND s[j + 1].h = x.h)), x -> x.i)))[0]")
     return sorted_.select(*keys, "doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_shouts", "n_lines",
                           "n_dup_lines", F.expr(_repeats().replace("pair_pos", pair_pos)).alias("n_repeat_words"))
 
