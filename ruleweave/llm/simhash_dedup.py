@@ -102,7 +102,8 @@ def hamming_links(reps: DataFrame) -> DataFrame:
     Every such pair is connected: directly where its grid point is not crowded, else through the
     smallest fingerprint around a common single-bit neighbour, itself within two bits of both.
     """
-    points = grid_points(reps)
+    # 65 steps a fingerprint: spread them over the session's partitions before they multiply
+    points = grid_points(reps.repartition(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     crowd = points.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(points.join(crowd, "cell"), "grid")
     few = shared.where(F.col("n") <= CROWDED).select("cell", "fp")
@@ -135,7 +136,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked = reps.join(roots, F.col("fp") == F.col("node")).select("fp", "rep", "root")
     low = linked.groupBy("root").agg(F.min("rep").alias("low"))
     linked = linked.join(low, "root").select("fp", "low")
-    whole = reps.join(linked, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id"))
+    # staged, so that both sides of the last join are plain shuffles and a fingerprint of many copies can be split
+    whole = staged(reps.join(linked, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id")), "groups")
     return marks.join(whole, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
