@@ -85,7 +85,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _is_revisit() -> Column:
-    return F.expr(r"substring(header, 1, 30) = encode('WARC/1.1\r\nWARC-Type: revisit\r\nW', 'UTF-8')")
+    return F.expr(r"substring(header, 1, 30) = encode('WARC/1.1\r\nWARC-Type: revisit\r\n', 'UTF-8')")
 
 
 def parse_header(header: bytes) -> dict[str, str]:
