@@ -31,9 +31,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'`|\\^{}]+")
-_HOST = re.compile(r"(?:[^/?#@]*@)?(\[[0-9A-Fa-f:.]+\]|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost)(?::[0-9]+)?(?=[/?#]|$)")
+# A user part is bounded, so that an anchor without a host is given up at once.
+_HOST = re.compile(r"(?:[^\s/?#@<>\"']{1,128}@)?(?:\[[0-9A-Fa-f:.]+\]|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost)(?::[0-9]+)?(?![A-Za-z0-9@])")
 _HANDLE = re.compile(r"[A-Za-z0-9_]{2,30}(?![A-Za-z0-9_])")
-_ASSIGNED = re.compile(r"(?:[ _-]?(?:number|nummer|no|nr|id)\b\.?)?[ \t]*[:=#][ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_-]*(?: ?[A-Za-z0-9]{4,})*)")
+_ASSIGNED = re.compile(r"(?:[ _-]?(?:number|nummer|no|nr|id)\b\.?)?[ \t]*[:=#][ \t]*[\"']?"
+                       # further groups as bank identifiers are written: up to four upper-case characters with a digit
+                       r"([A-Za-z0-9][A-Za-z0-9_-]*(?: (?=[A-Z]*[0-9])[A-Z0-9]{2,4}(?![A-Za-z0-9]))*)")
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -75,16 +78,18 @@ def _handle(text: str, at: int) -> tuple[int, int] | None:
     return (at, name.end()) if name and any(c.isalpha() for c in name[0]) else None
 
 
-def _url(text: str, start: int, host: int) -> tuple[int, int] | None:
-    if start and text[start - 1].isalnum():
+def _url(text: str, start: int, host: int, after: int) -> tuple[int, int] | None:
+    if start < after or start and text[start - 1].isalnum():
         return None
-    rest = _URL.match(text, host)
-    if not rest:
+    name = _HOST.match(text, host)
+    if not name:
         return None
-    end = rest.end()
-    while end > host and text[end - 1] in ".,;:!?)]*&%$#":
-        end -= 1
-    return (start, end) if _HOST.match(text[host:end]) else None
+    end = name.end()
+    if text[end:end + 1] in ("/", "?", "#"):
+        end = _URL.match(text, end).end()
+        while text[end - 1] in ".,;:!?)]*&%$#" and end > name.end():
+            end -= 1
+    return start, end
 
 
 def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
@@ -115,7 +120,7 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int
             if not add("email", _email(text, last, ends["email"])):
                 add("handle", _handle(text, last))
         elif what == "url":
-            add("url", _url(text, start, last + 1))
+            add("url", _url(text, start, last + 1, ends["url"]))
         else:
             add("account", _account(text, start, last + 1))
     if _DIGIT.search(text):
