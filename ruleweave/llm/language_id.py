@@ -78,7 +78,7 @@ class LanguageModel:
         self.code = codewords(len(languages))
         share = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
         weights = []
-        for bit in self.code.T:
+        for bit in self.code.T if languages else ():
             # each language counts alike on its side, however many rows it has
             plus, minus = share[bit > 0].mean(axis=0), share[bit < 0].mean(axis=0) if (bit < 0).any() else share.mean(axis=0)
             weights.append(np.log(plus) - np.log(minus))
