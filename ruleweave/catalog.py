@@ -514,15 +514,81 @@ def _run_stream(spark: SparkSession, df: DataFrame, tag: str, with_path: bool =
     return (out, base + "/out") if with_path else out
 
 
-def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events burst rule on a stream of the events table, same answer as the batch."""
-    from ruleweave.streaming.pipeline import stream_burst_alerts
-    from ruleweave.streaming.sources import table_stream
+SLICES = 4
+
+
+def _sliced_events(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """The events table as a stream of several micro-batches, hosts out of phase.
+
+    The events are written slice by slice of time to the shared folder; every third of the hosts runs
+    one or two slices behind, so that a micro-batch mixes clocks that are far apart.
+    """
+    from ruleweave.functions.timeutil import epoch_micros
+    ev = read_table(spark, sf_dir, "events")
+    t = epoch_micros("ts", ev.schema["ts"].dataType)
+    low, high = ev.agg(F.min(t), F.max(t)).first()
+    width = (high - low) // SLICES + 1
+    behind = F.coalesce(F.pmod(F.col("user_id"), F.lit(3)), F.lit(0))
+    sliced = ev.withColumn("_rw_slice", F.floor((t - F.lit(low)) / F.lit(width)) + behind)
+    files = max(1, ev.rdd.getNumPartitions())
+    for i in range(SLICES + 2):
+        sliced.where(F.col("_rw_slice") == i).drop("_rw_slice").write.parquet(f"{base}/slices/slice-{i}")
+    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", True)
+            .parquet(f"{base}/slices"))
+
+
+def _detected(spark: SparkSession, sf_dir: str, tag: str, rules, store: bool = False, **options) -> str:
+    """Run the detection job over the sliced events to the end of its input; the folder it wrote to."""
+    import uuid as _uuid
+    from ruleweave.session import scratch_path
     from ruleweave.sources.testdata import events_logs_from
+    from ruleweave.streaming.pipeline import start_detection
+    base = scratch_path(spark, "stream-queries", f"{tag}-{_uuid.uuid4().hex}")
+    q = start_detection(_sliced_events(spark, sf_dir, base), lambda df: events_view(spark, sf_dir, df=events_logs_from(df)),
+                        rules, checkpoint=base + "/checkpoint", state_path=base + "/state", publish_path=base + "/out",
+                        store_path=base + "/store" if store else None, trigger={"availableNow": True}, **options)
+    q.awaitTermination()
+    batches = sum(p["numInputRows"] > 0 for p in q.recentProgress)
+    if batches < SLICES:
+        raise RuntimeError(f"expected {SLICES} micro-batches or more, got {batches}")
+    return base
+
+
+PUBLISHED_SCHEMA = "key string, value string, event_id long, window_count long"
+
+
+def _published_rows(spark: SparkSession, base: str) -> DataFrame:
+    value = F.col("value")
+    return spark.read.schema(PUBLISHED_SCHEMA).parquet(base + "/out").select(
+        F.col("key").alias("alert_id"), *[F.get_json_object(value, f"$.{c}").alias(c) for c in PLAIN_COLUMNS[1:-1]],
+        "event_id", "window_count", "value")
+
+
+def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events burst rule over several micro-batches with hosts out of phase; same answer as the batch."""
+    from ruleweave.streaming.pipeline import fixed_rules
     _, bursts = split_rules(list(rule_pack("events")))
-    stream = events_logs_from(table_stream(spark, sf_dir, "events", min_partitions=_cores(spark)))
-    out = stream_burst_alerts(events_view(spark, sf_dir, df=stream), bursts, watermark="30 days")
-    return _run_stream(spark, out.drop("matched_at"), "bursts").select(*PLAIN_COLUMNS, "window_count")
+    base = _detected(spark, sf_dir, "bursts", fixed_rules(bursts))
+    return _published_rows(spark, base).select(*PLAIN_COLUMNS, "window_count")
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K2 + K6 end to end: detect, publish, store per micro-batch; replay the last batch; read the store."""
+    from ruleweave.streaming.pipeline import fixed_rules
+    base = _detected(spark, sf_dir, "upsert", fixed_rules(list(rule_pack("events"))), store=True)
+    batches = spark.read.parquet(base + "/store")
+    last = batches.agg(F.max("batch_id")).first()[0]
+    again = spark.read.schema(batches.drop("batch_id", "_rw_pos").schema).parquet(f"{base}/store/batch_id={last}")
+    again = again.withColumn("event_id", F.get_json_object("raw_log", "$.event_id").cast("long"))
+    S.write_batch(_copied(again, base), base + "/store", last, [F.col("event_id")])
+    return S.read_store(spark, base + "/store").select("alert_id", "rule_id", "severity", "host",
+                         F.get_json_object("raw_log", "$.event_id").cast("long").alias("event_id"))
+
+
+def _copied(df: DataFrame, base: str) -> DataFrame:
+    """A copy in the shared folder, to overwrite what the frame was read from."""
+    df.write.parquet(base + "/copy")
+    return df.sparkSession.read.schema(df.schema).parquet(base + "/copy")
 
 
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,6 +603,8 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["stream_bursts"] = stream_bursts
+QUERIES["stream_upsert"] = stream_upsert
+ORACLES["stream_upsert"] = ORACLES["stored_alerts"]
 QUERIES["stream_alerts"] = stream_alerts
 ORACLES["stream_bursts"] = ORACLES["burst_alerts"]
 ORACLES["stream_alerts"] = ORACLES["rule_set_alerts"]
@@ -587,18 +655,14 @@ def coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K3: the detection stream publishes plain and burst alerts; a second stream (the
     store side) reads the published alerts and drops repeated ids within the watermark."""
-    from ruleweave.streaming.pipeline import dedup_stream, stream_burst_alerts
-    from ruleweave.streaming.sources import table_stream
-    from ruleweave.sources.testdata import events_logs_from
-    plain, bursts = split_rules(list(rule_pack("events")))
-    view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events", min_partitions=_cores(spark))))
-    t = F.timestamp_micros(view.event_us).alias("event_time")
-    cols = ["alert_id", "rule_id", "host", "event_time"]
-    p = alert_projection(view, match_rules(view, plain), extra=[t]).select(*cols)
-    b = stream_burst_alerts(view, bursts, watermark="30 days").select(*cols)
-    published, topic = _run_stream(spark, p.unionByName(b), "published", with_path=True)
-    alerts = spark.readStream.schema(published.schema).parquet(topic)
-    out = dedup_stream(alerts, "event_time", watermark="30 days").select("alert_id", "rule_id", "host")
+    from ruleweave.functions.timeutil import iso_text_micros
+    from ruleweave.streaming.pipeline import dedup_stream, fixed_rules
+    from ruleweave.streaming.sources import decode_alerts
+    base = _detected(spark, sf_dir, "published", fixed_rules(list(rule_pack("events"))))
+    topic = spark.readStream.schema(PUBLISHED_SCHEMA).option("maxFilesPerTrigger", 8).parquet(base + "/out")
+    alerts, _ = decode_alerts(topic)
+    alerts = alerts.withColumn("event_time", F.timestamp_micros(iso_text_micros(F.get_json_object("raw_log", "$.timestamp"))))
+    out = dedup_stream(alerts, "event_time", watermark="3650 days").select("alert_id", "rule_id", "host")
     return _run_stream(spark, out, "dedup")
 
 
@@ -682,7 +746,7 @@ assert ORACLES["stage_transitions_by_host"] != ORACLES["stage_transitions"]
 
 
 def stream_bursts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A9 without Python state: each micro-batch runs the batch plan on its rows plus a tail table."""
+    """A9 on the table read as one micro-batch."""
     import uuid as _uuid
     from ruleweave.session import scratch_path
     from ruleweave.streaming.pipeline import start_table_bursts
@@ -690,14 +754,12 @@ def stream_bursts_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ruleweave.sources.testdata import events_logs_from
     _, bursts = split_rules(list(rule_pack("events")))
     base = scratch_path(spark, "stream-queries", f"tail-bursts-{_uuid.uuid4().hex}")
-    stream = table_stream(spark, sf_dir, "events")
+    stream = table_stream(spark, sf_dir, "events", min_partitions=_cores(spark))
     q = start_table_bursts(stream, lambda df: events_view(spark, sf_dir, df=events_logs_from(df)), bursts,
-                           checkpoint=base + "/checkpoint", state_path=base + "/tail", publish_path=base + "/out",
+                           checkpoint=base + "/checkpoint", state_path=base + "/state", publish_path=base + "/out",
                            trigger={"availableNow": True})
     q.awaitTermination()
-    schema = ("alert_id string, rule_id string, rule_title string, severity string, matched_at string, "
-              "host string, raw_log string, event_id long, window_count long")
-    return spark.read.schema(schema).parquet(base + "/out").select(*PLAIN_COLUMNS, "window_count")
+    return _published_rows(spark, base).select(*PLAIN_COLUMNS, "window_count")
 
 
 QUERIES["stream_bursts_tables"] = stream_bursts_tables
@@ -760,26 +822,14 @@ SELECT 'doc-non-english-license-001', 'medium', source, doc_id FROM documents
 
 
 def stream_changelog_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events stream under the events changelog, one snapshot per micro-batch.
+    """The events stream under the events changelog, read anew for each of several micro-batches.
 
-    With ``availableNow`` the whole table is one micro-batch, so every log meets the rule set
-    that the full changelog leaves active (plain and burst rules, copies included).
+    The changelog is complete from the start, so every log meets the rule set that it leaves active
+    (plain and burst rules, copies included); burst windows are carried over by the tail.
     """
-    import uuid as _uuid
-    from ruleweave.session import scratch_path
-    from ruleweave.streaming.pipeline import start_changelog_detection
-    from ruleweave.streaming.sources import table_stream
-    from ruleweave.sources.testdata import events_logs_from
-    base = scratch_path(spark, "stream-queries", f"changelog-{_uuid.uuid4().hex}")
-    stream = table_stream(spark, sf_dir, "events", min_partitions=_cores(spark))
-    q = start_changelog_detection(stream, lambda df: events_view(spark, sf_dir, df=events_logs_from(df)),
-                                  events_changelog, checkpoint=base + "/checkpoint", state_path=base + "/tail",
-                                  publish_path=base + "/out", order_col="event_id", trigger={"availableNow": True})
-    q.awaitTermination()
-    out = spark.read.schema("key string, value string, event_id long").parquet(base + "/out")
-    return out.select(F.col("key").alias("alert_id"), F.get_json_object("value", "$.rule_id").alias("rule_id"),
-                      F.get_json_object("value", "$.severity").alias("severity"),
-                      F.get_json_object("value", "$.host").alias("host"), "event_id")
+    from ruleweave.streaming.pipeline import changelog_rules
+    base = _detected(spark, sf_dir, "changelog", changelog_rules(lambda s: events_changelog(s)))
+    return _published_rows(spark, base).select("alert_id", "rule_id", "severity", "host", "event_id")
 
 
 QUERIES["stream_changelog_alerts"] = stream_changelog_alerts
@@ -814,10 +864,9 @@ def stream_coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ruleweave.sources.testdata import events_logs_from
     _, bursts = split_rules(list(rule_pack("events")))
     base = scratch_path(spark, "stream-queries", f"coarse-{_uuid.uuid4().hex}")
-    view = events_view(spark, sf_dir, df=events_logs_from(table_stream(spark, sf_dir, "events",
-                                                                       min_partitions=_cores(spark))))
+    view = events_view(spark, sf_dir, df=events_logs_from(_sliced_events(spark, sf_dir, base)))
     counts = _coarse(burst_rows(view, bursts), window="24 hours", slide="6 hours", threshold=2,
-                     watermark="30 days").select(
+                     watermark="3650 days").select(
         (F.unix_micros(F.col("window.start")) / 1_000_000).cast("long").alias("window_start"),
         F.col("_rw_key").alias("host"), "window_count")
 
@@ -833,3 +882,82 @@ def stream_coarse_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["stream_coarse_bursts"] = stream_coarse_bursts
 ORACLES["stream_coarse_bursts"] = ORACLES["coarse_bursts"]
+
+
+def strict_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S5 + S6: which texts made from the documents are one JSON object, and what they decode to.
+
+    Each document gives a whole object, two objects in a row, an object with trailing text, one in
+    single quotes, an array of objects, and a broken object.
+    """
+    doc = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text")))
+    raw = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.posexplode(F.array(
+        doc, F.concat(doc, doc), F.concat(doc, F.lit(" junk }")), F.concat(F.lit("{'id':'"), F.col("doc_id"), F.lit("'}")),
+        F.concat(F.lit("["), doc, F.lit("]")), F.expr("substring(to_json(struct(text)), 1, length(text))"))).alias("kind", "value"))
+    from ruleweave.sources.logs import decode_json_logs
+    good, bad = decode_json_logs(raw)
+    ok = good.select("doc_id", "kind", F.lit(True).alias("processed"),
+                     (F.col("_rw_fields")["text"] == F.col("text")).alias("same_text"))
+    return ok.unionByName(bad.select("doc_id", "kind", F.lit(False).alias("processed"), F.lit(None).cast("boolean").alias("same_text")))
+
+
+QUERIES["strict_decode"] = strict_decode
+ORACLES["strict_decode"] = """SELECT doc_id, CAST(kind AS INTEGER) AS kind, kind = 0 AS processed,
+    CASE WHEN kind = 0 THEN TRUE END AS same_text FROM documents, unnest(range(6)) AS u(kind)"""
+
+
+def alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 + K1 + S6: published alert documents, decoded strictly; raw_log is an object inside each."""
+    from ruleweave.operators.evaluate import alerts_json
+    from ruleweave.streaming.sources import decode_alerts
+    good, bad = decode_alerts(alerts_json(published_alerts(spark, sf_dir)))
+    fields = [F.get_json_object("raw_log", f"$.{c}").alias(c) for c in ("log_type", "props", "timestamp")]
+    return good.select("alert_id", "rule_id", "severity", "host",
+                       F.get_json_object("raw_log", "$.event_id").cast("long").alias("event_id"), *fields).unionByName(
+        bad.select(F.col("key").alias("alert_id"), F.lit("not decoded").alias("rule_id")), allowMissingColumns=True)
+
+
+QUERIES["alert_documents"] = alert_documents
+ORACLES["alert_documents"] = _published() + """SELECT p.alert_id, p.rule_id, p.severity, p.host, p.event_id, l.log_type, l.props,
+    l."timestamp" FROM published p JOIN logs l USING (event_id)"""
+
+
+BY_FIELD_RULE = Rule("ev-type-burst-001", "Busy event type", "low", {
+    "some": {"host|startswith": "1"}, "condition": "some | count() by log_type > 5", "timeframe": "6h"})
+
+
+def burst_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + J3: bursts by a field other than the host; the key is part of the alert id."""
+    return burst_alerts(events_view(spark, sf_dir), [BY_FIELD_RULE]).select(
+        "alert_id", "rule_id", "severity", "host", "event_id", "window_count")
+
+
+QUERIES["burst_by_field"] = burst_by_field
+ORACLES["burst_by_field"] = f"""WITH {EVENTS_LOGS}, counted AS (
+  SELECT *, count(*) OVER (PARTITION BY log_type ORDER BY t_us RANGE BETWEEN 21599999999 PRECEDING AND CURRENT ROW)
+            - (count(*) OVER (PARTITION BY log_type, t_us)
+               - row_number() OVER (PARTITION BY log_type, t_us ORDER BY event_id)) AS window_count
+  FROM logs WHERE starts_with(host, '1'))
+SELECT {sql_uuid5("'ev-type-burst-001:' || host || ':' || CAST(t_us // 21600000000 AS VARCHAR) || ':by=' || log_type")}
+    AS alert_id, 'ev-type-burst-001' AS rule_id, 'low' AS severity, host, event_id, window_count
+FROM counted WHERE window_count > 5"""
+
+
+def burst_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON logs without a timestamp count by arrival: one log a second in order of event_id, id bucket 0."""
+    from ruleweave.sources.logs import decode_json_logs, json_view
+    _, bursts = split_rules(list(rule_pack("events")))
+    ev = events_logs(spark, sf_dir)
+    raw = ev.select("event_id", F.timestamp_seconds("event_id").alias("arrived"),
+                    F.to_json(F.struct("host", "log_type", "props")).alias("value"))
+    good, _ = decode_json_logs(raw)
+    view = json_view(good, order_cols=["event_id"], keep=["event_id"], arrival_col="arrived")
+    return burst_alerts(view, bursts).select("alert_id", "rule_id", "host", "event_id", "window_count")
+
+
+QUERIES["burst_arrival"] = burst_arrival
+ORACLES["burst_arrival"] = f"""WITH {EVENTS_LOGS}, counted AS (
+  SELECT *, count(*) OVER (PARTITION BY host ORDER BY event_id RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW) AS window_count
+  FROM logs WHERE log_type = 'error')
+SELECT {sql_uuid5("'ev-error-burst-001:' || host || ':0'")} AS alert_id, 'ev-error-burst-001' AS rule_id,
+    host, event_id, window_count FROM counted WHERE window_count > 2"""

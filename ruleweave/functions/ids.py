@@ -43,7 +43,7 @@ def uuid5(name: Column) -> Column:
 
 def json_string_sql(expr: str) -> str:
     """JSON string literal (quoted, escaped) of a text expression; NULL stays NULL."""
-    return f"CASE WHEN {expr} IS NOT NULL THEN regexp_extract(to_json(array({expr})), '^.(.*).$', 1) END"
+    return f"CASE WHEN {expr} IS NOT NULL THEN substring(to_json(array({expr})), 2, length(to_json(array({expr}))) - 2) END"
 
 
 def json_value_sql(name: str, dtype: T.DataType) -> str:
@@ -57,8 +57,10 @@ def json_value_sql(name: str, dtype: T.DataType) -> str:
         return json_string_sql(c)
     if isinstance(dtype, T.BooleanType):
         return f"CASE WHEN {c} THEN 'true' WHEN NOT {c} THEN 'false' END"
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                          T.DoubleType, T.DecimalType)):
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):   # NaN and infinities have no JSON number: as text
+        return (f"CASE WHEN isnan({c}) OR abs({c}) = double('Infinity') THEN concat('\"', {c}, '\"') "
+                f"ELSE CAST({c} AS STRING) END")
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
         return f"CAST({c} AS STRING)"
     if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType)):
         return f"CASE WHEN {c} IS NOT NULL THEN to_json({c}) END"
@@ -90,6 +92,11 @@ def time_bucket(epoch_us: Column, window_seconds: int) -> Column:
     return F.coalesce(floor_div(epoch_us, window_seconds * MICROS), F.lit(0).cast("long"))
 
 
-def bucket_alert_id(rule_id: Column, host: Column, bucket: Column) -> Column:
-    """Id of a burst alert, one per (rule, host, bucket)."""
-    return uuid5(F.concat_ws(":", rule_id, host, bucket.cast("string")))
+def bucket_alert_id(rule_id: Column, host: Column, bucket: Column, key: Column | None = None) -> Column:
+    """Id of a burst alert, one per (rule, host, bucket).
+
+    ``key`` is the value of a ``by`` field other than the host, NULL for rules by host; it
+    tells the keys of one host apart.
+    """
+    parts = [rule_id, host, bucket.cast("string")]
+    return uuid5(F.concat_ws(":", *parts, *([] if key is None else [F.concat(F.lit("by="), key)])))

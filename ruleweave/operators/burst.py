@@ -3,21 +3,20 @@
 Semantics, per burst rule and key (the declared ``by`` field, D2): a matching log at time
 t fires when the number of matching logs in the half-open span (t - T, t] that arrived no
 later than it exceeds N. Every log above the threshold fires (A3); the alert id is shared
-by all alerts of one (rule, host, time bucket), so a store keeps one of them (A11).
-
-Plan: logs are filtered by the selection first (A4), then cut by time into chunks of
-width B (a multiple of T) per (rule, key). A log is also copied, as context only, into the
-following chunks it can still be counted in, so every chunk holds all it needs. The count
-is ``row_number - count(rows at or before t - T)`` inside a chunk. One shuffle on
-(rule, key, chunk) per distinct timeframe, so even a key with a third of all rows is
-spread over many tasks: a task holds one key's logs of at most B + T seconds.
+by all alerts of one (rule, key, time bucket), so a store keeps one of them (A11). A log
+without an event time counts at its arrival time, or at time 0 where the source has none.
+
+One plan for every size (see ``windowed_counts``): the number of logs per (rule, key, time)
+is a narrow aggregate; its running sums are taken in time chunks of a multiple of T, and
+joined to the logs, which are ranked among their ties only. Ties are cut into blocks of the
+arrival order, so neither a busy key nor one time stamp shared by all logs meets in a task.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.fields import any_of, case_of, field_value_text, quote
@@ -29,135 +28,56 @@ from ruleweave.plans.rules import BurstSpec, Rule, burst_spec
 from ruleweave.sources.logs import LogView
 
 DEFAULT_CHUNK_FACTOR = 4
-# A group above this many rows switches "auto" to the rank strategy.
-MAX_GROUP_ROWS = 5_000_000
-
-
-def sliding_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
-                   window_us: int, chunk_us: int) -> DataFrame:
-    """A1 + A2 for any keyed rows: adds ``window_count`` = rows of the key in (t - T, t]
-    that come no later in (time, order) than the row itself.
-
-    ``rows`` must hold the key columns, ``time_col`` (epoch micros, non-null) and the order
-    columns; other columns are carried on the counted rows only.
-    """
-    t = F.col(time_col)
-    own = floor_div(t, chunk_us)
-    last = floor_div(t + F.lit(window_us - 1), chunk_us)
-    payload = [c for c in rows.columns if c not in set(key_cols) | {time_col} | set(order_cols)]
-    spread = rows.select(
-        *[F.col(quote(c)) for c in key_cols], t, *[F.col(quote(c)) for c in order_cols],
-        F.struct(*[F.col(quote(c)) for c in payload]).alias("_rw_payload"),
-        own.alias("_rw_own"),
-        F.explode(F.sequence(own, last)).alias("_rw_chunk"),
-    )
-    # context copies carry no payload
-    spread = spread.select(
-        *[F.col(quote(c)) for c in key_cols], t, *[F.col(quote(c)) for c in order_cols],
-        F.col("_rw_chunk"), (F.col("_rw_chunk") == F.col("_rw_own")).alias("_rw_is_own"),
-        F.when(F.col("_rw_chunk") == F.col("_rw_own"), F.col("_rw_payload")).alias("_rw_payload"),
-    )
-    part = [F.col(quote(c)) for c in key_cols] + [F.col("_rw_chunk")]
-    by_arrival = Window.partitionBy(*part).orderBy(t, *[F.col(quote(c)) for c in order_cols])
-    by_time = Window.partitionBy(*part).orderBy(t).rangeBetween(Window.unboundedPreceding, -window_us)
-    ranked = spread.withColumn("_rw_rn", F.row_number().over(by_arrival))
-    counted = ranked.withColumn("_rw_gone", F.count(F.lit(1)).over(by_time))
-    out = counted.where(F.col("_rw_is_own")).select(
-        *[F.col(quote(c)) for c in key_cols], t, *[F.col(quote(c)) for c in order_cols],
-        (F.col("_rw_rn") - F.col("_rw_gone")).alias("window_count"),
-        *[F.col(f"_rw_payload.{quote(c)}").alias(c) for c in payload],
-    )
-    return out
-
-
-def sliding_counts_ranked(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
-                          window_us: int, chunk_us: int) -> DataFrame:
-    """A1 + A2 by global ranks, for keys too dense for :func:`sliding_counts`.
-
-    ``window_count = rank(t, order) - #rows at or before t - T`` within the key. Both are
-    global ranks: rows in earlier chunks (a small per-chunk count table with prefix sums)
-    plus a local count inside one chunk. The second rank is looked up by one probe row per
-    log placed at ``t - T``. Chunks can be as fine as wanted and nothing is copied, so a
-    key with a third of all rows inside one window still spreads over many tasks. Two
-    shuffles of the rows instead of one.
-    """
-    t = F.col(time_col)
-    keys = [F.col(quote(c)) for c in key_cols]
-    order = [F.col(quote(c)) for c in order_cols]
-    own = floor_div(t, chunk_us)
-    probe_t = t - F.lit(window_us)
-    probe_c = floor_div(probe_t, chunk_us)
-    payload = [c for c in rows.columns if c not in set(key_cols) | {time_col} | set(order_cols)]
-
-    # rows per chunk, every probe chunk present, and the rows before each chunk
-    marks = rows.select(*keys, F.inline(F.array(F.struct(own.alias("_rw_c"), F.lit(1).alias("_rw_one")),
-                                                F.struct(probe_c.alias("_rw_c"), F.lit(0).alias("_rw_one")))))
-    stats = marks.groupBy(*keys, "_rw_c").agg(F.sum("_rw_one").alias("_rw_n"))
-    prefix = Window.partitionBy(*keys).orderBy("_rw_c").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(*keys, "_rw_c", F.coalesce(F.sum("_rw_n").over(prefix), F.lit(0)).alias("_rw_before"))
-
-    # stage 1: rank inside the own chunk, plus the rows of earlier chunks
-    local = Window.partitionBy(*keys, "_rw_c").orderBy(t, *order)
-    ranked = rows.withColumn("_rw_c", own).withColumn("_rw_lr", F.row_number().over(local))
-    ranked = ranked.join(stats, on=[*key_cols, "_rw_c"]).withColumn("_rw_rn", F.col("_rw_before") + F.col("_rw_lr"))
-
-    # stage 2: a marker per row at t and a probe per row at t - T, in the chunk of each
-    marker = F.struct(F.col("_rw_c").alias("_rw_pc"), t.alias("_rw_pt"), F.lit(0).alias("_rw_kind"),
-                      F.lit(None).cast("long").alias("_rw_rank"),
-                      F.lit(None).cast(rows.select(F.struct(t, *order, *[F.col(quote(c)) for c in payload]))
-                                       .schema[0].dataType).alias("_rw_row"))
-    probe = F.struct(probe_c.alias("_rw_pc"), probe_t.alias("_rw_pt"), F.lit(1).alias("_rw_kind"),
-                     F.col("_rw_rn").cast("long").alias("_rw_rank"),
-                     F.struct(t, *order, *[F.col(quote(c)) for c in payload]).alias("_rw_row"))
-    both = ranked.select(*keys, F.inline(F.array(marker, probe)))
-    seen = Window.partitionBy(*keys, "_rw_pc").orderBy("_rw_pt", "_rw_kind").rowsBetween(Window.unboundedPreceding, 0)
-    probes = (both.withColumn("_rw_le", F.sum(F.lit(1) - F.col("_rw_kind")).over(seen))
-              .where(F.col("_rw_kind") == 1)
-              .join(stats.withColumnRenamed("_rw_c", "_rw_pc"), on=[*key_cols, "_rw_pc"]))
-    count = F.col("_rw_rank") - F.col("_rw_before") - F.col("_rw_le")
-    return probes.select(*keys, F.col(f"_rw_row.{quote(time_col)}").alias(time_col),
-                         *[F.col(f"_rw_row.{quote(c)}").alias(c) for c in order_cols],
-                         count.alias("window_count"),
-                         *[F.col(f"_rw_row.{quote(c)}").alias(c) for c in payload])
+#: Ties (rows of one key and time) are ranked in blocks of this many arrival numbers.
+TIE_BLOCK = 1 << 16
 
 
 def windowed_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
-                    window_us: int, chunk_factor: int = DEFAULT_CHUNK_FACTOR, strategy: str = "auto",
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Pick the plan for A1/A2.
-
-    ``chunks`` (one shuffle, context copies into the next chunk) while every (key, chunk of
-    ``chunk_factor`` x T) holds at most ``max_group_rows`` rows; ``ranked`` otherwise, with
-    chunks narrowed so a chunk holds about ``max_group_rows`` rows. ``auto`` decides from a
-    pre-aggregated count per chunk (partial aggregation, key and time columns only).
+                    window_us: int, chunk_factor: int = DEFAULT_CHUNK_FACTOR) -> DataFrame:
+    """A1 + A2 for any keyed rows: adds ``window_count`` = rows of the key in (t - T, t] that
+    come no later in (time, order) than the row itself.
+
+    ``rows`` must hold the key columns (NULL is a key like any other), ``time_col`` (epoch
+    micros, non-null) and the order columns. With an integer first order column, ties are cut
+    into blocks of it; other orders keep the ties of one key and time together. A chunk holds
+    one key's distinct times of ``chunk_factor`` x T, and as context those of the T before it.
     """
+    t = F.col(time_col)
+    keys = []
+    for i, k in enumerate(key_cols):    # non-null stand-ins, so that joins on them are plain equalities
+        rows = rows.withColumn(f"_rw_n{i}", F.coalesce(F.col(quote(k)).cast("string"), F.lit(""))).withColumn(
+            f"_rw_z{i}", F.col(quote(k)).isNull())
+        keys += [f"_rw_n{i}", f"_rw_z{i}"]
+    block = F.lit(0).cast("long")
+    if order_cols and rows.schema[order_cols[0]].dataType.typeName() in ("long", "integer", "short", "byte"):
+        block = F.coalesce(floor_div(F.col(quote(order_cols[0])).cast("long"), TIE_BLOCK), F.lit(-(1 << 62)))
+    rows = rows.withColumn("_rw_block", block)
+    tie = [*keys, time_col, "_rw_block"]
+    marks = rows.groupBy(*tie).agg(F.count(F.lit(1)).alias("_rw_n"))
     chunk_us = window_us * max(1, chunk_factor)
-    if strategy == "chunks":
-        return sliding_counts(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
-                              window_us=window_us, chunk_us=chunk_us)
-    busiest = None
-    if strategy == "auto" or strategy == "ranked":
-        c = floor_div(F.col(time_col), chunk_us)
-        busiest = (rows.groupBy(*[F.col(quote(k)) for k in key_cols], c.alias("_rw_c")).count()
-                   .agg(F.max("count")).first()[0]) or 0
-    if strategy == "auto" and busiest <= max_group_rows:
-        return sliding_counts(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
-                              window_us=window_us, chunk_us=chunk_us)
-    fine = chunk_us if busiest <= max_group_rows else max(1000, int(chunk_us * max_group_rows / busiest))
-    return sliding_counts_ranked(rows, key_cols=key_cols, time_col=time_col, order_cols=order_cols,
-                                 window_us=window_us, chunk_us=fine)
+    own, last = floor_div(t, chunk_us), floor_div(t + F.lit(window_us - 1), chunk_us)
+    copies = marks.select(*tie, "_rw_n", own.alias("_rw_own"), F.explode(F.sequence(own, last)).alias("_rw_chunk"))
+    chunk = Window.partitionBy(*keys, "_rw_chunk")
+    earlier = chunk.orderBy(t, "_rw_block").rowsBetween(Window.unboundedPreceding, -1)
+    gone = chunk.orderBy(t).rangeBetween(Window.unboundedPreceding, -window_us)
+    before = copies.select(*tie, "_rw_own", "_rw_chunk", (
+        F.coalesce(F.sum("_rw_n").over(earlier), F.lit(0)) - F.coalesce(F.sum("_rw_n").over(gone), F.lit(0)))
+        .alias("_rw_before")).where("_rw_own = _rw_chunk").drop("_rw_own", "_rw_chunk")
+    among_ties = Window.partitionBy(*tie).orderBy(*[F.col(quote(c)) for c in order_cols] or [t])
+    ranked = rows.withColumn("_rw_rank", F.row_number().over(among_ties))
+    return ranked.join(before, tie).withColumn("window_count", F.col("_rw_before") + F.col("_rw_rank")).drop(
+        *keys, "_rw_block", "_rw_rank", "_rw_before")
 
 
 def burst_alerts(view: LogView, rules: list[Rule], *, chunk_factor: int = DEFAULT_CHUNK_FACTOR,
-                 include_count: bool = True, strategy: str = "auto",
-                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                 include_count: bool = True) -> DataFrame:
     """A1-A8 + J3: alerts of burst rules, with ``window_count`` per alert row."""
     specs = [burst_spec(r) for r in rules]
     by_window: dict[int, list[int]] = defaultdict(list)
     for i, s in enumerate(specs):
         by_window[s.window_seconds].append(i)
     parts = [_burst_group(view, [rules[i] for i in idx], [specs[i] for i in idx], idx,
-                          chunk_factor, strategy, max_group_rows) for _, idx in sorted(by_window.items())]
+                          chunk_factor) for _, idx in sorted(by_window.items())]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -180,27 +100,40 @@ def burst_rows(view: LogView, rules: list[Rule], single_order: bool = False) ->
     return selected.select(
         F.col("_rw_k"),
         case_of(F.col("_rw_k"), [field_value_text(view.fields, s.by_field) for s in specs]).alias("_rw_key"),
-        view.event_us.alias("_rw_t"),
+        counting_time(view).alias("_rw_t"),
         *[o.alias(f"_rw_o{i}") for i, o in enumerate(order)],
         view.host.alias("host"), view.raw_json.alias("raw_log"),
         view.id_time_us.alias("_rw_idt"),
         *[F.col(quote(k)) for k in view.keep],
-    ).where(F.col("_rw_t").isNotNull())
+    )
+
+
+def counting_time(view: LogView) -> Column:
+    """The time a log counts at: event time, else arrival time, else 0 (all such logs arrive together)."""
+    arrival = [] if view.arrival_us is None else [view.arrival_us]
+    return F.coalesce(view.event_us, *arrival, F.lit(0).cast("long"))
+
+
+def other_key(specs: list[BurstSpec], k: Column, key: Column) -> Column | None:
+    """The key value that goes into alert ids (J3): NULL for rules by host; None if all are."""
+    if all(s.by_field == "host" for s in specs):
+        return None
+    return F.when(case_of(k, [F.lit(s.by_field != "host") for s in specs]), key)
 
 
 def _burst_group(view: LogView, rules: list[Rule], specs: list[BurstSpec], ordinals: list[int],
-                 chunk_factor: int, strategy: str, max_group_rows: int) -> DataFrame:
+                 chunk_factor: int) -> DataFrame:
     window_s = specs[0].window_seconds
     rows = burst_rows(view, rules)
     order_names = [f"_rw_o{i}" for i in range(len(view.order))]
     counted = windowed_counts(rows, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=order_names,
-                              window_us=window_s * MICROS, chunk_factor=chunk_factor, strategy=strategy,
-                              max_group_rows=max_group_rows)
+                              window_us=window_s * MICROS, chunk_factor=chunk_factor)
     k = F.col("_rw_k")
     fired = counted.where(F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs]))
     rid = case_of(k, [F.lit(r.id) for r in rules])
     return fired.select(
-        bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_rw_idt"), window_s)).alias("alert_id"),
+        bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_rw_idt"), window_s),
+                        other_key(specs, k, F.col("_rw_key"))).alias("alert_id"),
         rid.alias("rule_id"),
         case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
         case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),

@@ -16,6 +16,7 @@ from ruleweave.plans.compile import scan_prefilter, with_rule_flags
 from ruleweave.plans.rules import Rule, split_rules
 from ruleweave.sources.logs import LogView
 
+# The fields of an alert document; every other layout is derived from this list.
 ALERT_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
 MATCH_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
@@ -103,8 +104,9 @@ def evaluate(view: LogView, rules: list[Rule], **burst_options) -> DataFrame:
     return out
 
 
-def alerts_json(alerts: DataFrame) -> DataFrame:
-    """One JSON document per alert; ``raw_log`` is embedded as an object."""
-    doc = F.struct(*[F.col(c) for c in ALERT_COLUMNS if c != "raw_log"],
-                   F.try_parse_json(F.col("raw_log")).alias("raw_log"))
-    return alerts.select(F.col("alert_id").alias("key"), F.to_json(doc).alias("value"))
+def alerts_json(alerts: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """One JSON document per alert; ``raw_log`` is embedded as the object it is, text unchanged."""
+    head = F.to_json(F.struct(*[F.col(c) for c in ALERT_COLUMNS if c != "raw_log"]))
+    raw = F.coalesce(F.col("raw_log"), F.lit("{}"))
+    return alerts.select(F.col("alert_id").alias("key"), F.concat(
+        F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"raw_log":'), raw, F.lit("}")).alias("value"), *[F.col(quote(c)) for c in extra or []])

@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 from ruleweave.errors import RuleError
 from ruleweave.functions.fields import any_of, case_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
+from ruleweave.functions.jsontext import strict_object
 from ruleweave.functions.timeutil import MICROS
-from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, windowed_counts
+from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, counting_time, windowed_counts
 from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
 from ruleweave.plans.compile import group_predicate, usable_rules
 from ruleweave.plans.rules import Rule, build_rule, burst_spec
@@ -42,21 +43,20 @@ CHANGELOG_SCHEMA = T.StructType([
     T.StructField("rule", T.StringType(), True),   # JSON text of the rule object
 ])
 REQUIRED_KEYS = ("id", "title", "level", "detection")
-MAX_ENTRIES = 10_000
 
 
 def decode_envelopes(raw: DataFrame, value_col: str = "value", seq_col: str = "seq",
                      at_col: str | None = None) -> DataFrame:
     """JSON envelopes to changelog rows; text that is not an object gets an error."""
     env = F.from_json(F.col(quote(value_col)), "struct<op:string,rule_id:string,rule:string>")
-    is_obj = F.json_object_keys(F.col(quote(value_col))).isNotNull()
+    is_obj = strict_object(F.col(quote(value_col))).isNotNull()
     return raw.select(
         F.col(quote(seq_col)).cast("long").alias("seq"),
         (F.col(quote(at_col)).cast("long") if at_col else F.lit(None).cast("long")).alias("at_us"),
         F.when(is_obj, env.op).alias("op"),
         F.when(is_obj, env.rule_id).alias("rule_id"),
         F.when(is_obj, env.rule).alias("rule"),
-        F.when(~F.coalesce(is_obj, F.lit(False)), F.lit("envelope is not a JSON object")).alias("_rw_pre_error"),
+        F.when(~F.coalesce(is_obj, F.lit(False)), F.lit("not a JSON object")).alias("_rw_pre_error"),
     )
 
 
@@ -67,16 +67,16 @@ def with_errors(changelog: DataFrame) -> DataFrame:
     payload_id = F.get_json_object(rule, "$.id")
     missing = None
     for k in REQUIRED_KEYS:
-        m = F.when(~F.array_contains(keys, k), F.lit(f"missing required field '{k}' in rule payload"))
+        m = F.when(~F.array_contains(keys, k), F.lit(f"rule has no '{k}'"))
         missing = m if missing is None else F.coalesce(missing, m)
     op = F.col("op")
-    err = (F.when(op.isNull(), F.lit("envelope missing required field 'op'"))
-           .when(~op.isin("add", "update", "delete"), F.concat(F.lit("unrecognised op "), op))
-           .when((op != "add") & F.col("rule_id").isNull(), F.lit("envelope missing required field 'rule_id'"))
-           .when((op != "delete") & rule.isNull(), F.concat(F.lit("envelope missing 'rule' for op="), op))
-           .when((op != "delete") & keys.isNull(), F.lit("rule payload must be a JSON object"))
+    err = (F.when(op.isNull(), F.lit("no 'op' given"))
+           .when(~op.isin("add", "update", "delete"), F.concat(F.lit("unknown op: "), op))
+           .when((op != "add") & F.col("rule_id").isNull(), F.lit("no 'rule_id' given"))
+           .when((op != "delete") & rule.isNull(), F.concat(F.lit("no 'rule' given with "), op))
+           .when((op != "delete") & keys.isNull(), F.lit("'rule' is not an object"))
            .when((op == "update") & ~F.coalesce(payload_id == F.col("rule_id"), F.lit(False)),
-                 F.lit("envelope rule_id does not match rule payload id"))
+                 F.lit("'rule_id' differs from the rule's own id"))
            .when(op != "delete", missing))
     pre = F.col("_rw_pre_error") if "_rw_pre_error" in changelog.columns else F.lit(None).cast("string")
     return changelog.withColumn("error", F.coalesce(pre, err)).drop("_rw_pre_error")
@@ -128,15 +128,25 @@ def directory_changelog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     return spark.createDataFrame(rows, CHANGELOG_SCHEMA)
 
 
-def collect_entries(changelog: DataFrame, limit: int = MAX_ENTRIES) -> list[dict]:
-    """Bring the folded entries to the driver to compile them; refuses unbounded input.
+def collect_entries(changelog: DataFrame) -> list[dict]:
+    """The folded entries at the driver, to compile them: control-plane data, one row per rule change."""
+    return [r.asDict() for r in entries(changelog).orderBy("seq").collect()]
 
-    Entries are control-plane data (one per rule change); the check keeps it that way.
-    """
-    rows = entries(changelog).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise RuleError(f"more than {limit} rule versions; evaluate with the rules-as-data path instead")
-    return [r.asDict() for r in rows]
+
+def rule_errors(changelog: DataFrame, view: LogView | None = None) -> DataFrame:
+    """S4 + L4: (seq, rule_id, error) of every envelope that is skipped and every rule that cannot run."""
+    skipped = with_errors(changelog).where(F.col("error").isNotNull()).select("seq", "rule_id", "error")
+    broken = []
+    for e in collect_entries(changelog):
+        try:
+            rule = build_rule(json.loads(e["rule"]), source=f"changelog seq {e['seq']}")
+            if rule.is_burst:
+                burst_spec(rule)
+            if view is not None and not usable_rules([rule], view.fields)[0]:
+                raise RuleError("the rule does not compile")
+        except RuleError as exc:
+            broken.append((e["seq"], e["rule_id"], str(exc)))
+    return skipped.unionByName(changelog.sparkSession.createDataFrame(broken, "seq long, rule_id string, error string"))
 
 
 def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT_CHUNK_FACTOR) -> DataFrame:
@@ -152,9 +162,9 @@ def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT
         try:
             rule = build_rule(json.loads(e["rule"]), source=f"changelog seq {e['seq']}")
         except RuleError:
-            continue
+            continue                      # listed by rule_errors; the other rules still run
         if not usable_rules([rule], view.fields)[0]:
-            continue                      # reported by usable_rules; the other rules still run
+            continue
         (bursts if rule.is_burst else plain).append((rule, e))
     t = view.event_us
 
@@ -183,13 +193,12 @@ def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
     groups: dict[tuple, list] = {}
     for rule, e in bursts:
         groups.setdefault((rule.id, e["epoch"]), []).append((rule, burst_spec(rule), e))
+    # An update may change the timeframe or the key field: every pair a group has used counts all of
+    # the group's logs, and a log fires by the pair of the version live at its time.
     by_span: dict[int, list] = {}
     for (rid, epoch), versions in groups.items():
-        spans = {s.window_seconds for _, s, _ in versions}
-        by = {s.by_field for _, s, _ in versions}
-        if len(spans) != 1 or len(by) != 1:
-            raise RuleError(f"rule {rid!r}: versions within one epoch must share timeframe and 'by' field")
-        by_span.setdefault(spans.pop(), []).append((rid, epoch, by.pop(), versions))
+        for span, by in sorted({(s.window_seconds, s.by_field) for _, s, _ in versions}):
+            by_span.setdefault(span, []).append((rid, epoch, by, versions))
     order_names = [f"_rw_o{i}" for i in range(len(view.order))]
     parts = []
     for window_s, members in sorted(by_span.items()):
@@ -209,26 +218,35 @@ def _asof_bursts(view: LogView, bursts, gate, chunk_factor: int) -> DataFrame:
                 per_group.append(expr)
             return case_of(k, per_group)
 
+        fires = []     # per group: does the live version use this pair?
+        for (_, _, by_field, _), vs in zip(members, live):
+            expr = None
+            for m, r, s, e in vs:
+                own = F.lit(s.window_seconds == window_s and s.by_field == by_field)
+                expr = F.when(m, own) if expr is None else expr.when(m, own)
+            fires.append(expr)
         matched = [any_of([m for m, *_ in vs]) for vs in live]
         hits = F.filter(F.array(*[F.when(m, F.lit(g)) for g, m in enumerate(matched)]), lambda x: x.isNotNull())
         selected = view.df.where(any_of(matched)).select("*", F.explode(hits).alias("_rw_k"))
         rows = selected.select(
             "_rw_k", case_of(k, [field_value_text(view.fields, b) for _, _, b, _ in members]).alias("_rw_key"),
-            view.event_us.alias("_rw_t"), *[o.alias(n) for o, n in zip(view.order, order_names)],
+            counting_time(view).alias("_rw_t"), *[o.alias(n) for o, n in zip(view.order, order_names)],
             view.host.alias("host"), view.raw_json.alias("raw_log"), view.id_time_us.alias("_rw_idt"),
-            pick(lambda r, s, e: F.lit(s.threshold)).alias("_rw_n"),
+            pick(lambda r, s, e: F.lit(s.threshold)).alias("_rw_threshold"),
+            case_of(k, fires).alias("_rw_fires"),
             pick(lambda r, s, e: F.lit(r.title)).alias("rule_title"),
             pick(lambda r, s, e: F.lit(r.level)).alias("severity"),
             pick(lambda r, s, e: F.lit(int(e["copies"]))).alias("_rw_copies"),
             *[F.col(quote(c)) for c in view.keep],
-        ).where(F.col("_rw_t").isNotNull())
+        )
         counted = windowed_counts(rows, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=order_names,
                                   window_us=window_s * MICROS, chunk_factor=chunk_factor)
-        fired = counted.where(F.col("window_count") > F.col("_rw_n"))
+        fired = counted.where(F.col("_rw_fires") & (F.col("window_count") > F.col("_rw_threshold")))
         fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), F.col("_rw_copies").cast("int"))))
         rid = case_of(k, [F.lit(m[0]) for m in members])
+        other = F.when(case_of(k, [F.lit(m[2] != "host") for m in members]), F.col("_rw_key"))
         parts.append(fired.select(
-            bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_rw_idt"), window_s)).alias("alert_id"),
+            bucket_alert_id(rid, F.col("host"), time_bucket(F.col("_rw_idt"), window_s), other).alias("alert_id"),
             rid.alias("rule_id"), "rule_title", "severity", matched_at().alias("matched_at"),
             "host", "raw_log", *[F.col(quote(c)) for c in view.keep],
             case_of(k, [F.lit(m[1]).cast("long") for m in members]).alias("epoch")))

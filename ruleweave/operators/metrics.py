@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.fields import quote
+from ruleweave.functions.jsontext import strict_object
 
 # Default latency bucket bounds (upper edges, "+Inf" implied last).
 DEFAULT_BOUNDS = (5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0)
@@ -83,10 +84,8 @@ def consumer_lag(offsets: DataFrame) -> DataFrame:
 
 def decode_counts(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """M4: how many texts decode to a JSON object (processed) and how many are skipped."""
-    parsed = F.from_json(F.col(quote(value_col)), "map<string,string>")
-    text = F.trim(F.col(quote(value_col)))
-    ok = parsed.isNotNull() & text.startswith("{") & text.endswith("}")
-    return raw.agg(F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
+    ok = strict_object(F.col(quote(value_col))).isNotNull()
+    return raw.agg(F.count_if(ok).alias("processed"), F.count_if(~ok).alias("skipped"))
 
 
 def latency_summary(df: DataFrame, value_col: str, group_cols: list[str], quantiles=(0.5, 0.99),

@@ -37,7 +37,6 @@ CONDITIONS_SCHEMA = T.StructType([
     T.StructField("field", T.StringType()), T.StructField("modifier", T.StringType()),
     T.StructField("value", T.StringType()), T.StructField("clause_terms", T.IntegerType()),
 ])
-BROADCAST_MAX_ROWS = 200_000
 
 
 def condition_rows(ordinal: int, rule: Rule) -> list[tuple] | None:
@@ -89,8 +88,7 @@ def field_pairs(view: LogView, fields: list[str], key_cols: list[str]) -> DataFr
     return view.df.select(*[F.col(quote(k)) for k in key_cols], F.inline(pairs))
 
 
-def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fields: list[str],
-                  broadcast_ok: bool) -> DataFrame:
+def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fields: list[str]) -> DataFrame:
     """``(key..., rule_ord)`` for every log and table rule that matches.
 
     One scan of the logs: each (field, value) pair is offered twice, once keyed by its value
@@ -107,17 +105,15 @@ def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fie
         F.when(F.col("modifier").isNull(), F.lit("eq")).otherwise(F.lit("mod")).alias("kind"),
         F.when(F.col("modifier").isNull(), F.col("value")).otherwise(F.lit("")).alias("jv"))
     join_keys = ["field", "kind", "jv"]
-    if broadcast_ok:
-        cond = F.broadcast(cond)
-    else:
-        # Every modifier offer of a field shares one key; salt it so that key spreads over
-        # ``salts`` tasks (offers hashed by log key, modifier conditions copied per salt).
-        salts = 16
-        offers = offers.withColumn("_rw_salt", F.when(F.col("kind") == "mod", F.pmod(
-            F.xxhash64(*[F.col(quote(k)) for k in key_cols]), F.lit(salts))).otherwise(F.lit(0)))
-        cond = cond.withColumn("_rw_salt", F.explode(F.when(F.col("kind") == "mod", F.sequence(
-            F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        join_keys.append("_rw_salt")
+    # Every modifier offer of a field shares one key; salt it over the session's partitions (offers
+    # hashed by log key, modifier conditions copied per salt). Whether the conditions are broadcast is
+    # left to the optimizer, which knows their bytes.
+    salts = int(view.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    offers = offers.withColumn("_rw_salt", F.when(F.col("kind") == "mod", F.pmod(
+        F.xxhash64(*[F.col(quote(k)) for k in key_cols]), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
+    cond = cond.withColumn("_rw_salt", F.explode(F.when(F.col("kind") == "mod", F.sequence(
+        F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    join_keys.append("_rw_salt")
     lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
     residual = (m.isNull() | ((m == "contains") & lv.contains(cv)) | ((m == "startswith") & lv.startswith(cv))
                 | ((m == "endswith") & lv.endswith(cv)))
@@ -129,8 +125,7 @@ def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fie
     return done.select(*c, "rule_ord").distinct()
 
 
-def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols: list[str],
-                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols: list[str]) -> DataFrame:
     """E2 with E1 fallback: alerts of plain rules, rules joined as data where their shape allows.
 
     ``key_cols`` must identify a log (e.g. the offset); matches are joined back on them.
@@ -141,12 +136,11 @@ def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols
         parts.append(alert_projection(view, match_rules(view, [rules[i] for i in rest])))
     if rows:
         conditions = spark.createDataFrame(rows, CONDITIONS_SCHEMA)
-        n = len(rows)
         fields = sorted({r[4] for r in rows})
-        matches = table_matches(view, conditions, key_cols, fields, broadcast_ok=n <= broadcast_max_rows)
+        matches = table_matches(view, conditions, key_cols, fields)
         meta = spark.createDataFrame([(i, r.id, r.title, r.level) for i, r in enumerate(rules)],
                                      "rule_ord int, rule_id string, rule_title string, severity string")
-        tagged = matches.join(F.broadcast(meta) if len(rules) <= broadcast_max_rows else meta, "rule_ord")
+        tagged = matches.join(meta, "rule_ord")
         tagged = tagged.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_rw_rule"))
         joined = view.df.join(tagged, on=key_cols, how="inner")
         parts.append(alert_projection(view, joined))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.timeutil import MICROS, floor_div
+from ruleweave.operators.burst import counting_time
 from ruleweave.plans.compile import group_predicate
 from ruleweave.sources.logs import LogView
 
@@ -30,31 +31,23 @@ def stage_labels(view: LogView, stages, default: str = DEFAULT_STAGE) -> DataFra
         expr = F.when(p, F.lit(name)) if expr is None else expr.when(p, F.lit(name))
     expr = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
     return view.df.select(
-        view.host.alias("host"), view.event_us.alias("t_us"),
+        view.host.alias("host"), counting_time(view).alias("t_us"),
         *[o.alias(f"_rw_o{i}") for i, o in enumerate(view.order)],
         *[F.col(k) for k in view.keep], expr.alias("stage"))
 
 
-def stage_transitions(labels: DataFrame, chunk_seconds: int = 86400, max_group_rows: int | None = 5_000_000,
-                      by_host: bool = False) -> DataFrame:
+def stage_transitions(labels: DataFrame, chunk_seconds: int = 3600, by_host: bool = False) -> DataFrame:
     """R2: ``from_stage, to_stage, transitions, share`` over consecutive logs of a host
     (``by_host``: one matrix per host, shares within the host's row of the matrix).
 
     Each host is cut into time chunks. Inside a chunk ``lag`` gives the transitions; the
     transition into a chunk pairs the previous chunk's last stage with this chunk's first,
-    taken from a per-chunk summary. A very busy host is spread over many chunks; when a
-    pre-aggregated count shows a (host, chunk) above ``max_group_rows`` rows the chunks are
-    narrowed until they hold about that many (the result does not depend on the width).
+    taken from a per-chunk summary. A busy host is spread over its chunks, whose width does
+    not change the result. Logs without an event time are placed as burst logs are (A8).
     """
     order = [c for c in labels.columns if c.startswith("_rw_o")]
     chunk_us = chunk_seconds * MICROS
-    timed = labels.where(F.col("t_us").isNotNull())
-    if max_group_rows:
-        busiest = (timed.groupBy("host", floor_div(F.col("t_us"), chunk_us).alias("_rw_c")).count()
-                   .agg(F.max("count")).first()[0]) or 0
-        if busiest > max_group_rows:
-            chunk_us = max(1, int(chunk_us * max_group_rows / busiest))
-    rows = timed.withColumn("_rw_chunk", floor_div(F.col("t_us"), chunk_us))
+    rows = labels.withColumn("_rw_chunk", floor_div(F.col("t_us"), chunk_us))
     # one window pass per (host, chunk): the step inside the chunk, and the chunk's first
     # and last stage for the step into the next chunk
     inner_w = Window.partitionBy("host", "_rw_chunk").orderBy("t_us", *order)

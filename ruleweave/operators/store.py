@@ -14,17 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.functions.fields import quote
+from ruleweave.operators.evaluate import ALERT_COLUMNS
 
 # K5: the stored document layout.
-STORE_SCHEMA = T.StructType([
-    T.StructField("alert_id", T.StringType(), False),
-    T.StructField("rule_id", T.StringType(), True),
-    T.StructField("rule_title", T.StringType(), True),
-    T.StructField("severity", T.StringType(), True),
-    T.StructField("matched_at", T.StringType(), True),
-    T.StructField("host", T.StringType(), True),
-    T.StructField("raw_log", T.StringType(), True),
-])
+STORE_SCHEMA = T.StructType([T.StructField(c, T.StringType(), c != "alert_id") for c in ALERT_COLUMNS])
 
 
 def latest_per_id(alerts: DataFrame, order: list[Column], id_col: str = "alert_id") -> DataFrame:
@@ -40,11 +33,10 @@ def latest_per_id(alerts: DataFrame, order: list[Column], id_col: str = "alert_i
     return agg.select(F.col(quote(id_col)), *[F.col(f"_rw_doc.{quote(c)}").alias(c) for c in others])
 
 
-def write_batch(alerts: DataFrame, store_path: str, batch_id: int,
-                order: list[Column] | None = None) -> None:
+def write_batch(alerts: DataFrame, store_path: str, batch_id: int, order: list[Column]) -> None:
     """K2 write side: dedup the batch (last wins) and write it as its own partition."""
     doc_cols = [f.name for f in STORE_SCHEMA.fields]
-    ordered = alerts.withColumn("_rw_pos", F.struct(*(order or [F.lit(0)])))
+    ordered = alerts.withColumn("_rw_pos", F.struct(*order))
     batch = latest_per_id(ordered.select(*doc_cols, "_rw_pos"), [F.col("_rw_pos")])
     (batch.withColumn("_rw_pos", F.to_json(F.col("_rw_pos")))
      .write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))

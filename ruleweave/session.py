@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,6 +28,8 @@ def build_session(master: str | None = None, app: str = "ruleweave", shuffle_par
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local["):
+        conf["spark.ruleweave.read.minPartitions"] = str(os.cpu_count() if "*" in master else master[6:-1].split(",")[0])
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -39,7 +42,8 @@ def build_session(master: str | None = None, app: str = "ruleweave", shuffle_par
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local runs, tests) a fresh scratch folder is made.
+    Only a local session (tests) may have none: it gets a fresh scratch folder. On a cluster
+    every executor would write to its own disk, so that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -49,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # remote session: no SparkContext
         pass
     if not current:
+        if sc is not None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ruleweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():

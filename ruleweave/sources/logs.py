@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ruleweave.functions.fields import ColumnFields, Fields, MapFields, field_value_text, quote
 from ruleweave.functions.ids import canonical_json
+from ruleweave.functions.jsontext import strict_object
 from ruleweave.functions.timeutil import epoch_micros, iso_text_micros
 
 INTERNAL = "_rw_"
@@ -33,35 +34,19 @@ class LogView:
     id_time_us: Column                     # J4: epoch micros of the "timestamp" field
     order: list[Column] = field(default_factory=list)   # A2: arrival order among equal times
     keep: list[str] = field(default_factory=list)       # columns carried into alert rows
+    arrival_us: Column | None = None       # A8: arrival time (epoch micros), for logs without an event time
 
     def with_df(self, df: DataFrame) -> "LogView":
         return replace(self, df=df)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A source with fewer splits than cores (a small file with a single row group) would
-    run every rule on one core; a round-robin repartition of the raw rows fixes that.
-    Large inputs already have more splits than cores, so nothing changes for them.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-    except Exception:  # no RDD access (e.g. a remote session): keep the scan as it is
-        return df
-
-
 def table_view(df: DataFrame, *, time_col: str, order_cols: list[str], fields: list[str] | None = None,
-               id_time_col: str | None = None, keep: list[str] | None = None, min_partitions: int | None = None) -> LogView:
+               id_time_col: str | None = None, keep: list[str] | None = None) -> LogView:
     """A columnar log view: each non-internal column is a field.
 
     ``time_col`` drives bursts (event time, D1); ``id_time_col`` (default: ``timestamp``
     when present, else ``time_col``) feeds the burst-id bucket.
     """
-    df = spread(df, min_partitions)
     types = {f.name: f.dataType for f in df.schema.fields}
     names = [c for c in (fields or df.columns) if not c.startswith(INTERNAL)]
     schema = T.StructType([f for f in df.schema.fields if f.name in names])
@@ -88,12 +73,8 @@ def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame
     loaders do. Text that is not one JSON object (arrays, scalars, trailing text, broken
     JSON) is quarantined. One parse per row.
     """
-    df = spread(df)
-    v = F.col(quote(value_col))
-    m = F.from_json(v, "map<string,string>")
-    text = F.trim(v)
-    ok = m.isNotNull() & text.startswith("{") & text.endswith("}")
-    parsed = df.withColumn(FIELDS_MAP, m).withColumn("_rw_ok", F.coalesce(ok, F.lit(False)))
+    parsed = df.withColumn(FIELDS_MAP, strict_object(F.col(quote(value_col)))).withColumn(
+        "_rw_ok", F.col(FIELDS_MAP).isNotNull())
     fm = F.col(FIELDS_MAP)
     dup = F.size(F.array_distinct(F.map_keys(fm))) < F.size(fm)
     entries = F.map_entries(fm)
@@ -107,11 +88,16 @@ def decode_json_logs(df: DataFrame, value_col: str = "value") -> tuple[DataFrame
 
 
 def json_view(decoded: DataFrame, value_col: str = "value", order_cols: list[str] | None = None,
-              keep: list[str] | None = None) -> LogView:
+              keep: list[str] | None = None, time: str = "event", arrival_col: str | None = None) -> LogView:
     """A view over decoded JSON logs (see :func:`decode_json_logs`).
 
-    Event time is the ``timestamp`` field (ISO-8601); naive text is read as UTC.
+    Event time is the ``timestamp`` field (ISO-8601); naive text is read as UTC. ``arrival_col``
+    (a timestamp, e.g. the record time) stands in where it is missing or unreadable; with
+    ``time="arrival"`` it drives the windows of all logs. Id buckets stay with the field (J4).
     """
+    if time not in ("event", "arrival") or (time == "arrival" and not arrival_col):
+        raise ValueError("time is 'event', or 'arrival' with an arrival_col")
+    arrival = epoch_micros(arrival_col, decoded.schema[arrival_col].dataType) if arrival_col else None
     mf = MapFields(FIELDS_MAP)
     raw = F.col(quote(value_col))
     ts_text = F.when(mf.present("timestamp"), mf.text("timestamp"))
@@ -123,10 +109,11 @@ def json_view(decoded: DataFrame, value_col: str = "value", order_cols: list[str
         # key-sorted JSON text; logs with repeated keys fall back to their decoded fields
         canonical=F.coalesce(F.to_json(F.try_parse_json(raw)),
                              F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.col(FIELDS_MAP)))))),
-        event_us=us,
+        event_us=arrival if time == "arrival" else us,
         id_time_us=us,
         order=[F.col(quote(c)) for c in (order_cols or [])],
         keep=list(keep or []),
+        arrival_us=arrival,
     )
 
 

@@ -16,7 +16,11 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. Its files hold one row group, so a scan is one task; a session may ask for more with
+    ``spark.ruleweave.read.minPartitions`` (local sessions do, see ``build_session``). Unset: no shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    least = spark.conf.get("spark.ruleweave.read.minPartitions", None)
+    return df.repartition(int(least)) if least else df
 
 
 def events_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

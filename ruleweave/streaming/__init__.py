@@ -1 +1 @@
-"""Structured Streaming: sources, stateful bursts and idempotent alert sinks."""
+"""Structured Streaming: sources, detection by micro-batch with a tail table, idempotent alert sinks."""

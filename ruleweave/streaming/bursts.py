@@ -1,77 +1,17 @@
-"""Exact sliding-window bursts on a stream with keyed state.
-
-State per (rule, key): the (time, order) pairs of matching logs that can still be counted.
-Each micro-batch sorts a key's new rows and counts, per row, the stored and new rows in
-(t - T, t] that come no later in (time, order); that is the batch answer whenever no row
-arrives behind the watermark. State older than ``watermark - T`` is dropped and a key
-whose window has emptied times out.
-"""
+"""A10: windowed burst counts on a stream with built-in aggregation (exact bursts: see pipeline.py)."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-STATE_SCHEMA = T.StructType([T.StructField("t", T.ArrayType(T.LongType())),
-                             T.StructField("o", T.ArrayType(T.LongType()))])
-
-
-def stateful_counts(rows: DataFrame, *, windows_us: dict[int, int], thresholds: dict[int, int],
-                    watermark: str = "1 hour") -> DataFrame:
-    """Rows ``_rw_k`` (rule ordinal), ``_rw_key``, ``_rw_t`` (epoch micros), ``_rw_o0`` (order)
-    and payload columns in; rows above the rule's threshold out, with ``window_count``."""
-    timed = rows.withColumn("_rw_ts", F.timestamp_micros("_rw_t")).withWatermark("_rw_ts", watermark)
-    payload = [f for f in timed.schema.fields if f.name not in ("_rw_ts",)]
-    out_schema = T.StructType(payload + [T.StructField("window_count", T.LongType())])
-    names = [f.name for f in out_schema.fields]
-
-    def step(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        k = int(key[0])
-        span = windows_us[k]
-        new = pd.concat(list(batches), ignore_index=True)
-        old_t, old_o = (np.asarray(state.get[0] or [], dtype=np.int64), np.asarray(state.get[1] or [], dtype=np.int64)) \
-            if state.exists else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        new = new.sort_values(["_rw_t", "_rw_o0"], kind="stable").reset_index(drop=True)
-        nt = new["_rw_t"].to_numpy(np.int64)
-        no = new["_rw_o0"].to_numpy(np.int64)
-        all_t = np.concatenate([old_t, nt])
-        all_o = np.concatenate([old_o, no])
-        order = np.lexsort((all_o, all_t))
-        st, so = all_t[order], all_o[order]
-        # rank of each new row among everything known, by (time, order)
-        pos = np.empty(len(order), dtype=np.int64)
-        pos[order] = np.arange(1, len(order) + 1)
-        rank = pos[len(old_t):]
-        gone = np.searchsorted(st, nt - span, side="right")
-        new["window_count"] = rank - gone
-        fired = new[new["window_count"] > thresholds[k]]
-        wm_ms = int(state.getCurrentWatermarkMs())
-        keep = st > max(wm_ms, 0) * 1000 - span
-        if keep.any():
-            state.update((st[keep].tolist(), so[keep].tolist()))
-            state.setTimeoutTimestamp(max(int((st.max() + span) // 1000) + 1, wm_ms + 1))
-        else:
-            state.remove()
-        if len(fired):
-            yield fired[names]
-
-    return timed.groupBy("_rw_k", "_rw_key").applyInPandasWithState(
-        step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def coarse_bursts(rows: DataFrame, *, window: str, slide: str, threshold: int,
                   watermark: str = "1 hour") -> DataFrame:
     """A10: counts per (sliding window, rule, key) above the threshold; one row per window.
 
-    Cheaper than A9 (built-in windowed aggregation, no per-row state) but it alerts per
-    window, not per event.
+    Cheaper than A9 (built-in windowed aggregation) but it alerts per window, not per event.
+    Logs behind the watermark are not counted; Spark reports them as dropped by the watermark.
     """
     timed = rows.withColumn("_rw_ts", F.timestamp_micros("_rw_t")).withWatermark("_rw_ts", watermark)
     return (timed.groupBy(F.window("_rw_ts", window, slide), "_rw_k", "_rw_key")

@@ -1,33 +1,37 @@
-"""The streaming detection job: logs in, alerts out.
+"""The streaming detection job: logs in, alerts out.
 
-``detection_stream`` builds the alert stream from a log view over a streaming frame:
-plain rules are stateless; burst rules go through the keyed state of
-:mod:`ruleweave.streaming.bursts`, one shuffle on (rule, key) for all of them.
-
-``start_sink`` runs it with a checkpoint (offsets are committed only after the sink
-wrote, K6) and a ``foreachBatch`` that publishes the batch (K1) and upserts it into the
-store idempotently by batch id (K2), so a replayed batch rewrites the same files.
+``start_detection`` runs plain and burst rules in one ``foreachBatch``. Plain rules evaluate the
+batch. Burst rules run the batch plan (:func:`windowed_counts`) over the batch's matches and a
+*tail* table of earlier matches that can still be counted; there is no Python state. Each
+micro-batch is persisted once, published (K1), upserted into the store by batch id (K2), and
+only then committed by the checkpoint (K6), so a replayed batch rewrites the same files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ruleweave.errors import RuleError
 from ruleweave.functions.fields import case_of, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
+from ruleweave.functions.jsontext import strict_object
 from ruleweave.functions.timeutil import MICROS
-from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
-from ruleweave.operators.burst import burst_rows as _burst_rows
+from ruleweave.operators.burst import burst_rows as _burst_rows, other_key, windowed_counts
+from ruleweave.operators.evaluate import ALERT_COLUMNS, alert_projection, alerts_json, match_rules, matched_at
+from ruleweave.operators.lifecycle import entries
 from ruleweave.operators.store import write_batch
 from ruleweave.plans.compile import usable_rules
-from ruleweave.plans.rules import Rule, burst_spec, split_rules
+from ruleweave.plans.rules import Rule, build_rule, burst_spec, split_rules
 from ruleweave.sources.logs import LogView
-from ruleweave.streaming.bursts import stateful_counts
 
-ALERT_OUT = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
+TAIL_SCHEMA = "_rw_rid string, _rw_epoch long, _rw_key string, _rw_t long, _rw_o0 long"
+ERROR_SCHEMA = "seq long, rule_id string, error string"
 
 
 def burst_rows(view: LogView, rules: list[Rule]) -> DataFrame:
@@ -35,184 +39,229 @@ def burst_rows(view: LogView, rules: list[Rule]) -> DataFrame:
     return _burst_rows(view, rules, single_order=True)
 
 
-def stream_burst_alerts(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
-    """A9 + J3 on a stream."""
-    specs = [burst_spec(r) for r in rules]
-    counted = stateful_counts(burst_rows(view, rules),
-                              windows_us={k: s.window_seconds * MICROS for k, s in enumerate(specs)},
-                              thresholds={k: s.threshold for k, s in enumerate(specs)}, watermark=watermark)
-    k = F.col("_rw_k")
-    rid = case_of(k, [F.lit(r.id) for r in rules])
-    bucket = case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds) for s in specs])
-    return counted.select(
-        bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
-        case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
-        case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
-        matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count",
-        F.timestamp_micros("_rw_t").alias("event_time"))
+@dataclass
+class ActiveRules:
+    """The rules of a micro-batch: plain ones, and burst ones by (rule id, epoch), with their copies."""
 
+    plain: list[Rule] = field(default_factory=list)
+    plain_copies: list[int] = field(default_factory=list)
+    bursts: list[tuple[str, int, Rule, int]] = field(default_factory=list)
+    errors: list[tuple] = field(default_factory=list)
 
-def detection_stream(view: LogView, rules: list[Rule], watermark: str = "1 hour") -> DataFrame:
-    """E3 + E4 on a stream: plain alerts and burst alerts in one alert stream."""
+
+def fixed_rules(rules: list[Rule]) -> Callable[[SparkSession, LogView], ActiveRules]:
+    """Rules that never change."""
     plain, bursts = split_rules(rules)
-    out = alert_projection(view, match_rules(view, plain)).select(*ALERT_OUT, *view.keep)
-    if bursts:
-        out = out.unionByName(stream_burst_alerts(view, bursts, watermark).select(*ALERT_OUT, *view.keep))
-    return out
+    active = ActiveRules(plain, [1] * len(plain), [(r.id, i, r, 1) for i, r in enumerate(bursts)])
+    return lambda spark, view: active
 
 
-def dedup_stream(alerts: DataFrame, time_col: str, watermark: str = "1 hour") -> DataFrame:
-    """K3: drop repeated alert ids within the watermark (first wins)."""
-    return alerts.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["alert_id"])
+def changelog_rules(load_changelog: Callable[[SparkSession], DataFrame]) -> Callable[[SparkSession, LogView], ActiveRules]:
+    """The rules that the changelog, read anew for each micro-batch, leaves active.
 
+    Live entries of one (rule id, epoch) share one window: the newest sets selection, threshold and
+    timeframe, and each copy gives an alert. Rules that cannot run become rows of ``errors``.
+    """
+    def load(spark: SparkSession, view: LogView) -> ActiveRules:
+        out, groups = ActiveRules(), {}
+        live = entries(load_changelog(spark)).where(F.col("to_seq").isNull()).orderBy("seq")
+        for e in live.collect():    # one row per active rule: control-plane data, needed here to compile
+            try:
+                rule = build_rule(json.loads(e.rule), source=f"changelog seq {e.seq}")
+                if not usable_rules([rule], view.fields)[0]:
+                    raise RuleError("the rule does not compile")
+            except RuleError as exc:
+                out.errors.append((e.seq, e.rule_id, str(exc)))
+                continue
+            if rule.is_burst:
+                copies = groups.get((rule.id, int(e.epoch)), (None, 0))[1] + int(e.copies)
+                groups[rule.id, int(e.epoch)] = (rule, copies)
+            else:
+                out.plain.append(rule)
+                out.plain_copies.append(int(e.copies))
+        out.bursts = [(rid, epoch, *groups[rid, epoch]) for rid, epoch in sorted(groups)]
+        return out
 
-def start_sink(alerts: DataFrame, *, checkpoint: str, store_path: str | None = None,
-               publish_path: str | None = None, trigger: dict | None = None,
-               order_col: str | None = None, kafka_servers: str | None = None,
-               kafka_topic: str = "alerts") -> StreamingQuery:
-    """K1 + K2 + K4 + K6: publish and upsert each micro-batch, committed by the checkpoint.
+    return load
 
-    ``trigger`` defaults to a 5-second processing-time trigger (K4); pass
-    ``{"availableNow": True}`` to drain what is there and stop.
-    """
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():      # K4: an empty flush is a no-op
-            return
-        docs = batch.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"))
-        if publish_path:
-            docs.write.mode("overwrite").json(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
-        if kafka_servers:   # K1 on the alerts topic (needs the Kafka connector on the classpath)
-            (docs.write.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
-             .option("topic", kafka_topic).save())
-        if store_path:
-            order = [F.col(order_col)] if order_col else None
-            write_batch(batch, store_path, batch_id, order)
 
-    w = alerts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return w.start()
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest time per (rule, key); keys are stood in for so that NULL joins as a key."""
+    return rows.groupBy("_rw_k", *_key(rows)).agg(F.max("_rw_t").alias("_rw_newest"))
 
 
-def observed_decode(raw: DataFrame, value_col: str = "value", name: str = "decode") -> DataFrame:
-    """M4 on a stream: processed / skipped counts reported in each progress event."""
-    parsed = F.from_json(F.col(quote(value_col)), "map<string,string>")
-    text = F.trim(F.col(quote(value_col)))
-    ok = parsed.isNotNull() & text.startswith("{") & text.endswith("}")
-    return raw.observe(name, F.count_if(ok).alias("processed"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("skipped"))
-
-
-def start_dynamic_detection(logs: DataFrame, load_changelog, *, checkpoint: str, store_path: str | None = None,
-                            publish_path: str | None = None, value_col: str = "value", order_col: str = "offset",
-                            quarantine_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """L5/L6 on a stream (D4): the plain rules active at each micro-batch evaluate that batch.
-
-    ``load_changelog(spark)`` returns the changelog as it is now (for example a batch read of
-    the rule-updates topic or folder). Each micro-batch folds it to the active rules, which
-    are control-plane sized, compiles them and evaluates the batch, so a change applies from
-    the next micro-batch on. Burst rules need keyed state across batches and run in
-    :func:`detection_stream`; a change to them restarts that query.
-    """
-    import json as _json
+def _key(rows: DataFrame) -> list[Column]:
+    return [F.coalesce("_rw_key", F.lit("")).alias("_rw_kt"), F.col("_rw_key").isNull().alias("_rw_kn")]
 
-    from ruleweave.operators.lifecycle import MAX_ENTRIES, active_rules
-    from ruleweave.plans.rules import build_rule
-    from ruleweave.sources.logs import decode_json_logs, json_view
+
+def _with_newest(rows: DataFrame, newest: DataFrame) -> DataFrame:
+    text, none = _key(rows)
+    return rows.withColumn("_rw_kt", text).withColumn("_rw_kn", none).join(
+        newest, ["_rw_k", "_rw_kt", "_rw_kn"], "left").drop("_rw_kt", "_rw_kn")
+
+
+def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tail: DataFrame | None,
+                lateness_us: int, future_us: int | None):
+    """(alerts, next tail, late rows, rows from the future) of one micro-batch."""
+    rules = [r for _, _, r, _ in active.bursts]
+    specs = [burst_spec(r) for r in rules]
+    spans = [s.window_seconds * MICROS for s in specs]
+    k = F.col("_rw_k")
+    new = burst_rows(view, rules)
+    ahead = new.where(F.lit(False))
+    if future_us is not None:
+        limit = F.unix_micros(F.current_timestamp()) + F.lit(future_us)
+        ahead, new = new.where(F.col("_rw_t") > limit), new.where(F.col("_rw_t") <= limit)
+    rows = new.withColumn("_rw_new", F.lit(True))
+    if old_tail is not None:
+        names = spark.createDataFrame([(rid, epoch, i) for i, (rid, epoch, _, _) in enumerate(active.bursts)],
+                                      "_rw_rid string, _rw_epoch long, _rw_k int")
+        old = old_tail.join(names, ["_rw_rid", "_rw_epoch"]).drop("_rw_rid", "_rw_epoch")
+        rows = rows.unionByName(old.withColumn("_rw_new", F.lit(False)), allowMissingColumns=True)
+        span = case_of(k, [F.lit(w) for w in spans])
+        late = _with_newest(new, _newest(old)).where(F.col("_rw_t") <= F.col("_rw_newest") - span - F.lit(lateness_us))
+    else:
+        late = new.withColumn("_rw_newest", F.lit(None).cast("long")).where(F.lit(False))
+    counted = None
+    for w in sorted(set(spans)):
+        part = windowed_counts(rows.where(k.isin([i for i, x in enumerate(spans) if x == w])),
+                               key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"], window_us=w)
+        counted = part if counted is None else counted.unionByName(part)
+    fired = counted.where(F.col("_rw_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
+    fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), case_of(
+        k, [F.lit(c) for _, _, _, c in active.bursts]))))
+    rid = case_of(k, [F.lit(r.id) for r in rules])
+    bucket = case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds) for s in specs])
+    alerts = fired.select(
+        bucket_alert_id(rid, F.col("host"), bucket, other_key(specs, k, F.col("_rw_key"))).alias("alert_id"),
+        rid.alias("rule_id"), case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
+        case_of(k, [F.lit(r.level) for r in rules]).alias("severity"), matched_at().alias("matched_at"),
+        "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count")
+    narrow = rows.select("_rw_k", "_rw_key", "_rw_t", "_rw_o0")
+    keep = F.col("_rw_t") > F.col("_rw_newest") - case_of(k, [F.lit(w + lateness_us) for w in spans])
+    tail = _with_newest(narrow, _newest(narrow)).where(keep).select(
+        case_of(k, [F.lit(r) for r, _, _, _ in active.bursts]).alias("_rw_rid"),
+        case_of(k, [F.lit(e).cast("long") for _, e, _, _ in active.bursts]).alias("_rw_epoch"),
+        "_rw_key", "_rw_t", "_rw_o0")
+    return alerts, tail, late.select("_rw_key", "_rw_t", "_rw_o0", "host", "raw_log"), ahead.select(
+        "_rw_key", "_rw_t", "_rw_o0", "host", "raw_log")
+
+
+def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
+                    rules: Callable[[SparkSession, LogView], ActiveRules], *, checkpoint: str, state_path: str,
+                    publish_path: str | None = None, store_path: str | None = None, kafka_servers: str | None = None,
+                    kafka_topic: str = "alerts", lateness_seconds: int = 0, future_seconds: int | None = 86_400,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """E3 + E4 + A9 on a stream: plain and burst rules, published and stored per micro-batch.
+
+    The tail keeps, per (rule, key), the matches newer than that key's own newest time less the
+    rule's span and ``lateness_seconds``; keys whose clocks differ do not shorten each other's windows.
+    Counts equal the batch answer for logs at most that late against their own key. A later one is
+    still counted against what the tail has, and listed in ``state_path/late``. A log more than
+    ``future_seconds`` ahead of the clock (None: no limit) takes no part in bursts and is listed in
+    ``state_path/future``, so that a wrong clock does not end its key's window. Rules that cannot run
+    are listed in ``state_path/rule_errors``. All of these are written per batch id.
+
+    ``make_view`` gives a view with one order column, which must also be in its ``keep``.
+    """
+    state = state_path.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        active = active_rules(load_changelog(spark)).limit(MAX_ENTRIES + 1).collect()
-        if len(active) > MAX_ENTRIES:
-            raise ValueError(f"more than {MAX_ENTRIES} active rules; use the rules-as-data path")
-        rules, copies = [], []
-        for r in active:
-            rule = build_rule(_json.loads(r.rule), source=f"active rule {r.rule_id}")
-            if not rule.is_burst:
-                rules.append(rule)
-                copies.append(int(r.copies))
-        good, bad = decode_json_logs(batch, value_col)
-        keep = {id(r) for r in usable_rules(rules, json_view(good, value_col).fields)[0]}
-        copies = [c for r, c in zip(rules, copies) if id(r) in keep]
-        rules = [r for r in rules if id(r) in keep]
-        if quarantine_path:
-            bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
-        view = json_view(good, value_col, order_cols=[order_col], keep=[order_col])
-        alerts = alert_projection(view, match_rules(view, rules, copies=copies))
+        batch = batch.persist()
+        try:
+            view = make_view(batch)
+            active = rules(spark, view)
+            columns = [*ALERT_COLUMNS, *view.keep]
+            alerts = alert_projection(view, match_rules(view, active.plain, copies=active.plain_copies)).select(
+                *columns, F.lit(None).cast("long").alias("window_count"))
+            tail = spark.createDataFrame([], TAIL_SCHEMA)
+            if active.bursts:
+                old = spark.read.schema(TAIL_SCHEMA).parquet(f"{state}/tail/batch_id={batch_id - 1}") if batch_id else None
+                burst, tail, late, ahead = _burst_step(spark, view, active, old, lateness_seconds * MICROS,
+                                                       None if future_seconds is None else future_seconds * MICROS)
+                alerts = alerts.unionByName(burst.select(*columns, "window_count"))
+                late.write.mode("overwrite").parquet(f"{state}/late/batch_id={batch_id}")
+                ahead.write.mode("overwrite").parquet(f"{state}/future/batch_id={batch_id}")
+            if active.errors:
+                spark.createDataFrame(active.errors, ERROR_SCHEMA).write.mode("overwrite").parquet(
+                    f"{state}/rule_errors/batch_id={batch_id}")
+            _sink(alerts, batch_id, view.keep, publish_path, store_path, kafka_servers, kafka_topic, view.keep[:1])
+            tail.write.mode("overwrite").parquet(f"{state}/tail/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return _started(logs, run, checkpoint, trigger)
+
+
+def _sink(alerts: DataFrame, batch_id: int, keep: list[str], publish_path: str | None, store_path: str | None,
+          kafka_servers: str | None, kafka_topic: str, order_cols: list[str]) -> None:
+    """K1 + K2: publish every alert as its JSON document, upsert the batch; nothing for an empty batch (K4)."""
+    alerts = alerts.persist()
+    try:
         if alerts.isEmpty():
             return
         if publish_path:
-            (alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"))
-             .write.mode("overwrite").json(f"{publish_path.rstrip('/')}/batch_id={batch_id}"))
+            extra = [c for c in (*keep, "window_count") if c in alerts.columns]
+            docs = alerts_json(alerts, extra)
+            docs.write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
+        if kafka_servers:   # needs the Kafka connector on the classpath
+            (alerts_json(alerts).write.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+             .option("topic", kafka_topic).save())
         if store_path:
-            write_batch(alerts, store_path, batch_id, [F.col(order_col)])
+            write_batch(alerts, store_path, batch_id, [F.col(quote(c)) for c in order_cols])
+    finally:
+        alerts.unpersist()
 
+
+def _started(logs: DataFrame, run, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    """K4: a 5-second trigger unless told otherwise (``{"availableNow": True}`` drains what is there)."""
     w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def start_table_bursts(logs: DataFrame, make_view, rules: list[Rule], *, checkpoint: str, state_path: str,
-                       publish_path: str | None = None, store_path: str | None = None,
-                       lateness_seconds: int = 0, strategy: str = "auto",
-                       trigger: dict | None = None) -> StreamingQuery:
-    """A9 without Python: burst rules on a stream through ``foreachBatch`` and a tail table.
+def start_table_bursts(logs: DataFrame, make_view, rules: list[Rule], **options) -> StreamingQuery:
+    """Fixed rules on a stream (see :func:`start_detection`)."""
+    return start_detection(logs, make_view, fixed_rules(rules), **options)
+
+
+def start_changelog_detection(logs: DataFrame, make_view, load_changelog, **options) -> StreamingQuery:
+    """L5-L7 on a stream (D4): each micro-batch runs the rules that the changelog leaves active.
 
-    Each micro-batch runs the batch plan (:func:`windowed_counts`, skew-safe) over its own
-    matching rows plus the *tail*: the (rule, key, time, order) of earlier matches that can
-    still be counted, i.e. newer than ``max time - T - lateness``. The tail of batch ``b``
-    is written to ``state_path/batch_id=b`` and read by batch ``b + 1``, so a replayed
-    batch reads and writes the same tables (idempotent). Exact when logs arrive in time
-    order (per key), and for late logs within ``lateness_seconds``.
+    An update keeps the window (same epoch), a delete and re-add starts a new one, and a removed
+    rule's tail is dropped.
     """
-    from ruleweave.operators.burst import windowed_counts
+    return start_detection(logs, make_view, changelog_rules(load_changelog), **options)
 
-    specs = [burst_spec(r) for r in rules]
-    window_us = {k: s.window_seconds * MICROS for k, s in enumerate(specs)}
-    tail_schema = "_rw_k int, _rw_key string, _rw_t long, _rw_o0 long"
-    keep_span = max(window_us.values()) + lateness_seconds * MICROS
-    state = state_path.rstrip("/")
 
+def detection_stream(view: LogView, rules: list[Rule]) -> DataFrame:
+    """E3 on a stream: alerts of plain rules, without state. Burst rules run in :func:`start_detection`."""
+    plain, bursts = split_rules(rules)
+    if bursts:
+        raise RuleError("burst rules need start_detection: " + ", ".join(r.id for r in bursts))
+    return alert_projection(view, match_rules(view, plain)).select(*ALERT_COLUMNS, *view.keep)
+
+
+def dedup_stream(alerts: DataFrame, time_col: str, watermark: str = "1 hour") -> DataFrame:
+    """K3: drop repeated alert ids within the watermark (first wins)."""
+    return alerts.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["alert_id"])
+
+
+def start_sink(alerts: DataFrame, *, checkpoint: str, order_col: str, store_path: str | None = None,
+               publish_path: str | None = None, trigger: dict | None = None,
+               kafka_servers: str | None = None, kafka_topic: str = "alerts") -> StreamingQuery:
+    """K1 + K2 + K4 + K6 for an alert stream: publish and upsert each micro-batch; ``order_col``
+    decides which of several alerts with one id is the last."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        view = make_view(batch)
-        new = burst_rows(view, rules).withColumn("_rw_new", F.lit(True))
-        if batch_id > 0:
-            old = spark.read.schema(tail_schema).parquet(f"{state}/batch_id={batch_id - 1}")
-        else:
-            old = spark.createDataFrame([], tail_schema)
-        rows = new.unionByName(old.withColumn("_rw_new", F.lit(False)), allowMissingColumns=True)
-        parts = []
-        for span in sorted(set(window_us.values())):
-            ks = [k for k, w in window_us.items() if w == span]
-            sub = rows.where(F.col("_rw_k").isin(ks))
-            counted = windowed_counts(sub, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"],
-                                      window_us=span, strategy=strategy)
-            parts.append(counted)
-        counted = parts[0]
-        for p in parts[1:]:
-            counted = counted.unionByName(p)
-        k = F.col("_rw_k")
-        fired = counted.where(F.col("_rw_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
-        rid = case_of(k, [F.lit(r.id) for r in rules])
-        bucket = case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds) for s in specs])
-        alerts = fired.select(
-            bucket_alert_id(rid, F.col("host"), bucket).alias("alert_id"), rid.alias("rule_id"),
-            case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
-            case_of(k, [F.lit(r.level) for r in rules]).alias("severity"),
-            matched_at().alias("matched_at"), "host", "raw_log", *[F.col(quote(c)) for c in view.keep],
-            "window_count", "_rw_t")
-        if publish_path:
-            alerts.drop("_rw_t").write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}")
-        if store_path:
-            write_batch(alerts, store_path, batch_id, [F.col("_rw_t")])
-        # the next tail: everything that can still be counted, key columns only
-        newest = rows.agg(F.max("_rw_t")).first()[0]
-        cutoff = (newest - keep_span) if newest is not None else None
-        tail = rows.select("_rw_k", "_rw_key", "_rw_t", "_rw_o0")
-        if cutoff is not None:
-            tail = tail.where(F.col("_rw_t") > F.lit(cutoff))
-        tail.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        _sink(batch, batch_id, [order_col], publish_path, store_path, kafka_servers, kafka_topic, [order_col])
 
-    w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    return _started(alerts, run, checkpoint, trigger)
+
+
+def observed_decode(raw: DataFrame, value_col: str = "value", name: str = "decode") -> DataFrame:
+    """M4 on a stream: processed / skipped counts reported in each progress event."""
+    ok = strict_object(F.col(quote(value_col))).isNotNull()
+    return raw.observe(name, F.count_if(ok).alias("processed"), F.count_if(~ok).alias("skipped"))
 
 
 def lag_from_progress(progress: dict) -> dict:
@@ -238,98 +287,3 @@ def lag_from_progress(progress: dict) -> dict:
                 done = end.get(topic, {}).get(part, 0)
                 out[(topic, int(part))] = max(0, int(last) - int(done))
     return {"total": sum(out.values()), "partitions": out}
-
-
-def start_changelog_detection(logs: DataFrame, make_view, load_changelog, *, checkpoint: str, state_path: str,
-                              store_path: str | None = None, publish_path: str | None = None,
-                              order_col: str = "offset", lateness_seconds: int = 0, strategy: str = "auto",
-                              trigger: dict | None = None) -> StreamingQuery:
-    """L5-L7 on a stream for plain *and* burst rules, without Python state.
-
-    Each micro-batch folds the changelog as it is now. Plain rules evaluate the batch.
-    Burst rules run the batch plan over the batch's matches plus a tail table of earlier
-    matches keyed by (rule id, epoch): an update keeps the window (same epoch), a delete
-    and re-add starts a new one, and a removed rule's tail is dropped. Several live entries
-    of one (rule id, epoch) share one window; the newest entry sets selection, threshold
-    and timeframe, and each copy gives an alert.
-    """
-    import json as _json
-
-    from ruleweave.operators.burst import windowed_counts
-    from ruleweave.operators.lifecycle import MAX_ENTRIES, entries
-    from ruleweave.plans.rules import build_rule
-
-    state = state_path.rstrip("/")
-    tail_schema = "_rw_rid string, _rw_epoch long, _rw_key string, _rw_t long, _rw_o0 long"
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        live = (entries(load_changelog(spark)).where(F.col("to_seq").isNull())
-                .limit(MAX_ENTRIES + 1).collect())
-        if len(live) > MAX_ENTRIES:
-            raise ValueError(f"more than {MAX_ENTRIES} active rule entries")
-        view = make_view(batch)
-        plain, plain_copies, groups = [], [], {}
-        for e in sorted(live, key=lambda r: r.seq):
-            try:
-                rule = build_rule(_json.loads(e.rule), source=f"changelog seq {e.seq}")
-            except RuleError:
-                continue
-            if not usable_rules([rule], view.fields)[0]:
-                continue
-            if rule.is_burst:
-                g = groups.setdefault((rule.id, int(e.epoch)), {"copies": 0})
-                g["rule"], g["copies"] = rule, g["copies"] + int(e.copies)
-            else:
-                plain.append(rule)
-                plain_copies.append(int(e.copies))
-        parts = [alert_projection(view, match_rules(view, plain, copies=plain_copies)).select(*ALERT_OUT, order_col)]
-        keys = sorted(groups)
-        bursts = [groups[k]["rule"] for k in keys]
-        new_tail = spark.createDataFrame([], tail_schema)
-        if bursts:
-            specs = [burst_spec(r) for r in bursts]
-            k = F.col("_rw_k")
-            rows = burst_rows(view, bursts).withColumn("_rw_new", F.lit(True))
-            rows = rows.withColumn("_rw_rid", case_of(k, [F.lit(rid) for rid, _ in keys])) \
-                       .withColumn("_rw_epoch", case_of(k, [F.lit(ep).cast("long") for _, ep in keys]))
-            ordinals = spark.createDataFrame([(rid, ep, i) for i, (rid, ep) in enumerate(keys)],
-                                             "_rw_rid string, _rw_epoch long, _rw_k int")
-            if batch_id > 0:
-                old = spark.read.schema(tail_schema).parquet(f"{state}/batch_id={batch_id - 1}")
-                # bounded by the number of active burst rules (checked above)
-                old = old.join(F.broadcast(ordinals), ["_rw_rid", "_rw_epoch"]).withColumn("_rw_new", F.lit(False))
-                rows = rows.unionByName(old, allowMissingColumns=True)
-            spans = {i: s.window_seconds * MICROS for i, s in enumerate(specs)}
-            counted = None
-            for span in sorted(set(spans.values())):
-                sub = rows.where(k.isin([i for i, w in spans.items() if w == span]))
-                c = windowed_counts(sub, key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"],
-                                    window_us=span, strategy=strategy)
-                counted = c if counted is None else counted.unionByName(c)
-            fired = counted.where(F.col("_rw_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
-            fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), case_of(
-                k, [F.lit(groups[key]["copies"]) for key in keys]))))
-            rid = case_of(k, [F.lit(r.id) for r in bursts])
-            parts.append(fired.select(
-                bucket_alert_id(rid, F.col("host"), case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds)
-                                                               for s in specs])).alias("alert_id"),
-                rid.alias("rule_id"), case_of(k, [F.lit(r.title) for r in bursts]).alias("rule_title"),
-                case_of(k, [F.lit(r.level) for r in bursts]).alias("severity"), matched_at().alias("matched_at"),
-                "host", "raw_log", F.col(quote(order_col))))
-            newest = rows.agg(F.max("_rw_t")).first()[0]
-            keep_span = max(spans.values()) + lateness_seconds * MICROS
-            new_tail = rows.select("_rw_rid", "_rw_epoch", "_rw_key", "_rw_t", "_rw_o0")
-            if newest is not None:
-                new_tail = new_tail.where(F.col("_rw_t") > F.lit(newest - keep_span))
-        alerts = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        if publish_path:
-            (alerts.select(F.col("alert_id").alias("key"), F.to_json(F.struct(*ALERT_OUT)).alias("value"),
-                           F.col(quote(order_col)))
-             .write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/batch_id={batch_id}"))
-        if store_path:
-            write_batch(alerts, store_path, batch_id, [F.col(quote(order_col))])
-        new_tail.write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
-
-    w = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

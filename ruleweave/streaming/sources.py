@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ruleweave.functions.jsontext import strict_object
+from ruleweave.operators.evaluate import ALERT_COLUMNS
+
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
                  max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
@@ -59,13 +62,13 @@ def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTy
 
 
 # The alert message layout; ``raw_log`` may be missing, any other key is required.
-ALERT_KEYS = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
+ALERT_KEYS = ALERT_COLUMNS
 
 
 def decode_alerts(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Strict decode of alert JSON; a missing or an extra key quarantines the message."""
     v = F.col(value_col)
-    keys = F.json_object_keys(v)
+    keys = F.map_keys(strict_object(v))
     required = F.array(*[F.lit(k) for k in ALERT_KEYS if k != "raw_log"])
     allowed = F.array(*[F.lit(k) for k in ALERT_KEYS])
     ok = (keys.isNotNull() & (F.size(F.array_except(required, keys)) == 0)

@@ -8,6 +8,7 @@ from collections import deque
 import pytest
 
 from ruleweave.errors import RuleError
+from ruleweave.operators import burst
 from ruleweave.operators.burst import burst_alerts
 from ruleweave.plans.rules import Rule, burst_spec
 
@@ -124,25 +125,63 @@ def test_random_against_deque(logs_of, chunk_factor):
     assert got == deque_reference(events, 20, 3)
 
 
-@pytest.mark.parametrize("max_rows", [5, 40, 10_000])
-def test_ranked_strategy_against_deque(logs_of, max_rows):
-    """The rank strategy (forced, with chunks narrowed to ~max_rows rows) equals the deque."""
+@pytest.mark.parametrize("block", [1, 3, 1 << 16])
+def test_hot_key_and_ties_in_blocks_against_deque(logs_of, monkeypatch, block):
+    """Ties cut into blocks of the arrival order count the same."""
+    monkeypatch.setattr(burst, "TIE_BLOCK", block)
     rnd = random.Random(11)
     events, t = [], 0
-    for _ in range(300):
-        t += rnd.choice([0, 0, 1, 3, 7])
-        events.append((t, rnd.choice("ab")))
+    for _ in range(500):
+        t += rnd.choice([0, 0, 0, 1, 4])
+        events.append((t, rnd.choice("aaaab")))
     v = logs_of([ev(t, h) for t, h in events])
-    got = fired(v, [brule(n=4, tf="15s")], strategy="ranked", max_group_rows=max_rows)
-    assert got == deque_reference(events, 15, 4)
+    assert fired(v, [brule(n=4, tf="15s")]) == deque_reference(events, 15, 4)
 
 
-def test_auto_switches_to_ranked_on_a_hot_key(logs_of):
-    events = [(i // 3, "hot") for i in range(120)] + [(i * 50, "cold") for i in range(5)]
-    events.sort()
-    v = logs_of([ev(t, h) for t, h in events])
-    got = fired(v, [brule(n=5, tf="30s")], strategy="auto", max_group_rows=20)
-    assert got == deque_reference(events, 30, 5)
+def test_all_logs_share_one_time(logs_of, monkeypatch):
+    monkeypatch.setattr(burst, "TIE_BLOCK", 7)
+    v = logs_of([ev(0) for _ in range(100)])
+    assert fired(v, [brule(n=5)]) == [(i, i + 1) for i in range(5, 100)]
+
+
+def test_null_keys_are_a_key(spark):
+    rows = spark.createDataFrame([(None if i % 2 else "a", i * 1_000_000, i) for i in range(20)], "k string, t long, o long")
+    got = burst.windowed_counts(rows, key_cols=["k"], time_col="t", order_cols=["o"], window_us=7_000_000).collect()
+    assert sorted((r.o, r.window_count) for r in got) == [(i, min(i // 2 + 1, 4)) for i in range(20)]
+    assert {r.k for r in got} == {None, "a"}
+
+
+def test_logs_without_a_time_count_by_arrival(logs_of):
+    """No timestamp and no arrival time: the logs arrive together, in their order; ids use bucket 0."""
+    v = logs_of([{k: x for k, x in ev(0).items() if k != "timestamp"} for _ in range(8)])
+    assert fired(v, [brule(n=5)]) == [(5, 6), (6, 7), (7, 8)]
+    assert {r.alert_id for r in burst_alerts(v, [brule()]).collect()} == {str(uuid.uuid5(uuid.NAMESPACE_OID, "bf:h:0"))}
+
+
+def test_arrival_time_drives_windows(spark):
+    import json
+    from ruleweave.sources.logs import decode_json_logs, json_view
+    rows = [(i, json.dumps(ev(0)), BASE + dt.timedelta(seconds=20 * i)) for i in range(8)]
+    good, _ = decode_json_logs(spark.createDataFrame(rows, "seq long, value string, arrived timestamp"))
+    for time, expected in (("arrival", []), ("event", [(5, 6), (6, 7), (7, 8)])):
+        v = json_view(good, order_cols=["seq"], keep=["seq"], time=time, arrival_col="arrived")
+        assert fired(v, [brule(n=5)]) == expected
+
+
+def test_other_keys_have_ids_of_their_own(logs_of):
+    v = logs_of([{**ev(i), "user": "uv"[i % 2]} for i in range(12)])
+    rows = burst_alerts(v, [brule(n=3, by="user")]).collect()
+    assert len(rows) == 6 and len({r.alert_id for r in rows}) == 2
+
+
+def test_building_the_plan_runs_no_job(logs_of, spark):
+    v = logs_of([ev(i) for i in range(8)])
+    sc = spark.sparkContext
+    sc.setJobGroup("build-only", "no job before the action")
+    burst_alerts(v, [brule()])
+    jobs = sc.statusTracker().getJobIdsForGroup("build-only")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
 
 
 def test_reference_pack_brute_force(logs_of):

@@ -53,9 +53,6 @@ def test_table_path_on_json_logs(spark, logs_of):
     got = sorted((r.seq, r.rule_id) for r in table_alerts(spark, v, rules, key_cols=["seq"]).collect())
     want = sorted((r.seq, r.rule_id) for r in plain_alerts(v, rules).collect())
     assert got == want == [(0, "and"), (1, "not"), (2, "or"), (3, "or")]
-    # the shuffled (salted) join path gives the same answer
-    salted = table_alerts(spark, v, rules, key_cols=["seq"], broadcast_max_rows=0)
-    assert sorted((r.seq, r.rule_id) for r in salted.collect()) == want
 
 
 def test_coarse_bursts(spark, logs_of):
@@ -86,7 +83,7 @@ def test_stream_observe_and_empty_batches(spark, tmp_path):
     empty = text_stream(spark, str(src)).where(F.lit(False)).select(
         *[F.lit("x").alias(c) for c in ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host",
                                         "raw_log"]])
-    q2 = start_sink(empty, checkpoint=str(tmp_path / "c2"), store_path=str(tmp_path / "store"),
+    q2 = start_sink(empty, order_col="alert_id", checkpoint=str(tmp_path / "c2"), store_path=str(tmp_path / "store"),
                     trigger={"availableNow": True})
     q2.awaitTermination()
     assert not (tmp_path / "store").exists()

@@ -1,9 +1,10 @@
 """Changelog validation, the fold without a loop, as-of evaluation."""
 
+import datetime as dt
 import json
 import random
 
-from ruleweave.operators.lifecycle import active_rules, asof_alerts, decode_envelopes, rule_count, with_errors
+from ruleweave.operators.lifecycle import CHANGELOG_SCHEMA, active_rules, asof_alerts, decode_envelopes, rule_count, with_errors
 
 
 def payload(rid, tag="v"):
@@ -144,3 +145,28 @@ def test_bad_rule_in_changelog_is_left_out(spark, logs_of):
     cl = changelog(spark, [{"op": "add", "rule": good}, {"op": "add", "rule": bad}, {"op": "add", "rule": bad_burst}])
     got = [r.rule_id for r in asof_alerts(logs_of([{"log_type": "x", "timestamp": "2024-01-01T00:00:00Z"}]), cl).collect()]
     assert got == ["a"]
+
+
+def test_timeframe_and_key_may_change_within_an_epoch(logs_of):
+    """An update keeps the window: logs before it count, with the new span or key."""
+    def version(tf, by="host"):
+        return json.dumps({"id": "B", "title": "t", "level": "l", "detection": {
+            "s": {"e": 1}, "condition": f"s | count() by {by} > 2", "timeframe": tf}})
+
+    base = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+    us = lambda s: int((base + dt.timedelta(seconds=s)).timestamp() * 1_000_000)
+    logs = [{"timestamp": (base + dt.timedelta(seconds=10 * i)).isoformat(), "host": "h", "user": "uv"[i % 2], "e": 1}
+            for i in range(12)]
+    view = logs_of(logs)
+    spark = view.df.sparkSession
+    changes = [(1, us(0), "add", "B", version("15s")), (2, us(40), "update", "B", version("60s")),
+               (3, us(80), "update", "B", version("60s", "user"))]
+    got = sorted(r.seq for r in asof_alerts(view, spark.createDataFrame(changes, CHANGELOG_SCHEMA)).collect())
+    expected = []
+    for i in range(12):
+        t = 10 * i
+        span, by_user = (15, False) if t < 40 else (60, False) if t < 80 else (60, True)
+        n = sum(t - span < 10 * j <= t and (not by_user or j % 2 == i % 2) for j in range(i + 1))
+        if n > 2:
+            expected.append(i)
+    assert got == expected

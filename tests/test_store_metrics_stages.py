@@ -21,8 +21,8 @@ def test_store_upsert_idempotent_last_write_wins(spark, tmp_path):
     b0 = spark.createDataFrame([alert("a", raw='{"v": 1}'), alert("b"), alert("a", raw='{"v": 2}')], S.STORE_SCHEMA)
     S.write_batch(b0.withColumn("pos", F.monotonically_increasing_id()), store, 0, order=[F.col("pos")])
     b1 = spark.createDataFrame([alert("b", sev="low"), alert("c")], S.STORE_SCHEMA)
-    S.write_batch(b1, store, 1)
-    S.write_batch(b1, store, 1)     # replay of the same batch: no change
+    S.write_batch(b1, store, 1, order=[F.col("alert_id")])
+    S.write_batch(b1, store, 1, order=[F.col("alert_id")])     # replay of the same batch: no change
     cur = {r.alert_id: r for r in S.read_store(spark, store).collect()}
     assert sorted(cur) == ["a", "b", "c"]
     assert cur["b"].severity == "low"
@@ -115,8 +115,8 @@ def test_transitions_do_not_depend_on_chunking(logs_of):
         logs.append({"timestamp": (base + dt.timedelta(seconds=t)).isoformat(), "host": rnd.choice("ab"),
                      "event_id": rnd.choice([4625, 4624, 4688, 1]), "process_name": "cmd.exe"})
     labels = stage_labels(logs_of(logs), WINDOWS_STAGES)
-    whole = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=10 ** 7, max_group_rows=None).collect())
-    fine = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=3600, max_group_rows=7).collect())
+    whole = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=10 ** 7).collect())
+    fine = sorted(tuple(r) for r in stage_transitions(labels, chunk_seconds=60).collect())
     assert whole == fine
 
 

@@ -4,13 +4,16 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from ruleweave.errors import RuleError
 from ruleweave.operators import store as S
 from ruleweave.operators.evaluate import evaluate
 from ruleweave.plans.rules import Rule
 from ruleweave.sources.logs import decode_json_logs, json_view
-from ruleweave.streaming.pipeline import detection_stream, start_sink
+from ruleweave.streaming.pipeline import (changelog_rules, detection_stream, fixed_rules, start_detection, start_sink,
+                                          start_table_bursts)
 from ruleweave.streaming.sources import decode_alerts, text_stream
 
 BASE = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -57,12 +60,12 @@ def batch_store(spark, folder):
     return alerts, S.latest_per_id(alerts.select("alert_id", "rule_id", "host", "seq"), [F.col("seq")])
 
 
-def run_stream(spark, folder, base):
-    view = view_of(text_stream(spark, folder, max_files_per_trigger=1))
-    alerts = detection_stream(view, RULES, watermark="1 hour")
-    q = start_sink(alerts, checkpoint=f"{base}/ckpt", store_path=f"{base}/store", publish_path=f"{base}/pub",
-                   trigger={"availableNow": True}, order_col="seq")
+def run_stream(spark, folder, base, rules=RULES, view=view_of, **options):
+    stream = text_stream(spark, folder, max_files_per_trigger=1)
+    q = start_detection(stream, view, fixed_rules(rules), checkpoint=f"{base}/ckpt", state_path=f"{base}/state",
+                        store_path=f"{base}/store", publish_path=f"{base}/pub", trigger={"availableNow": True}, **options)
     q.awaitTermination()
+    return q
 
 
 def stored(spark, base):
@@ -83,7 +86,7 @@ def test_stream_equals_batch_and_restart(spark, tmp_path):
     want = sorted((r.alert_id, r.rule_id, r.host, r.seq) for r in want_store.collect())
     assert want and stored(spark, base) == want
     # the published topic holds every alert, repeated burst ids included
-    pub = spark.read.json(f"{base}/pub").select(F.get_json_object("value", "$.alert_id").alias("alert_id"))
+    pub = spark.read.parquet(f"{base}/pub").select(F.get_json_object("value", "$.alert_id").alias("alert_id"))
     assert sorted(r.alert_id for r in pub.collect()) == sorted(r.alert_id for r in alerts.collect())
     assert alerts.where("rule_id = 'bf'").count() > alerts.where("rule_id = 'bf'").select("alert_id").distinct().count()
     # running again without new input changes nothing
@@ -103,57 +106,106 @@ def test_decode_alerts_strict(spark):
     assert bad.count() == 3
 
 
-def test_rule_changes_apply_from_the_next_micro_batch(spark, tmp_path):
-    from ruleweave.operators.lifecycle import decode_envelopes
-    from ruleweave.streaming.pipeline import start_dynamic_detection
-    src, rules_dir, base = tmp_path / "in", tmp_path / "rules", tmp_path / "run"
-    src.mkdir()
-    rules_dir.mkdir()
+def test_plain_rules_without_state(spark, tmp_path):
+    logs = make_logs()
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    write_files(src, logs, 3)
+    plain = [r for r in RULES if not r.is_burst]
+    alerts = detection_stream(view_of(text_stream(spark, src, max_files_per_trigger=1)), plain)
+    start_sink(alerts, checkpoint=f"{base}/ckpt", order_col="seq", store_path=f"{base}/store", publish_path=f"{base}/pub",
+               trigger={"availableNow": True}).awaitTermination()
+    want = sorted((r.alert_id, r.seq) for r in evaluate(view_of(spark.read.text(src)), plain).collect())
+    pub = spark.read.parquet(f"{base}/pub")
+    assert sorted((r.key, r.seq) for r in pub.collect()) == want
+    # the log is published as the object it is, not as text inside text
+    assert all(json.loads(r.value)["raw_log"]["seq"] == r.seq for r in pub.collect())
+    with pytest.raises(RuleError):
+        detection_stream(view_of(text_stream(spark, src)), RULES)
 
-    def rule(rid, action):
-        return {"id": rid, "title": rid, "level": "high",
-                "detection": {"s": {"action": action}, "condition": "s"}}
 
-    def envelopes(items, name):
-        (rules_dir / name).write_text("\n".join(json.dumps(e) for e in items) + "\n")
+def burst_counts(spark, base):
+    return sorted((r.seq, r.window_count) for r in spark.read.parquet(f"{base}/pub").collect())
 
-    def load(spark_):
-        raw = spark_.read.text(str(rules_dir)).withColumn("seq", F.get_json_object("value", "$.seq").cast("long"))
-        return decode_envelopes(raw, seq_col="seq")
 
-    def logs(name, offsets, mtime):
-        path = src / name
-        path.write_text("\n".join(json.dumps({"offset": o, "action": "Delete" if o % 2 else "Create"})
-                                  for o in offsets) + "\n")
-        os.utime(path, (mtime, mtime))
+BURST = [r for r in RULES if r.is_burst]
 
-    def run():
-        stream = text_stream(spark, str(src)).withColumn("offset", F.get_json_object("value", "$.offset").cast("long"))
-        q = start_dynamic_detection(stream, load, checkpoint=str(base / "ckpt"), store_path=str(base / "store"),
-                                    trigger={"availableNow": True})
-        q.awaitTermination()
 
-    envelopes([{"seq": 1, "op": "add", "rule": rule("del", "Delete")}], "a.json")
-    logs("a.json", range(0, 6), 1_700_000_000)
-    run()
-    envelopes([{"seq": 2, "op": "delete", "rule_id": "del"}, {"seq": 3, "op": "add", "rule": rule("cre", "Create")}],
-              "b.json")
-    logs("b.json", range(6, 12), 1_700_000_100)
-    run()
-    got = sorted((json.loads(r.raw_log)["offset"], r.rule_id) for r in S.read_store(spark, str(base / "store")).collect())
-    assert got == [(1, "del"), (3, "del"), (5, "del"), (6, "cre"), (8, "cre"), (10, "cre")]
+def log(seq, seconds, host):
+    return {"seq": seq, "timestamp": (BASE + dt.timedelta(seconds=seconds)).isoformat(), "host": host, "event_id": 4625}
+
+
+@pytest.mark.parametrize("ahead", [None, 500, 10 ** 7])
+def test_one_host_ahead_does_not_shorten_the_others_windows(spark, tmp_path, ahead):
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    logs = [log(i, 10 * i, "h") for i in range(6)]
+    if ahead:
+        logs[2:2] = [log(100, ahead, "fast"), log(101, ahead + 1, "fast")]
+    write_files(src, logs, 4)
+    run_stream(spark, src, base, BURST)
+    assert burst_counts(spark, base) == [(3, 4), (4, 5), (5, 6)]
+
+
+def test_a_far_future_log_is_set_aside(spark, tmp_path):
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    logs = [log(i, 10 * i, "h") for i in range(6)]
+    logs.insert(2, log(100, 100 * 365 * 86_400, "h"))
+    write_files(src, logs, 4)
+    run_stream(spark, src, base, BURST)
+    assert burst_counts(spark, base) == [(3, 4), (4, 5), (5, 6)]
+    assert [json.loads(r.raw_log)["seq"] for r in spark.read.parquet(f"{base}/state/future").collect()] == [100]
+
+
+def test_late_logs_are_counted_or_listed(spark, tmp_path):
+    logs = [log(0, 0, "h"), log(1, 5, "h"), log(2, 200, "h"), log(3, 10, "h"), log(4, 12, "h"), log(5, 14, "h")]
+    for lateness, expected, listed in ((300, [(4, 4), (5, 5)], []), (0, [], [3, 4, 5])):
+        src, base = str(tmp_path / f"in{lateness}"), str(tmp_path / f"run{lateness}")
+        write_files(src, logs, 2)
+        run_stream(spark, src, base, BURST, lateness_seconds=lateness)
+        got = burst_counts(spark, base) if os.path.exists(f"{base}/pub") else []
+        assert got == expected
+        late = spark.read.parquet(f"{base}/state/late")
+        assert sorted(json.loads(r.raw_log)["seq"] for r in late.collect()) == listed
+
+
+def test_null_and_other_keys_on_a_stream(spark, tmp_path):
+    rule = Rule("u", "t", "l", {"s": {"event_id": "4625"}, "condition": "s | count() by user > 1", "timeframe": "60s"})
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    logs = [{**log(i, i, "h"), **({"user": "uv"[i % 2]} if i < 8 else {})} for i in range(12)]
+    write_files(src, logs, 4)
+    run_stream(spark, src, base, [rule])
+    from ruleweave.operators.burst import burst_alerts
+    want = sorted((r.seq, r.window_count) for r in burst_alerts(view_of(spark.read.text(src)), [rule]).collect())
+    assert burst_counts(spark, base) == want and len(want) == 9
+    assert len(stored(spark, base)) == 3
+
+
+def test_broken_rules_are_listed(spark, tmp_path):
+    from ruleweave.operators.lifecycle import CHANGELOG_SCHEMA, rule_errors
+    ok = {"id": "ok", "title": "t", "level": "l", "detection": {"s": {"event_id": 4625}, "condition": "s"}}
+    entries = [(1, None, "add", "ok", json.dumps(ok)), (2, None, "add", "odd", json.dumps({**ok, "id": "odd", "detection": 5})),
+               (3, None, "add", "no", json.dumps({**ok, "id": "no", "detection": {"s": {}, "condition": "s and nope"}})),
+               (4, None, "turn", "x", None)]
+    load = lambda s: s.createDataFrame(entries, CHANGELOG_SCHEMA)
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    write_files(src, [log(0, 0, "h")], 1)
+    q = start_detection(text_stream(spark, src), view_of, changelog_rules(load), checkpoint=f"{base}/ckpt",
+                        state_path=f"{base}/state", publish_path=f"{base}/pub", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert [json.loads(r.value)["rule_id"] for r in spark.read.parquet(f"{base}/pub").collect()] == ["ok"]
+    assert sorted(r.seq for r in spark.read.parquet(f"{base}/state/rule_errors").collect()) == [2, 3]
+    view = view_of(spark.read.text(src))
+    assert sorted(r.seq for r in rule_errors(load(spark), view).collect()) == [2, 3, 4]
 
 
 def test_table_bursts_equal_batch_and_resume(spark, tmp_path):
     from ruleweave.operators.burst import burst_alerts
-    from ruleweave.streaming.pipeline import start_table_bursts
     logs = make_logs()
     src, base = str(tmp_path / "in"), str(tmp_path / "run")
     bursts = [r for r in RULES if r.is_burst]
 
     def run():
         q = start_table_bursts(text_stream(spark, src, max_files_per_trigger=1), view_of, bursts,
-                               checkpoint=f"{base}/ckpt", state_path=f"{base}/tail", publish_path=f"{base}/pub",
+                               checkpoint=f"{base}/ckpt", state_path=f"{base}/state", publish_path=f"{base}/pub",
                                trigger={"availableNow": True})
         q.awaitTermination()
 
@@ -162,7 +214,7 @@ def test_table_bursts_equal_batch_and_resume(spark, tmp_path):
     run()
     write_files(src, logs[half:], 2, start=2)
     run()
-    got = sorted((r.seq, r.alert_id, r.window_count) for r in spark.read.parquet(f"{base}/pub").collect())
+    got = sorted((r.seq, r.key, r.window_count) for r in spark.read.parquet(f"{base}/pub").collect())
     want = sorted((r.seq, r.alert_id, r.window_count)
                   for r in burst_alerts(view_of(spark.read.text(src)), bursts).collect())
     assert want and got == want
