@@ -80,25 +80,50 @@ def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                            [F.col("event_id")])
 
 
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """A store written from everything the events pack publishes; the path to read it from."""
+    import uuid as _uuid
+    from ruleweave.session import scratch_path
+    path = scratch_path(spark, "stores", _uuid.uuid4().hex)
+    S.write_batch(published_alerts(spark, sf_dir), path, 0, [F.col("event_id")])
+    return path
+
+
+def _read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = S.read_store(spark, _store(spark, sf_dir))
+    return stored.withColumn("event_id", F.get_json_object("raw_log", "$.event_id").cast("long"))
+
+
 def alert_count(spark, sf_dir):
-    return S.count_alerts(stored_alerts(spark, sf_dir))
+    return S.count_alerts(_read(spark, sf_dir))
 
 
 def alerts_by_term(spark, sf_dir):
-    return S.alerts_by_terms(stored_alerts(spark, sf_dir), severity="high").select("alert_id", "rule_id", "host")
+    return S.alerts_by_terms(_read(spark, sf_dir), severity="high").select("alert_id", "rule_id", "host")
 
 
 def alerts_by_two_terms(spark, sf_dir):
-    return S.alerts_by_terms(stored_alerts(spark, sf_dir), severity="low", host="8").select(
+    return S.alerts_by_terms(_read(spark, sf_dir), severity="low", host="8").select(
         "alert_id", "rule_id", "event_id")
 
 
+def alerts_by_rule(spark, sf_dir):
+    return S.alerts_by_terms(_read(spark, sf_dir), rule_id="ev-error-burst-001").select("alert_id", "host", "event_id")
+
+
+def alerts_by_id(spark, sf_dir):
+    """Q2 by id, one bucket of the store: the alert with the smallest id."""
+    path = _store(spark, sf_dir)
+    low = S.read_store(spark, path).agg(F.min("alert_id")).first()[0]
+    return S.read_store(spark, path, alert_id=low or "").select("alert_id", "rule_id", "severity", "host")
+
+
 def alert_buckets(spark, sf_dir):
-    return S.bucket_counts(stored_alerts(spark, sf_dir), ["rule_id", "severity"])
+    return S.bucket_counts(_read(spark, sf_dir), ["rule_id", "severity"])
 
 
 def top_hosts(spark, sf_dir):
-    return S.bucket_counts(stored_alerts(spark, sf_dir), ["host"], top=10)
+    return S.bucket_counts(_read(spark, sf_dir), ["host"], top=10)
 
 
 def duplicate_ids(spark, sf_dir):
@@ -106,12 +131,12 @@ def duplicate_ids(spark, sf_dir):
 
 
 def quiet_hosts(spark, sf_dir):
-    high = S.alerts_by_terms(stored_alerts(spark, sf_dir), severity="high")
+    high = S.alerts_by_terms(_read(spark, sf_dir), severity="high")
     return S.quiet_hosts(events_logs(spark, sf_dir), high)
 
 
 def embedded_fields(spark, sf_dir):
-    """Q7: fields of the embedded raw log of stored burst alerts."""
+    """Q7: fields of the embedded raw log of the published burst alerts."""
     _, bursts = split_rules(list(rule_pack("events")))
     pub = burst_alerts(events_view(spark, sf_dir), bursts)
     return pub.select("alert_id", S.embedded_field(pub, "props", "props"),
@@ -961,3 +986,8 @@ ORACLES["burst_arrival"] = f"""WITH {EVENTS_LOGS}, counted AS (
   FROM logs WHERE log_type = 'error')
 SELECT {sql_uuid5("'ev-error-burst-001:' || host || ':0'")} AS alert_id, 'ev-error-burst-001' AS rule_id,
     host, event_id, window_count FROM counted WHERE window_count > 2"""
+
+
+QUERIES.update({"alerts_by_rule": alerts_by_rule, "alerts_by_id": alerts_by_id})
+ORACLES["alerts_by_rule"] = _published() + "SELECT alert_id, host, event_id FROM stored WHERE rule_id = 'ev-error-burst-001'"
+ORACLES["alerts_by_id"] = _published() + "SELECT alert_id, rule_id, severity, host FROM stored ORDER BY alert_id LIMIT 1"

@@ -71,10 +71,15 @@ def _in_list(expr: str, values: list[str]) -> str:
 
 
 class ColumnFields(_ColumnApi):
-    """Fields are the top-level columns of a DataFrame with the given schema."""
+    """Fields are the top-level columns of a DataFrame with the given schema.
 
-    def __init__(self, schema: T.StructType):
+    ``sources`` names, for a text field made by casting an integer column, that column: equality is
+    then tested on it and reaches the Parquet scan.
+    """
+
+    def __init__(self, schema: T.StructType, sources: dict[str, str] | None = None):
         self._types = {f.name: f.dataType for f in schema.fields}
+        self._sources = sources or {}
 
     def has(self, name: str) -> bool:
         return name in self._types
@@ -98,9 +103,10 @@ class ColumnFields(_ColumnApi):
         """
         if name not in self._types:
             return "false"
-        if isinstance(self._types[name], _INTEGRAL):
+        source = self._sources.get(name, name)
+        if source != name or isinstance(self._types[name], _INTEGRAL):
             nums = sorted({int(v) for v in values if _CANONICAL_INT.match(v) and -(2 ** 63) <= int(v) < 2 ** 63})
-            return _in_list(quote(name), [f"{n}L" for n in nums]) if nums else "false"
+            return _in_list(quote(source), [f"{n}L" for n in nums]) if nums else "false"
         return _in_list(self.text_sql(name), [sql_text(v) for v in dict.fromkeys(values)])
 
 

@@ -69,7 +69,8 @@ def iso_text_micros(text: Column) -> Column:
     t = F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")
     has_zone = t.rlike(r"[+-]\d{2}:\d{2}$")
     aware = F.unix_micros(F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX")))
-    ntz = F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz")
+    # parsed without a zone, so a session zone with a gap (summer time) does not shift it
+    ntz = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"), t.try_cast("timestamp_ntz"))
     return F.when(has_zone, aware).otherwise(ntz_micros(ntz))
 
 

@@ -18,6 +18,8 @@ from ruleweave.sources.logs import LogView
 
 # The fields of an alert document; every other layout is derived from this list.
 ALERT_COLUMNS = ["alert_id", "rule_id", "rule_title", "severity", "matched_at", "host", "raw_log"]
+#: Rules compiled into one scan of the logs.
+RULES_PER_SCAN = 250
 MATCH_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
@@ -32,8 +34,8 @@ def rule_struct(ordinal: int, rule: Rule) -> Column:
 
 
 def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None = None,
-                copies: list[int] | None = None) -> DataFrame:
-    """One row per (log, matching rule), in one scan of the logs.
+                copies: list[int] | None = None, first: int = 0) -> DataFrame:
+    """One row per (log, matching rule), in one scan of the logs per ``RULES_PER_SCAN`` rules.
 
     ``gates`` (optional, one per rule) are extra predicates ANDed to each rule, e.g. the
     validity interval of a rule version; ``copies`` repeats a rule's match (a rule present
@@ -42,6 +44,14 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
     if not rules:
         return view.df.where(F.lit(False)).select("*", F.lit(None).cast(
             "struct<rule_ord:int,rule_id:string,rule_title:string,severity:string>").alias("_rw_rule"))
+    if len(rules) > RULES_PER_SCAN:     # generated code has a size at which it stops being compiled
+        out = None
+        for at in range(0, len(rules), RULES_PER_SCAN):
+            to = at + RULES_PER_SCAN
+            part = match_rules(view, rules[at:to], gates=gates and gates[at:to], copies=copies and copies[at:to],
+                               first=first + at)
+            out = part if out is None else out.unionByName(part)
+        return out
     base = view.df
     pre = scan_prefilter(rules, view.fields)
     if pre is not None:         # a pushable superset of the matches: lets the scan skip data
@@ -51,12 +61,12 @@ def match_rules(view: LogView, rules: list[Rule], *, gates: list[Column] | None
         flagged = flagged.select(*[F.col(quote(c)) for c in view.df.columns],
                                  *[(F.col(n) & F.coalesce(g, F.lit(False))).alias(n) for n, g in zip(names, gates)])
     any_rule = any_of([F.col(n) for n in names])
-    items = []
-    for i, (rule, n) in enumerate(zip(rules, names)):
-        f = F.col(n)
-        for _ in range(1 if copies is None else copies[i]):
-            items.append(F.when(f, rule_struct(i, rule)))
-    hits = F.filter(F.array(*items), lambda x: x.isNotNull())
+    items = [F.when(F.col(n), rule_struct(first + i, rule)) for i, (rule, n) in enumerate(zip(rules, names))]
+    if copies is not None and any(c != 1 for c in copies):
+        items = [F.when(F.col(n), F.array_repeat(item, c)) for item, n, c in zip(items, names, copies)]
+        hits = F.flatten(F.filter(F.array(*items), lambda x: x.isNotNull()))
+    else:
+        hits = F.filter(F.array(*items), lambda x: x.isNotNull())
     return (flagged.where(any_rule)
             .select(*[F.col(quote(c)) for c in view.df.columns], F.explode(hits).alias("_rw_rule")))
 

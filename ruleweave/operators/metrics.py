@@ -21,7 +21,8 @@ DEFAULT_BOUNDS = (5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0)
 
 def throughput(df: DataFrame, time_col: str, worker_col: str, unit: str | None = "minute",
                seconds: int = 60) -> DataFrame:
-    """M1: events and events/second per window and worker; worker NULL = all workers.
+    """M1: events and events/second per window and worker; worker NULL = all workers, and logs
+    without a worker are those of ``(none)``. Counted per window and worker first, then totalled.
 
     With ``unit`` the time column is truncated (``date_trunc``); with ``unit=None`` it
     already holds the window start and ``seconds`` is the window length.
@@ -31,9 +32,9 @@ def throughput(df: DataFrame, time_col: str, worker_col: str, unit: str | None =
         w = F.date_trunc(unit, F.col(quote(time_col))).alias("window_start")
     else:
         w = F.col(quote(time_col)).alias("window_start")
-    out = (df.select(w, F.col(quote(worker_col)).alias("worker"))
-           .rollup("window_start", "worker").agg(F.count(F.lit(1)).alias("events"))
-           .where(F.col("window_start").isNotNull()))
+    each = (df.select(w, F.coalesce(F.col(quote(worker_col)).cast("string"), F.lit("(none)")).alias("worker"))
+            .where(F.col("window_start").isNotNull()).groupBy("window_start", "worker").agg(F.count(F.lit(1)).alias("n")))
+    out = each.rollup("window_start", "worker").agg(F.sum("n").alias("events")).where(F.col("window_start").isNotNull())
     return out.withColumn("events_per_second", F.col("events") / F.lit(float(seconds)))
 
 

@@ -2,9 +2,10 @@
 
 The store is a Parquet folder written one micro-batch at a time: batch ``b`` goes to
 ``<store>/batch_id=b`` with overwrite, so replaying a batch rewrites the same files
-(idempotent). Reading resolves each alert id to its last write (highest batch, then the
-latest row inside it), which is the "document id = alert id, last write wins" rule. Writes
-cost the batch, not the store; ``compact`` folds old batches into one when wanted.
+(idempotent). Inside a batch, documents lie in folders by a hash of their id, so a lookup by
+id reads one bucket of each batch. Reading resolves each alert id to its last write (highest
+batch, then the last row inside it in the given order), which is the "document id = alert id,
+last write wins" rule. Writes cost the batch, not the store; ``compact`` folds old batches.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from ruleweave.functions.fields import quote
 from ruleweave.operators.evaluate import ALERT_COLUMNS
@@ -33,20 +35,41 @@ def latest_per_id(alerts: DataFrame, order: list[Column], id_col: str = "alert_i
     return agg.select(F.col(quote(id_col)), *[F.col(f"_rw_doc.{quote(c)}").alias(c) for c in others])
 
 
+#: Folders per batch. Lookups by id read one of them.
+BUCKETS = 16
+_READ_SCHEMA = T.StructType([*STORE_SCHEMA.fields, T.StructField("_rw_pos", T.StringType()),
+                             T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
+
+
+def id_bucket(alert_id: Column) -> Column:
+    return F.pmod(F.xxhash64(alert_id), F.lit(BUCKETS)).cast("int")
+
+
 def write_batch(alerts: DataFrame, store_path: str, batch_id: int, order: list[Column]) -> None:
-    """K2 write side: dedup the batch (last wins) and write it as its own partition."""
+    """K2 write side: dedup the batch (last in ``order`` wins) and write it as its own folder."""
     doc_cols = [f.name for f in STORE_SCHEMA.fields]
     ordered = alerts.withColumn("_rw_pos", F.struct(*order))
-    batch = latest_per_id(ordered.select(*doc_cols, "_rw_pos"), [F.col("_rw_pos")])
-    (batch.withColumn("_rw_pos", F.to_json(F.col("_rw_pos")))
-     .write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
-
-
-def read_store(spark: SparkSession, store_path: str) -> DataFrame:
-    """K2 read side: the current document per alert id."""
-    raw = spark.read.option("basePath", store_path).parquet(store_path)
-    cur = latest_per_id(raw.select(*[f.name for f in STORE_SCHEMA.fields], "batch_id", "_rw_pos"),
-                        [F.col("batch_id"), F.col("_rw_pos")])
+    _write(latest_per_id(ordered.select(*doc_cols, "_rw_pos"), [F.col("_rw_pos")]).withColumn(
+        "_rw_pos", F.to_json(F.col("_rw_pos"))), store_path, batch_id)
+
+
+def _write(docs: DataFrame, store_path: str, batch_id: int) -> None:
+    (docs.withColumn("bucket", id_bucket(F.col("alert_id"))).repartition("bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{store_path.rstrip('/')}/batch_id={int(batch_id)}"))
+
+
+def read_store(spark: SparkSession, store_path: str, alert_id: str | None = None) -> DataFrame:
+    """K2 read side: the current document per alert id, or of one id. A store not written yet is empty."""
+    try:
+        raw = spark.read.schema(_READ_SCHEMA).option("basePath", store_path).parquet(store_path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame([], _READ_SCHEMA)
+    if alert_id is not None:
+        raw = raw.where((F.col("bucket") == spark.range(1).select(id_bucket(F.lit(alert_id))).first()[0])
+                        & (F.col("alert_id") == alert_id))
+    cur = latest_per_id(raw.drop("bucket"), [F.col("batch_id"), F.col("_rw_pos")])
     return cur.drop("batch_id", "_rw_pos")
 
 
@@ -56,9 +79,7 @@ def compact(spark: SparkSession, store_path: str, out_path: str, batch_id: int =
     Readers switch to ``out_path`` once it is written; new batches continue there with ids
     above ``batch_id``. The old store is left untouched (nothing is deleted here).
     """
-    cur = read_store(spark, store_path)
-    cur.withColumn("_rw_pos", F.lit("{}")).write.mode("overwrite").parquet(
-        f"{out_path.rstrip('/')}/batch_id={int(batch_id)}")
+    _write(read_store(spark, store_path).withColumn("_rw_pos", F.lit("{}")), out_path, batch_id)
 
 
 # --- Q1-Q7 -----------------------------------------------------------------------------

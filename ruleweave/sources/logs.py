@@ -41,16 +41,19 @@ class LogView:
 
 
 def table_view(df: DataFrame, *, time_col: str, order_cols: list[str], fields: list[str] | None = None,
-               id_time_col: str | None = None, keep: list[str] | None = None) -> LogView:
+               id_time_col: str | None = None, keep: list[str] | None = None,
+               sources: dict[str, str] | None = None) -> LogView:
     """A columnar log view: each non-internal column is a field.
 
+    ``sources``: integer columns (usually internal) behind text fields, see ``ColumnFields``.
+
     ``time_col`` drives bursts (event time, D1); ``id_time_col`` (default: ``timestamp``
     when present, else ``time_col``) feeds the burst-id bucket.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     names = [c for c in (fields or df.columns) if not c.startswith(INTERNAL)]
     schema = T.StructType([f for f in df.schema.fields if f.name in names])
-    cf = ColumnFields(schema)
+    cf = ColumnFields(schema, sources)
     id_col = id_time_col or ("timestamp" if "timestamp" in types else time_col)
     canonical = canonical_json(schema)
     return LogView(

@@ -37,13 +37,14 @@ def events_logs_from(ev: DataFrame) -> DataFrame:
         F.date_format("ts", ISO_FORMAT).alias("timestamp"),
         F.col("value"),
         F.col("ts").alias("_rw_ts"),
+        F.col("user_id").cast("bigint").alias("_rw_user"),
     )
 
 
 def events_view(spark: SparkSession, sf_dir: str, df: DataFrame | None = None) -> LogView:
     logs = events_logs(spark, sf_dir) if df is None else df
     return table_view(logs, time_col="_rw_ts", id_time_col="_rw_ts", order_cols=["event_id"],
-                      keep=["event_id"])
+                      keep=["event_id"], sources={"host": "_rw_user"})
 
 
 def lineitem_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
