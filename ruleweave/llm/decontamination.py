@@ -33,7 +33,10 @@ _WINDOWS_AT_ONCE = 1 << 16
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, with A-Z and the accented capitals of Latin-1 lower-cased."""
     data = LOWER[data]
+    accented = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    data[accented] += 0x20
     starts, ends, rows = word_bounds(data, offsets, ALNUM_WORDS)
     return word_hashes(data, starts, ends), rows
 

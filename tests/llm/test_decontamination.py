@@ -100,6 +100,13 @@ def test_empty_tables(spark, frame):
     assert D.remove_contaminated(docs, bench).count() == len(rows)
 
 
+def test_case_and_punctuation_do_not_hide_a_passage(spark, frame):
+    item = "la réunion était à l'heure près du château où l'été finit"
+    rows = [(1, "x " + item.upper() + " y"), (2, "!! ".join(item.split(" "))), (3, item.replace("é", "e"))]
+    got = D.find_contamination(*frames(spark, frame, rows, [(7, item)])).collect()
+    assert sorted((r.doc_id, r.similarity) for r in got) == [(1, 1.0), (2, 1.0)]
+
+
 def test_blocks_hold_every_fingerprint_within_the_radius():
     rnd = random.Random(1)
     items = [(i, " ".join(f"w{rnd.randrange(1000)}" for _ in range(20))) for i in range(40)]
