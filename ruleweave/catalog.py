@@ -539,24 +539,24 @@ def _run_stream(spark: SparkSession, df: DataFrame, tag: str, with_path: bool =
     return (out, base + "/out") if with_path else out
 
 
-SLICES = 4
+SLICES = 3
 
 
 def _sliced_events(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """The events table as a stream of several micro-batches, hosts out of phase.
 
-    The events are written slice by slice of time to the shared folder; every third of the hosts runs
-    one or two slices behind, so that a micro-batch mixes clocks that are far apart.
+    The events are written slice by slice of time to the shared folder; every other host runs
+    a slice behind, so that a micro-batch mixes clocks that are far apart.
     """
     from ruleweave.functions.timeutil import epoch_micros
     ev = read_table(spark, sf_dir, "events")
     t = epoch_micros("ts", ev.schema["ts"].dataType)
     low, high = ev.agg(F.min(t), F.max(t)).first()
     width = (high - low) // SLICES + 1
-    behind = F.coalesce(F.pmod(F.col("user_id"), F.lit(3)), F.lit(0))
+    behind = F.coalesce(F.pmod(F.col("user_id"), F.lit(2)), F.lit(0))
     sliced = ev.withColumn("_rw_slice", F.floor((t - F.lit(low)) / F.lit(width)) + behind)
     files = max(1, ev.rdd.getNumPartitions())
-    for i in range(SLICES + 2):
+    for i in range(SLICES + 1):
         sliced.where(F.col("_rw_slice") == i).drop("_rw_slice").write.parquet(f"{base}/slices/slice-{i}")
     return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", True)
             .parquet(f"{base}/slices"))
@@ -574,8 +574,8 @@ def _detected(spark: SparkSession, sf_dir: str, tag: str, rules, store: bool = F
                         store_path=base + "/store" if store else None, trigger={"availableNow": True}, **options)
     q.awaitTermination()
     batches = sum(p["numInputRows"] > 0 for p in q.recentProgress)
-    if batches < SLICES:
-        raise RuntimeError(f"expected {SLICES} micro-batches or more, got {batches}")
+    if batches <= SLICES:
+        raise RuntimeError(f"expected more than {SLICES} micro-batches, got {batches}")
     return base
 
 
@@ -991,3 +991,34 @@ SELECT {sql_uuid5("'ev-error-burst-001:' || host || ':0'")} AS alert_id, 'ev-err
 QUERIES.update({"alerts_by_rule": alerts_by_rule, "alerts_by_id": alerts_by_id})
 ORACLES["alerts_by_rule"] = _published() + "SELECT alert_id, host, event_id FROM stored WHERE rule_id = 'ev-error-burst-001'"
 ORACLES["alerts_by_id"] = _published() + "SELECT alert_id, rule_id, severity, host FROM stored ORDER BY alert_id LIMIT 1"
+
+
+def _event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(day_us, events): the start of every day with events, and their number."""
+    day = ntz_micros(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
+    return read_table(spark, sf_dir, "events").groupBy(day.alias("day_us")).agg(F.count(F.lit(1)).alias("events"))
+
+
+def rule_count_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of active rules at the start of every day with events."""
+    from ruleweave.operators.lifecycle import rule_count_at
+    return rule_count_at(events_changelog(spark), _event_days(spark, sf_dir), "day_us")
+
+
+def envelope_errors_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 + S4: the envelopes skipped on each day with events, and why."""
+    from ruleweave.operators.lifecycle import with_errors
+    bad = with_errors(events_changelog(spark)).where(F.col("error").isNotNull()).select(
+        F.col("at_us").alias("day_us"), "seq", "error")
+    return _event_days(spark, sf_dir).join(bad, "day_us")
+
+
+QUERIES.update({"rule_count_asof": rule_count_asof, "envelope_errors_by_day": envelope_errors_by_day})
+_DAYS = "days AS (SELECT epoch_us(date_trunc('day', ts)) AS day_us, count(*) AS events FROM events GROUP BY 1)"
+ORACLES["rule_count_asof"] = f"""WITH {_DAYS} SELECT day_us, events,
+    2 + CAST(day_us >= {_day_us(5)} AND day_us < {_day_us(15)} AS INT) + CAST(day_us >= {_day_us(20)} AS INT)
+      + CAST(day_us >= {_day_us(22)} AS INT) + CAST(day_us >= {_day_us(27)} AS INT)
+      - CAST(day_us >= {_day_us(18)} AND day_us < {_day_us(19)} AS INT) AS rule_count FROM days"""
+ORACLES["envelope_errors_by_day"] = f"""WITH {_DAYS}, bad(day_us, seq, error) AS (VALUES
+    ({_day_us(25)}, 9, $$'rule_id' differs from the rule's own id$$), ({_day_us(26)}, 10, $$no 'op' given$$),
+    ({_day_us(29)}, 13, $$unknown op: rename$$)) SELECT day_us, events, seq, error FROM days JOIN bad USING (day_us)"""

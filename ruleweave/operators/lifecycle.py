@@ -122,6 +122,20 @@ def rule_count(changelog: DataFrame) -> DataFrame:
     return active_rules(changelog).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rule_count"))
 
 
+def rule_count_at(changelog: DataFrame, times: DataFrame, at_col: str) -> DataFrame:
+    """L8 as of given times: ``times`` with ``rule_count``, the copies of the versions valid then.
+
+    The changelog is control-plane data; every version meets the times of its interval. Reduce
+    ``times`` to the instants of interest (days, batches) first.
+    """
+    t = F.col(quote(at_col))
+    ents = entries(changelog).select("copies", "from_us", "to_us", "to_seq")
+    valid = ((F.col("from_us").isNull() | (F.col("from_us") <= t))
+             & (F.col("to_seq").isNull() | (t < F.col("to_us"))))
+    return times.join(ents, valid, "left").groupBy(*[F.col(quote(c)) for c in times.columns]).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rule_count"))
+
+
 def directory_changelog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     """Directory rules are ``add``s before everything else (negative sequence numbers)."""
     rows = [(i - len(rules), None, "add", r.id, r.to_json()) for i, r in enumerate(rules)]

@@ -102,7 +102,7 @@ def _with_newest(rows: DataFrame, newest: DataFrame) -> DataFrame:
 
 def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tail: DataFrame | None,
                 lateness_us: int, future_us: int | None):
-    """(alerts, next tail, late rows, rows from the future) of one micro-batch."""
+    """(alerts, next tail, rows set aside) of one micro-batch."""
     rules = [r for _, _, r, _ in active.bursts]
     specs = [burst_spec(r) for r in rules]
     spans = [s.window_seconds * MICROS for s in specs]
@@ -121,7 +121,7 @@ def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tai
         span = case_of(k, [F.lit(w) for w in spans])
         late = _with_newest(new, _newest(old)).where(F.col("_rw_t") <= F.col("_rw_newest") - span - F.lit(lateness_us))
     else:
-        late = new.withColumn("_rw_newest", F.lit(None).cast("long")).where(F.lit(False))
+        late = None
     counted = None
     for w in sorted(set(spans)):
         part = windowed_counts(rows.where(k.isin([i for i, x in enumerate(spans) if x == w])),
@@ -143,8 +143,10 @@ def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tai
         case_of(k, [F.lit(r) for r, _, _, _ in active.bursts]).alias("_rw_rid"),
         case_of(k, [F.lit(e).cast("long") for _, e, _, _ in active.bursts]).alias("_rw_epoch"),
         "_rw_key", "_rw_t", "_rw_o0")
-    return alerts, tail, late.select("_rw_key", "_rw_t", "_rw_o0", "host", "raw_log"), ahead.select(
-        "_rw_key", "_rw_t", "_rw_o0", "host", "raw_log")
+    aside = ahead.select(F.lit("future").alias("reason"), "_rw_key", "_rw_t", "_rw_o0", "host", "raw_log")
+    if late is not None:
+        aside = aside.unionByName(late.select(F.lit("late").alias("reason"), *aside.columns[1:]))
+    return alerts, tail, aside
 
 
 def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
@@ -157,10 +159,10 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
     The tail keeps, per (rule, key), the matches newer than that key's own newest time less the
     rule's span and ``lateness_seconds``; keys whose clocks differ do not shorten each other's windows.
     Counts equal the batch answer for logs at most that late against their own key. A later one is
-    still counted against what the tail has, and listed in ``state_path/late``. A log more than
-    ``future_seconds`` ahead of the clock (None: no limit) takes no part in bursts and is listed in
-    ``state_path/future``, so that a wrong clock does not end its key's window. Rules that cannot run
-    are listed in ``state_path/rule_errors``. All of these are written per batch id.
+    still counted against what the tail has, and listed in ``state_path/aside`` with reason ``late``. A
+    log more than ``future_seconds`` ahead of the clock (None: no limit) takes no part in bursts and is
+    listed there with reason ``future``, so that a wrong clock does not end its key's window. Rules that
+    cannot run are listed in ``state_path/rule_errors``. All of these are written per batch id.
 
     ``make_view`` gives a view with one order column, which must also be in its ``keep``.
     """
@@ -178,11 +180,10 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
             tail = spark.createDataFrame([], TAIL_SCHEMA)
             if active.bursts:
                 old = spark.read.schema(TAIL_SCHEMA).parquet(f"{state}/tail/batch_id={batch_id - 1}") if batch_id else None
-                burst, tail, late, ahead = _burst_step(spark, view, active, old, lateness_seconds * MICROS,
-                                                       None if future_seconds is None else future_seconds * MICROS)
+                burst, tail, aside = _burst_step(spark, view, active, old, lateness_seconds * MICROS,
+                                                 None if future_seconds is None else future_seconds * MICROS)
                 alerts = alerts.unionByName(burst.select(*columns, "window_count"))
-                late.write.mode("overwrite").parquet(f"{state}/late/batch_id={batch_id}")
-                ahead.write.mode("overwrite").parquet(f"{state}/future/batch_id={batch_id}")
+                aside.write.mode("overwrite").parquet(f"{state}/aside/batch_id={batch_id}")
             if active.errors:
                 spark.createDataFrame(active.errors, ERROR_SCHEMA).write.mode("overwrite").parquet(
                     f"{state}/rule_errors/batch_id={batch_id}")
