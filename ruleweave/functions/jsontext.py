@@ -17,5 +17,6 @@ def strict_object(value: Column) -> Column:
     mark = F.concat(F.lit("_rw_"), F.hex(F.xxhash64(value)))
     parsed = F.from_json(F.concat(F.lit("["), value, F.lit(',{"'), mark, F.lit('":"1"}]')),
                          "array<map<string,string>>", {"allowSingleQuotes": "false"})
-    whole = (F.size(parsed) == 2) & F.array_contains(F.map_keys(parsed[1]), mark)
-    return F.when(whole, parsed[0])
+    # bound by a lambda, so that the text is parsed once
+    return F.transform(F.array(parsed), lambda p: F.when(
+        (F.size(p) == 2) & F.map_contains_key(p[1], mark), p[0]))[0]

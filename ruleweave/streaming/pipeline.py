@@ -102,12 +102,12 @@ def _with_newest(rows: DataFrame, newest: DataFrame) -> DataFrame:
 
 def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tail: DataFrame | None,
                 lateness_us: int, future_us: int | None):
-    """(alerts, next tail, rows set aside) of one micro-batch."""
+    """(alerts, next tail, rows set aside, persisted matches) of one micro-batch."""
     rules = [r for _, _, r, _ in active.bursts]
     specs = [burst_spec(r) for r in rules]
     spans = [s.window_seconds * MICROS for s in specs]
     k = F.col("_rw_k")
-    new = burst_rows(view, rules)
+    matches = new = burst_rows(view, rules).persist()    # counted, kept and set aside: match the rules once
     ahead = new.where(F.lit(False))
     if future_us is not None:
         limit = F.unix_micros(F.current_timestamp()) + F.lit(future_us)
@@ -146,7 +146,7 @@ def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tai
     aside = ahead.select(F.lit("future").alias("reason"), "_rw_key", "_rw_t", "_rw_o0", "host", "raw_log")
     if late is not None:
         aside = aside.unionByName(late.select(F.lit("late").alias("reason"), *aside.columns[1:]))
-    return alerts, tail, aside
+    return alerts, tail, aside, matches
 
 
 def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
@@ -170,7 +170,7 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
+        batch, matches = batch.persist(), None
         try:
             view = make_view(batch)
             active = rules(spark, view)
@@ -180,7 +180,7 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
             tail = spark.createDataFrame([], TAIL_SCHEMA)
             if active.bursts:
                 old = spark.read.schema(TAIL_SCHEMA).parquet(f"{state}/tail/batch_id={batch_id - 1}") if batch_id else None
-                burst, tail, aside = _burst_step(spark, view, active, old, lateness_seconds * MICROS,
+                burst, tail, aside, matches = _burst_step(spark, view, active, old, lateness_seconds * MICROS,
                                                  None if future_seconds is None else future_seconds * MICROS)
                 alerts = alerts.unionByName(burst.select(*columns, "window_count"))
                 aside.write.mode("overwrite").parquet(f"{state}/aside/batch_id={batch_id}")
@@ -191,6 +191,8 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
             tail.write.mode("overwrite").parquet(f"{state}/tail/batch_id={batch_id}")
         finally:
             batch.unpersist()
+            if matches is not None:
+                matches.unpersist()
 
     return _started(logs, run, checkpoint, trigger)
 
