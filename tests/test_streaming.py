@@ -278,3 +278,67 @@ def test_changelog_detection_bursts_follow_rule_changes(spark, tmp_path):
     pub = spark.read.parquet(str(base / "pub")).select(F.get_json_object("value", "$.rule_id").alias("rule_id"),
                                                       "offset").collect()
     assert sorted(r.offset for r in pub if r.rule_id == "B") == [5, 11, 13]
+
+
+@pytest.fixture
+def untimed_events(spark, tmp_path):
+    """The events of sf0.001 in files of consecutive times, a scan partition each; one in nine without a time."""
+    least = spark.conf.get("spark.ruleweave.read.minPartitions", None)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartitionByRange(12, "ts").withColumn(
+        "ts", F.when(F.col("event_id") % 9 != 0, F.col("ts"))).write.parquet(str(tmp_path / "sf/events.parquet"))
+    spark.conf.unset("spark.ruleweave.read.minPartitions")
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(c) for c in sizes]
+    for c in sizes:     # a file fills a partition
+        spark.conf.set(c, "1m")
+    yield str(tmp_path / "sf")
+    for c, value in zip(sizes, before):
+        spark.conf.set(c, value)
+    if least:
+        spark.conf.set("spark.ruleweave.read.minPartitions", least)
+
+
+def rows_of(df, columns):
+    return sorted(map(repr, df.select(*columns).collect()))
+
+
+@pytest.mark.parametrize("stream, batch", [
+    ("stream_bursts", "burst_alerts"), ("stream_upsert", "stored_alerts"), ("stream_coarse_bursts", "coarse_bursts")])
+def test_registered_streams_keep_events_without_a_time(spark, untimed_events, stream, batch):
+    from ruleweave.catalog import QUERIES
+    expected = QUERIES[batch](spark, untimed_events)
+    assert rows_of(QUERIES[stream](spark, untimed_events), expected.columns) == rows_of(expected, expected.columns) != []
+
+
+def test_deduplicated_stream_keeps_events_without_a_time(spark, untimed_events):
+    from ruleweave.catalog import QUERIES, rule_pack
+    from ruleweave.sources.testdata import events_view
+    expected = evaluate(events_view(spark, untimed_events), list(rule_pack("events"))).select(
+        "alert_id", "rule_id", "host").distinct()
+    assert rows_of(QUERIES["stream_dedup"](spark, untimed_events), expected.columns) == rows_of(expected, expected.columns)
+
+
+def test_changelog_stream_keeps_events_without_a_time(spark, untimed_events):
+    from ruleweave.catalog import QUERIES, events_changelog
+    from ruleweave.sources.testdata import events_view
+    view = events_view(spark, untimed_events)
+    active = changelog_rules(events_changelog)(spark, view)
+    columns = ["alert_id", "rule_id", "event_id"]
+    expected = evaluate(view, active.plain + [r for _, _, r, _ in active.bursts]).select(columns).distinct()
+    got = QUERIES["stream_changelog_alerts"](spark, untimed_events).select(columns).distinct()
+    assert rows_of(got, columns) == rows_of(expected, columns) != []
+
+
+def test_registered_streams_run_a_micro_batch_per_slice(spark, untimed_events):
+    from ruleweave import catalog
+    base = catalog._detected(spark, untimed_events, "slices", fixed_rules(RULES))
+    ids = [int(name.split("=")[1]) for name in os.listdir(base + "/state/tail") if name.startswith("batch_id=")]
+    assert sorted(ids) == list(range(catalog.SLICES + 1))
+
+
+def test_registered_streams_of_an_empty_table(spark, tmp_path):
+    from ruleweave.catalog import QUERIES
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_bursts", "stream_upsert", "stream_dedup", "stream_changelog_alerts", "stream_coarse_bursts"):
+        assert QUERIES[name](spark, str(tmp_path)).collect() == [], name
