@@ -164,10 +164,11 @@ def rule_errors(changelog: DataFrame, view: LogView | None = None) -> DataFrame:
 
 
 def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT_CHUNK_FACTOR) -> DataFrame:
-    """Every log is evaluated against the rule versions valid at its event time.
+    """Every log is evaluated against the rule versions valid at the time it counts at.
 
-    A version valid in ``[from, to)`` is the compiled rule ANDed with that interval, so
-    the whole changelog runs in one scan of the logs without a join. Burst windows are
+    That is its event time, else its arrival time, else 0 (A8), as for burst windows. A version
+    valid in ``[from, to)`` is the compiled rule ANDed with that interval, so the whole
+    changelog runs in one scan of the logs without a join. Burst windows are
     keyed by (rule id, epoch, key): an update keeps the window, a delete restarts it.
     """
     ents = collect_entries(changelog)
@@ -180,7 +181,7 @@ def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT
         if not usable_rules([rule], view.fields)[0]:
             continue
         (bursts if rule.is_burst else plain).append((rule, e))
-    t = view.event_us
+    t = counting_time(view)
 
     def gate(e):
         g = F.lit(True)

@@ -170,3 +170,23 @@ def test_timeframe_and_key_may_change_within_an_epoch(logs_of):
         if n > 2:
             expected.append(i)
     assert got == expected
+
+
+def test_asof_logs_without_an_event_time(spark):
+    """They meet the versions valid at their arrival time, or at time 0 where the source has none."""
+    from ruleweave.sources.logs import decode_json_logs, json_view
+    base = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
+    us = lambda s: int((base + dt.timedelta(seconds=s)).timestamp() * 1_000_000)
+    burst = {"id": "b", "title": "b", "level": "high",
+             "detection": {"s": {"log_type": "x"}, "condition": "s | count() by host > 1", "timeframe": "60s"}}
+    rows = [(0, None, "add", "old", json.dumps(payload("old", "x"))), (1, us(0), "add", "a", json.dumps(payload("a", "x"))),
+            (2, us(0), "add", "b", json.dumps(burst)), (3, us(10), "delete", "a", None),
+            (4, us(20), "delete", "old", None), (5, us(20), "delete", "b", None)]
+    cl = spark.createDataFrame(rows, CHANGELOG_SCHEMA)
+    logs = [(i, base + dt.timedelta(seconds=s), json.dumps({"log_type": "x", "host": "h"}))
+            for i, s in enumerate([-5, 5, 8, 15, 25])]
+    good, _ = decode_json_logs(spark.createDataFrame(logs, "seq long, at timestamp, value string"))
+    for arrival, expected in (("at", [("a", 1), ("a", 2), ("b", 2), ("b", 3), ("old", 0), ("old", 1), ("old", 2), ("old", 3)]),
+                              (None, [("old", i) for i in range(5)])):
+        view = json_view(good, order_cols=["seq"], keep=["seq"], arrival_col=arrival)
+        assert sorted((r.rule_id, r.seq) for r in asof_alerts(view, cl).collect()) == expected
