@@ -6,6 +6,7 @@ blocks finds every item fingerprint within the radius (if at most r of 64 bits d
 in at most r // 8), and the weighted (multiset) Jaccard similarity of the shingles verifies each candidate
 exactly. A window that shares no shingle with an item has similarity 0, so windows are fingerprinted only
 around words where a benchmark shingle occurs; this loses nothing and leaves clean text at one hash a word.
+A document of fewer words than an item is one window, all of it, and is verified without the fingerprints.
 
 The benchmark is held in blocks of items; each block is a bounded broadcast and one more pass.
 """
@@ -75,17 +76,19 @@ class ItemIndex:
                 continue
             k = min(shingle, n)
             h = window_hashes(words[a:b], k)
-            entry = self.by_length.setdefault(n, {"k": k, "items": [], "fps": [], "index": defaultdict(list)})
+            entry = self.by_length.setdefault(n, {"k": k, "items": [], "fps": [], "hashes": [], "index": defaultdict(list)})
             at = len(entry["items"])
             fp = int(_simhash(_bits(h), len(h))[0])
             entry["items"].append((item_id, Counter(h.tolist())))
             entry["fps"].append(fp)
+            entry["hashes"].append(h)
             for i in range(_BLOCKS):
                 for p in patterns:
                     entry["index"][i, (fp >> 8 * i & 255) ^ p].append(at)
             every[k].append(h)
         for entry in self.by_length.values():
             entry["fps"] = np.array(entry["fps"], np.uint64)
+            entry["hashes"] = np.stack(entry["hashes"])     # a row of shingles per item
             entry["index"] = {key: np.array(v) for key, v in entry["index"].items()}
             # per block: the items that each of the 256 values may belong to, as bit rows
             entry["table"] = np.zeros((_BLOCKS, 256, -(-len(entry["items"]) // 8)), np.uint8)
@@ -111,20 +114,40 @@ class ItemIndex:
         found: dict[int, tuple] = {}
         for n, entry in self.by_length.items():
             k = entry["k"]
-            if n > len(words) or k not in hits:
+            if k not in hits:
                 continue
             size = n - k + 1
-            for low, high in _ranges(hits[k], size, len(words) - n):
-                h = window_hashes(words[low:high + n], k)
-                fps = _simhash(_bits(h), size)
-                for w, i in zip(*self.candidates(fps, n)):
-                    item_id, shingles = entry["items"][i]
-                    similarity = overlap(Counter(h[w:w + size].tolist()), shingles)
-                    best = found.get(item_id)
-                    if similarity >= threshold and (best is None or similarity > best[3]):
-                        found[item_id] = (item_id, int(low + w), n, similarity)
+            if n > len(words):
+                similar = self._whole(words, len(hits[k]), entry, size, threshold)
+            else:
+                similar = self._windows(words, hits[k], n, size)
+            for item_id, start, n_words, similarity in similar:
+                best = found.get(item_id)
+                if similarity >= threshold and (best is None or similarity > best[3]):
+                    found[item_id] = (item_id, start, n_words, similarity)
         return [found[x] for x in sorted(found)]
 
+    def _windows(self, words: np.ndarray, hits: np.ndarray, n: int, size: int):
+        """The windows of n words near an item in fingerprint, with their similarity."""
+        entry = self.by_length[n]
+        for low, high in _ranges(hits, size, len(words) - n):
+            h = window_hashes(words[low:high + n], entry["k"])
+            for w, i in zip(*self.candidates(_simhash(_bits(h), size), n)):
+                item_id, shingles = entry["items"][i]
+                yield item_id, int(low + w), n, overlap(Counter(h[w:w + size].tolist()), shingles)
+
+    @staticmethod
+    def _whole(words: np.ndarray, n_hits: int, entry: dict, size: int, threshold: float):
+        """A document shorter than the items as the one window. Similarity is at most the share of an item's
+        shingles that the document has, so only items with enough of them are compared."""
+        if n_hits / size < threshold:
+            return
+        h = window_hashes(words, entry["k"])
+        own = Counter(h.tolist())
+        for i in np.flatnonzero(np.isin(entry["hashes"], h).sum(axis=1) / size >= threshold):
+            item_id, shingles = entry["items"][i]
+            yield item_id, 0, len(words), overlap(own, shingles)
+
 
 def _ranges(hits: np.ndarray, size: int, last: int):
     """Merged ranges of window starts whose windows hold a hit, cut to bounded length."""
@@ -183,7 +206,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                        threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, similarity): per document row and item the best window, if similar enough.
 
-    Items of fewer words than a shingle are one shingle and match exactly. Null or empty texts and items
+    Items of fewer words than a shingle are one shingle and match exactly. A document of fewer words than
+    the item is one window, with its own number of words as n_words. Null or empty texts and items
     match nothing; a repeated document row gives repeated results; items may share texts. Of equally
     similar windows the first counts. A null id is carried as null. Empty tables: no rows.
     """

@@ -122,3 +122,37 @@ def test_blocks_hold_every_fingerprint_within_the_radius():
     got = set(zip(*(x.tolist() for x in index.candidates(probes, 20))))
     assert got == {(i, j) for i, p in enumerate(probes.tolist()) for j, q in enumerate(own.tolist())
                    if (p ^ q).bit_count() <= D.RADIUS}
+
+
+def test_documents_shorter_than_the_item(spark, frame):
+    """A clipped item is the whole document: one window, compared like any other."""
+    rnd = random.Random(5)
+    items = [(i, " ".join(f"w{rnd.randrange(500)}" for _ in range(n))) for i, n in enumerate([4, 6, 9, 10, 15, 40, 59])]
+    items += [(7, "same " * 30), (8, " ".join(items[5][1].split(" ")[:36]) + " other")]
+    rows = []
+    for _, item in items:
+        w = item.split()
+        for cut in range(len(w)):
+            rows += [(len(rows), " ".join(w[cut:])), (len(rows) + 1, " ".join(w[:len(w) - cut]))]
+            if len(w) - cut > 4:
+                rows.append((len(rows), " ".join([*w[:2], "edited", *w[3:len(w) - cut]])))
+    expected = []
+    for doc_id, text in rows:
+        w = words_of(text)
+        for item_id, item in items:
+            v = words_of(item)
+            k, n = min(5, len(v)), min(len(v), len(w))
+            goal, best = Counter(shingles(v)), 0
+            for a in range(len(w) - n + 1):
+                here = Counter(shingles(w[a:a + n], k))
+                both = sum((here & goal).values())
+                best = max(best, both / (sum(here.values()) + sum(goal.values()) - both))
+            if best >= 0.8:
+                expected.append((str(doc_id), item_id, n, round(best, 9)))
+    docs, bench = frames(spark, frame, rows, items)
+    got = [(str(r.doc_id), r.item_id, r.n_words, round(r.similarity, 9)) for r in D.find_contamination(docs, bench).collect()]
+    assert sorted(got) == sorted(expected)
+    clipped = [(str(i), 5) for i, t in rows if t == " ".join(items[5][1].split(" ")[:38])]
+    assert clipped and set(clipped) <= {(d, i) for d, i, _, _ in got}
+    found = {d for d, *_ in expected}
+    assert sorted(r.doc_id for r in D.remove_contaminated(docs, bench).collect()) == [i for i, _ in rows if str(i) not in found]
