@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import (decontamination, language_id, licenses, mixing, packing, pii, quality_rules, simhash_dedup,
-                           substring_dedup, warc)
+from ruleweave.llm import (decontamination, filter_audit, language_id, licenses, mixing, packing, pii, quality_rules,
+                           simhash_dedup, substring_dedup, warc)
 from ruleweave.llm.stage import scratch
 
 
@@ -85,6 +85,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every language, at every step of all 120 orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_warc_archive": op8_warc_archive,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
+    "op11_filter_audit": op11_filter_audit,
 }
 ORACLES: dict[str, str] = {
     "op4_source_mixing": """
@@ -121,4 +127,37 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> low THEN low END AS refers_to, TRUE AS verified
         FROM d""",
+    "op11_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                     max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                     concat(CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+                            CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END,
+                            CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END,
+                            CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+                            CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+              FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+        c AS (SELECT part, fails, count(*) AS n, sum(good) AS n_good, sum(toxic) AS n_toxic FROM f GROUP BY part, fails),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM x a, x b, x c, x d, x e
+              WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter,
+                     filter_order[1:step - 1] AS earlier FROM o, unnest(range(1, 6)) AS u(step)),
+        t AS (SELECT c.*, s.*, contains(fails, letter) AS fail, len(translate(fails, earlier, '')) < len(fails) AS gone
+              FROM c, s),
+        r AS (SELECT part, filter_order, step, letter,
+                     sum(CASE WHEN NOT fail AND NOT gone THEN n ELSE 0 END) AS kept,
+                     sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END) AS removed,
+                     sum(CASE WHEN fail AND gone THEN n ELSE 0 END) AS redundant,
+                     sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS unique_fails,
+                     sum(CASE WHEN fail AND NOT gone THEN n_good ELSE 0 END) AS good_lost,
+                     sum(CASE WHEN fail AND NOT gone THEN n_toxic ELSE 0 END) AS toxic_lost
+              FROM t GROUP BY part, filter_order, step, letter)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM r""",
 }
