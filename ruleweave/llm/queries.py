@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleweave.llm import (decontamination, filter_audit, language_id, licenses, mixing, packing, pii, quality_rules,
-                           simhash_dedup, substring_dedup, warc)
+                           simhash_dedup, substring_dedup, warc, whitening)
 from ruleweave.llm.stage import scratch
 
 
@@ -90,6 +90,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the sixteen widest directions, at unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_language_id": op10_language_id,
     "op11_filter_audit": op11_filter_audit,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
     "op4_source_mixing": """
