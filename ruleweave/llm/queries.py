@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import (decontamination, filter_audit, language_id, licenses, mixing, packing, pii, quality_rules,
-                           simhash_dedup, substring_dedup, warc, whitening)
+from ruleweave.llm import (decontamination, filter_audit, language_id, licenses, minhash_dedup, mixing, packing, pii,
+                           quality_rules, simhash_dedup, substring_dedup, warc, whitening)
 from ruleweave.llm.stage import scratch
 
 
@@ -95,6 +95,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and group of near-duplicates of every document: four words, similarity of 0.8."""
+    return minhash_dedup.minhash_groups(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_pii": op2_pii,
@@ -108,6 +113,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_filter_audit": op11_filter_audit,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {
     "op4_source_mixing": """
