@@ -11,8 +11,9 @@ class, and classes are linked where their sets are at least 80 % similar:
 
 Only the connected groups are wanted, so pairs already connected need no comparison. First all members
 of a bucket meet its most central one, then members that are still apart meet each other. Crowded
-buckets hand those members to an exact way without pairing them off: sets of similarity 0.8 share a
-shingle among their rarest fifth, so they meet over those, again over central members first.
+buckets hand those members to an exact way that does not pair them off: similar sets share a shingle
+among their rarest, so they meet over those, again over central members first, and only at places from
+where enough shingles are left to share.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.llm.components import connected_components
-from ruleweave.llm.stage import staged
+from ruleweave.llm.stage import dropped, staged
 from ruleweave.llm.textbatch import (LOWER, WHITESPACE_WORDS, mix, pieces, text_buffer, window_hashes, window_rows,
                                      word_bounds, word_hashes)
 
@@ -37,6 +38,8 @@ BITS = 4
 CROWDED = 32
 #: The share of similar pairs that the signature's estimate may lose.
 ESTIMATE_RISK = 1e-12
+#: Members of a crowded bucket that meet all others: one, then this many; then all that are still apart.
+HUBS = 64
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -172,74 +175,94 @@ def _confirmed(pairs: DataFrame, keyed: DataFrame, classes: DataFrame, shingle:
         pairs.join(side("u"), "u").join(side("v"), "v")
         .where(F.expr(f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"))
         .where(F.expr(f"{mismatches('sig_u', 'sig_v')} <= {most_mismatches(percent)}")).select("u", "v", "n_u", "n_v"), "likely")
+    dropped(pairs)
     if likely.isEmpty():
         return None
-    if full is None:
+    own = full is None
+    if own:
         wanted = likely.select(F.col("u").alias("set_id")).union(likely.select("v")).distinct()
         full = staged(_full_sets(keyed, classes, wanted, shingle), "sets")
     both = (likely.join(full.select(F.col("set_id").alias("v"), F.col("h").alias("h_v")), "v")
             .join(full.select(F.col("set_id").alias("u"), F.col("h").alias("h_u")), "u")
             .select("u", "v", "n_u", "n_v", F.size(F.array_intersect("h_u", "h_v")).cast("bigint").alias("common")))
-    return staged(both.where(F.expr(f"100 * common >= {percent} * (n_u + n_v - common)")).select("u", "v"), "links")
+    links = staged(both.where(F.expr(f"100 * common >= {percent} * (n_u + n_v - common)")).select("u", "v"), "links")
+    dropped(likely)
+    if own:
+        dropped(full)
+    return links
 
 
-def _apart(members: DataFrame, key: str, links: DataFrame | None) -> DataFrame:
-    """The members of groups that are not yet one connected group, with their root; columns as they came, and root."""
+def _rooted(roots: DataFrame | None, links: DataFrame | None) -> DataFrame | None:
+    """(node, root) of the groups so far, joined by further links."""
+    if links is None or links.isEmpty():
+        return roots
+    known = links if roots is None else links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    after = staged(connected_components(known), "roots")
+    dropped(links)
+    return after
+
+
+def _apart(members: DataFrame, key: str, roots: DataFrame | None) -> DataFrame:
+    """The members of buckets that are not yet one connected group, with their root; columns as they came, and root."""
     names = members.columns
-    if links is None:
-        rooted = members.withColumn("root", F.col("set_id"))
-    else:
-        roots = connected_components(links).select(F.col("node").alias("set_id"), "root")
-        rooted = members.join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    rooted = members.withColumn("root", F.col("set_id")) if roots is None else members.join(
+        roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     rooted = staged(rooted.select(*names, "root"), "rooted")
     divided = rooted.groupBy(key).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select(key)
-    return staged(rooted.join(divided, key), "apart")
-
-
-def _both(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
-    return a if b is None else b if a is None else staged(a.union(b), "links")
+    apart = staged(rooted.join(divided, key), "apart")
+    dropped(rooted)
+    return apart
 
 
-def _pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """(u, v) of members of two roots that share a group."""
-    r = right.select(key, F.col("set_id").alias("other"), F.col("root").alias("other_root"))
-    return left.join(r, key).where("root <> other_root").select(
-        F.least("set_id", "other").alias("u"), F.greatest("set_id", "other").alias("v"))
+def _pairs(left: DataFrame, right: DataFrame, key: str, able: str = "true") -> DataFrame:
+    """(u, v) of members l and r of one bucket, but not of one root, that `able` does not rule out."""
+    same = F.expr(f"l.{key} = r.{key} AND l.root <> r.root AND {able}")
+    return left.alias("l").join(right.alias("r"), same).select(
+        F.least("l.set_id", "r.set_id").alias("u"), F.greatest("l.set_id", "r.set_id").alias("v"))
 
 
-def _rare_shingle_links(crowd: DataFrame, links: DataFrame | None, keyed: DataFrame, classes: DataFrame, shingle: int,
-                        percent: int) -> DataFrame | None:
-    """The links among the given classes (of which those in `links` may be left out where not needed), by rare shingles.
+def _join_by_rare_shingles(crowd: DataFrame, roots: DataFrame | None, keyed: DataFrame, classes: DataFrame, shingle: int,
+                           percent: int) -> DataFrame | None:
+    """Groups (node, root) after all links among the given classes, found by their rare shingles.
 
-    Sets order their shingles from rare to common; similar sets share one among the first
-    n - ceil(n * percent / 100) + 1. A set of which too few shingles occur elsewhere has no partner.
+    Sets order their shingles from rare to common. Two sets that share no shingle before a place have at most
+    the shingles from there on in common, and of those only the ones that occur in other sets too. So
+    similar sets share one early enough, and each pair is met only at such places.
     """
     full = staged(_full_sets(keyed, classes, crowd, shingle), "crowd")
     items = full.select("set_id", F.size("h").alias("n"), F.explode("h").alias("s"))
     common = staged(items.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "common")
     known = items.join(common, "s").groupBy("set_id").agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("known")).withColumn("c", F.size("known"))
-    prefix = (f"slice(known, 1, greatest(0, n - ({percent} * n + 99) div 100 + 1 - (n - c)))")
-    members = staged(known.where(f"100 * c >= {percent} * n").select(
-        "set_id", "n", "c", F.explode(F.expr(f"transform({prefix}, x -> x.s)")).alias("s")), "members")
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("known"))
+    # rest: how many of a set's shingles that occur elsewhere stand at this place or after it
+    places = known.select("set_id", "n", F.size("known").alias("c"), F.posexplode("known.s").alias("at", "s")).select(
+        "set_id", "n", "s", F.expr("c - at").alias("rest")).where(f"100 * rest >= {percent} * n")
+    members = staged(places, "members")
     least = members.groupBy("s").agg(F.min("n").alias("n_min"), F.count("*").alias("k")).where("k > 1").select("s", "n_min")
-    able = members.join(least, "s").where(f"100 * c >= {percent} * (n + greatest(n_min, c) - c)").select("s", "set_id", "n", "c")
-    central = F.struct((F.col("c") / F.col("n")).alias("share"), "set_id")
+    able = members.join(least, "s").where(f"100 * rest >= {percent} * (n + greatest(n_min, rest) - rest)")
+    central = F.struct((F.col("rest") / F.col("n")).alias("share"), "set_id")
     sizes = able.groupBy("s").agg(F.count("*").alias("k"), F.max(central)["set_id"].alias("hub")).where("k > 1")
-    groups = staged(able.join(sizes, "s").select("s", "set_id", "k", "hub"), "groups")
-    hubs, found = 1, None
+    groups = staged(able.join(sizes, "s").select("s", "set_id", "n", "rest", "k", "hub"), "groups")
+    dropped(members)
+    dropped(common)
+    bound = f"100 * least(l.rest, r.rest) >= {percent} * (l.n + r.n - least(l.rest, r.rest))"
+    hubs = 1
     while True:
-        apart = _apart(groups, "s", _both(links, found))
+        apart = _apart(groups, "s", roots)
         most = apart.agg(F.max("k")).first()[0]
-        if most is None:
-            return found
-        # hubs of a round: the central member, then 8, 64, ... of the group by hash, at last all
-        share = F.pmod(F.xxhash64("set_id"), F.lit(1 << 30)) * F.col("k") < F.lit(hubs << 30)
-        chosen = apart.where(F.col("set_id") == F.col("hub") if hubs == 1 else share)
-        found = _both(found, _confirmed(_pairs(chosen, apart, "s"), keyed, classes, shingle, percent, full))
-        if hubs >= most:
-            return found
-        hubs *= 8
+        if most is not None:
+            # the central member, then some by hash, at last all meet the members of other groups
+            few = F.pmod(F.xxhash64("set_id"), F.lit(1 << 30)) * F.col("k") < F.lit(hubs << 30)
+            last = hubs >= most or hubs > HUBS or (hubs > 1 and most <= HUBS ** 2)
+            pairs = (_pairs(apart, apart, "s", f"{bound} AND l.set_id < r.set_id") if last else
+                     _pairs(apart.where(F.col("set_id") == F.col("hub") if hubs == 1 else few), apart, "s", bound))
+            roots = _rooted(roots, _confirmed(pairs, keyed, classes, shingle, percent, full))
+        dropped(apart)
+        if most is None or last:
+            dropped(groups)
+            dropped(full)
+            return roots
+        hubs *= HUBS
 
 
 def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -264,17 +287,18 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hubs = shared.join(weights, "set_id").groupBy("key").agg(F.max(F.struct("weight", "set_id"))["set_id"].alias("hub"))
     stars = shared.join(hubs, "key").where("set_id <> hub").select(
         F.least("set_id", "hub").alias("u"), F.greatest("set_id", "hub").alias("v"))
-    links = _confirmed(stars, keyed, classes, shingle, percent)
-    apart = _apart(shared, "key", links)
+    roots = _rooted(None, _confirmed(stars, keyed, classes, shingle, percent))
+    apart = _apart(shared, "key", roots)
+    dropped(shared)
     few = apart.where(F.col("k") <= CROWDED)
-    more = _confirmed(_pairs(few, few, "key").where("u < v"), keyed, classes, shingle, percent)
-    links = _both(links, more)
+    roots = _rooted(roots, _confirmed(_pairs(few, few, "key", "l.set_id < r.set_id"), keyed, classes, shingle, percent))
     crowd = staged(apart.where(F.col("k") > CROWDED).select("set_id").distinct(), "crowd")
+    dropped(apart)
     if not crowd.isEmpty():
-        links = _both(links, _rare_shingle_links(crowd, links, keyed, classes, shingle, percent))
+        roots = _join_by_rare_shingles(crowd, roots, keyed, classes, shingle, percent)
     whole = classes.select("set_id", "low")
-    if links is not None:
-        whole = whole.join(connected_components(links).select(F.col("node").alias("set_id"), "root"), "set_id", "left")
+    if roots is not None:
+        whole = whole.join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
         least = whole.where("root IS NOT NULL").groupBy("root").agg(F.min("low").alias("least"))
         whole = whole.join(least, "root", "left").select("set_id", F.coalesce("least", "low").alias("low"))
     whole = staged(whole, "groups")
