@@ -724,6 +724,21 @@ def content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         "alert_id", "rule_id", "event_id", "raw_log")
 
 
+def json_content_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 over JSON text: ids of nested logs with unsorted keys, escapes and characters beyond ASCII."""
+    from ruleweave.sources.logs import decode_json_logs, json_view
+    logs = events_logs(spark, sf_dir)
+    text = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('"'))
+    raw = F.concat(F.lit('{ "value":'), F.col("value").cast("string"), F.lit(',"user":{"name":"Zo\\u00EB \u00e9 \U0001F600",'),
+                   F.lit('"id":'), F.col("host"), F.lit(',"flags":[true,null , "a\\/b"]},"props":'), F.col("props"),
+                   F.lit(',"timestamp":'), text("timestamp"), F.lit(',\n"log_type": '), text("log_type"),
+                   F.lit(',"event_id":'), F.col("event_id").cast("string"), F.lit(',"host":'), text("host"), F.lit("}"))
+    good, _ = decode_json_logs(logs.select("event_id", raw.alias("value")))
+    view = json_view(good, order_cols=["event_id"], keep=["event_id"])
+    return alert_projection(view, match_rules(view, [events_rule("ev-purchase-001")])).select(
+        "alert_id", "rule_id", "host", "event_id")
+
+
 def bucket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 + J4: burst ids and their time buckets; one id per (rule, host, bucket)."""
     from ruleweave.functions.ids import time_bucket
@@ -748,10 +763,16 @@ def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
                     view.fields.text("k").alias("k"))
 
 
-QUERIES.update({"content_ids": content_ids, "bucket_ids": bucket_ids, "json_fields": json_fields})
+QUERIES.update({"content_ids": content_ids, "json_content_ids": json_content_ids, "bucket_ids": bucket_ids, "json_fields": json_fields})
 ORACLES["content_ids"] = (f"WITH {EVENTS_LOGS} SELECT {sql_uuid5(repr('ev-props-contains-001:') + ' || ' + CANON)} AS alert_id, "
                           f"'ev-props-contains-001' AS rule_id, event_id, {CANON} AS raw_log FROM logs "
                           "WHERE contains(props, '\"k\": 4')")
+JSON_CANON = ("'{\"event_id\": ' || CAST(event_id AS VARCHAR) || ', \"host\": ' || to_json(host) || "
+              "', \"log_type\": ' || to_json(log_type) || ', \"props\": ' || props || "
+              "', \"timestamp\": ' || to_json(\"timestamp\") || ', \"user\": {\"flags\": [true, null, \"a/b\"], \"id\": ' || host || "
+              "', \"name\": \"Zo\\u00eb \\u00e9 \\ud83d\\ude00\"}, \"value\": ' || CAST(value AS VARCHAR) || '}'")
+ORACLES["json_content_ids"] = (f"WITH {EVENTS_LOGS} SELECT {sql_uuid5(repr('ev-purchase-001:') + ' || ' + JSON_CANON)} AS alert_id, "
+                               "'ev-purchase-001' AS rule_id, host, event_id FROM logs WHERE log_type = 'purchase'")
 ORACLES["bucket_ids"] = (f"WITH {EVENTS_LOGS}, {_burst_select(', t_us // 86400000000 AS bucket')} "
                          "SELECT alert_id, rule_id, host, event_id, bucket FROM burst")
 ORACLES["json_fields"] = ("SELECT event_id, 'ev-k-round-001' AS rule_id, json_extract_string(props, '$.k') AS k "

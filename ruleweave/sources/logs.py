@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ruleweave.functions.fields import ColumnFields, Fields, MapFields, field_value_text, quote
 from ruleweave.functions.ids import canonical_json
 from ruleweave.functions.jsontext import strict_object
+from ruleweave.functions.pyjson import canonical_text
 from ruleweave.functions.timeutil import epoch_micros, iso_text_micros
 
 INTERNAL = "_rw_"
@@ -109,8 +110,8 @@ def json_view(decoded: DataFrame, value_col: str = "value", order_cols: list[str
         df=decoded, fields=mf, field_names=None,
         host=field_value_text(mf, "host"),
         raw_json=raw,
-        # key-sorted JSON text; logs with repeated keys fall back to their decoded fields
-        canonical=F.coalesce(F.to_json(F.try_parse_json(raw)),
+        # logs with repeated keys fall back to their decoded fields
+        canonical=F.coalesce(canonical_text(raw),
                              F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.col(FIELDS_MAP)))))),
         event_us=arrival if time == "arrival" else us,
         id_time_us=us,
