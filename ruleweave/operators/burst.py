@@ -30,10 +30,23 @@ from ruleweave.sources.logs import LogView
 DEFAULT_CHUNK_FACTOR = 4
 #: Ties (rows of one key and time) are ranked in blocks of this many arrival numbers.
 TIE_BLOCK = 1 << 16
+# Blocks of rows without an order, and of rows that arrived before all others.
+_NO_ORDER, _BEFORE_ALL = -(1 << 62), -(1 << 62) - 1
+
+
+def _with_stand_ins(rows: DataFrame, key_cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for the key columns, so that joins on them are plain equalities."""
+    keys = []
+    for i, k in enumerate(key_cols):
+        rows = rows.withColumn(f"_rw_n{i}", F.coalesce(F.col(quote(k)).cast("string"), F.lit(""))).withColumn(
+            f"_rw_z{i}", F.col(quote(k)).isNull())
+        keys += [f"_rw_n{i}", f"_rw_z{i}"]
+    return rows, keys
 
 
 def windowed_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, order_cols: list[str],
-                    window_us: int, chunk_factor: int = DEFAULT_CHUNK_FACTOR) -> DataFrame:
+                    window_us: int, chunk_factor: int = DEFAULT_CHUNK_FACTOR,
+                    earlier: DataFrame | None = None) -> DataFrame:
     """A1 + A2 for any keyed rows: adds ``window_count`` = rows of the key in (t - T, t] that
     come no later in (time, order) than the row itself.
 
@@ -41,27 +54,29 @@ def windowed_counts(rows: DataFrame, *, key_cols: list[str], time_col: str, orde
     micros, non-null) and the order columns. With an integer first order column, ties are cut
     into blocks of it; other orders keep the ties of one key and time together. A chunk holds
     one key's distinct times of ``chunk_factor`` x T, and as context those of the T before it.
+
+    ``earlier`` (key columns, ``time_col``, ``_rw_n``) are numbers of rows that arrived before all of
+    ``rows``: they are counted, without being read row by row or returned.
     """
     t = F.col(time_col)
-    keys = []
-    for i, k in enumerate(key_cols):    # non-null stand-ins, so that joins on them are plain equalities
-        rows = rows.withColumn(f"_rw_n{i}", F.coalesce(F.col(quote(k)).cast("string"), F.lit(""))).withColumn(
-            f"_rw_z{i}", F.col(quote(k)).isNull())
-        keys += [f"_rw_n{i}", f"_rw_z{i}"]
+    rows, keys = _with_stand_ins(rows, key_cols)
     block = F.lit(0).cast("long")
     if order_cols and rows.schema[order_cols[0]].dataType.typeName() in ("long", "integer", "short", "byte"):
-        block = F.coalesce(floor_div(F.col(quote(order_cols[0])).cast("long"), TIE_BLOCK), F.lit(-(1 << 62)))
+        block = F.coalesce(floor_div(F.col(quote(order_cols[0])).cast("long"), TIE_BLOCK), F.lit(_NO_ORDER))
     rows = rows.withColumn("_rw_block", block)
     tie = [*keys, time_col, "_rw_block"]
     marks = rows.groupBy(*tie).agg(F.count(F.lit(1)).alias("_rw_n"))
+    if earlier is not None:
+        before_all = _with_stand_ins(earlier, key_cols)[0].withColumn("_rw_block", F.lit(_BEFORE_ALL))
+        marks = marks.unionByName(before_all.select(*tie, "_rw_n"))
     chunk_us = window_us * max(1, chunk_factor)
     own, last = floor_div(t, chunk_us), floor_div(t + F.lit(window_us - 1), chunk_us)
     copies = marks.select(*tie, "_rw_n", own.alias("_rw_own"), F.explode(F.sequence(own, last)).alias("_rw_chunk"))
     chunk = Window.partitionBy(*keys, "_rw_chunk")
-    earlier = chunk.orderBy(t, "_rw_block").rowsBetween(Window.unboundedPreceding, -1)
+    until = chunk.orderBy(t, "_rw_block").rowsBetween(Window.unboundedPreceding, -1)
     gone = chunk.orderBy(t).rangeBetween(Window.unboundedPreceding, -window_us)
     before = copies.select(*tie, "_rw_own", "_rw_chunk", (
-        F.coalesce(F.sum("_rw_n").over(earlier), F.lit(0)) - F.coalesce(F.sum("_rw_n").over(gone), F.lit(0)))
+        F.coalesce(F.sum("_rw_n").over(until), F.lit(0)) - F.coalesce(F.sum("_rw_n").over(gone), F.lit(0)))
         .alias("_rw_before")).where("_rw_own = _rw_chunk").drop("_rw_own", "_rw_chunk")
     among_ties = Window.partitionBy(*tie).orderBy(*[F.col(quote(c)) for c in order_cols] or [t])
     ranked = rows.withColumn("_rw_rank", F.row_number().over(among_ties))

@@ -2,7 +2,7 @@
 
 ``start_detection`` runs plain and burst rules in one ``foreachBatch``. Plain rules evaluate the
 batch. Burst rules run the batch plan (:func:`windowed_counts`) over the batch's matches and a
-*tail* table of earlier matches that can still be counted; there is no Python state. Each
+*tail* table of how many earlier matches can still be counted; there is no Python state. Each
 micro-batch is persisted once, published (K1), upserted into the store by batch id (K2), and
 only then committed by the checkpoint (K6), so a replayed batch rewrites the same files.
 """
@@ -29,8 +29,8 @@ from ruleweave.operators.store import write_batch
 from ruleweave.plans.compile import usable_rules
 from ruleweave.plans.rules import Rule, build_rule, burst_spec, split_rules
 from ruleweave.sources.logs import LogView
+from ruleweave.streaming.tail import TailState
 
-TAIL_SCHEMA = "_rw_rid string, _rw_epoch long, _rw_key string, _rw_t long, _rw_o0 long"
 ERROR_SCHEMA = "seq long, rule_id string, error string"
 
 
@@ -85,81 +85,110 @@ def changelog_rules(load_changelog: Callable[[SparkSession], DataFrame]) -> Call
     return load
 
 
-def _newest(rows: DataFrame) -> DataFrame:
-    """The newest time per (rule, key); keys are stood in for so that NULL joins as a key."""
-    return rows.groupBy("_rw_k", *_key(rows)).agg(F.max("_rw_t").alias("_rw_newest"))
-
-
-def _key(rows: DataFrame) -> list[Column]:
-    return [F.coalesce("_rw_key", F.lit("")).alias("_rw_kt"), F.col("_rw_key").isNull().alias("_rw_kn")]
-
-
-def _with_newest(rows: DataFrame, newest: DataFrame) -> DataFrame:
-    text, none = _key(rows)
-    return rows.withColumn("_rw_kt", text).withColumn("_rw_kn", none).join(
-        newest, ["_rw_k", "_rw_kt", "_rw_kn"], "left").drop("_rw_kt", "_rw_kn")
-
-
-def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, old_tail: DataFrame | None,
+def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, tail: TailState, batch_id: int,
                 lateness_us: int, future_us: int | None):
-    """(alerts, next tail, rows set aside, persisted matches) of one micro-batch."""
+    """(alerts, rows set aside or None, write of the next tail, persisted matches) of one micro-batch."""
     rules = [r for _, _, r, _ in active.bursts]
+    names = [(rid, epoch) for rid, epoch, _, _ in active.bursts]
     specs = [burst_spec(r) for r in rules]
     spans = [s.window_seconds * MICROS for s in specs]
     k = F.col("_rw_k")
-    matches = new = burst_rows(view, rules).persist()    # counted, kept and set aside: match the rules once
-    ahead = new.where(F.lit(False))
-    if future_us is not None:
-        limit = F.unix_micros(F.current_timestamp()) + F.lit(future_us)
-        ahead, new = new.where(F.col("_rw_t") > limit), new.where(F.col("_rw_t") <= limit)
-    rows = new.withColumn("_rw_new", F.lit(True))
-    if old_tail is not None:
-        names = spark.createDataFrame([(rid, epoch, i) for i, (rid, epoch, _, _) in enumerate(active.bursts)],
-                                      "_rw_rid string, _rw_epoch long, _rw_k int")
-        old = old_tail.join(names, ["_rw_rid", "_rw_epoch"]).drop("_rw_rid", "_rw_epoch")
-        rows = rows.unionByName(old.withColumn("_rw_new", F.lit(False)), allowMissingColumns=True)
-        span = case_of(k, [F.lit(w) for w in spans])
-        late = _with_newest(new, _newest(old)).where(F.col("_rw_t") <= F.col("_rw_newest") - span - F.lit(lateness_us))
-    else:
-        late = None
+    per_rule = lambda values: case_of(k, [F.lit(v).cast("long") for v in values])
+    rid, epoch = case_of(k, [F.lit(r) for r, _ in names]), per_rule([e for _, e in names])
+    # counted, kept and set aside: match the rules once
+    matches = burst_rows(view, rules).withColumn("_rw_bucket", tail.bucket_of(rid, epoch, F.col("_rw_key"))).persist()
+    limit = F.lit(None).cast("long") if future_us is None else F.unix_micros(F.current_timestamp()) + F.lit(future_us)
+    ahead = F.coalesce(F.col("_rw_t") > limit, F.lit(False))
+    # which of the tail's buckets this batch touches
+    touched = {r._rw_bucket for r in matches.where(~ahead).select("_rw_bucket").distinct().collect()}
+    new = matches.where(~ahead)
+    old = tail.read(spark, touched)
+    if old is not None:
+        ordinals = spark.createDataFrame([(*n, i) for i, n in enumerate(names)], "_rw_rid string, _rw_epoch long, _rw_k int")
+        old = old.join(ordinals, ["_rw_rid", "_rw_epoch"]).drop("_rw_rid", "_rw_epoch")
     counted = None
     for w in sorted(set(spans)):
-        part = windowed_counts(rows.where(k.isin([i for i, x in enumerate(spans) if x == w])),
-                               key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"], window_us=w)
+        own = k.isin([i for i, x in enumerate(spans) if x == w])
+        part = windowed_counts(new.where(own), key_cols=["_rw_k", "_rw_key"], time_col="_rw_t", order_cols=["_rw_o0"],
+                               window_us=w, earlier=None if old is None else old.where(own))
         counted = part if counted is None else counted.unionByName(part)
-    fired = counted.where(F.col("_rw_new") & (F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs])))
+    fired = counted.where(F.col("window_count") > case_of(k, [F.lit(s.threshold) for s in specs]))
     fired = fired.withColumn("_rw_copy", F.explode(F.sequence(F.lit(1), case_of(
         k, [F.lit(c) for _, _, _, c in active.bursts]))))
-    rid = case_of(k, [F.lit(r.id) for r in rules])
     bucket = case_of(k, [time_bucket(F.col("_rw_idt"), s.window_seconds) for s in specs])
     alerts = fired.select(
         bucket_alert_id(rid, F.col("host"), bucket, other_key(specs, k, F.col("_rw_key"))).alias("alert_id"),
         rid.alias("rule_id"), case_of(k, [F.lit(r.title) for r in rules]).alias("rule_title"),
         case_of(k, [F.lit(r.level) for r in rules]).alias("severity"), matched_at().alias("matched_at"),
         "host", "raw_log", *[F.col(quote(c)) for c in view.keep], "window_count")
-    narrow = rows.select("_rw_k", "_rw_key", "_rw_t", "_rw_o0")
-    keep = F.col("_rw_t") > F.col("_rw_newest") - case_of(k, [F.lit(w + lateness_us) for w in spans])
-    tail = _with_newest(narrow, _newest(narrow)).where(keep).select(
-        case_of(k, [F.lit(r) for r, _, _, _ in active.bursts]).alias("_rw_rid"),
-        case_of(k, [F.lit(e).cast("long") for _, e, _, _ in active.bursts]).alias("_rw_epoch"),
-        "_rw_key", "_rw_t", "_rw_o0")
-    aside = ahead.select(F.lit("future").alias("reason"), "_rw_key", "_rw_t", "_rw_o0", "host", "raw_log")
-    if late is not None:
-        aside = aside.unionByName(late.select(F.lit("late").alias("reason"), *aside.columns[1:]))
-    return alerts, tail, aside, matches
+
+    # set aside: too far ahead; too late for what the tail keeps; or of a key that may have been forgotten
+    keyed = [F.coalesce("_rw_key", F.lit("")).alias("_rw_kt"), F.col("_rw_key").isNull().alias("_rw_kn")]
+    key = ["_rw_k", "_rw_kt", "_rw_kn"]
+    seen = matches.select("*", *keyed, ahead.alias("_rw_ahead"))
+    if old is None:
+        seen = seen.withColumn("_rw_newest", F.lit(None).cast("long"))
+    else:
+        seen = seen.join(old.select("*", *keyed).groupBy(*key).agg(F.max("_rw_t").alias("_rw_newest")), key, "left")
+    span = per_rule(spans)
+    known = F.col("_rw_newest").isNotNull()
+    reason = (F.when(F.col("_rw_ahead"), F.lit("future"))
+              .when(known & (F.col("_rw_t") <= F.col("_rw_newest") - span - F.lit(lateness_us)), F.lit("late"))
+              .when(~known & (F.col("_rw_t") < span + per_rule([tail.forgot.get(n, -(1 << 62)) for n in names])),
+                    F.lit("returned")))
+    aside = seen.select(reason.alias("reason"), "_rw_key", "_rw_t", "_rw_o0", "host", "raw_log").where("reason IS NOT NULL")
+
+    def keep_tail() -> None:
+        none = F.lit(None).cast("long")
+        fresh = new.select("_rw_k", *keyed, "_rw_t", F.lit(1).cast("long").alias("_rw_n"), none.alias("_rw_seen"))
+        marks = fresh if old is None else fresh.unionByName(old.select("_rw_k", *keyed, "_rw_t", "_rw_n", "_rw_seen"))
+        # _rw_last: the rule's clock when the key was last seen, none if that is now
+        ends = marks.groupBy(*key).agg(F.max("_rw_t").alias("_rw_newest"), F.when(
+            F.count("*") == F.count("_rw_seen"), F.max("_rw_seen")).alias("_rw_last"))
+        text = F.when(~F.col("_rw_kn"), F.col("_rw_kt"))
+        ends = ends.withColumn("_rw_bucket", tail.bucket_of(rid, epoch, text)).persist()
+        try:
+            found = {(*names[r._rw_k], r._rw_bucket): {"keys": r["keys"], "middle": r.middle, "newest": r.newest}
+                     for r in ends.groupBy("_rw_k", "_rw_bucket").agg(
+                         F.count("*").alias("keys"), F.percentile_approx("_rw_newest", 0.5).alias("middle"),
+                         F.max("_rw_newest").alias("newest")).collect()}
+            far = {n: w + lateness_us for n, w in zip(names, spans)}
+            tail.advance(found, far)
+            now = per_rule([tail.clocks.get(n, 0) for n in names])
+            for t in found:
+                tail.stats[t]["last"] = tail.clocks[t[:2]]
+            reach = per_rule([far[n] for n in names])
+            idle = now - F.coalesce("_rw_last", now) > reach
+            if old is not None:
+                for r in ends.where(idle).groupBy("_rw_k").agg(F.max("_rw_newest").alias("newest")).collect():
+                    tail.note_forgotten(names[r._rw_k], r.newest)
+            kept = (marks.groupBy(*key, "_rw_t").agg(F.sum("_rw_n").alias("_rw_n")).join(ends.where(~idle), key)
+                    .where(F.col("_rw_t") > F.col("_rw_newest") - reach))
+            tail.write(spark, kept.select(
+                rid.alias("_rw_rid"), epoch.alias("_rw_epoch"), text.alias("_rw_key"), "_rw_t", "_rw_n",
+                F.coalesce("_rw_last", now).alias("_rw_seen"), "_rw_bucket"), batch_id, touched)
+        finally:
+            ends.unpersist()
+
+    return alerts, aside, keep_tail, matches
 
 
 def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
                     rules: Callable[[SparkSession, LogView], ActiveRules], *, checkpoint: str, state_path: str,
                     publish_path: str | None = None, store_path: str | None = None, kafka_servers: str | None = None,
                     kafka_topic: str = "alerts", lateness_seconds: int = 0, future_seconds: int | None = 86_400,
-                    trigger: dict | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, tail_buckets: int = 16) -> StreamingQuery:
     """E3 + E4 + A9 on a stream: plain and burst rules, published and stored per micro-batch.
 
-    The tail keeps, per (rule, key), the matches newer than that key's own newest time less the
-    rule's span and ``lateness_seconds``; keys whose clocks differ do not shorten each other's windows.
+    The tail keeps, per (rule, key), the numbers of matches at times newer than that key's own newest less
+    the rule's span and ``lateness_seconds``; keys whose clocks differ do not shorten each other's windows.
+    It lies in ``tail_buckets`` by key, of which a micro-batch reads and writes those it has matches for.
+    A key is forgotten once its rule's clock, the median of its keys' newest times, has moved on by more than
+    the span and the lateness since the key was last seen: whatever its own clock shows, it has moved on as
+    far. A log of an unknown key that could still be counted with a forgotten key's matches is listed in
+    ``state_path/aside`` with reason ``returned``.
     Counts equal the batch answer for logs at most that late against their own key. A later one is
-    still counted against what the tail has, and listed in ``state_path/aside`` with reason ``late``. A
+    still counted against what the tail has, and listed there with reason ``late``. A
     log more than ``future_seconds`` ahead of the clock (None: no limit) takes no part in bursts and is
     listed there with reason ``future``, so that a wrong clock does not end its key's window. Rules that
     cannot run are listed in ``state_path/rule_errors``. All of these are written per batch id.
@@ -177,18 +206,19 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
             columns = [*ALERT_COLUMNS, *view.keep]
             alerts = alert_projection(view, match_rules(view, active.plain, copies=active.plain_copies)).select(
                 *columns, F.lit(None).cast("long").alias("window_count"))
-            tail = spark.createDataFrame([], TAIL_SCHEMA)
+            tail = TailState.load(spark, state, batch_id - 1, tail_buckets)
+            keep_tail = lambda: tail.write(spark, None, batch_id, set())
             if active.bursts:
-                old = spark.read.schema(TAIL_SCHEMA).parquet(f"{state}/tail/batch_id={batch_id - 1}") if batch_id else None
-                burst, tail, aside, matches = _burst_step(spark, view, active, old, lateness_seconds * MICROS,
-                                                 None if future_seconds is None else future_seconds * MICROS)
+                burst, aside, keep_tail, matches = _burst_step(
+                    spark, view, active, tail, batch_id, lateness_seconds * MICROS,
+                    None if future_seconds is None else future_seconds * MICROS)
                 alerts = alerts.unionByName(burst.select(*columns, "window_count"))
                 aside.write.mode("overwrite").parquet(f"{state}/aside/batch_id={batch_id}")
             if active.errors:
                 spark.createDataFrame(active.errors, ERROR_SCHEMA).write.mode("overwrite").parquet(
                     f"{state}/rule_errors/batch_id={batch_id}")
             _sink(alerts, batch_id, view.keep, publish_path, store_path, kafka_servers, kafka_topic, view.keep[:1])
-            tail.write.mode("overwrite").parquet(f"{state}/tail/batch_id={batch_id}")
+            keep_tail()
         finally:
             batch.unpersist()
             if matches is not None:

@@ -333,7 +333,7 @@ def test_changelog_stream_keeps_events_without_a_time(spark, untimed_events):
 def test_registered_streams_run_a_micro_batch_per_slice(spark, untimed_events):
     from ruleweave import catalog
     base = catalog._detected(spark, untimed_events, "slices", fixed_rules(RULES))
-    ids = [int(name.split("=")[1]) for name in os.listdir(base + "/state/tail") if name.startswith("batch_id=")]
+    ids = [int(name.split("=")[1]) for name in os.listdir(base + "/state/manifest") if name.startswith("batch_id=")]
     assert sorted(ids) == list(range(catalog.SLICES + 1))
 
 
@@ -342,3 +342,68 @@ def test_registered_streams_of_an_empty_table(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
     for name in ("stream_bursts", "stream_upsert", "stream_dedup", "stream_changelog_alerts", "stream_coarse_bursts"):
         assert QUERIES[name](spark, str(tmp_path)).collect() == [], name
+
+
+def tail_keys(spark, base):
+    """Keys that the tail holds after the last micro-batch."""
+    from ruleweave.streaming.tail import TailState
+    last = max(int(n.split("=")[1]) for n in os.listdir(f"{base}/state/manifest"))
+    tail = TailState.load(spark, f"{base}/state", last, 16)
+    rows = tail.read(spark, set(range(tail.buckets)))
+    return set() if rows is None else {r._rw_key for r in rows.select("_rw_key").distinct().collect()}
+
+
+def test_tail_forgets_hosts_that_fall_silent(spark, tmp_path):
+    """New hosts in every batch, days apart: the tail holds the last ones, not all; one steady host stays exact."""
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    sizes, n = [], 0
+    for batch in range(6):
+        logs = []
+        for k in range(12):
+            logs.append(log(n, batch * 432_000 + k, f"h{batch}-{k}"))
+            n += 1
+        for k in range(3):
+            logs.append(log(n, batch * 30 + k, "slow"))     # its own clock is days behind
+            n += 1
+        write_files(src, logs, 1, start=batch)
+        run_stream(spark, src, base, BURST)
+        sizes.append(len(tail_keys(spark, base)))
+    assert max(sizes) <= 3 * 13 and sizes[3:] == [13, 13, 13]
+    from ruleweave.operators.burst import burst_alerts
+    want = sorted((r.seq, r.window_count) for r in burst_alerts(view_of(spark.read.text(src)), BURST).collect())
+    assert burst_counts(spark, base) == want and len(want) >= 10
+    kept = {d for d in os.listdir(f"{base}/state/tail/batch_id=0") if d.startswith("_rw_bucket=")}
+    assert not kept     # replaced files are gone
+
+
+def test_return_of_a_forgotten_host_is_listed(spark, tmp_path):
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    batches = [[log(0, 0, "back")] + [log(i, i, f"x{i}") for i in range(1, 4)],
+               [log(10 + i, 5_000 + i, f"y{i}") for i in range(9)], [log(30 + i, 9_000 + i, f"z{i}") for i in range(20)],
+               [log(60, 30, "back"), log(61, 20_000, "new")]]
+    for i, logs in enumerate(batches):
+        write_files(src, logs, 1, start=i)
+        run_stream(spark, src, base, BURST)
+    listed = spark.read.parquet(f"{base}/state/aside").where("reason = 'returned'").collect()
+    assert [json.loads(r.raw_log)["seq"] for r in listed] == [60]
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path, monkeypatch):
+    from ruleweave.streaming.tail import TailState
+    src, base = str(tmp_path / "in"), str(tmp_path / "run")
+    read, plain = [], TailState.read
+
+    def noted(self, spark_, touched):
+        out = plain(self, spark_, touched)
+        read.append(set() if out is None else {f.split("_rw_bucket=")[1].split("/")[0] for f in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(TailState, "read", noted)
+    write_files(src, [log(i, i, f"h{i}") for i in range(64)], 1)
+    run_stream(spark, src, base, BURST)
+    before = TailState.load(spark, f"{base}/state", 0, 16)
+    write_files(src, [log(100, 70, "h5")], 1, start=1)
+    run_stream(spark, src, base, BURST)
+    after = TailState.load(spark, f"{base}/state", 1, 16)
+    assert len(before.versions) > 8 and len(read[-1]) == 1
+    assert sorted(b for b in before.versions if after.versions[b] == 1) == [int(b) for b in read[-1]]
