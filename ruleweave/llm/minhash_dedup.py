@@ -202,6 +202,10 @@ def _rooted(roots: DataFrame | None, links: DataFrame | None) -> DataFrame | Non
     return after
 
 
+def _either(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
+    return a if b is None else b if a is None else a.union(b)
+
+
 def _apart(members: DataFrame, key: str, roots: DataFrame | None) -> DataFrame:
     """The members of buckets that are not yet one connected group, with their root; columns as they came, and root."""
     names = members.columns
@@ -221,9 +225,9 @@ def _pairs(left: DataFrame, right: DataFrame, key: str, able: str = "true") -> D
         F.least("l.set_id", "r.set_id").alias("u"), F.greatest("l.set_id", "r.set_id").alias("v"))
 
 
-def _join_by_rare_shingles(crowd: DataFrame, roots: DataFrame | None, keyed: DataFrame, classes: DataFrame, shingle: int,
-                           percent: int) -> DataFrame | None:
-    """Groups (node, root) after all links among the given classes, found by their rare shingles.
+def _join_by_rare_shingles(crowd: DataFrame, roots: DataFrame | None, pending: DataFrame | None, keyed: DataFrame,
+                           classes: DataFrame, shingle: int, percent: int) -> DataFrame | None:
+    """Groups (node, root) after pending links and all links among the given classes, found by their rare shingles.
 
     Sets order their shingles from rare to common. Two sets that share no shingle before a place have at most
     the shingles from there on in common, and of those only the ones that occur in other sets too. So
@@ -256,12 +260,13 @@ def _join_by_rare_shingles(crowd: DataFrame, roots: DataFrame | None, keyed: Dat
             last = hubs >= most or hubs > HUBS or (hubs > 1 and most <= HUBS ** 2)
             pairs = (_pairs(apart, apart, "s", f"{bound} AND l.set_id < r.set_id") if last else
                      _pairs(apart.where(F.col("set_id") == F.col("hub") if hubs == 1 else few), apart, "s", bound))
-            roots = _rooted(roots, _confirmed(pairs, keyed, classes, shingle, percent, full))
+            pending = _either(pending, _confirmed(pairs, keyed, classes, shingle, percent, full))
         dropped(apart)
         if most is None or last:
             dropped(groups)
             dropped(full)
-            return roots
+            return _rooted(roots, pending)
+        roots, pending = _rooted(roots, pending), None
         hubs *= HUBS
 
 
@@ -291,11 +296,11 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     apart = _apart(shared, "key", roots)
     dropped(shared)
     few = apart.where(F.col("k") <= CROWDED)
-    roots = _rooted(roots, _confirmed(_pairs(few, few, "key", "l.set_id < r.set_id"), keyed, classes, shingle, percent))
+    more = _confirmed(_pairs(few, few, "key", "l.set_id < r.set_id"), keyed, classes, shingle, percent)
     crowd = staged(apart.where(F.col("k") > CROWDED).select("set_id").distinct(), "crowd")
     dropped(apart)
-    if not crowd.isEmpty():
-        roots = _join_by_rare_shingles(crowd, roots, keyed, classes, shingle, percent)
+    roots = _rooted(roots, more) if crowd.isEmpty() else _join_by_rare_shingles(crowd, roots, more, keyed, classes, shingle,
+                                                                                percent)
     whole = classes.select("set_id", "low")
     if roots is not None:
         whole = whole.join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
