@@ -234,8 +234,13 @@ def _join_by_rare_shingles(crowd: DataFrame, roots: DataFrame | None, pending: D
     similar sets share one early enough, and each pair is met only at such places.
     """
     full = staged(_full_sets(keyed, classes, crowd, shingle), "crowd")
-    items = full.select("set_id", F.size("h").alias("n"), F.explode("h").alias("s"))
-    common = staged(items.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "common")
+    counts = staged(full.select("set_id", F.explode("h").alias("s")).groupBy("s").agg(
+        F.count("*").alias("df"), F.min("set_id").alias("one")), "counts")
+    # a set of which too many shingles occur nowhere else has no partner
+    alone = counts.where("df = 1").groupBy(F.col("one").alias("set_id")).agg(F.count("*").alias("own"))
+    able = full.join(alone, "set_id", "left").select("set_id", "h", F.size("h").alias("n"), F.coalesce("own", F.lit(0)).alias("own"))
+    items = able.where(f"100 * (n - own) >= {percent} * n").select("set_id", "n", F.explode("h").alias("s"))
+    common = counts.where("df > 1").select("s", "df")
     known = items.join(common, "s").groupBy("set_id").agg(
         F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("known"))
     # rest: how many of a set's shingles that occur elsewhere stand at this place or after it
@@ -248,7 +253,7 @@ def _join_by_rare_shingles(crowd: DataFrame, roots: DataFrame | None, pending: D
     sizes = able.groupBy("s").agg(F.count("*").alias("k"), F.max(central)["set_id"].alias("hub")).where("k > 1")
     groups = staged(able.join(sizes, "s").select("s", "set_id", "n", "rest", "k", "hub"), "groups")
     dropped(members)
-    dropped(common)
+    dropped(counts)
     bound = f"100 * least(l.rest, r.rest) >= {percent} * (l.n + r.n - least(l.rest, r.rest))"
     hubs = 1
     while True:
