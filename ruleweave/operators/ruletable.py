@@ -1,18 +1,24 @@
 """Rules as data, for large or often-changing rule sets.
 
-Rules become a *conditions table*: one row per (rule, clause, term, value). A condition
-made only of ``and`` / ``or`` over group names (no ``not``, no parentheses) is a union of
-clauses; each clause is the AND of every term of its groups. Logs become ``(log key,
-field, value)`` pairs for the fields the table mentions, and the two meet in joins:
-
-* equality terms: an equi-join on ``(field, value)``;
-* ``contains`` / ``startswith`` / ``endswith``: an equi-join on ``field`` with the
-  modifier as the residual predicate.
-
-A clause holds for a log when all of its terms met a value; the rule then matches. The
-conditions side is broadcast when its row count is under a checked bound, otherwise both
-sides shuffle and AQE splits skewed (field, value) keys. Rules outside that shape (``not``,
-parentheses, empty groups) go through the compiled one-pass path (E1).
+Rules become two tables. The *conditions* have one row per (rule, group, term, value). The
+*rule list* has one row per rule with its condition in normal form: clauses of groups that
+must hold and groups that must not, so ``not``, parentheses and empty groups are data too.
+Logs are offered under the keys that a condition can be found by, and meet them in one
+equi-join, after which the term itself is checked:
+
+* equality terms by (field, value);
+* ``startswith`` / ``endswith`` by the first or last characters, as many as the largest power
+  of two within the pattern: a value is offered once per power in use, whatever the patterns;
+* ``contains`` by the pattern's rarest run of three characters among the patterns of the
+  field (shorter patterns by themselves); a value is offered once per distinct run;
+* empty patterns by the field alone, and rules that hold for a log which meets no group by
+  nothing at all: these keys are shared by all logs and are salted.
+
+One aggregate per (log, rule) then gathers the terms met and decides the clauses. Whether the
+conditions are broadcast is left to the optimizer, which knows their bytes; where they are, a
+value is not copied for its offers, as exploding, probing and checking are one generated loop.
+Beyond, it travels with each of them and AQE splits skewed (field, value) keys. A condition of
+more than ``MAX_CLAUSES`` clauses goes through the compiled path (E1) instead.
 """
 
 from __future__ import annotations
@@ -20,128 +26,194 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.errors import RuleError
 from ruleweave.functions.fields import quote, rule_text
 from ruleweave.operators.evaluate import alert_projection, match_rules
-from ruleweave.plans.compile import MODIFIERS, _flatten, clauses
+from ruleweave.plans.compile import KEYWORDS, MODIFIERS, _flatten, normal_form, split_key
 from ruleweave.plans.rules import Rule, build_rule
 from ruleweave.sources.logs import LogView
 
 CONDITIONS_SCHEMA = T.StructType([
     T.StructField("rule_ord", T.IntegerType()), T.StructField("rule_id", T.StringType()),
-    T.StructField("clause", T.IntegerType()), T.StructField("term", T.StringType()),
+    T.StructField("group", T.IntegerType()), T.StructField("term", T.IntegerType()),
     T.StructField("field", T.StringType()), T.StructField("modifier", T.StringType()),
-    T.StructField("value", T.StringType()), T.StructField("clause_terms", T.IntegerType()),
+    T.StructField("value", T.StringType()),
 ])
+_LITERALS = "array<struct<group:int,terms:int>>"
+RULE_LIST_SCHEMA = ("rule_ord int, rule_id string, rule_title string, severity string, "
+                    f"clauses array<struct<holds:{_LITERALS},fails:{_LITERALS}>>")
+#: Clauses of one condition in normal form, above which a rule is compiled instead.
+MAX_CLAUSES = 256
+#: Characters of the runs that ``contains`` patterns are found by.
+RUN = 3
+ALWAYS = "always"       # modifier of the one row of a rule that holds where no group does
 
 
-def condition_rows(ordinal: int, rule: Rule) -> list[tuple] | None:
-    """Flatten one rule; None when it needs the compiled path."""
-    cl = clauses(rule)
-    if cl is None:
+def condition_rows(ordinal: int, rule: Rule) -> tuple[list[tuple], list[dict]] | None:
+    """One rule as (conditions, clauses); None when it needs the compiled path."""
+    used = list(dict.fromkeys(t for t in rule.condition.split() if t not in KEYWORDS))
+    constants, terms = {}, {}
+    for g in used:
+        group = rule.groups.get(g, {})
+        if not isinstance(group, dict):
+            raise RuleError(f"rule {rule.id!r}: selection group {g!r} must be a mapping")
+        terms[g] = []
+        for key, expected in group.items():
+            name, mod = split_key(str(key))
+            values = [rule_text(v) for v in (_flatten(expected) if isinstance(expected, list) else [expected])]
+            if not values or (mod is not None and mod not in MODIFIERS):
+                constants[g] = False         # a term that no value meets
+            terms[g].append((name, mod, list(dict.fromkeys(values))))
+        if not group:
+            constants[g] = True
+    form = normal_form(rule, constants, MAX_CLAUSES)
+    if form is None:
         return None
-    rows = []
-    for ci, groups in enumerate(cl):
-        terms = []
-        for g in dict.fromkeys(groups):
-            group = rule.groups[g]
-            if not isinstance(group, dict) or not group:
-                return None
-            for key, expected in group.items():
-                name, mod = (str(key).split("|", 1) + [None])[:2] if "|" in str(key) else (str(key), None)
-                values = _flatten(expected) if isinstance(expected, list) else [expected]
-                terms.append((f"{g}/{key}", name, mod, [rule_text(v) for v in values]))
-        for term, name, mod, values in terms:
-            if mod is not None and mod not in MODIFIERS:
-                values = []          # unknown modifier: a term that no value meets
-            for v in values:
-                rows.append((ordinal, rule.id, ci, term, name, mod, v, len(terms)))
-            if not values:           # keep the clause size honest: the term can never be met
-                rows.append((ordinal, rule.id, ci, term, name, "never", None, len(terms)))
-    return rows
-
-
-def split_for_table(rules: list[Rule]) -> tuple[list[tuple], list[int]]:
-    """(condition rows, ordinals of rules that need the compiled path)."""
-    rows, rest = [], []
+    number = {g: i for i, g in enumerate(used)}
+    needed = sorted({number[g] for holds, fails in form for g in holds | fails})
+    rows = [(ordinal, rule.id, i, ti, name, mod, v)
+            for i in needed for ti, (name, mod, values) in enumerate(terms[used[i]]) for v in values]
+    if any(not holds for holds, _ in form):
+        rows.append((ordinal, rule.id, -1, 0, "", ALWAYS, ""))
+
+    def literals(groups):
+        return [{"group": number[g], "terms": len(terms[g])} for g in sorted(groups)]
+
+    return rows, [{"holds": literals(holds), "fails": literals(fails)} for holds, fails in form]
+
+
+def split_for_table(rules: list[Rule]) -> tuple[list[tuple], list[tuple], list[int]]:
+    """(conditions, rule list, ordinals of rules that need the compiled path)."""
+    rows, listed, rest = [], [], []
     for i, r in enumerate(rules):
         got = condition_rows(i, r)
         if got is None:
             rest.append(i)
         else:
-            rows.extend(got)
-    return rows, rest
+            rows.extend(got[0])
+            listed.append((i, r.id, r.title, r.level, got[1]))
+    return rows, listed, rest
 
 
-def field_pairs(view: LogView, fields: list[str], key_cols: list[str]) -> DataFrame:
-    """Logs as ``(key..., field, value)`` rows for the given fields; absent fields give no row."""
-    items = [F.when(view.fields.present(f), F.struct(F.lit(f).alias("field"), view.fields.text(f).alias("value")))
-             for f in fields if getattr(view.fields, "has", lambda _: True)(f)]
-    if not items:
-        return view.df.select(*[F.col(quote(k)) for k in key_cols], F.lit(None).cast("string").alias("field"),
-                              F.lit(None).cast("string").alias("value")).where(F.lit(False))
-    pairs = F.filter(F.array(*items), lambda x: x.isNotNull())
-    return view.df.select(*[F.col(quote(k)) for k in key_cols], F.inline(pairs))
+def _power(n: int) -> int:
+    """The largest power of two within a length of at least one."""
+    return 1 << (n.bit_length() - 1)
+
+
+def paths_of(rows) -> dict[str, set[tuple[str, int]]]:
+    """The (kind, characters) under which each field's values must be offered for these conditions."""
+    paths: dict[str, set[tuple[str, int]]] = {}
+    for *_, field, modifier, value in rows:
+        n = len(value)
+        paths.setdefault(field, set()).add(
+            ("all", 0) if modifier == ALWAYS else ("eq", 0) if modifier is None else ("any", 0) if n == 0
+            else ("run", min(n, RUN)) if modifier == "contains"
+            else ("head" if modifier == "startswith" else "tail", _power(n)))
+    return paths
+
+
+def _runs(text: Column, n: int) -> Column:
+    """The distinct runs of ``n`` characters of a text (none if it is shorter)."""
+    chars = F.split(text, "")
+    at = F.sequence(F.lit(1), F.size(chars) - F.lit(n - 1))
+    cut = F.transform(at, lambda i: F.concat(*[F.element_at(chars, i + F.lit(k)) for k in range(n)]))
+    return F.when(F.length(text) >= n, F.array_distinct(cut))
+
+
+def _offers(text: Column, kind: str, n: int) -> Column:
+    """The keys of one kind that a value is offered under, as an array (NULL for none)."""
+    long_enough = F.length(text) >= n
+    if kind == "run":
+        return _runs(text, n)
+    if kind == "eq":
+        return F.array(text)
+    if kind in ("head", "tail"):
+        return F.when(long_enough, F.array(F.substring(text, 1, n) if kind == "head" else F.substring(text, -n, n)))
+    return F.array(F.lit(""))
 
 
-def table_matches(view: LogView, conditions: DataFrame, key_cols: list[str], fields: list[str]) -> DataFrame:
-    """``(key..., rule_ord)`` for every log and table rule that matches.
+def _offer(field: str, path: str, text: Column):
+    """A value under one join value."""
+    return lambda jv: F.struct(F.lit(field).alias("field"), F.lit(path).alias("path"), jv.alias("jv"),
+                               text.alias("log_value"))
 
-    One scan of the logs: each (field, value) pair is offered twice, once keyed by its value
-    (meets equality terms) and once keyed by its field alone (meets modifier terms, checked
-    by the residual predicate). One join, then one shuffle by the log key serves every
-    later grouping (they all group by supersets of it).
+
+def found_by(conditions: DataFrame) -> DataFrame:
+    """The conditions with the ``path`` and ``jv`` (join value) that they are found by."""
+    v, m, n = F.col("value"), F.col("modifier"), F.length("value")
+    power = F.expr("shiftleft(1, length(bin(length(value))) - 1)")
+    size = F.when(m == "contains", F.least(n, F.lit(RUN))).otherwise(power)
+    name = F.when(m == "contains", "run").when(m == "startswith", "head").otherwise("tail")
+    plain = conditions.where(~F.coalesce((m == "contains") & (n > RUN), F.lit(False))).select(
+        "*", F.when(m.isNull(), "eq0").when(m == ALWAYS, "all0").when(n == 0, "any0")
+        .otherwise(F.concat(name, size.cast("string"))).alias("path"),
+        F.when(m.isNull(), v).when((m == ALWAYS) | (n == 0), F.lit("")).when(m == "contains", v)
+        .when(m == "startswith", F.substring(v, F.lit(1), power))
+        .otherwise(F.substring(v, -power, power)).alias("jv"))
+    runs = (conditions.where((m == "contains") & (n > RUN)).select("*", F.explode(_runs(v, RUN)).alias("jv"))
+            .withColumn("_rw_n", F.count(F.lit(1)).over(Window.partitionBy("field", "jv"))))
+    rarest = runs.groupBy(*conditions.columns).agg(F.min(F.struct("_rw_n", "jv")).alias("_rw_best")).select(
+        *conditions.columns, F.lit(f"run{RUN}").alias("path"), F.col("_rw_best.jv").alias("jv"))
+    return plain.unionByName(rarest)
+
+
+def table_matches(view: LogView, conditions: DataFrame, rule_list: DataFrame, key_cols: list[str],
+                  paths: dict[str, set[tuple[str, int]]]) -> DataFrame:
+    """``(key..., rule_ord, rule_id, rule_title, severity)`` for every log and table rule that matches.
+
+    One scan of the logs, one join with the conditions, one shuffle by log and rule.
     """
-    pairs = field_pairs(view, fields, key_cols)
-    offers = pairs.select(*[F.col(quote(k)) for k in key_cols], "field", F.col("value").alias("log_value"),
-                          F.inline(F.array(F.struct(F.lit("eq").alias("kind"), F.col("value").alias("jv")),
-                                           F.struct(F.lit("mod").alias("kind"), F.lit("").alias("jv")))))
-    cond = conditions.where(F.col("modifier").isNull() | F.col("modifier").isin(*MODIFIERS)).select(
-        "rule_ord", "clause", "term", "clause_terms", "field", "modifier", "value",
-        F.when(F.col("modifier").isNull(), F.lit("eq")).otherwise(F.lit("mod")).alias("kind"),
-        F.when(F.col("modifier").isNull(), F.col("value")).otherwise(F.lit("")).alias("jv"))
-    join_keys = ["field", "kind", "jv"]
-    # Every modifier offer of a field shares one key; salt it over the session's partitions (offers
-    # hashed by log key, modifier conditions copied per salt). Whether the conditions are broadcast is
-    # left to the optimizer, which knows their bytes.
+    keys = [F.col(quote(k)) for k in key_cols]
+    items = []
+    for f, kinds in sorted(paths.items()):
+        for kind, n in sorted(kinds):
+            if kind != "all" and not view.fields.has(f):
+                continue
+            text = F.lit("") if kind == "all" else view.fields.text(f)
+            there = F.lit(True) if kind == "all" else view.fields.present(f)
+            items.append(F.when(there, F.transform(_offers(text, kind, n), _offer(f, f"{kind}{n}", text))))
+    if not items:
+        return view.df.where(F.lit(False)).select(*keys).crossJoin(rule_list.drop("clauses").where(F.lit(False)))
+    offers = view.df.select(*keys, F.inline(F.flatten(F.filter(F.array(*items), lambda x: x.isNotNull()))))
+    # The keys that all logs share are salted over the session's partitions: offers hashed by log
+    # key, conditions copied per salt.
     salts = int(view.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    offers = offers.withColumn("_rw_salt", F.when(F.col("kind") == "mod", F.pmod(
-        F.xxhash64(*[F.col(quote(k)) for k in key_cols]), F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-    cond = cond.withColumn("_rw_salt", F.explode(F.when(F.col("kind") == "mod", F.sequence(
-        F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    join_keys.append("_rw_salt")
+    shared = F.col("path").isin("any0", "all0")
+    offers = offers.withColumn("_rw_salt", F.when(shared, F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+                               .otherwise(F.lit(0)))
+    cond = found_by(conditions).drop("rule_id").withColumn("_rw_salt", F.explode(
+        F.when(shared, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
-    residual = (m.isNull() | ((m == "contains") & lv.contains(cv)) | ((m == "startswith") & lv.startswith(cv))
-                | ((m == "endswith") & lv.endswith(cv)))
-    met = offers.join(cond, on=join_keys, how="inner").where(residual)
-    c = [F.col(quote(k)) for k in key_cols]
-    met = met.select(*c, "rule_ord", "clause", "term", "clause_terms").repartition(*c)
-    done = (met.distinct().groupBy(*c, "rule_ord", "clause", "clause_terms").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") == F.col("clause_terms")))
-    return done.select(*c, "rule_ord").distinct()
+    holds = (m.isNull() | (m == ALWAYS) | ((m == "contains") & lv.contains(cv))
+             | ((m == "startswith") & lv.startswith(cv)) | ((m == "endswith") & lv.endswith(cv)))
+    met = offers.join(cond, on=["field", "path", "jv", "_rw_salt"], how="inner").where(holds)
+    per_rule = met.groupBy(*keys, "rule_ord").agg(F.collect_set(F.struct("group", "term")).alias("_rw_met"))
+
+    def group_holds(literal):
+        return F.size(F.filter("_rw_met", lambda x: x["group"] == literal["group"])) == literal["terms"]
+
+    clause = F.exists("clauses", lambda c: F.forall(c["holds"], group_holds)
+                      & ~F.exists(c["fails"], group_holds))
+    return per_rule.join(rule_list, "rule_ord").where(clause).drop("_rw_met", "clauses")
 
 
 def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols: list[str]) -> DataFrame:
-    """E2 with E1 fallback: alerts of plain rules, rules joined as data where their shape allows.
+    """Alerts of plain rules, joined as data; conditions of very many clauses are compiled.
 
     ``key_cols`` must identify a log (e.g. the offset); matches are joined back on them.
     """
-    rows, rest = split_for_table(rules)
+    rows, listed, rest = split_for_table(rules)
     parts = []
     if rest:
         parts.append(alert_projection(view, match_rules(view, [rules[i] for i in rest])))
     if rows:
-        conditions = spark.createDataFrame(rows, CONDITIONS_SCHEMA)
-        fields = sorted({r[4] for r in rows})
-        matches = table_matches(view, conditions, key_cols, fields)
-        meta = spark.createDataFrame([(i, r.id, r.title, r.level) for i, r in enumerate(rules)],
-                                     "rule_ord int, rule_id string, rule_title string, severity string")
-        tagged = matches.join(meta, "rule_ord")
-        tagged = tagged.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_rw_rule"))
+        matches = table_matches(view, spark.createDataFrame(rows, CONDITIONS_SCHEMA),
+                                spark.createDataFrame(listed, RULE_LIST_SCHEMA), key_cols, paths_of(rows))
+        tagged = matches.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_rw_rule"))
         joined = view.df.join(tagged, on=key_cols, how="inner")
         parts.append(alert_projection(view, joined))
     if not parts:
@@ -178,19 +250,41 @@ def rules_frame(spark: SparkSession, rules_dir: str) -> DataFrame:
     return texts.mapInPandas(parse, RULES_FRAME_SCHEMA)
 
 
-def conditions_frame(rules: DataFrame) -> DataFrame:
-    """E2 conditions table from a rules table (distributed flattening, one rule per row)."""
+def _flattened(rules: DataFrame) -> DataFrame:
+    """One row per rule of a rules table: its conditions and clauses, or why it has none."""
     def flatten(batches):
         for pdf in batches:
-            out, ordinal = [], 0
-            for ordinal_col, rid, title, level, det in zip(pdf["rule_ord"], pdf["id"], pdf["title"], pdf["level"],
-                                                           pdf["detection"]):
-                rule = Rule(id=rid, title=title, level=level, detection=json.loads(det))
+            out = []
+            for at, rid, title, level, det in zip(pdf["rule_ord"], pdf["id"], pdf["title"], pdf["level"],
+                                                  pdf["detection"]):
+                rows, listed, error = None, None, None
                 try:
-                    got = condition_rows(int(ordinal_col), rule)
-                except RuleError:
-                    got = None
-                out.extend(got or [])
-            yield pd.DataFrame(out, columns=[f.name for f in CONDITIONS_SCHEMA.fields])
+                    rule = Rule(id=rid, title=title, level=level, detection=json.loads(det))
+                    got = condition_rows(int(at), rule)
+                    if got is None:
+                        error = f"more than {MAX_CLAUSES} clauses: compile it"
+                    else:
+                        rows, listed = got
+                        rows = [dict(zip(CONDITIONS_SCHEMA.fieldNames(), r)) for r in rows]
+                except (RuleError, ValueError, TypeError, AttributeError) as exc:
+                    error = str(exc)
+                out.append((at, rid, title, level, rows, listed, error))
+            yield pd.DataFrame(out, columns=["rule_ord", "rule_id", "rule_title", "severity", "conditions", "clauses",
+                                             "error"])
+
+    conditions = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in CONDITIONS_SCHEMA.fields)
+    return rules.mapInPandas(flatten, RULE_LIST_SCHEMA.replace(
+        "clauses", f"conditions array<struct<{conditions}>>, clauses") + ", error string")
 
-    return rules.mapInPandas(flatten, CONDITIONS_SCHEMA)
+
+def conditions_frame(rules: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """E2 tables from a rules table, one rule per row, flattened where the rows are: the conditions,
+    the rule list, and the rules left out as ``(rule_ord, rule_id, error)``.
+
+    A rule without a usable condition, or with a null or broken ``detection``, is left out with its
+    reason; a rule that can never match is listed without clauses.
+    """
+    flat = _flattened(rules)
+    usable = flat.where(F.col("error").isNull())
+    return (usable.select(F.inline("conditions")), usable.drop("conditions", "error"),
+            flat.where(F.col("error").isNotNull()).select("rule_ord", "rule_id", "error"))

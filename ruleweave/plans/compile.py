@@ -8,6 +8,7 @@ result is handed to ``F.expr``: Catalyst does the parsing, one expression per ru
 
 from __future__ import annotations
 
+import ast
 import logging
 
 from pyspark.sql import Column, DataFrame
@@ -167,22 +168,62 @@ def usable_rules(rules: list[Rule], fields: Fields) -> tuple[list[Rule], list[tu
     return good, bad
 
 
-def clauses(rule: Rule) -> list[list[str]] | None:
-    """The condition as OR of ANDs of group names, or None if it has another shape
-    (``not`` or parentheses)."""
+def condition_tree(rule: Rule):
+    """The checked condition as a boolean tree, and the groups that its names stand for.
+
+    Python's ``ast`` has the same precedence: ``not`` > ``and`` > ``or``.
+    """
     tokens = rule.condition.split()
     check_condition(tokens, rule.groups)
-    if any(t in ("not", "(", ")") for t in tokens):
-        return None
-    out, cur = [], []
-    for t in tokens:
-        if t == "or":
-            out.append(cur)
-            cur = []
-        elif t != "and":
-            cur.append(t)
-    out.append(cur)
-    return out
+    names: dict[str, str] = {}
+    text = " ".join(t if t in KEYWORDS else names.setdefault(t, f"g{len(names)}") for t in tokens)
+    return ast.parse(text, mode="eval").body, {v: k for k, v in names.items()}
+
+
+def normal_form(rule: Rule, constants: dict[str, bool], most: int) -> list[tuple[frozenset, frozenset]] | None:
+    """The condition as OR of clauses ``(groups that hold, groups that do not)``.
+
+    ``constants`` are groups with a known truth; contradictions and clauses that a shorter one
+    implies are left out. An always-true condition is one empty clause, an always-false one has no
+    clause. None if there would be more than ``most`` clauses on the way.
+    """
+    tree, names = condition_tree(rule)
+
+    def tidy(found):
+        found = sorted({c for c in found if not c[0] & c[1]}, 
+                       key=lambda c: (len(c[0]) + len(c[1]), sorted(c[0]), sorted(c[1])))
+        kept: list = []
+        for c in found:
+            if not any(k[0] <= c[0] and k[1] <= c[1] for k in kept):
+                kept.append(c)
+        return kept
+
+    def walk(node, positive: bool):
+        if isinstance(node, ast.Name):
+            group = names[node.id]
+            if group in constants:
+                return [(frozenset(), frozenset())] if constants[group] == positive else []
+            own, none = frozenset([group]), frozenset()
+            return [(own, none) if positive else (none, own)]
+        if isinstance(node, ast.UnaryOp):
+            return walk(node.operand, not positive)
+        out = None
+        for part in (walk(v, positive) for v in node.values):
+            if part is None:
+                return None
+            if out is None:
+                out = part
+            elif isinstance(node.op, ast.And) == positive:
+                if len(out) * len(part) > most * most:
+                    return None
+                out = tidy((x[0] | y[0], x[1] | y[1]) for x in out for y in part)
+            else:
+                out = tidy([*out, *part])
+            if len(out) > most:
+                return None
+        return out
+
+    return walk(tree, True)
 
 
 def _pushable_term_sql(fields: Fields, key: str, expected) -> str | None:
@@ -207,21 +248,14 @@ def _pushable_term_sql(fields: Fields, key: str, expected) -> str | None:
 def necessary_sql(rule: Rule, fields: Fields) -> str | None:
     """A predicate every log matching ``rule`` satisfies, made only of pushable terms.
 
-    The checked token list is read as a boolean expression tree (Python's ``ast`` has the
-    same precedence: ``not`` > ``and`` > ``or``). A group gives the AND of its pushable
-    terms, AND keeps what its parts give, OR needs every branch to give something, and
-    ``not`` gives no restriction. None means nothing can be skipped for this rule.
+    A group gives the AND of its pushable terms, AND keeps what its parts give, OR needs every
+    branch to give something, and ``not`` gives no restriction. None means nothing can be
+    skipped for this rule.
     """
-    import ast
-
-    tokens = rule.condition.split()
     try:
-        check_condition(tokens, rule.groups)
+        tree, groups = condition_tree(rule)
     except RuleError:
         return None
-    names: dict[str, str] = {}
-    text = " ".join(t if t in KEYWORDS else names.setdefault(t, f"g{len(names)}") for t in tokens)
-    groups = {v: k for k, v in names.items()}
 
     def walk(node) -> str | None:
         if isinstance(node, ast.Name):
@@ -238,7 +272,7 @@ def necessary_sql(rule: Rule, fields: Fields) -> str | None:
             return "(" + " OR ".join(parts) + ")" if all(parts) else None
         return None   # not, or anything else: no restriction
 
-    return walk(ast.parse(text, mode="eval").body)
+    return walk(tree)
 
 
 def scan_prefilter(rules: list[Rule], fields: Fields) -> Column | None:

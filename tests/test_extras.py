@@ -2,11 +2,13 @@
 
 import json
 import os
+import random
 
 from pyspark.sql import functions as F
 
 from ruleweave.operators.evaluate import alerts_json, plain_alerts
-from ruleweave.operators.ruletable import conditions_frame, rules_frame, split_for_table, table_alerts
+from ruleweave.operators import ruletable
+from ruleweave.operators.ruletable import CONDITIONS_SCHEMA, conditions_frame, rules_frame, split_for_table, table_alerts
 from ruleweave.plans.rules import Rule, load_rules
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -38,11 +40,72 @@ def test_conditions_frame_equals_driver_flattening(spark):
     plain = [r for r in rules if not r.is_burst]
     df = spark.createDataFrame([(i, r.id, r.title, r.level, json.dumps(r.detection)) for i, r in enumerate(plain)],
                                "rule_ord int, id string, title string, level string, detection string")
-    got = sorted(tuple(r) for r in conditions_frame(df).collect())
-    rows, rest = split_for_table(plain)
-    assert got == sorted(rows)
-    assert {plain[i].id for i in rest} == {"ev-error-no-user-001", "ev-view-without-5-001",
-                                           "ev-click-or-purchase-not-2-001"}
+    conditions, listed, left_out = conditions_frame(df)
+    rows, rule_list, rest = split_for_table(plain)
+    assert sorted(map(repr, map(tuple, conditions.collect()))) == sorted(map(repr, rows))
+    assert rest == [] and left_out.count() == 0
+    assert {r.rule_ord: [c.asDict(True) for c in r.clauses] for r in listed.collect()} == {
+        r[0]: r[4] for r in rule_list}
+
+
+def test_rules_left_out_have_a_reason(spark):
+    df = spark.createDataFrame([
+        (0, "ok", '{"s": {"a": 1}, "condition": "s"}'), (1, "unknown", '{"s": {"a": 1}, "condition": "t"}'),
+        (2, "open", '{"s": {"a": 1}, "condition": "( s"}'), (3, "null", None), (4, "list", '{"s": [1], "condition": "s"}'),
+        (5, "never", '{"s": {"a": []}, "condition": "s"}')], "rule_ord int, id string, detection string").selectExpr(
+        "rule_ord", "id", "'t' title", "'low' level", "detection")
+    conditions, listed, left_out = conditions_frame(df)
+    assert sorted(r.rule_id for r in listed.collect()) == ["never", "ok"]
+    assert [r.rule_id for r in conditions.collect()] == ["ok"]
+    assert {r.rule_id: bool(r.error) for r in left_out.collect()} == dict.fromkeys(["unknown", "open", "null", "list"], True)
+
+
+def test_random_conditions_as_data_equal_compiled(spark, logs_of):
+    rng = random.Random(5)
+    fields = ["a", "b", "c"]
+    texts = ["", "x", "xy", "xyz", "wxyz", "yz\u00e9\U0001f600z", "abcabcd", "abcab", "zzzzzzzzz"]
+    v = logs_of([{f: rng.choice([*texts, None, 4, True]) for f in fields if rng.random() < 0.7} for _ in range(60)])
+
+    def group():
+        out = {}
+        for _ in range(rng.choice([0, 1, 1, 1, 2])):
+            mod = rng.choice(["", "", "|contains", "|startswith", "|endswith", "|re"])
+            t = rng.choice(texts)
+            out[rng.choice(fields) + mod] = rng.choice([t, t[1:], t[:-1], 4, [t, rng.choice(texts)], []])
+        return out
+
+    def condition(depth):
+        if depth == 0 or rng.random() < 0.25:
+            return rng.choice(["not ", ""]) + rng.choice(["g0", "g1", "g2", "g3"])
+        inner = f" {rng.choice(['and', 'or'])} ".join(condition(depth - 1) for _ in range(rng.choice([2, 2, 3])))
+        return rng.choice(["not ( {} )", "( {} )"]).format(inner)
+
+    rules = [Rule(f"r{i}", "t", "l", {**{f"g{k}": group() for k in range(4)}, "condition": condition(2)})
+             for i in range(60)]
+    assert split_for_table(rules)[2] == []
+    got = sorted((r.seq, r.rule_id) for r in table_alerts(spark, v, rules, key_cols=["seq"]).collect())
+    want = sorted((r.seq, r.rule_id) for r in plain_alerts(v, rules).collect())
+    assert got == want and len(got) > 500
+
+
+def test_many_clauses_are_compiled(spark, logs_of):
+    groups = {f"g{i}": {f"f{i}": "x"} for i in range(24)}
+    rule = Rule("r", "t", "l", {**groups, "condition": " and ".join(f"( g{i} or g{i + 1} )" for i in range(0, 24, 2))})
+    v = logs_of([{f"f{i}": "x" for i in range(0, 24, 2)}, {"f0": "x"}])
+    assert split_for_table([rule])[2] == [0]
+    assert [r.seq for r in table_alerts(spark, v, [rule], key_cols=["seq"]).collect()] == [0]
+
+
+def test_contains_conditions_meet_few_values(spark):
+    """5,000 patterns: what the join brings together stays within ten times the matches."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(5000)]
+    patterns = spark.createDataFrame([(i, f"r{i}", 0, 0, "a", "contains", w) for i, w in enumerate(words)], CONDITIONS_SCHEMA)
+    values = spark.createDataFrame([(" ".join(rng.sample(words, 4)),) for _ in range(400)], "v string")
+    pairs = values.select("v", F.explode(ruletable._runs(F.col("v"), 3)).alias("jv")).join(
+        ruletable.found_by(patterns), "jv")
+    met = pairs.where(F.col("v").contains(F.col("value"))).count()
+    assert met >= 1600 and pairs.count() <= 10 * met
 
 
 def test_table_path_on_json_logs(spark, logs_of):
