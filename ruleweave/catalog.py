@@ -650,6 +650,37 @@ QUERIES["rule_table_alerts"] = rule_table_alerts
 ORACLES["rule_table_alerts"] = ORACLES["rule_set_alerts"]
 
 
+def quoted_item_rules(items: DataFrame) -> DataFrame:
+    """A rules table made from the benchmark items: a document that quotes an item's beginning, in a
+    language other than English, or any text that ends like the item."""
+    opening, ending = F.substring("text", 1, 40), F.substring("text", -12, 12)
+    detection = F.to_json(F.struct(F.struct(opening.alias("text|contains")).alias("quoted"),
+                                   F.struct(F.lit("en").alias("lang")).alias("english"),
+                                   F.struct(ending.alias("text|endswith")).alias("ending"),
+                                   F.lit("quoted and not english or ending").alias("condition")))
+    return items.where(F.length("text") > 0).select(
+        F.col("item_id").cast("int").alias("rule_ord"), F.concat(F.lit("item-"), F.col("item_id")).alias("id"),
+        F.lit("Quoted item").alias("title"), F.lit("high").alias("level"), detection.alias("detection"))
+
+
+def quoted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 with rules that Spark derives from a table, negation included."""
+    from ruleweave.operators.ruletable import rules_as_data
+    from ruleweave.sources.logs import table_view
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", F.lit(None).cast("timestamp").alias("_rw_ts"))
+    view = table_view(docs, time_col="_rw_ts", order_cols=["doc_id"], keep=["doc_id"])
+    matches, _ = rules_as_data(view, quoted_item_rules(read_table(spark, sf_dir, "benchmark")), ["doc_id"])
+    return matches.select("doc_id", "rule_id", "severity")
+
+
+QUERIES["quoted_items"] = quoted_items
+ORACLES["quoted_items"] = """SELECT doc_id, 'item-' || item_id AS rule_id, 'high' AS severity
+    FROM documents d, benchmark b WHERE length(b.text) > 0 AND d.text IS NOT NULL
+      AND ((contains(d.text, substring(b.text, 1, 40)) AND NOT coalesce(d.lang = 'en', false))
+           OR ends_with(d.text, substring(b.text, -12, 12)))"""
+
+
 # --- JSON-text logs (S2), coarse bursts (A10), stream dedup (K3), empty rule set (E5) ----------
 
 def events_json_view(spark: SparkSession, sf_dir: str):

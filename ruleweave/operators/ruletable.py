@@ -26,9 +26,11 @@ from __future__ import annotations
 import json
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ruleweave.errors import RuleError
 from ruleweave.functions.fields import quote, rule_text
@@ -43,9 +45,13 @@ CONDITIONS_SCHEMA = T.StructType([
     T.StructField("field", T.StringType()), T.StructField("modifier", T.StringType()),
     T.StructField("value", T.StringType()),
 ])
-_LITERALS = "array<struct<group:int,terms:int>>"
-RULE_LIST_SCHEMA = ("rule_ord int, rule_id string, rule_title string, severity string, "
-                    f"clauses array<struct<holds:{_LITERALS},fails:{_LITERALS}>>")
+_LITERALS = T.ArrayType(T.StructType([T.StructField("group", T.IntegerType()), T.StructField("terms", T.IntegerType())]))
+RULE_LIST_SCHEMA = T.StructType([
+    T.StructField("rule_ord", T.IntegerType()), T.StructField("rule_id", T.StringType()),
+    T.StructField("rule_title", T.StringType()), T.StructField("severity", T.StringType()),
+    T.StructField("clauses", T.ArrayType(T.StructType([
+        T.StructField("holds", _LITERALS), T.StructField("fails", _LITERALS)]))),
+])
 #: Clauses of one condition in normal form, above which a rule is compiled instead.
 MAX_CLAUSES = 256
 #: Characters of the runs that ``contains`` patterns are found by.
@@ -99,6 +105,12 @@ def split_for_table(rules: list[Rule]) -> tuple[list[tuple], list[tuple], list[i
     return rows, listed, rest
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Driver rows as a local relation (by way of Arrow), whose size the optimizer knows."""
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(arrow.names, r)) for r in rows], arrow), schema)
+
+
 def _power(n: int) -> int:
     """The largest power of two within a length of at least one."""
     return 1 << (n.bit_length() - 1)
@@ -118,28 +130,43 @@ def paths_of(rows) -> dict[str, set[tuple[str, int]]]:
 
 def _runs(text: Column, n: int) -> Column:
     """The distinct runs of ``n`` characters of a text (none if it is shorter)."""
-    chars = F.split(text, "")
-    at = F.sequence(F.lit(1), F.size(chars) - F.lit(n - 1))
-    cut = F.transform(at, lambda i: F.concat(*[F.element_at(chars, i + F.lit(k)) for k in range(n)]))
-    return F.when(F.length(text) >= n, F.array_distinct(cut))
-
+    def cut(chars):
+        at = F.sequence(F.lit(1), F.size(chars) - F.lit(n - 1))
+        return F.transform(at, lambda i: F.concat(*[F.element_at(chars, i + F.lit(k)) for k in range(n)]))
 
-def _offers(text: Column, kind: str, n: int) -> Column:
-    """The keys of one kind that a value is offered under, as an array (NULL for none)."""
-    long_enough = F.length(text) >= n
-    if kind == "run":
-        return _runs(text, n)
-    if kind == "eq":
-        return F.array(text)
-    if kind in ("head", "tail"):
-        return F.when(long_enough, F.array(F.substring(text, 1, n) if kind == "head" else F.substring(text, -n, n)))
-    return F.array(F.lit(""))
+    # the characters are bound once, as a one-entry array, or each run would split the text anew
+    once = F.transform(F.array(F.split(text, "")), cut)
+    return F.when(F.length(text) >= n, F.array_distinct(F.element_at(once, 1)))
 
 
-def _offer(field: str, path: str, text: Column):
+def _offer(field: str, path: str, jv: Column, text: Column) -> Column:
     """A value under one join value."""
-    return lambda jv: F.struct(F.lit(field).alias("field"), F.lit(path).alias("path"), jv.alias("jv"),
-                               text.alias("log_value"))
+    return F.struct(F.lit(field).alias("field"), F.lit(path).alias("path"), jv.alias("jv"), text.alias("log_value"))
+
+
+def offers_of(fields, paths: dict[str, set[tuple[str, int]]]) -> Column | None:
+    """A log's values under every key that a condition can be found by, as one array; None for no path.
+
+    Absent fields and values too short for a key give no entry, or one whose ``jv`` is NULL.
+    """
+    single, many = [], []
+    for f, kinds in sorted(paths.items()):
+        for kind, n in sorted(kinds):
+            if kind == "all":
+                single.append(_offer(f, "all0", F.lit(""), F.lit("")))
+            elif fields.has(f):
+                text, path = fields.text(f), f"{kind}{n}"
+                if kind == "run":
+                    runs = F.when(fields.present(f), _runs(text, n))
+                    many.append(F.coalesce(F.transform(runs, lambda jv: _offer(f, path, jv, text)),
+                                           F.array().cast("array<struct<field:string,path:string,jv:string,"
+                                                          "log_value:string>>")))
+                else:
+                    jv = {"eq": text, "any": F.lit(""), "head": F.substring(text, 1, n),
+                          "tail": F.substring(text, -n, n)}[kind]
+                    single.append(_offer(f, path, F.when(fields.present(f) & (F.length(text) >= n), jv), text))
+    parts = ([F.array(*single)] if single else []) + many
+    return F.concat(*parts) if parts else None
 
 
 def found_by(conditions: DataFrame) -> DataFrame:
@@ -168,17 +195,10 @@ def table_matches(view: LogView, conditions: DataFrame, rule_list: DataFrame, ke
     One scan of the logs, one join with the conditions, one shuffle by log and rule.
     """
     keys = [F.col(quote(k)) for k in key_cols]
-    items = []
-    for f, kinds in sorted(paths.items()):
-        for kind, n in sorted(kinds):
-            if kind != "all" and not view.fields.has(f):
-                continue
-            text = F.lit("") if kind == "all" else view.fields.text(f)
-            there = F.lit(True) if kind == "all" else view.fields.present(f)
-            items.append(F.when(there, F.transform(_offers(text, kind, n), _offer(f, f"{kind}{n}", text))))
-    if not items:
-        return view.df.where(F.lit(False)).select(*keys).crossJoin(rule_list.drop("clauses").where(F.lit(False)))
-    offers = view.df.select(*keys, F.inline(F.flatten(F.filter(F.array(*items), lambda x: x.isNotNull()))))
+    found = offers_of(view.fields, paths)
+    if found is None:
+        return view.df.where(F.lit(False)).select(*keys).join(rule_list.drop("clauses"), F.lit(False))
+    offers = view.df.select(*keys, F.inline(found)).where(F.col("jv").isNotNull())
     # The keys that all logs share are salted over the session's partitions: offers hashed by log
     # key, conditions copied per salt.
     salts = int(view.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -211,8 +231,8 @@ def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols
     if rest:
         parts.append(alert_projection(view, match_rules(view, [rules[i] for i in rest])))
     if rows:
-        matches = table_matches(view, spark.createDataFrame(rows, CONDITIONS_SCHEMA),
-                                spark.createDataFrame(listed, RULE_LIST_SCHEMA), key_cols, paths_of(rows))
+        conditions, rule_list = local_table(spark, rows, CONDITIONS_SCHEMA), local_table(spark, listed, RULE_LIST_SCHEMA)
+        matches = table_matches(view, conditions, rule_list, key_cols, paths_of(rows))
         tagged = matches.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_rw_rule"))
         joined = view.df.join(tagged, on=key_cols, how="inner")
         parts.append(alert_projection(view, joined))
@@ -272,9 +292,9 @@ def _flattened(rules: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["rule_ord", "rule_id", "rule_title", "severity", "conditions", "clauses",
                                              "error"])
 
-    conditions = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in CONDITIONS_SCHEMA.fields)
-    return rules.mapInPandas(flatten, RULE_LIST_SCHEMA.replace(
-        "clauses", f"conditions array<struct<{conditions}>>, clauses") + ", error string")
+    schema = T.StructType([*RULE_LIST_SCHEMA.fields[:-1], T.StructField("conditions", T.ArrayType(CONDITIONS_SCHEMA)),
+                           RULE_LIST_SCHEMA["clauses"], T.StructField("error", T.StringType())])
+    return rules.mapInPandas(flatten, schema)
 
 
 def conditions_frame(rules: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -288,3 +308,20 @@ def conditions_frame(rules: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     usable = flat.where(F.col("error").isNull())
     return (usable.select(F.inline("conditions")), usable.drop("conditions", "error"),
             flat.where(F.col("error").isNotNull()).select("rule_ord", "rule_id", "error"))
+
+
+def paths_in(conditions: DataFrame) -> dict[str, set[tuple[str, int]]]:
+    """``paths_of`` for a conditions table: a few rows per field reach the driver, whatever the rules."""
+    paths: dict[str, set[tuple[str, int]]] = {}
+    for field, path in found_by(conditions).select("field", "path").distinct().collect():
+        kind = path.rstrip("0123456789")
+        paths.setdefault(field, set()).add((kind, int(path[len(kind):])))
+    return paths
+
+
+def rules_as_data(view: LogView, rules: DataFrame, key_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """E2 for rules that are themselves a table (``rule_ord, id, title, level, detection``), never
+    at the driver: ``(key..., rule_ord, rule_id, rule_title, severity)`` of the matches, and the rules
+    left out with their reason."""
+    conditions, rule_list, left_out = conditions_frame(rules)
+    return table_matches(view, conditions, rule_list, key_cols, paths_in(conditions)), left_out
