@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.llm.stage import staged
+from ruleweave.llm.stage import set_aside, staged
 from ruleweave.llm.textbatch import (ALNUM_WORDS, LOWER, pieces, text_buffer, window_hashes, word_bounds,
                                      word_hashes)
 
@@ -251,10 +251,12 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "do
     """The rows of `docs` without any benchmark item in them, with all columns as they came.
 
     Rows are told apart by id and text hash, so rows that share an id are judged on their own texts.
+    Null and empty texts stay, an empty table gives no rows, extra columns may have any name.
     """
+    docs, back, (id_col, text_col) = set_aside(docs, id_col, text_col)
     names = docs.columns
     found = staged(_found(docs, benchmark, id_col, text_col, **options).select(
         F.col("row_id").alias("_rw_id"), F.col("text_hash").alias("_rw_hash")).distinct(), "contaminated")
     keyed = docs.withColumn("_rw_key", F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
     same = (F.col("_rw_key") == F.col("_rw_hash")) & F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_rw_id"))
-    return keyed.join(found, same, "left_anti").select(*[F.col(f"`{c}`") for c in names])
+    return back(keyed.join(found, same, "left_anti").select(*[F.col(f"`{c}`") for c in names]))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.llm.stage import staged
+from ruleweave.llm.stage import set_aside, staged
 
 
 def uniform(seed: int, what: str, *parts: Column) -> Column:
@@ -59,12 +59,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
         id_col: str = "doc_id", source_col: str = "source", copy_col: str = "copy", rate_col: str = "rate") -> DataFrame:
     """The mixture in a global shuffled order: every column of docs, the copy number from 1, and the source's rate.
 
-    A column of docs named like copy_col or rate_col gives way to the new one. Null sources are one source
+    A column of docs named like copy_col or rate_col gives way to the new one; all others keep their values. Null sources are one source
     (with ''). Rows that share an id (or have none) and a source draw the same number of copies. Sources of
     weight 0 give no rows. The number of copies of a source varies as a Poisson sum around weight x mixture.
     Empty table: no rows.
     """
-    names = [c for c in docs.columns if c not in (copy_col, rate_col)]
+    docs, back, (id_col, source_col) = set_aside(docs.drop(copy_col, rate_col), id_col, source_col)
+    names = docs.columns
     tables = staged(poisson_tables(repetition_rates(docs, weights, alpha, epochs, source_col)).select(
         F.col("source").alias("_rw_source"), F.col("rate").alias("_rw_rate"), F.col("cdf").alias("_rw_cdf")), "poisson")
     key = F.col(f"`{id_col}`")
@@ -77,4 +78,4 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     mixed = some.withColumn("_rw_order", F.md5(F.concat_ws("|", F.lit(f"{seed}|order"), F.col("_rw_key"), F.coalesce(
         key.cast("string"), F.lit("")), F.col("_rw_copy").cast("string")))).select(
         *[F.col(f"`{c}`") for c in names], F.col("_rw_copy").alias(copy_col), F.col("_rw_rate").alias(rate_col), "_rw_order")
-    return mixed.orderBy("_rw_order").drop("_rw_order")
+    return back(mixed.orderBy("_rw_order").drop("_rw_order"))

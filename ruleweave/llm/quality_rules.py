@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.llm.stage import staged
+from ruleweave.llm.stage import set_aside, staged
 
 MIN_WORDS = 50
 #: Steps of the grid of cutoffs between 0 and 1; a rule's value is a share and is compared in these steps.
@@ -138,7 +138,9 @@ def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     """The rows of `docs` that the rules keep, with all columns as they came.
 
     Verdicts are joined by id, stratum and text hash, so rows that share an id are judged on their own texts.
+    Nulls, repeats and empty tables as in `judge`; extra columns may have any name.
     """
+    docs, back, (id_col, text_col, stratum_col) = set_aside(docs, id_col, text_col, stratum_col)
     names = docs.columns
     keyed = docs.withColumn("_rw_key", F.xxhash64(F.col(f"`{text_col}`")))
     verdict = judge(keyed, labels, id_col, text_col, stratum_col, key_col="_rw_key", **options)
@@ -147,4 +149,4 @@ def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
         "rejected")
     same = ((F.col("_rw_key") == F.col("_rw_key2")) & F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_rw_id"))
             & (F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")) == F.col("_rw_stratum")))
-    return keyed.join(rejected, same, "left_anti").select(*[F.col(f"`{c}`") for c in names])
+    return back(keyed.join(rejected, same, "left_anti").select(*[F.col(f"`{c}`") for c in names]))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.llm.components import connected_components
-from ruleweave.llm.stage import dropped, staged
+from ruleweave.llm.stage import dropped, set_aside, staged
 from ruleweave.llm.textbatch import LOWER, WHITESPACE_WORDS, pieces, text_buffer, word_bounds
 
 #: The grid covers this Hamming distance (a midpoint argument: one step from either side).
@@ -144,10 +144,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stay: of each group the row with the smallest doc_id (then text hash), once.
 
-    All columns are returned as they came. Null doc_ids come after all others.
+    All columns are returned as they came, whatever their names. Null doc_ids come after all others.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    groups = simhash_groups(docs, **options)
+    docs, back, (id_col, text_col) = set_aside(docs, options.pop("id_col", "doc_id"), options.pop("text_col", "text"))
+    groups = simhash_groups(docs, id_col=id_col, text_col=text_col, **options)
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "fp")
     group = F.coalesce(F.col("component_id"), F.col("fp"))
     first = (groups.groupBy(F.col("component_id").isNull().alias("none"), group.alias("g"))
@@ -164,6 +164,6 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     plain = [F.col(f"`{c}`") for c in names]
     once = kept.where("_rw_n = 1").select(*plain)
     if keys.where("_rw_n > 1").isEmpty():
-        return once
+        return back(once)
     again = kept.where("_rw_n > 1").dropDuplicates(["_rw_id", "_rw_hash"]).select(*plain)
-    return once.unionByName(again)
+    return back(once.unionByName(again))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleweave.session import ensure_checkpoint_dir
@@ -33,12 +35,20 @@ def dropped(df: DataFrame) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
-def unsigned(c: Column) -> Column:
-    """An unsigned 64-bit value held in a bigint, as decimal."""
-    d = c.cast("decimal(20,0)")
-    return F.when(c < 0, d + F.expr("18446744073709551616BD")).otherwise(d)
+def set_aside(docs: DataFrame, *columns: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], tuple[str, ...]]:
+    """``docs`` with its columns named ``_rw_...`` under other names, as operators call their own so.
 
+    Also returns what gives a result its names back, and ``columns`` as they are called meanwhile.
+    A table without such names is returned as it is.
+    """
+    taken = {c.lower() for c in docs.columns}
+    free = (f"aside_{i}" for i in itertools.count() if f"aside_{i}" not in taken)
+    away = {c: next(free) for c in docs.columns if c.lower().startswith("_rw_")}
+    if not away:
+        return docs, lambda df: df, columns
+    home = {v: k for k, v in away.items()}
 
-def array_of(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only the columns an operator reads, so that others with clashing names never meet its own."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+    def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+
+    return renamed(docs, away), lambda df: renamed(df, home), tuple(away.get(c, c) for c in columns)
