@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ruleweave.llm import decontamination, mixing, packing, quality_rules, simhash_dedup
 from ruleweave.llm.queries import table
-from ruleweave.llm.stage import staged
+from ruleweave.llm.stage import set_aside, staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at weights by the root of their size, copies included, in one global order."""
+    docs, back, _ = set_aside(docs)
     mixed = mixing.mix(docs, alpha=0.5, epochs=1.0, seed=42, copy_col="_rw_copy_no", rate_col="_rw_source_rate")
-    return mixed.drop("_rw_copy_no", "_rw_source_rate")
+    return back(mixed.drop("_rw_copy_no", "_rw_source_rate"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
