@@ -10,12 +10,13 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ruleweave.operators.burst import burst_alerts
 from ruleweave.operators.evaluate import evaluate, match_rules, alert_projection
 from ruleweave.operators import store as S
+from ruleweave.operators.metrics import DEFAULT_BOUNDS
 from ruleweave.plans.rules import Rule, load_rules, split_rules
 from ruleweave.sources.testdata import events_view, lineitem_view, events_logs, read_table
 from ruleweave.functions.timeutil import iso_text_micros, ntz_micros
@@ -1080,3 +1081,66 @@ ORACLES["rule_count_asof"] = f"""WITH {_DAYS} SELECT day_us, events,
 ORACLES["envelope_errors_by_day"] = f"""WITH {_DAYS}, bad(day_us, seq, error) AS (VALUES
     ({_day_us(25)}, 9, $$'rule_id' differs from the rule's own id$$), ({_day_us(26)}, 10, $$no 'op' given$$),
     ({_day_us(29)}, 13, $$unknown op: rename$$)) SELECT day_us, events, seq, error FROM days JOIN bad USING (day_us)"""
+
+
+# --- rates of counters (M1, M2) over scraped samples of the events ------------------------------
+
+SCRAPE_US, RUN_US = 900_000_000, 43_200_000_000
+
+
+def worker_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(worker, le, t_us, value): bucket counters of four workers, scraped at each quarter of an hour in which the
+    worker had events. A worker restarts every twelve hours and counts from 0 again."""
+    ev = _events_timed(spark, sf_dir).where("t_us IS NOT NULL AND value IS NOT NULL")
+    slot = F.col("t_us") - F.pmod("t_us", F.lit(SCRAPE_US))
+    les = [*DEFAULT_BOUNDS, float("inf")]
+    seen = ev.groupBy("worker", slot.alias("t_us")).agg(
+        *[F.count_if(F.col("value") <= F.lit(b)).alias(f"b{i}") for i, b in enumerate(les)])
+    run = Window.partitionBy("worker", F.col("t_us") - F.pmod("t_us", F.lit(RUN_US))).orderBy("t_us")
+    counters = F.array(*[F.struct(F.lit(b).alias("le"), F.sum(f"b{i}").over(run).alias("value")) for i, b in enumerate(les)])
+    return seen.select("worker", "t_us", counters.alias("c")).select("worker", "t_us", F.inline("c"))
+
+
+def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: events per second of every worker over the last six hours, at each third hour."""
+    from ruleweave.operators.metrics import counter_rate as _rate
+    total = worker_counters(spark, sf_dir).where(F.col("le") == F.lit(float("inf")))
+    return _rate(total, ["worker"], range_seconds=21_600, step_seconds=10_800)
+
+
+def rate_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: median and 99 % latency of all workers from the rates of their bucket counters."""
+    from ruleweave.operators.metrics import rate_quantile as _quantile
+    samples = worker_counters(spark, sf_dir)
+    parts = [_quantile(samples, q, [], ["worker"], range_seconds=21_600, step_seconds=10_800) for q in (0.5, 0.99)]
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES.update({"counter_rate": counter_rate, "rate_quantile": rate_quantile})
+_COUNTERS = f"""{_TIMED},
+bounds AS (SELECT unnest([{", ".join(f"{b}::DOUBLE" for b in _BOUNDS)}, 'inf'::DOUBLE]) AS le),
+scraped AS (SELECT worker, le, t_us - t_us % {SCRAPE_US} AS t, count(*) FILTER (WHERE value <= le) AS n
+            FROM timed, bounds WHERE t_us IS NOT NULL AND value IS NOT NULL GROUP BY ALL),
+samples AS (SELECT worker, le, t, sum(n) OVER (PARTITION BY worker, le, t // {RUN_US} ORDER BY t)::DOUBLE AS v FROM scraped),
+ends AS (SELECT unnest(range((SELECT min(t) // 10800000000 FROM samples), (SELECT max(t) // 10800000000 + 4 FROM samples)))
+                * 10800000000 AS e),
+held AS (SELECT worker, le, e, t, v, lag(v) OVER (PARTITION BY worker, le, e ORDER BY t) AS p
+         FROM samples JOIN ends ON t > e - 21600000000 AND t <= e),
+seen AS (SELECT worker, le, e, count(*) AS k, min(t) AS t0, max(t) AS t1, arg_min(v, t) AS v0,
+                sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) AS up
+         FROM held GROUP BY ALL HAVING max(t) > min(t)),
+edges AS (SELECT *, t1 - t0 AS span, (t1 - t0) / (k - 1) AS d, t0 - (e - 21600000000) AS a, e - t1 AS b FROM seen),
+rates AS (SELECT worker, le, e, k, up * (span + least(CASE WHEN a >= 1.1 * d THEN d / 2 ELSE a END,
+                                                 CASE WHEN up > 0 THEN span * (v0 / up) ELSE 1e300 END)
+                                 + CASE WHEN b >= 1.1 * d THEN d / 2 ELSE b END) / span AS increase FROM edges)"""
+ORACLES["counter_rate"] = f"""WITH {_COUNTERS} SELECT worker, e AS window_end_us, k AS samples, increase,
+    increase / 21600 AS rate FROM rates WHERE le = 'inf'::DOUBLE"""
+ORACLES["rate_quantile"] = f"""WITH {_COUNTERS},
+s AS (SELECT e, le, sum(increase / 21600) AS r FROM rates GROUP BY ALL),
+m AS (SELECT e, le, max(r) OVER (PARTITION BY e ORDER BY le) AS r FROM s),
+w AS (SELECT e, le, r, max(r) OVER (PARTITION BY e) AS total, coalesce(lag(r) OVER (PARTITION BY e ORDER BY le), 0) AS r0,
+             coalesce(lag(le) OVER (PARTITION BY e ORDER BY le), 0) AS le0 FROM m),
+f AS (SELECT e, q, arg_min(struct_pack(le := le, le0 := le0, r := r, r0 := r0, total := total), le) AS x
+      FROM w, (VALUES (0.5::DOUBLE), (0.99::DOUBLE)) AS u(q) WHERE r >= q * total AND total > 0 GROUP BY ALL)
+SELECT e AS window_end_us, q AS quantile, CASE WHEN x.le = 'inf'::DOUBLE THEN x.le0 WHEN x.r = x.r0 THEN x.le
+    ELSE x.le0 + (x.le - x.le0) * (q * x.total - x.r0) / (x.r - x.r0) END AS value FROM f"""

@@ -4,7 +4,9 @@
 * latency quantiles from cumulative histogram buckets (the histogram form keeps a fixed
   number of counters per window however many events there are), linear inside a bucket;
 * consumer lag: ``sum(max(0, end - position))`` per worker and in total;
-* processed / skipped counts of a JSON decode.
+* processed / skipped counts of a JSON decode;
+* rates of counters that restart with their process, per series and evaluation time, and
+  latency quantiles over the rates of histogram bucket counters.
 """
 
 from __future__ import annotations
@@ -76,6 +78,69 @@ def histogram_quantile(buckets: DataFrame, q: float, group_cols: list[str]) -> D
     return first.select(*g, F.lit(q).alias("quantile"), val.alias("value"))
 
 
+def counter_rate(samples: DataFrame, series_cols: list[str], time_col: str = "t_us", value_col: str = "value",
+                 range_seconds: int = 60, step_seconds: int | None = None) -> DataFrame:
+    """M1 over counters: per second increase of each series in ``(t - range, t]`` at every step t.
+
+    ``(series..., window_end_us, samples, increase, rate)`` for windows with samples at two times or more.
+    A value below its predecessor is a restart: the counter began at 0 again, so all of it is increase.
+    The increase seen between the first and last sample is extended to the window's edges, by at most
+    half a sample distance where an edge is further than 1.1 distances off, and not to before the time
+    at which the counter would have been 0.
+
+    Samples without a time or value are left out; of samples at one time the larger comes later. A NULL
+    in a series column is a value like any other. A sample is copied to the range / step windows that
+    hold it; the window functions and the aggregate share one shuffle by (series, window), so a series
+    of any length is spread over its windows.
+    """
+    step_us, range_us = (step_seconds or range_seconds) * 1_000_000, range_seconds * 1_000_000
+    names = [F.col(quote(c)) for c in series_cols]
+    t, v = F.col("_rw_t"), F.col("_rw_v")
+    first_end = t + F.pmod(-t, F.lit(step_us))
+    held = (samples.select(*names, F.col(quote(time_col)).cast("long").alias("_rw_t"),
+                           F.col(quote(value_col)).cast("double").alias("_rw_v"))
+            .where(t.isNotNull() & v.isNotNull()))
+    if range_us == step_us:
+        dealt = held.withColumn("window_end_us", first_end)
+    else:       # ends in [t, t + range); none where the range is shorter than the step and misses the sample
+        last_end = t + F.lit(range_us - 1) - F.pmod(t + F.lit(range_us - 1), F.lit(step_us))
+        dealt = held.where(first_end <= last_end).withColumn(
+            "window_end_us", F.explode(F.sequence(first_end, last_end, F.lit(step_us))))
+    before = F.lag("_rw_v").over(Window.partitionBy(*names, "window_end_us").orderBy("_rw_t", "_rw_v"))
+    grown = dealt.withColumn("_rw_up", F.when(before.isNull(), F.lit(0.0)).when(v < before, v).otherwise(v - before))
+    seen = grown.groupBy(*names, "window_end_us").agg(
+        F.count(F.lit(1)).alias("samples"), F.sum("_rw_up").alias("_rw_seen"), F.min("_rw_t").alias("_rw_from"),
+        F.max("_rw_t").alias("_rw_to"), F.min(F.struct("_rw_t", "_rw_v")).getField("_rw_v").alias("_rw_first"))
+    span = F.col("_rw_to") - F.col("_rw_from")
+    distance = span / (F.col("samples") - 1)
+
+    def to_edge(gap):
+        return F.when(gap >= distance * 1.1, distance / 2).otherwise(gap)
+
+    start = to_edge(F.col("_rw_from") - (F.col("window_end_us") - F.lit(range_us)))
+    zero = F.when((F.col("_rw_seen") > 0) & (F.col("_rw_first") >= 0), span * (F.col("_rw_first") / F.col("_rw_seen")))
+    covered = span + F.least(start, zero) + to_edge(F.col("window_end_us") - F.col("_rw_to"))
+    increase = F.col("_rw_seen") * (covered / span)
+    return seen.where(span > 0).select(*names, "window_end_us", "samples", increase.alias("increase"),
+                                       (increase / F.lit(float(range_seconds))).alias("rate"))
+
+
+def rate_quantile(samples: DataFrame, q: float, group_cols: list[str], series_cols: list[str], le_col: str = "le",
+                  **rate_options) -> DataFrame:
+    """M2 over counters: the q-quantile per group and window from the rates of cumulative bucket counters.
+
+    Rates are summed by ``le`` over the other series columns, then read as a histogram. A bucket whose sum
+    is below that of a smaller bound (series that began between two samples) takes the larger one's place.
+    Windows whose rates are all 0 have no quantile.
+    """
+    rates = counter_rate(samples, [*series_cols, le_col], **rate_options)
+    keys = [*group_cols, "window_end_us"]
+    g = [F.col(quote(c)) for c in keys]
+    summed = rates.groupBy(*g, F.col(quote(le_col)).cast("double").alias("le")).agg(F.sum("rate").alias("_rw_rate"))
+    rising = F.max("_rw_rate").over(Window.partitionBy(*g).orderBy("le"))
+    return histogram_quantile(summed.select(*g, "le", rising.alias("cumulative_count")), q, keys)
+
+
 def consumer_lag(offsets: DataFrame) -> DataFrame:
     """M3: lag per worker and in total (worker NULL) from ``worker, partition, end_offset, position``."""
     lag = F.greatest(F.lit(0), F.col("end_offset") - F.col("position"))
