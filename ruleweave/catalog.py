@@ -1144,3 +1144,48 @@ f AS (SELECT e, q, arg_min(struct_pack(le := le, le0 := le0, r := r, r0 := r0, t
       FROM w, (VALUES (0.5::DOUBLE), (0.99::DOUBLE)) AS u(q) WHERE r >= q * total AND total > 0 GROUP BY ALL)
 SELECT e AS window_end_us, q AS quantile, CASE WHEN x.le = 'inf'::DOUBLE THEN x.le0 WHEN x.r = x.r0 THEN x.le
     ELSE x.le0 + (x.le - x.le0) * (q * x.total - x.r0) / (x.r - x.r0) END AS value FROM f"""
+
+
+# --- rule versions as data (L6) ------------------------------------------------------------------
+
+def asof_table_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 with the changelog as data: the alerts of ``asof_alerts`` by joins."""
+    from ruleweave.operators.asof import asof_table_alerts as _asof
+    alerts, _ = _asof(events_view(spark, sf_dir), events_changelog(spark), ["event_id"])
+    return alerts.select(*PLAIN_COLUMNS)
+
+
+def watch_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A changelog that grows with the events: an error of a user puts a rule on the user's purchases from then on,
+    titled by the error's event; the user's next error replaces it, a signup ends it."""
+    ev = read_table(spark, sf_dir, "events").where("user_id IS NOT NULL AND event_type IN ('error', 'signup')")
+    rid = F.concat(F.lit("watch-"), F.col("user_id"))
+    detection = F.struct(F.struct(F.col("user_id").cast("string").alias("host"), F.lit("purchase").alias("log_type"))
+                         .alias("sel"), F.lit("sel").alias("condition"))
+    rule = F.to_json(F.struct(rid.alias("id"), F.concat(F.lit("After error "), F.col("event_id")).alias("title"),
+                              F.lit("high").alias("level"), detection.alias("detection")))
+    error = F.col("event_type") == "error"
+    # changes apply in order of time, ties by event; the number in that order is the sequence
+    order = Window.partitionBy("user_id").orderBy("t", "event_id")
+    seq = F.col("user_id") * F.lit(1 << 24) + F.row_number().over(order)
+    return ev.withColumn("t", ntz_micros(F.col("ts"))).where("t IS NOT NULL").select(
+        seq.alias("seq"), F.col("t").alias("at_us"), F.when(error, "update").otherwise("delete").alias("op"),
+        rid.alias("rule_id"), F.when(error, rule).alias("rule"))
+
+
+def watched_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 over a changelog with as many versions as the events have errors."""
+    from ruleweave.operators.asof import asof_table_alerts as _asof
+    alerts, _ = _asof(events_view(spark, sf_dir), watch_changelog(spark, sf_dir), ["event_id"])
+    return alerts.select(*PLAIN_COLUMNS)
+
+
+QUERIES.update({"asof_table_alerts": asof_table_alerts, "watched_purchases": watched_purchases})
+ORACLES["asof_table_alerts"] = ORACLES["asof_alerts"]
+ORACLES["watched_purchases"] = f"""WITH {EVENTS_LOGS},
+c AS (SELECT host, log_type, event_id, t_us, lead(t_us) OVER (PARTITION BY host ORDER BY t_us, event_id) AS until
+      FROM logs WHERE log_type IN ('error', 'signup') AND host IS NOT NULL)
+SELECT {sql_uuid5("'watch-' || host || ':' || " + CANON)} AS alert_id, 'watch-' || host AS rule_id,
+    'After error ' || error_id AS rule_title, 'high' AS severity, host, event_id
+FROM (SELECT l.*, c.event_id AS error_id FROM logs l JOIN c ON c.host = l.host AND c.log_type = 'error'
+          AND l.t_us >= c.t_us AND (c.until IS NULL OR l.t_us < c.until) WHERE l.log_type = 'purchase')"""

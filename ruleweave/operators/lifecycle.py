@@ -28,13 +28,15 @@ from ruleweave.errors import RuleError
 from ruleweave.functions.fields import any_of, case_of, field_value_text, quote
 from ruleweave.functions.ids import bucket_alert_id, time_bucket
 from ruleweave.functions.jsontext import strict_object
-from ruleweave.functions.timeutil import MICROS
+from ruleweave.functions.timeutil import MICROS, floor_div
 from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, counting_time, windowed_counts
 from ruleweave.operators.evaluate import alert_projection, match_rules, matched_at
 from ruleweave.plans.compile import group_predicate, usable_rules
 from ruleweave.plans.rules import Rule, build_rule, burst_spec
 from ruleweave.sources.logs import LogView
 
+#: Before all times, and the slots (a day, in microseconds) of the rule counts.
+_FIRST, _DAY = -(1 << 62), 86_400 * MICROS
 CHANGELOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), False),
     T.StructField("at_us", T.LongType(), True),
@@ -123,17 +125,34 @@ def rule_count(changelog: DataFrame) -> DataFrame:
 
 
 def rule_count_at(changelog: DataFrame, times: DataFrame, at_col: str) -> DataFrame:
-    """L8 as of given times: ``times`` with ``rule_count``, the copies of the versions valid then.
+    """L8 as of given times: the distinct rows of ``times`` with ``rule_count``, the copies of the versions valid then.
 
-    The changelog is control-plane data; every version meets the times of its interval. Reduce
-    ``times`` to the instants of interest (days, batches) first.
+    A sweep: copies are added at a version's start and taken off at its end, and a time's count is the sum
+    of all changes up to it. Sums are taken per slot of a day, over the slots, and inside each slot, so
+    neither the versions nor the times meet in one task. A NULL time has the versions without any bound.
     """
-    t = F.col(quote(at_col))
-    ents = entries(changelog).select("copies", "from_us", "to_us", "to_seq")
-    valid = ((F.col("from_us").isNull() | (F.col("from_us") <= t))
-             & (F.col("to_seq").isNull() | (t < F.col("to_us"))))
-    return times.join(ents, valid, "left").groupBy(*[F.col(quote(c)) for c in times.columns]).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rule_count"))
+    t, at, n = F.col(quote(at_col)), F.col("_rw_at"), F.col("_rw_n")
+    ents = entries(changelog).where("to_seq IS NULL OR to_us IS NOT NULL").select("copies", "from_us", "to_us", "to_seq")
+    # an open start adds before all times, and alone counts for a NULL time
+    start = F.coalesce(F.col("from_us"), F.lit(_FIRST))
+    change = F.array(F.struct(start.alias("_rw_at"), F.col("copies").alias("_rw_n")),
+                     F.struct(F.when(F.col("to_us").isNotNull(), F.greatest("to_us", start)).alias("_rw_at"), (-F.col("copies")).alias("_rw_n")))
+    changes = (ents.select(F.inline(change)).where(at.isNotNull()).groupBy("_rw_at").agg(F.sum("_rw_n").alias("_rw_n"))
+               .withColumn("_rw_slot", floor_div(at, _DAY)))
+    always = ents.where("from_us IS NULL AND to_seq IS NULL").agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rule_count"))
+    instants = times.select(t.cast("long").alias("_rw_at")).where(at.isNotNull()).distinct().withColumn(
+        "_rw_slot", floor_div(at, _DAY))
+    union = changes.unionByName(instants.withColumn("_rw_n", F.lit(None).cast("long")))
+    slots = union.groupBy("_rw_slot").agg(F.sum(n).alias("_rw_sum"))
+    before = slots.select("_rw_slot", F.coalesce(F.sum("_rw_sum").over(
+        Window.orderBy("_rw_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rw_before"))
+    inside = union.select("_rw_slot", at, F.coalesce(F.sum(n).over(Window.partitionBy("_rw_slot").orderBy("_rw_at")),
+                                                     F.lit(0)).alias("_rw_in"), n.isNull().alias("_rw_asked"))
+    counts = inside.where("_rw_asked").join(before, "_rw_slot").select(
+        "_rw_at", (F.col("_rw_before") + F.col("_rw_in")).alias("rule_count"))
+    counts = counts.unionByName(always.select(F.lit(None).cast("long").alias("_rw_at"), "rule_count"))
+    return times.distinct().join(counts, t.cast("long").eqNullSafe(at)).select(
+        *[F.col(quote(c)) for c in times.columns], "rule_count")
 
 
 def directory_changelog(spark: SparkSession, rules: list[Rule]) -> DataFrame:
@@ -171,7 +190,11 @@ def asof_alerts(view: LogView, changelog: DataFrame, chunk_factor: int = DEFAULT
     changelog runs in one scan of the logs without a join. Burst windows are
     keyed by (rule id, epoch, key): an update keeps the window, a delete restarts it.
     """
-    ents = collect_entries(changelog)
+    return alerts_of_entries(view, collect_entries(changelog), chunk_factor)
+
+
+def alerts_of_entries(view: LogView, ents: list[dict], chunk_factor: int = DEFAULT_CHUNK_FACTOR) -> DataFrame:
+    """``asof_alerts`` of folded entries, in order."""
     plain, bursts = [], []
     for e in ents:
         try:

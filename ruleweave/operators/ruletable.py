@@ -40,14 +40,14 @@ from ruleweave.plans.rules import Rule, build_rule
 from ruleweave.sources.logs import LogView
 
 CONDITIONS_SCHEMA = T.StructType([
-    T.StructField("rule_ord", T.IntegerType()), T.StructField("rule_id", T.StringType()),
+    T.StructField("rule_ord", T.LongType()), T.StructField("rule_id", T.StringType()),
     T.StructField("group", T.IntegerType()), T.StructField("term", T.IntegerType()),
     T.StructField("field", T.StringType()), T.StructField("modifier", T.StringType()),
     T.StructField("value", T.StringType()),
 ])
 _LITERALS = T.ArrayType(T.StructType([T.StructField("group", T.IntegerType()), T.StructField("terms", T.IntegerType())]))
 RULE_LIST_SCHEMA = T.StructType([
-    T.StructField("rule_ord", T.IntegerType()), T.StructField("rule_id", T.StringType()),
+    T.StructField("rule_ord", T.LongType()), T.StructField("rule_id", T.StringType()),
     T.StructField("rule_title", T.StringType()), T.StructField("severity", T.StringType()),
     T.StructField("clauses", T.ArrayType(T.StructType([
         T.StructField("holds", _LITERALS), T.StructField("fails", _LITERALS)]))),
@@ -189,16 +189,21 @@ def found_by(conditions: DataFrame) -> DataFrame:
 
 
 def table_matches(view: LogView, conditions: DataFrame, rule_list: DataFrame, key_cols: list[str],
-                  paths: dict[str, set[tuple[str, int]]]) -> DataFrame:
+                  paths: dict[str, set[tuple[str, int]]], live: tuple[Column, Column] | None = None) -> DataFrame:
     """``(key..., rule_ord, rule_id, rule_title, severity)`` for every log and table rule that matches.
 
     One scan of the logs, one join with the conditions, one shuffle by log and rule.
+
+    ``live`` (a log's time and the slot of time it lies in) is for conditions that hold for an interval:
+    they have ``from_us`` and ``to_us`` (NULL: open) and the slots ``first_slot`` to ``last_slot`` that it touches.
+    Further columns of the rule list come along.
     """
     keys = [F.col(quote(k)) for k in key_cols]
     found = offers_of(view.fields, paths)
     if found is None:
         return view.df.where(F.lit(False)).select(*keys).join(rule_list.drop("clauses"), F.lit(False))
-    offers = view.df.select(*keys, F.inline(found)).where(F.col("jv").isNotNull())
+    when = [] if live is None else [live[0].alias("_rw_t"), live[1].alias("_rw_slot")]
+    offers = view.df.select(*keys, *when, F.inline(found)).where(F.col("jv").isNotNull())
     # The keys that all logs share are salted over the session's partitions: offers hashed by log
     # key, conditions copied per salt.
     salts = int(view.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -207,10 +212,17 @@ def table_matches(view: LogView, conditions: DataFrame, rule_list: DataFrame, ke
                                .otherwise(F.lit(0)))
     cond = found_by(conditions).drop("rule_id").withColumn("_rw_salt", F.explode(
         F.when(shared, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    on = ["field", "path", "jv", "_rw_salt"]
+    if live is not None:
+        cond = cond.withColumn("_rw_slot", F.explode(F.sequence("first_slot", "last_slot"))).drop("first_slot", "last_slot")
+        on.append("_rw_slot")
     lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
     holds = (m.isNull() | (m == ALWAYS) | ((m == "contains") & lv.contains(cv))
              | ((m == "startswith") & lv.startswith(cv)) | ((m == "endswith") & lv.endswith(cv)))
-    met = offers.join(cond, on=["field", "path", "jv", "_rw_salt"], how="inner").where(holds)
+    if live is not None:
+        t = F.col("_rw_t")
+        holds = holds & F.coalesce(F.col("from_us") <= t, F.lit(True)) & F.coalesce(t < F.col("to_us"), F.lit(True))
+    met = offers.join(cond, on=on, how="inner").where(holds)
     per_rule = met.groupBy(*keys, "rule_ord").agg(F.collect_set(F.struct("group", "term")).alias("_rw_met"))
 
     def group_holds(literal):
