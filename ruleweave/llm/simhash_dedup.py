@@ -102,7 +102,8 @@ def hamming_links(reps: DataFrame) -> DataFrame:
     Every such pair is connected: directly where its grid point is not crowded, else through the
     smallest fingerprint around a common single-bit neighbour, itself within two bits of both.
     """
-    # 65 steps a fingerprint: spread them over the session's partitions before they multiply
+    # 65 steps a fingerprint: spread over the session's partitions before they multiply; on a staged table, as
+    # after an aggregate by fingerprint Spark would drop the shuffle and run on as few tasks as eight-byte rows fill
     points = grid_points(reps.repartition(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     crowd = points.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(points.join(crowd, "cell"), "grid")
@@ -131,7 +132,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if max_bits != MAX_BITS:
         raise ValueError(f"the grid is built for {MAX_BITS} bits")
     marks = staged(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    reps = marks.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    reps = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
     roots = connected_components(hamming_links(reps))
     linked = reps.join(roots, F.col("fp") == F.col("node")).select("fp", "rep", "root")
     low = linked.groupBy("root").agg(F.min("rep").alias("low"))
