@@ -2,8 +2,9 @@
 
 A source with n documents and target weight w of a mixture of T documents has the repetition rate w * T / n.
 Every document draws its number of copies by inverting the Poisson distribution of that rate at a uniform
-number hashed from the seed and its id, so draws need no state and come out alike on every run. Copies are
-exploded and put in one global order by a hash of id and copy number, which also splits a hot source evenly.
+number hashed from the seed, its id and its text, so draws need no state and come out alike on every run. Copies
+are exploded and put in one global order by a hash of id, text and copy number, which also splits a hot source
+or a shared id evenly.
 """
 
 from __future__ import annotations
@@ -56,26 +57,28 @@ def poisson_tables(rates: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = 0.5, epochs: float = 1.0, seed: int = 42,
-        id_col: str = "doc_id", source_col: str = "source", copy_col: str = "copy", rate_col: str = "rate") -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", copy_col: str = "copy", rate_col: str = "rate",
+        text_col: str = "text") -> DataFrame:
     """The mixture in a global shuffled order: every column of docs, the copy number from 1, and the source's rate.
 
     A column of docs named like copy_col or rate_col gives way to the new one; all others keep their values. Null sources are one source
-    (with ''). Rows that share an id (or have none) and a source draw the same number of copies. Sources of
-    weight 0 give no rows. The number of copies of a source varies as a Poisson sum around weight x mixture.
+    (with ''). Rows that share an id (or have none) draw by their texts; only rows alike in source, id and text (null
+    or empty) draw the same number of copies. Sources of weight 0 give no rows. The number of copies of a source varies as a Poisson sum around weight x mixture.
     Empty table: no rows.
     """
-    docs, back, (id_col, source_col) = set_aside(docs.drop(copy_col, rate_col), id_col, source_col)
+    docs, back, (id_col, source_col, text_col) = set_aside(docs.drop(copy_col, rate_col), id_col, source_col, text_col)
     names = docs.columns
     tables = staged(poisson_tables(repetition_rates(docs, weights, alpha, epochs, source_col)).select(
         F.col("source").alias("_rw_source"), F.col("rate").alias("_rw_rate"), F.col("cdf").alias("_rw_cdf")), "poisson")
-    key = F.col(f"`{id_col}`")
+    key = F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
+                      F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
     drawn = docs.withColumn("_rw_key", F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))).withColumn(
-        "_rw_u", uniform(seed, "draw", F.col("_rw_key"), key)).join(tables, F.col("_rw_key") == F.col("_rw_source"))
+        "_rw_who", key).withColumn("_rw_u", uniform(seed, "draw", F.col("_rw_key"), F.col("_rw_who"))).join(tables, F.col("_rw_key") == F.col("_rw_source"))
     # the smallest count whose distribution function exceeds the draw
     copies = F.expr("size(filter(_rw_cdf, c -> c <= _rw_u))")
     some = drawn.withColumn("_rw_n", F.coalesce(copies, F.lit(0))).where("_rw_n > 0").withColumn(
         "_rw_copy", F.explode(F.sequence(F.lit(1), F.col("_rw_n"))))
-    mixed = some.withColumn("_rw_order", F.md5(F.concat_ws("|", F.lit(f"{seed}|order"), F.col("_rw_key"), F.coalesce(
-        key.cast("string"), F.lit("")), F.col("_rw_copy").cast("string")))).select(
+    mixed = some.withColumn("_rw_order", F.md5(F.concat_ws(
+        "|", F.lit(f"{seed}|order"), F.col("_rw_key"), F.col("_rw_who"), F.col("_rw_copy").cast("string")))).select(
         *[F.col(f"`{c}`") for c in names], F.col("_rw_copy").alias(copy_col), F.col("_rw_rate").alias(rate_col), "_rw_order")
     return back(mixed.orderBy("_rw_order").drop("_rw_order"))

@@ -123,8 +123,8 @@ ORACLES: dict[str, str] = {
               FROM r, unnest(range(CAST(ceil(rate + 12 * sqrt(rate) + 31) AS BIGINT))) AS u(k)),
         c AS (SELECT s, rate, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM t),
         d AS (SELECT *, coalesce(source, '') AS s,
-                     CAST('0x' || substr(md5('42|draw|' || coalesce(source, '') || '|' || coalesce(CAST(doc_id AS VARCHAR), '')),
-                                         1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+                     CAST('0x' || substr(md5('42|draw|' || coalesce(source, '') || '|' || coalesce(CAST(doc_id AS VARCHAR), '')
+                                         || '|' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
         m AS (SELECT d.doc_id, d.source, d.lang, d.text, any_value(c.rate) AS rate, count(*) AS n
               FROM d JOIN c ON c.s = d.s AND c.c <= d.u GROUP BY ALL)
         SELECT doc_id, CAST(copy AS INTEGER) AS copy, source, rate, lang, text FROM m, unnest(range(1, n + 1)) AS u(copy)""",

@@ -10,8 +10,12 @@ def docs(spark, rows):
                                  "doc_id bigint, text string, source string, copy int, rate double")
 
 
-def drawn(rate, source, doc_id, seed=42):
-    u = int(hashlib.md5(f"{seed}|draw|{source or ''}|{'' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) / 2 ** 52
+def who(doc_id, text):
+    return f"{'' if doc_id is None else doc_id}|{hashlib.md5((text or '').encode()).hexdigest()}"
+
+
+def drawn(rate, source, doc_id, text, seed=42):
+    u = int(hashlib.md5(f"{seed}|draw|{source or ''}|{who(doc_id, text)}".encode()).hexdigest()[:13], 16) / 2 ** 52
     c = 0.0
     for k in range(100_000):
         c += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
@@ -26,7 +30,7 @@ ROWS = [(i, f"t{i}", "hot") for i in range(600)] + [(1000 + i, f"t{i}", f"s{i %
 def expected(rows, rates):
     out = Counter()
     for i, t, s in rows:
-        for c in range(drawn(rates[s or ""], s, i) if rates.get(s or "") else 0):
+        for c in range(drawn(rates[s or ""], s, i, t) if rates.get(s or "") else 0):
             out[i, t, s, c + 1] += 1
     return out
 
@@ -40,7 +44,7 @@ def test_draws_invert_the_poisson_distribution(spark):
     rows = mixed.collect()
     assert Counter((r.doc_id, r.text, r.source, r.copy) for r in rows) == expected(ROWS, rates)
     # the order is one shuffle of all rows: neighbours come from anywhere
-    order = [hashlib.md5(f"42|order|{r.source or ''}|{'' if r.doc_id is None else r.doc_id}|{r.copy}".encode()).hexdigest()
+    order = [hashlib.md5(f"42|order|{r.source or ''}|{who(r.doc_id, r.text)}|{r.copy}".encode()).hexdigest()
              for r in rows]
     assert order == sorted(order)
 
@@ -66,3 +70,19 @@ def test_shares_come_near_their_targets(spark):
 def test_empty_tables_and_no_weights(spark):
     assert M.mix(docs(spark, [])).collect() == []
     assert M.mix(docs(spark, ROWS[:5]), weights={}).collect() == []
+
+
+def test_rows_without_an_id_draw_and_spread_by_their_text(spark):
+    rows = [(None if i % 3 else 7, f"text {i}", "a" if i % 2 else "b") for i in range(30_000)]
+    mixed = M.mix(docs(spark, rows), weights={"a": 1, "b": 3}).cache()
+    got = Counter(r.source for r in mixed.select("source").collect())
+    assert abs(got["b"] / sum(got.values()) - 0.75) < 0.01
+    order = [hashlib.md5(f"42|order|{r.source}|{who(r.doc_id, r.text)}|{r.copy}".encode()).hexdigest() for r in mixed.collect()]
+    assert order == sorted(order) and len(set(order)) == len(order)
+
+
+def test_columns_named_like_the_operators_own(spark):
+    df = docs(spark, ROWS[:50]).withColumnsRenamed({"text": "_rw_who"})
+    got = M.mix(df, text_col="_rw_who").collect()
+    n = Counter(s or "" for _, _, s in ROWS[:50])
+    assert Counter((r.doc_id, r["_rw_who"], r.source, r.copy) for r in got) == expected(ROWS[:50], {s: 1.0 for s in n})
