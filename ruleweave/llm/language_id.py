@@ -2,25 +2,30 @@
 
 Every language has a codeword. One binary classifier per bit (a linear log-odds model over hashed n-grams)
 predicts that bit of the codeword; decoding weighs each bit by its logistic loss and chooses the codeword with
-the smallest total. The n-gram counts behind the classifiers are summed over all training rows in Spark; only
-one table of languages x buckets reaches the driver.
+the smallest total. The n-gram counts behind the classifiers are summed over all training rows in Spark. They pass
+the driver one language at a time, where they are added to the classifiers of their codeword's bits; the model is
+bits x buckets weights and languages x bits codewords, of one byte each.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ruleweave.llm.stage import dropped, staged
 from ruleweave.llm.textbatch import MIX_2, pieces, text_buffer
 
 #: Hash buckets of the n-gram counts, and the n-gram lengths in bytes.
 BUCKETS, ORDERS = 1 << 13, (2, 3, 4)
-#: Languages that can be learned; the table at the driver has this many rows of BUCKETS counts at most.
-MAX_LANGUAGES = 500
+#: Up to this many languages have rows of a Hadamard matrix as codewords, further ones hashed words of this many bits.
+HADAMARD, HASHED_BITS = 128, 511
+#: Entries of the rows x languages losses that are decoded at once, and sums that a learning task holds at once.
+_LOSSES, _SUMS = 1 << 22, 256
 #: Two codewords whose decoded probability differs by less are ambiguous.
 MARGIN = 0.2
 _U = np.uint64
@@ -58,51 +63,82 @@ def has_letter(text: str | None) -> bool:
 
 
 def codewords(n: int) -> np.ndarray:
-    """n x bits codewords of -1 and 1: every split of the languages up to 7 of them, else rows of a Hadamard matrix."""
+    """n x bits codewords of -1 and 1: every split of the languages up to 7 of them, rows of a Hadamard matrix up to
+    HADAMARD, else hashed words. Among 100,000 of those, any two differ in about 180 bits or more of 511."""
     if n <= 2:
-        return np.array([[1.0], [-1.0]])[:n]
+        return np.array([[1], [-1]], np.int8)[:n]
     if n <= 7:
-        splits = [s for s in itertools.product((1.0, -1.0), repeat=n) if s[0] > 0 and -1.0 in s]
-        return np.array(splits).T
-    h = np.ones((1, 1))
-    while len(h) < 2 * n:
-        h = np.block([[h, h], [h, -h]])
-    return h[:n, 1:]
+        splits = [s for s in itertools.product((1, -1), repeat=n) if s[0] > 0 and -1 in s]
+        return np.array(splits, np.int8).T
+    if n <= HADAMARD:
+        h = np.ones((1, 1), np.int8)
+        while len(h) < 2 * n:
+            h = np.block([[h, h], [h, -h]])
+        return h[:n, 1:]
+    words = np.random.default_rng(HASHED_BITS).integers(0, 2, (n, HASHED_BITS), np.int8) * np.int8(2) - np.int8(1)
+    words[0] = 1            # every bit has a language on its side of 1
+    return words
 
 
 class LanguageModel:
-    """Codewords and per-bit linear weights learned from languages x BUCKETS n-gram counts."""
+    """Codewords and per-bit linear weights learned from the n-gram counts of each language, in order."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], counts: Iterable[np.ndarray]):
         self.languages = languages
         self.code = codewords(len(languages))
-        share = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
-        weights = []
-        for bit in self.code.T if languages else ():
-            # each language counts alike on its side, however many rows it has
-            plus, minus = share[bit > 0].mean(axis=0), share[bit < 0].mean(axis=0) if (bit < 0).any() else share.mean(axis=0)
-            weights.append(np.log(plus) - np.log(minus))
-        self.weights = np.array(weights, np.float32).T if weights else np.zeros((BUCKETS, 0), np.float32)
+        bits = self.code.shape[1] if languages else 0
+        plus, minus, every = np.zeros((bits, BUCKETS)), np.zeros((bits, BUCKETS)), np.zeros(BUCKETS)
+        # each language counts alike on its side, however many rows it has
+        for word, row in zip(self.code, counts):
+            share = (row + 0.5) / (row.sum() + 0.5 * BUCKETS)
+            plus[word > 0] += share
+            minus[word < 0] += share
+            every += share
+        if languages:
+            on = (self.code > 0).sum(axis=0)[:, None]
+            off = len(languages) - on
+            minus = np.where(off > 0, minus / np.maximum(off, 1), every / len(languages))
+            self.weights = (np.log(plus / on) - np.log(minus)).astype(np.float32).T
+        else:
+            self.weights = np.zeros((BUCKETS, 0), np.float32)
 
     def decode(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of the language, probability, ambiguous) per row of counts.
 
         A bit's margin is its mean evidence per n-gram, scaled by the root of their number, so that long
-        texts are surer than short ones without drowning the other bits.
+        texts are surer than short ones without drowning the other bits. The rows' losses against all
+        codewords are two matrix products, taken for some rows at a time where languages are many.
         """
+        step = max(1, _LOSSES // max(1, len(self.code)))
+        parts = [self._decode(counts[i:i + step]) for i in range(0, max(1, len(counts)), step)]
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def _decode(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        margin = counts @ self.weights / np.sqrt(size)
-        loss = np.logaddexp(0, -margin[:, None, :] * self.code[None]).sum(axis=2)
+        margin = (counts @ self.weights / np.sqrt(size)).astype(np.float64)
+        ones = (self.code.T > 0).astype(np.float64)
+        loss = np.logaddexp(0, -margin) @ ones + np.logaddexp(0, margin) @ (1 - ones)
         p = np.exp(loss.min(axis=1, keepdims=True) - loss)
         p /= p.sum(axis=1, keepdims=True)
         best = p.argmax(axis=1)
-        top = np.sort(p, axis=1)
-        second = top[:, -2] if p.shape[1] > 1 else np.zeros(len(p))
-        return best, top[:, -1], top[:, -1] - second < MARGIN
+        first = p.max(axis=1)
+        second = np.partition(p, -2, axis=1)[:, -2] if p.shape[1] > 1 else np.zeros(len(p))
+        return best, first, first - second < MARGIN
 
 
 def learn(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageModel:
-    """Learn from all rows with a language and a text; counts are summed per language and bucket in Spark."""
+    """Learn from all rows with a language and a text; counts are summed per language and bucket in Spark.
+
+    Any number of languages can be learned. Null languages and texts, and texts without
+    an n-gram, teach nothing; an empty table learns no language.
+    """
+    def flushed(sums):
+        for lang, n in sums.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))],
+                ["lang", "bucket", "n"])
+
     def run(batches):
         for batch in batches:
             sums: dict[str, np.ndarray] = {}
@@ -111,24 +147,27 @@ def learn(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> La
                 langs = np.array(part.column(0).to_pylist())
                 for lang in np.unique(langs).tolist():
                     sums[lang] = sums.get(lang, 0) + counts[langs == lang].sum(axis=0, dtype=np.float64)
-            for lang, n in sums.items():
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))],
-                    ["lang", "bucket", "n"])
+                if len(sums) > _SUMS:
+                    yield from flushed(sums)
+                    sums = {}
+            yield from flushed(sums)
 
     source = rows.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL")
     sums = source.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = sums.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("n"))
-    languages, counts = [], []
-    for row in table.orderBy("lang").toLocalIterator():
-        if len(languages) == MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        counts.append(np.zeros(BUCKETS))
-        languages.append(row["lang"])
-        counts[-1][list(row["n"])] = list(row["n"].values())
-    return LanguageModel(languages, np.array(counts) if counts else np.zeros((0, BUCKETS)))
+    table = staged(sums.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("n")),
+                   "languages")
+
+    def counts():
+        for row in table.orderBy("lang").toLocalIterator():
+            out = np.zeros(BUCKETS)
+            out[list(row["n"])] = list(row["n"].values())
+            yield out
+
+    languages = [r["lang"] for r in table.select("lang").orderBy("lang").collect()]
+    model = LanguageModel(languages, counts())
+    dropped(table)
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

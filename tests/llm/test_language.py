@@ -1,5 +1,7 @@
+import math
 import os
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,3 +69,69 @@ def test_a_prediction_uses_only_the_text(spark):
     a = L.predict(rows_of(spark, [(1, "the and", "de")]), model).first()
     b = L.predict(rows_of(spark, [(7, "the and", None)]), model).first()
     assert a[1:] == b[1:]
+
+
+def test_hashed_codewords_are_apart():
+    code = L.codewords(2000).astype(np.int32)
+    apart = (code.shape[1] - code @ code.T) // 2
+    assert (apart + 512 * np.eye(2000, dtype=int)).min() > 150 and ((code > 0).any(axis=0)).all()
+
+
+def plain_model(rows):
+    """Counts, weights and decoding one n-gram, bit and language at a time."""
+    def buckets(text):
+        data = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode())
+        for order in L.ORDERS:
+            for i in range(len(data) - order + 1):
+                key = order
+                for b in data[i:i + order]:
+                    key = (key << 8 | b) % 2 ** 64
+                yield (key * int(L.MIX_2) % 2 ** 64) >> (64 - 13)
+
+    counts = {}
+    for text, lang in rows:
+        for b in buckets(text):
+            counts.setdefault(lang, Counter())[b] += 1
+    langs = sorted(counts)
+    share = {g: [(counts[g][b] + 0.5) / (sum(counts[g].values()) + 0.5 * L.BUCKETS) for b in range(L.BUCKETS)] for g in langs}
+    code = L.codewords(len(langs)).tolist()
+
+    def mean(bit, side, b):
+        values = [share[g][b] for g, word in zip(langs, code) if word[bit] == side]
+        return sum(values) / len(values)
+
+    def predict(text):
+        grams = Counter(buckets(text))
+        margins = [sum(n * (math.log(mean(bit, 1, b)) - math.log(mean(bit, -1, b))) for b, n in grams.items())
+                   / math.sqrt(max(1, sum(grams.values()))) for bit in range(len(code[0]))]
+        losses = [sum(math.log1p(math.exp(-m * c)) for m, c in zip(margins, word)) for word in code]
+        p = [math.exp(min(losses) - x) for x in losses]
+        return langs[losses.index(min(losses))], max(p) / sum(p)
+
+    return predict
+
+
+def test_predictions_equal_a_plain_computation(spark):
+    texts = {"en": "the house and the tree that was there", "de": "das Haus und der Baum der dort war",
+             "fr": "la maison et l'arbre qui était là", "es": "la casa y el árbol que estaba allí", "xx": "qq zz qq zz"}
+    rows = [(i, f"{texts[g]} {i * 37 % 11} {texts[g][i % 9:]}", g) for i, g in enumerate(list(texts) * 8)]
+    rows += [(100 + i, t, None) for i, t in enumerate(["the tree", "der Baum", "l'arbre", "el árbol", "qq", "a", "Haus and maison"])]
+    got = {r.doc_id: r for r in L.identify(rows_of(spark, rows)).collect()}
+    predict = plain_model([(t, g) for i, t, g in rows if g and zlib.crc32(str(i).encode()) % 4 != 2])
+    for i, text, _ in rows:
+        lang, score = predict(text)
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, rel=1e-3)
+
+
+def test_more_languages_than_fit_a_table(spark):
+    """700 labels, each with a word of its own."""
+    words = {f"l{i:03d}": "".join(chr(97 + (i * k + k * k * k) % 26) for k in (3, 5, 7, 11, 13, 17, 19)) for i in range(700)}
+    rows = [(i * 10 + k, f"{w} {w} {w}", g) for i, (g, w) in enumerate(words.items()) for k in range(6)]
+    got = L.identify(rows_of(spark, rows)).collect()
+    truth, own = {i: g for i, _, g in rows}, {i: t for i, t, _ in rows}
+    learned = {g for i, _, g in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    asked = [r for r in got if truth[r.doc_id] in learned]
+    # labels whose words are equal cannot be told apart
+    right = sum(words[r.lang_pred] == own[r.doc_id].split()[0] for r in asked)
+    assert len(got) == len(rows) and right >= 0.95 * len(asked)
+    assert all(0 <= r.score <= 1 for r in got)
