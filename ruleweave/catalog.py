@@ -68,6 +68,13 @@ def lineitem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "alert_id", "rule_id", "severity", "host", "l_orderkey", "l_linenumber")
 
 
+def spread_events(spark: SparkSession, sf_dir: str):
+    """The events view, dealt over the session's partitions after what filters reach the scan: few files hold many
+    events, and the work on an event is many times that of reading it."""
+    logs = events_logs(spark, sf_dir)
+    return events_view(spark, sf_dir, df=logs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def published_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything the events pack publishes: plain and burst alerts."""
     view = events_view(spark, sf_dir)
@@ -1176,7 +1183,7 @@ def watch_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watched_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L6 over a changelog with as many versions as the events have errors."""
     from ruleweave.operators.asof import asof_table_alerts as _asof
-    alerts, _ = _asof(events_view(spark, sf_dir), watch_changelog(spark, sf_dir), ["event_id"])
+    alerts, _ = _asof(spread_events(spark, sf_dir), watch_changelog(spark, sf_dir), ["event_id"])
     return alerts.select(*PLAIN_COLUMNS)
 
 

@@ -2,7 +2,7 @@
 
 ``lifecycle.asof_alerts`` compiles the versions of a changelog into the scan. Here they are a table
 that never reaches the driver: the fold's entries are parsed where they are, their terms are joined
-with the logs as in ``ruletable`` and gated by the versions' intervals ``[from, to)``. For that, time is cut
+with the logs as in ``ruletable`` (by the term of each group that the fewest versions share) and gated by the versions' intervals ``[from, to)``. For that, time is cut
 into equal slots; a log lies in one, a version is copied into those it touches, and both join by slot
 besides the term's key. So a term that thousands of versions of a rule share meets a log only with the
 versions around its time. The number of slots is the largest tried at which copies stay below four per version.
@@ -29,7 +29,7 @@ from ruleweave.functions.timeutil import MICROS, floor_div
 from ruleweave.operators.burst import DEFAULT_CHUNK_FACTOR, counting_time, windowed_counts
 from ruleweave.operators.evaluate import alert_projection, matched_at
 from ruleweave.operators.lifecycle import alerts_of_entries, entries
-from ruleweave.operators.ruletable import CONDITIONS_SCHEMA, MAX_CLAUSES, RULE_LIST_SCHEMA, condition_rows, paths_in, table_matches
+from ruleweave.operators.ruletable import CONDITIONS_SCHEMA, MAX_CLAUSES, RULE_LIST_SCHEMA, condition_rows, staged_anchors, table_matches
 from ruleweave.plans.rules import Rule, build_rule, burst_spec
 from ruleweave.session import scratch_path
 from ruleweave.sources.logs import LogView
@@ -132,8 +132,7 @@ def asof_table_alerts(view: LogView, changelog: DataFrame, key_cols: list[str],
     listed = usable.select(F.col("seq").alias("rule_ord"), "rule_id", "rule_title", "severity", "clauses", "epoch", "copies",
                            "span", "by", "threshold")
     t = counting_time(view)
-    matches = table_matches(view, conditions, listed, key_cols, paths_in(conditions.drop("first_slot", "last_slot")),
-                            live=(t, _slot(t, *slots)))
+    matches = table_matches(view, staged_anchors(conditions), listed, key_cols, live=(t, _slot(t, *slots)))
     keys = [F.col(quote(k)) for k in key_cols]
     tagged = matches.select(*keys, F.struct("rule_ord", "rule_id", "rule_title", "severity", "epoch", "copies", "span", "by",
                                             "threshold").alias("_rw_rule"))

@@ -97,8 +97,9 @@ def entries(changelog: DataFrame) -> DataFrame:
     c = c.withColumn("epoch", F.sum((F.col("op") == "delete").cast("long")).over(
         by_id.rowsBetween(Window.unboundedPreceding, 0)))
     ender = F.when(F.col("op").isin("update", "delete"), F.struct("seq", "at_us"))
-    c = c.withColumn("_rw_end", F.first(ender, ignorenulls=True).over(
-        by_id.rowsBetween(1, Window.unboundedFollowing)))
+    # the next one: a frame of all that follow would be read anew for each change of an id
+    c = c.withColumn("_rw_end", ender).withColumn("_rw_end", F.expr(
+        "lead(_rw_end) IGNORE NULLS OVER (PARTITION BY rid ORDER BY seq)"))
     in_epoch = Window.partitionBy("rid", "epoch").orderBy("seq")
     c = c.withColumn("_rw_first", F.first(F.when(F.col("op") != "delete", F.col("op")), ignorenulls=True).over(
         in_epoch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))

@@ -14,7 +14,11 @@ equi-join, after which the term itself is checked:
 * empty patterns by the field alone, and rules that hold for a log which meets no group by
   nothing at all: these keys are shared by all logs and are salted.
 
-One aggregate per (log, rule) then gathers the terms met and decides the clauses. Whether the
+A group needs all its terms, so only one of them, the one whose keys the fewest conditions share, is
+searched for (see ``anchored``); the group's other terms are checked where it is met. So a term that all
+rules share does not bring every log together with every rule.
+
+One aggregate per (log, rule) then gathers the groups met and decides the clauses. Whether the
 conditions are broadcast is left to the optimizer, which knows their bytes; where they are, a
 value is not copied for its offers, as exploding, probing and checking are one generated loop.
 Beyond, it travels with each of them and AQE splits skewed (field, value) keys. A condition of
@@ -24,6 +28,7 @@ more than ``MAX_CLAUSES`` clauses goes through the compiled path (E1) instead.
 from __future__ import annotations
 
 import json
+import uuid
 
 import pandas as pd
 import pyarrow as pa
@@ -37,6 +42,7 @@ from ruleweave.functions.fields import quote, rule_text
 from ruleweave.operators.evaluate import alert_projection, match_rules
 from ruleweave.plans.compile import KEYWORDS, MODIFIERS, _flatten, normal_form, split_key
 from ruleweave.plans.rules import Rule, build_rule
+from ruleweave.session import scratch_path
 from ruleweave.sources.logs import LogView
 
 CONDITIONS_SCHEMA = T.StructType([
@@ -111,23 +117,6 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(pa.Table.from_pylist([dict(zip(arrow.names, r)) for r in rows], arrow), schema)
 
 
-def _power(n: int) -> int:
-    """The largest power of two within a length of at least one."""
-    return 1 << (n.bit_length() - 1)
-
-
-def paths_of(rows) -> dict[str, set[tuple[str, int]]]:
-    """The (kind, characters) under which each field's values must be offered for these conditions."""
-    paths: dict[str, set[tuple[str, int]]] = {}
-    for *_, field, modifier, value in rows:
-        n = len(value)
-        paths.setdefault(field, set()).add(
-            ("all", 0) if modifier == ALWAYS else ("eq", 0) if modifier is None else ("any", 0) if n == 0
-            else ("run", min(n, RUN)) if modifier == "contains"
-            else ("head" if modifier == "startswith" else "tail", _power(n)))
-    return paths
-
-
 def _runs(text: Column, n: int) -> Column:
     """The distinct runs of ``n`` characters of a text (none if it is shorter)."""
     def cut(chars):
@@ -188,45 +177,92 @@ def found_by(conditions: DataFrame) -> DataFrame:
     return plain.unionByName(rarest)
 
 
-def table_matches(view: LogView, conditions: DataFrame, rule_list: DataFrame, key_cols: list[str],
-                  paths: dict[str, set[tuple[str, int]]], live: tuple[Column, Column] | None = None) -> DataFrame:
+_ANCHOR_COLUMNS = ["rule_ord", "group", "field", "modifier", "value", "path", "jv", "rest"]
+
+
+def anchored(conditions: DataFrame) -> DataFrame:
+    """The conditions that groups are searched by (columns ``_ANCHOR_COLUMNS``, then those besides a condition's own):
+    of each group, those of the term whose keys the fewest conditions share, with the others as ``rest``, an array of
+    terms, each an array of the alternatives ``(field, modifier, value)``.
+
+    The conditions of a rule must agree in the further columns.
+    """
+    more = [c for c in conditions.columns if c not in CONDITIONS_SCHEMA.fieldNames()]
+    found, key = found_by(conditions), ["field", "path", "jv"]
+    found = found.join(found.groupBy(*key).agg(F.count(F.lit(1)).alias("_rw_n")), key)
+    whole = F.when(F.col("path") == "eq0", 0).when(F.col("path").isin("any0", "all0"), 2).otherwise(1)
+    terms = found.groupBy("rule_ord", "group", "term", *more).agg(
+        F.sum("_rw_n").alias("_rw_n"), F.max(whole).alias("_rw_kind"),
+        F.collect_set(F.struct("field", F.coalesce("modifier", F.lit("")).alias("modifier"), "value", "path", "jv")).alias("_rw_keys"))
+    groups = terms.groupBy("rule_ord", "group", *more).agg(F.collect_list(
+        F.struct("_rw_n", "_rw_kind", "term", "_rw_keys")).alias("_rw_terms")).withColumn("_rw_best", F.array_min("_rw_terms"))
+    others = F.filter("_rw_terms", lambda x: x["term"] != F.col("_rw_best.term"))
+    rest = F.transform(others, lambda x: F.transform(x["_rw_keys"], lambda k: F.struct(
+        k["field"].alias("field"), k["modifier"].alias("modifier"), k["value"].alias("value"))))
+    return groups.select("rule_ord", "group", rest.alias("rest"), F.inline("_rw_best._rw_keys"), *more).select(*_ANCHOR_COLUMNS, *more)
+
+
+def staged_anchors(conditions: DataFrame) -> DataFrame:
+    """``anchored``, written below the checkpoint folder and read back: made once, of a size that the optimizer knows."""
+    anchors = anchored(conditions)
+    spark = conditions.sparkSession
+    path = scratch_path(spark, f"ruleweave-anchors-{uuid.uuid4().hex}")
+    anchors.write.parquet(path)
+    return spark.read.schema(anchors.schema).parquet(path)
+
+
+def _holds(text: Column, modifier: Column, value: Column) -> Column:
+    """Whether a field's text meets a condition (its modifier "" for equality)."""
+    return (((modifier == "") & (text == value)) | (modifier == ALWAYS) | ((modifier == "contains") & text.contains(value))
+            | ((modifier == "startswith") & text.startswith(value)) | ((modifier == "endswith") & text.endswith(value)))
+
+
+def table_matches(view: LogView, anchors: DataFrame, rule_list: DataFrame, key_cols: list[str],
+                  live: tuple[Column, Column] | None = None) -> DataFrame:
     """``(key..., rule_ord, rule_id, rule_title, severity)`` for every log and table rule that matches.
 
-    One scan of the logs, one join with the conditions, one shuffle by log and rule.
+    One scan of the logs, one join with the ``anchored`` conditions, one shuffle by log and rule.
 
     ``live`` (a log's time and the slot of time it lies in) is for conditions that hold for an interval:
     they have ``from_us`` and ``to_us`` (NULL: open) and the slots ``first_slot`` to ``last_slot`` that it touches.
     Further columns of the rule list come along.
     """
     keys = [F.col(quote(k)) for k in key_cols]
+    paths, others = paths_in(anchors)
     found = offers_of(view.fields, paths)
     if found is None:
         return view.df.where(F.lit(False)).select(*keys).join(rule_list.drop("clauses"), F.lit(False))
     when = [] if live is None else [live[0].alias("_rw_t"), live[1].alias("_rw_slot")]
-    offers = view.df.select(*keys, *when, F.inline(found)).where(F.col("jv").isNotNull())
+    texts = [F.create_map(*[x for f in others for x in (F.lit(f), F.when(view.fields.present(f), view.fields.text(f)))]).alias(
+        "_rw_texts")] if others else []
+    offers = view.df.select(*keys, *when, *texts, F.inline(found)).where(F.col("jv").isNotNull())
     # The keys that all logs share are salted over the session's partitions: offers hashed by log
     # key, conditions copied per salt.
     salts = int(view.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared = F.col("path").isin("any0", "all0")
     offers = offers.withColumn("_rw_salt", F.when(shared, F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
                                .otherwise(F.lit(0)))
-    cond = found_by(conditions).drop("rule_id").withColumn("_rw_salt", F.explode(
+    cond = anchors.withColumn("_rw_salt", F.explode(
         F.when(shared, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     on = ["field", "path", "jv", "_rw_salt"]
     if live is not None:
         cond = cond.withColumn("_rw_slot", F.explode(F.sequence("first_slot", "last_slot"))).drop("first_slot", "last_slot")
         on.append("_rw_slot")
-    lv, cv, m = F.col("log_value"), F.col("value"), F.col("modifier")
-    holds = (m.isNull() | (m == ALWAYS) | ((m == "contains") & lv.contains(cv))
-             | ((m == "startswith") & lv.startswith(cv)) | ((m == "endswith") & lv.endswith(cv)))
+    holds = _holds(F.col("log_value"), F.col("modifier"), F.col("value"))
+    if others:
+        text = F.col("_rw_texts")
+        holds = holds & F.forall("rest", lambda term: F.exists(term, lambda c: F.coalesce(
+            _holds(text[c["field"]], c["modifier"], c["value"]), F.lit(False))))
+    else:       # of the groups' other terms, none is of a field that these logs have
+        holds = holds & (F.size("rest") == 0)
     if live is not None:
         t = F.col("_rw_t")
         holds = holds & F.coalesce(F.col("from_us") <= t, F.lit(True)) & F.coalesce(t < F.col("to_us"), F.lit(True))
     met = offers.join(cond, on=on, how="inner").where(holds)
-    per_rule = met.groupBy(*keys, "rule_ord").agg(F.collect_set(F.struct("group", "term")).alias("_rw_met"))
+    per_rule = met.groupBy(*keys, "rule_ord").agg(F.collect_set("group").alias("_rw_met"))
 
     def group_holds(literal):
-        return F.size(F.filter("_rw_met", lambda x: x["group"] == literal["group"])) == literal["terms"]
+        return F.array_contains("_rw_met", literal["group"])
 
     clause = F.exists("clauses", lambda c: F.forall(c["holds"], group_holds)
                       & ~F.exists(c["fails"], group_holds))
@@ -243,8 +279,9 @@ def table_alerts(spark: SparkSession, view: LogView, rules: list[Rule], key_cols
     if rest:
         parts.append(alert_projection(view, match_rules(view, [rules[i] for i in rest])))
     if rows:
-        conditions, rule_list = local_table(spark, rows, CONDITIONS_SCHEMA), local_table(spark, listed, RULE_LIST_SCHEMA)
-        matches = table_matches(view, conditions, rule_list, key_cols, paths_of(rows))
+        anchors, rule_list = anchored(local_table(spark, rows, CONDITIONS_SCHEMA)), local_table(spark, listed, RULE_LIST_SCHEMA)
+        anchors = local_table(spark, [tuple(r.asDict(True).values()) for r in anchors.collect()], anchors.schema)
+        matches = table_matches(view, anchors, rule_list, key_cols)
         tagged = matches.select(*key_cols, F.struct("rule_ord", "rule_id", "rule_title", "severity").alias("_rw_rule"))
         joined = view.df.join(tagged, on=key_cols, how="inner")
         parts.append(alert_projection(view, joined))
@@ -322,13 +359,19 @@ def conditions_frame(rules: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
             flat.where(F.col("error").isNotNull()).select("rule_ord", "rule_id", "error"))
 
 
-def paths_in(conditions: DataFrame) -> dict[str, set[tuple[str, int]]]:
-    """``paths_of`` for a conditions table: a few rows per field reach the driver, whatever the rules."""
+def paths_in(anchors: DataFrame) -> tuple[dict[str, set[tuple[str, int]]], list[str]]:
+    """The (kind, characters) under which each field's values must be offered, and the fields of the groups' other
+    terms: a few rows per field reach the driver, whatever the rules."""
     paths: dict[str, set[tuple[str, int]]] = {}
-    for field, path in found_by(conditions).select("field", "path").distinct().collect():
-        kind = path.rstrip("0123456789")
-        paths.setdefault(field, set()).add((kind, int(path[len(kind):])))
-    return paths
+    others = anchors.select(F.explode(F.flatten("rest")).alias("c")).select("c.field", F.lit(None).cast("string").alias("path"))
+    fields = set()
+    for field, path in anchors.select("field", "path").distinct().unionByName(others.distinct()).collect():
+        if path is None:
+            fields.add(field)
+        else:
+            kind = path.rstrip("0123456789")
+            paths.setdefault(field, set()).add((kind, int(path[len(kind):])))
+    return paths, sorted(fields)
 
 
 def rules_as_data(view: LogView, rules: DataFrame, key_cols: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -336,4 +379,4 @@ def rules_as_data(view: LogView, rules: DataFrame, key_cols: list[str]) -> tuple
     at the driver: ``(key..., rule_ord, rule_id, rule_title, severity)`` of the matches, and the rules
     left out with their reason."""
     conditions, rule_list, left_out = conditions_frame(rules)
-    return table_matches(view, conditions, rule_list, key_cols, paths_in(conditions)), left_out
+    return table_matches(view, staged_anchors(conditions), rule_list, key_cols), left_out
