@@ -1000,12 +1000,16 @@ ORACLES["strict_decode"] = """SELECT doc_id, CAST(kind AS INTEGER) AS kind, kind
 def alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9 + K1 + S6: published alert documents, decoded strictly; raw_log is an object inside each."""
     from ruleweave.operators.evaluate import alerts_json
-    from ruleweave.streaming.sources import decode_alerts
-    good, bad = decode_alerts(alerts_json(published_alerts(spark, sf_dir)))
-    fields = [F.get_json_object("raw_log", f"$.{c}").alias(c) for c in ("log_type", "props", "timestamp")]
-    return good.select("alert_id", "rule_id", "severity", "host",
-                       F.get_json_object("raw_log", "$.event_id").cast("long").alias("event_id"), *fields).unionByName(
-        bad.select(F.col("key").alias("alert_id"), F.lit("not decoded").alias("rule_id")), allowMissingColumns=True)
+    from ruleweave.streaming.sources import checked_alerts
+    # decoded and quarantined documents in one frame: the union of both would publish everything twice
+    docs = checked_alerts(alerts_json(evaluate(spread_events(spark, sf_dir), list(rule_pack("events")))))
+    names = ["event_id", "log_type", "props", "timestamp"]
+    docs = docs.select("*", F.json_tuple("_rw_raw_log", *names).alias(*names))
+    ok = F.col("_rw_ok")
+    return docs.select(F.when(ok, F.col("_rw_alert_id")).otherwise(F.col("key")).alias("alert_id"),
+                       F.when(ok, F.col("_rw_rule_id")).otherwise(F.lit("not decoded")).alias("rule_id"),
+                       F.col("_rw_severity").alias("severity"), F.col("_rw_host").alias("host"),
+                       F.col("event_id").cast("long").alias("event_id"), *names[1:])
 
 
 QUERIES["alert_documents"] = alert_documents

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ruleweave.functions.fields import quote
 from ruleweave.functions.jsontext import strict_object
 from ruleweave.operators.evaluate import ALERT_COLUMNS
 
@@ -65,19 +66,36 @@ def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTy
 ALERT_KEYS = ALERT_COLUMNS
 
 
-def decode_alerts(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Strict decode of alert JSON; a missing or an extra key quarantines the message."""
-    v = F.col(value_col)
-    keys = F.map_keys(strict_object(v))
+def checked_alerts(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """``raw`` with ``_rw_ok`` and the fields of each alert message, NULL where it is to be quarantined.
+
+    A message is parsed once for the check and once for all its fields.
+    """
+    v = F.col(quote(value_col))
     required = F.array(*[F.lit(k) for k in ALERT_KEYS if k != "raw_log"])
     allowed = F.array(*[F.lit(k) for k in ALERT_KEYS])
-    ok = (keys.isNotNull() & (F.size(F.array_except(required, keys)) == 0)
-          & (F.size(F.array_except(keys, allowed)) == 0))
-    parsed = raw.withColumn("_rw_ok", F.coalesce(ok, F.lit(False)))
-    fields = [F.get_json_object(v, f"$.{k}").alias(k) for k in ALERT_KEYS if k != "raw_log"]
-    raw_log = F.coalesce(F.get_json_object(v, "$.raw_log"), F.lit("{}")).alias("raw_log")
-    good = parsed.where("_rw_ok").select(*fields, raw_log)
-    bad = parsed.where(~F.col("_rw_ok")).drop("_rw_ok")
+
+    def check(keys):
+        return F.struct(((F.size(F.array_except(required, keys)) == 0) & (F.size(F.array_except(keys, allowed)) == 0)).alias("ok"),
+                        (F.size(F.array_distinct(keys)) < F.size(keys)).alias("repeats"))
+
+    # bound by a lambda and made by a generator, so that neither uses of the keys nor filters parse the text again
+    checked = F.transform(F.array(F.map_keys(strict_object(v))), lambda keys: F.when(keys.isNotNull(), check(keys)))
+    rows = raw.select("*", F.explode_outer(checked).alias("_rw_checked")).select("*", F.json_tuple(v, *ALERT_KEYS).alias(
+        *[f"_rw_j{i}" for i in range(len(ALERT_KEYS))]))
+    ok = F.coalesce(F.col("_rw_checked.ok"), F.lit(False))
+    # of a key given twice, the first value counts
+    texts = [F.when(F.col("_rw_checked.repeats"), F.get_json_object(v, f"$.{k}")).otherwise(F.col(f"_rw_j{i}"))
+             for i, k in enumerate(ALERT_KEYS)]
+    return rows.select(*[F.col(quote(c)) for c in raw.columns], ok.alias("_rw_ok"), *[F.when(ok, F.coalesce(
+        t, F.lit("{}")) if k == "raw_log" else t).alias(f"_rw_{k}") for k, t in zip(ALERT_KEYS, texts)])
+
+
+def decode_alerts(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Strict decode of alert JSON; a missing or an extra key quarantines the message."""
+    parsed = checked_alerts(raw, value_col)
+    good = parsed.where("_rw_ok").select(*[F.col(f"_rw_{k}").alias(k) for k in ALERT_KEYS])
+    bad = parsed.where(~F.col("_rw_ok")).select(*[F.col(quote(c)) for c in raw.columns])
     return good, bad
 
 
