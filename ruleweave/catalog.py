@@ -570,7 +570,8 @@ def _drain_slices(spark: SparkSession, sf_dir: str, base: str, start) -> None:
     number = F.coalesce(F.floor((t - F.lit(low)) / F.lit(width)) + behind, F.lit(0))
     sliced = ev.withColumn("_rw_slice", number)
     for i in range(SLICES + 1):
-        sliced.where(F.col("_rw_slice") == i).drop("_rw_slice").write.parquet(f"{base}/slices/slice-{i}")
+        part = sliced.where(F.col("_rw_slice") == i).drop("_rw_slice")
+        part.repartition(_cores(spark) or int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(f"{base}/slices/slice-{i}")
         start(spark.readStream.schema(ev.schema).option("recursiveFileLookup", True)
               .parquet(f"{base}/slices")).awaitTermination()
 

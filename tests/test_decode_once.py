@@ -50,3 +50,22 @@ def test_alert_documents_publishes_once(spark, tmp_path):
     # the log is made into JSON for plain and for burst alerts, not again for those that are quarantined
     assert 1 <= _plan(out).count("from_json") <= 2
     assert out.where("rule_id = 'not decoded'").count() == 0 and out.where("event_id IS NULL").count() == 0 and out.count() > 0
+
+
+def test_slices_of_a_stream_have_a_file_per_core(spark, tmp_path):
+    from ruleweave import catalog
+    made = []
+
+    class Started:
+        def awaitTermination(self):
+            pass
+
+    def start(stream):
+        made.append(stream)
+        return Started()
+
+    catalog._drain_slices(spark, _events(spark, tmp_path / "in", 400), str(tmp_path / "out"), start)
+    files = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out/slices")).select(F.input_file_name().alias("f"))
+    assert len(made) == catalog.SLICES + 1
+    assert files.distinct().count() > 2 * len(made)
+    assert files.count() == 400
