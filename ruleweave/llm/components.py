@@ -13,7 +13,8 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Each round replaces every link by one to a smaller neighbour; rounds are staged in the shared
     folder and compared by row count and an order-free checksum, so only two numbers reach the
-    driver. Self links and repeated links are harmless; an empty table gives an empty result.
+    driver. No round is broadcast: staged links take far less room than links in memory. Self links and
+    repeated links are harmless; an empty table gives an empty result.
     """
     current = staged(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                      .distinct(), "links")
@@ -21,9 +22,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     while mark[0]:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.hint("merge").join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
+        small = large.hint("merge").join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v")).distinct()
         after = staged(small, "links")

@@ -106,9 +106,10 @@ def hamming_links(reps: DataFrame) -> DataFrame:
     # after an aggregate by fingerprint Spark would drop the shuffle and run on as few tasks as eight-byte rows fill
     points = grid_points(reps.repartition(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     crowd = points.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    shared = staged(points.join(crowd, "cell"), "grid")
+    # never broadcast: Spark sizes what is exploded as before it multiplied, and staged fingerprints as they are packed
+    shared = staged(points.hint("merge").join(crowd, "cell"), "grid")
     few = shared.where(F.col("n") <= CROWDED).select("cell", "fp")
-    pairs = (few.alias("a").join(few.alias("b"), F.expr("a.cell = b.cell AND a.fp < b.fp"))
+    pairs = (few.hint("merge").alias("a").join(few.alias("b"), F.expr("a.cell = b.cell AND a.fp < b.fp"))
              .where(F.expr(f"bit_count(a.fp ^ b.fp) <= {MAX_BITS}"))
              .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
     around = (shared.where(F.col("n") > CROWDED)
@@ -117,7 +118,7 @@ def hamming_links(reps: DataFrame) -> DataFrame:
                   "fp ^ shiftleft(1L, 2 * (step % 32) + 1)) END")).alias("near"))
               .where(F.expr(f"{_popcounts('near')} = cell")).select("near", "fp"))
     hubs = around.groupBy("near").agg(F.min("fp").alias("hub"), F.count("*").alias("k")).where("k > 1")
-    stars = around.join(hubs, "near").where("fp <> hub").select(F.col("hub").alias("u"), F.col("fp").alias("v"))
+    stars = around.hint("merge").join(hubs, "near").where("fp <> hub").select(F.col("hub").alias("u"), F.col("fp").alias("v"))
     return pairs.unionByName(stars).distinct()
 
 

@@ -105,3 +105,27 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(100, 100), (5, 4)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_grid_and_links_are_never_broadcast(spark, frame, monkeypatch):
+    # a small table of fingerprints becomes 49 times as many grid points, whatever size Spark sees
+    from ruleweave.llm import components
+    plans = {}
+
+    def watched(module):
+        staged = module.staged
+
+        def stage(df, name):
+            plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+            return staged(df, name)
+        monkeypatch.setattr(module, "staged", stage)
+
+    watched(S)
+    watched(components)
+    rows = [(i, t) for i, t in corpus() if i is not None] * 2
+    found = S.simhash_groups(frame(rows)).select("doc_id", "fp", "component_id").collect()
+    assert sorted((str(r[0]), r[1], str(r[2])) for r in found) == brute_groups(rows)
+    assert len(plans["links"]) > 1
+    for name in ("grid", "links"):
+        assert all("Join" not in p or "SortMergeJoin" in p for p in plans[name])
+        assert not any("BroadcastExchange" in p or "BroadcastHashJoin" in p for p in plans[name]), name
