@@ -48,3 +48,20 @@ def test_eleven_queries_are_registered():
     assert "pipeline" in names
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_near_duplicates_of_the_pipeline_broadcast_no_grid_points(spark, monkeypatch):
+    from ruleweave.llm import simhash_dedup
+    plans = []
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return staged(df, name)
+
+    monkeypatch.setattr(simhash_dedup, "staged", watched)
+    texts = ["a b c d", "a b c d", "e f g h", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(d for d, _ in rows(P.near_duplicates(spark, docs, SF))) == [0, 2, 3]
+    grid = [p for name, p in plans if name == "grid"]
+    assert len(grid) == 1 and "SortMergeJoin" in grid[0] and "Broadcast" not in grid[0]
