@@ -561,19 +561,23 @@ def _drain_slices(spark: SparkSession, sf_dir: str, base: str, start) -> None:
     """
     from ruleweave.functions.timeutil import epoch_micros
     ev = read_table(spark, sf_dir, "events")
-    t = epoch_micros("ts", ev.schema["ts"].dataType)
-    low, high = ev.agg(F.min(t), F.max(t)).first()
-    if low is None:     # no event has a time
-        low = high = 0
-    width = (high - low) // SLICES + 1
-    behind = F.coalesce(F.pmod(F.col("user_id"), F.lit(2)), F.lit(0))
-    number = F.coalesce(F.floor((t - F.lit(low)) / F.lit(width)) + behind, F.lit(0))
-    sliced = ev.withColumn("_rw_slice", number)
-    for i in range(SLICES + 1):
-        part = sliced.where(F.col("_rw_slice") == i).drop("_rw_slice")
-        part.repartition(_cores(spark) or int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(f"{base}/slices/slice-{i}")
-        start(spark.readStream.schema(ev.schema).option("recursiveFileLookup", True)
-              .parquet(f"{base}/slices")).awaitTermination()
+    # read and spread once for all slices, each of which is written as one file per core
+    ev = ev.repartition(_cores(spark) or int(spark.conf.get("spark.sql.shuffle.partitions"))).persist()
+    try:
+        t = epoch_micros("ts", ev.schema["ts"].dataType)
+        low, high = ev.agg(F.min(t), F.max(t)).first()
+        if low is None:     # no event has a time
+            low = high = 0
+        width = (high - low) // SLICES + 1
+        behind = F.coalesce(F.pmod(F.col("user_id"), F.lit(2)), F.lit(0))
+        number = F.coalesce(F.floor((t - F.lit(low)) / F.lit(width)) + behind, F.lit(0))
+        sliced = ev.withColumn("_rw_slice", number)
+        for i in range(SLICES + 1):
+            sliced.where(F.col("_rw_slice") == i).drop("_rw_slice").write.parquet(f"{base}/slices/slice-{i}")
+            start(spark.readStream.schema(ev.schema).option("recursiveFileLookup", True)
+                  .parquet(f"{base}/slices")).awaitTermination()
+    finally:
+        ev.unpersist()
 
 
 def _detected(spark: SparkSession, sf_dir: str, tag: str, rules, store: bool = False, **options) -> str:
@@ -584,7 +588,8 @@ def _detected(spark: SparkSession, sf_dir: str, tag: str, rules, store: bool = F
     from ruleweave.streaming.pipeline import start_detection
     base = scratch_path(spark, "stream-queries", f"{tag}-{_uuid.uuid4().hex}")
     # an empty batch, so that the published alerts can be read when there are none
-    spark.createDataFrame([], PUBLISHED_SCHEMA).write.parquet(base + "/out/batch_id=-1")
+    spark.range(0).select(*[F.lit(None).cast(kind).alias(c) for c, kind in (
+        x.split(" ") for x in PUBLISHED_SCHEMA.split(", "))]).write.parquet(base + "/out/batch_id=-1")
     _drain_slices(spark, sf_dir, base, lambda stream: start_detection(
         stream, lambda df: events_view(spark, sf_dir, df=events_logs_from(df)), rules,
         checkpoint=base + "/checkpoint", state_path=base + "/state", publish_path=base + "/out",
@@ -730,7 +735,10 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _detected(spark, sf_dir, "published", fixed_rules(list(rule_pack("events"))))
     topic = spark.readStream.schema(PUBLISHED_SCHEMA).option("maxFilesPerTrigger", 8).parquet(base + "/out")
     alerts, _ = decode_alerts(topic)
-    alerts = alerts.withColumn("event_time", F.timestamp_micros(iso_text_micros(F.get_json_object("raw_log", "$.timestamp"))))
+    # made by a generator, so that the log is searched for its time once
+    at = F.explode_outer(F.array(F.get_json_object("raw_log", "$.timestamp"))).alias("event_time")
+    alerts = alerts.select("alert_id", "rule_id", "host", at).withColumn(
+        "event_time", F.timestamp_micros(iso_text_micros(F.col("event_time"))))
     out = dedup_stream(alerts, "event_time", watermark="3650 days").select("alert_id", "rule_id", "host")
     return _run_stream(spark, out, "dedup")
 

@@ -61,6 +61,15 @@ def iso_text_micros(text: Column) -> Column:
     number of fraction digits (cut to microseconds), and ``Z`` / ``+hh:mm`` / ``+hhmm``
     offsets. Text without an offset is read as UTC. Unparsable text gives NULL.
     """
+    # the usual layouts, complete to the second, are cast as they are: rewriting them takes six regular expressions
+    usual = r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?"
+    cast = lambda c: F.unix_micros(c.try_cast("timestamp"))
+    return (F.when(text.rlike(usual + r"(Z|[+-]\d{2}:\d{2})\z"), cast(text))
+            .when(text.rlike(usual + r"\z"), cast(F.concat(text, F.lit("Z")))).otherwise(_rewritten_micros(text)))
+
+
+def _rewritten_micros(text: Column) -> Column:
+    """ISO-8601 text of any layout brought to one that Spark parses."""
     t = F.regexp_replace(F.trim(text), "T", " ")
     t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2})$", "$1 00:00:00")
     t = F.regexp_replace(t, r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2})(?=$|[+-]|Z)", "$1:00")

@@ -104,7 +104,9 @@ def _burst_step(spark: SparkSession, view: LogView, active: ActiveRules, tail: T
     new = matches.where(~ahead)
     old = tail.read(spark, touched)
     if old is not None:
-        ordinals = spark.createDataFrame([(*n, i) for i, n in enumerate(names)], "_rw_rid string, _rw_epoch long, _rw_k int")
+        ordinals = spark.range(1).select(F.inline(F.array(*[F.struct(
+            F.lit(r).alias("_rw_rid"), F.lit(e).cast("long").alias("_rw_epoch"), F.lit(i).alias("_rw_k"))
+            for i, (r, e) in enumerate(names)])))
         old = old.join(ordinals, ["_rw_rid", "_rw_epoch"]).drop("_rw_rid", "_rw_epoch")
     counted = None
     for w in sorted(set(spans)):
@@ -204,8 +206,8 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
             view = make_view(batch)
             active = rules(spark, view)
             columns = [*ALERT_COLUMNS, *view.keep]
-            alerts = alert_projection(view, match_rules(view, active.plain, copies=active.plain_copies)).select(
-                *columns, F.lit(None).cast("long").alias("window_count"))
+            plain = match_rules(view, active.plain, copies=active.plain_copies)
+            alerts = alert_projection(view, plain).select(*columns, F.lit(None).cast("long").alias("window_count"))
             tail = TailState.load(spark, state, batch_id - 1, tail_buckets)
             keep_tail = lambda: tail.write(spark, None, batch_id, set())
             if active.bursts:
@@ -217,7 +219,8 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
             if active.errors:
                 spark.createDataFrame(active.errors, ERROR_SCHEMA).write.mode("overwrite").parquet(
                     f"{state}/rule_errors/batch_id={batch_id}")
-            _sink(alerts, batch_id, view.keep, publish_path, store_path, kafka_servers, kafka_topic, view.keep[:1])
+            _sink(alerts, batch_id, view.keep, publish_path, store_path, kafka_servers, kafka_topic, view.keep[:1],
+                  some=plain if active.plain else None)
             keep_tail()
         finally:
             batch.unpersist()
@@ -228,11 +231,16 @@ def start_detection(logs: DataFrame, make_view: Callable[[DataFrame], LogView],
 
 
 def _sink(alerts: DataFrame, batch_id: int, keep: list[str], publish_path: str | None, store_path: str | None,
-          kafka_servers: str | None, kafka_topic: str, order_cols: list[str]) -> None:
-    """K1 + K2: publish every alert as its JSON document, upsert the batch; nothing for an empty batch (K4)."""
-    alerts = alerts.persist()
+          kafka_servers: str | None, kafka_topic: str, order_cols: list[str], some: DataFrame | None = None) -> None:
+    """K1 + K2: publish every alert as its JSON document, upsert the batch; nothing for an empty batch (K4).
+
+    Alerts are kept for the check and for each sink, unless they go to one sink and rows of ``some``, which each
+    give an alert and cost little to find, already show that there are any.
+    """
+    sure = sum(map(bool, (publish_path, store_path, kafka_servers))) == 1 and some is not None and not some.isEmpty()
+    alerts = alerts if sure else alerts.persist()
     try:
-        if alerts.isEmpty():
+        if not sure and alerts.isEmpty():
             return
         if publish_path:
             extra = [c for c in (*keep, "window_count") if c in alerts.columns]
@@ -244,7 +252,8 @@ def _sink(alerts: DataFrame, batch_id: int, keep: list[str], publish_path: str |
         if store_path:
             write_batch(alerts, store_path, batch_id, [F.col(quote(c)) for c in order_cols])
     finally:
-        alerts.unpersist()
+        if not sure:
+            alerts.unpersist()
 
 
 def _started(logs: DataFrame, run, checkpoint: str, trigger: dict | None) -> StreamingQuery:

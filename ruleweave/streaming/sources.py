@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ruleweave.functions.fields import quote
-from ruleweave.functions.jsontext import strict_object
+from ruleweave.functions.jsontext import marked_parse, sole_object
 from ruleweave.operators.evaluate import ALERT_COLUMNS
 
 
@@ -76,13 +76,17 @@ def checked_alerts(raw: DataFrame, value_col: str = "value") -> DataFrame:
     allowed = F.array(*[F.lit(k) for k in ALERT_KEYS])
 
     def check(keys):
-        return F.struct(((F.size(F.array_except(required, keys)) == 0) & (F.size(F.array_except(keys, allowed)) == 0)).alias("ok"),
-                        (F.size(F.array_distinct(keys)) < F.size(keys)).alias("repeats"))
-
-    # bound by a lambda and made by a generator, so that neither uses of the keys nor filters parse the text again
-    checked = F.transform(F.array(F.map_keys(strict_object(v))), lambda keys: F.when(keys.isNotNull(), check(keys)))
-    rows = raw.select("*", F.explode_outer(checked).alias("_rw_checked")).select("*", F.json_tuple(v, *ALERT_KEYS).alias(
-        *[f"_rw_j{i}" for i in range(len(ALERT_KEYS))]))
+        whole = (F.size(F.array_except(required, keys)) == 0) & (F.size(F.array_except(keys, allowed)) == 0)
+        # as alerts are published, all keys once and in order, there is nothing to look up
+        return F.when(keys == allowed, F.struct(F.lit(True).alias("ok"), F.lit(False).alias("repeats"))).otherwise(
+            F.struct(whole.alias("ok"), (F.size(F.array_distinct(keys)) < F.size(keys)).alias("repeats")))
+
+    # made by generators, so that neither uses of the keys nor filters parse the text again, and by compiled code
+    parsed = raw.select("*", F.explode_outer(F.array(marked_parse(v))).alias("_rw_parsed"))
+    keys = F.map_keys(sole_object(F.col("_rw_parsed"), v))
+    rows = parsed.select(*[F.col(quote(c)) for c in raw.columns], F.explode_outer(F.array(
+        F.when(keys.isNotNull(), check(keys)))).alias("_rw_checked")).select("*", F.json_tuple(v, *ALERT_KEYS).alias(
+            *[f"_rw_j{i}" for i in range(len(ALERT_KEYS))]))
     ok = F.coalesce(F.col("_rw_checked.ok"), F.lit(False))
     # of a key given twice, the first value counts
     texts = [F.when(F.col("_rw_checked.repeats"), F.get_json_object(v, f"$.{k}")).otherwise(F.col(f"_rw_j{i}"))

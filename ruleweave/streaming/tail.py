@@ -92,7 +92,7 @@ class TailState:
         manifest = {"buckets": self.buckets, "versions": versions, "stats": [[*t, s] for t, s in sorted(self.stats.items())],
                     "clocks": [[*r, t] for r, t in sorted(self.clocks.items())],
                     "forgot": [[*r, t] for r, t in sorted(self.forgot.items())], "replaced": replaced}
-        spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("overwrite").text(
+        spark.range(0, 1, 1, 1).select(F.lit(json.dumps(manifest)).alias("value")).write.mode("overwrite").text(
             f"{self.path}/manifest/batch_id={batch_id}")
 
     def _remove(self, spark: SparkSession) -> None:

@@ -69,3 +69,71 @@ def test_slices_of_a_stream_have_a_file_per_core(spark, tmp_path):
     assert len(made) == catalog.SLICES + 1
     assert files.distinct().count() > 2 * len(made)
     assert files.count() == 400
+
+
+def test_events_are_read_once_for_all_slices(spark, tmp_path, monkeypatch):
+    from ruleweave import catalog
+    read, given = spark.sparkContext.accumulator(0), catalog.read_table
+
+    def counted(spark, sf_dir, name):
+        df = given(spark, sf_dir, name)
+
+        def seen(row):
+            read.add(1)
+            return row
+        return spark.createDataFrame(df.rdd.map(seen), df.schema)
+
+    class Started:
+        def awaitTermination(self):
+            pass
+
+    monkeypatch.setattr(catalog, "read_table", counted)
+    catalog._drain_slices(spark, _events(spark, tmp_path / "in", 60), str(tmp_path / "out"), lambda stream: Started())
+    assert read.value == 60
+    assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out/slices")).count() == 60
+
+
+def test_alerts_for_one_sink_are_kept_only_to_find_that_there_are_none(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from ruleweave.streaming import pipeline
+    kept, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *a: kept.append(1) or persist(self, *a))
+    alerts = spark.createDataFrame([(*[str(k) for k in range(6)], "{}", 1)], ", ".join(f"{c} string" for c in ALERT_KEYS) + ", n long")
+
+    def sink(alerts, batch, store, some):
+        before = len(kept)
+        pipeline._sink(alerts, batch, ["n"], str(tmp_path / "out"), store and str(tmp_path / "store"), None, "", ["n"], some=some)
+        return len(kept) - before
+
+    assert sink(alerts, 0, False, alerts) == 0
+    assert sink(alerts, 1, True, alerts) >= 1
+    assert sink(alerts, 2, False, alerts.limit(0)) == 1     # alerts of bursts alone
+    assert sink(alerts.limit(0), 3, False, alerts.limit(0)) == 1
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("batch_id").count().orderBy("batch_id").collect()] == [0, 1, 2]
+
+
+def test_marks_are_values_and_cannot_be_forged(spark):
+    from ruleweave.functions.jsontext import marked_parse, strict_object
+    whole = '{"a": "1", "_rw_mark": "x"}'
+    texts = [whole, "{}", whole + "," + whole, "{},{}", '{},{"_rw_mark":"', '{}]', "[]", "null", '{"a":1},', "1", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, value string")
+    found = {r.n: r.m for r in df.select("n", strict_object(F.col("value")).alias("m")).collect()}
+    assert {n: m for n, m in found.items() if m is not None} == {0: {"a": "1", "_rw_mark": "x"}, 1: {}}
+    # a new key for each text would stay with the JSON reader
+    keys = {k for r in df.select(marked_parse(F.col("value")).alias("p")).collect() for m in (r.p or [])[-1:] for k in m or {}}
+    assert keys == {"_rw_mark"}
+
+
+def test_usual_times_are_read_without_being_rewritten(spark):
+    from ruleweave.functions.timeutil import _rewritten_micros, iso_text_micros
+    base = "2024-03-01T10:20:30"
+    texts = [base + x for x in ("", "Z", "+00:00", "-00:00", "+18:00", "+18:30", "+24:00", "+05:60", ".5", ".123456Z", ".1234567Z", ".Z", "z",
+                                "+0530", "+05", "\n", " ", "+00:00\n", "Z ", "Zx", "[UTC]")]
+    texts += [t.replace("T", " ") for t in texts] + [" " + base, "2024-03-01", "2024-03-01T10:20", "2024-02-30T10:20:30Z", "2023-02-29T00:00:00",
+              "2024-03-01T24:00:00Z", "2024-03-01T23:59:60Z", "0000-01-01T00:00:00Z", "0001-01-01T00:00:00", "1500-02-29T00:00:00Z",
+              "9999-12-31T23:59:59.999999Z", "24-03-01T10:20:30Z", "T", "", "x", "٢٠٢٤-03-01T10:20:30Z", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    rows = df.select("t", iso_text_micros(F.col("t")).alias("a"), _rewritten_micros(F.col("t")).alias("b")).collect()
+    assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows]
+    assert sum(r.a is not None for r in rows) > 20
